@@ -206,7 +206,7 @@ zone_vertices AS (
          (cx + 30000 + su * {EXTRA_HALF_U}) / 1e6, (cy - 300000 + sv * {EXTRA_HALF_U}) / 1e6
   FROM zone_base, corners WHERE zone % 4 = 3),
 zone_segments AS (
-  SELECT a.zone, a.part, a.ring, a.idx, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by
+  SELECT a.zone, a.part, a.ring, a.idx, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
   FROM zone_vertices a JOIN zone_vertices b
     ON a.zone = b.zone AND a.part = b.part AND a.ring = b.ring AND b.idx = a.idx + 1)"""
 
