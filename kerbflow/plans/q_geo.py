@@ -75,11 +75,11 @@ RING_MOMENTS_SQL = """rm AS (
 @register("zone_centroid", with_ctes(ZONE_VERTICES_SQL, RING_MOMENTS_SQL, """wt AS (
   SELECT zone, CASE WHEN ring = 0 THEN 1.0 ELSE -1.0 END * abs(a2) / 2 AS w,
          sx / (a2 * 3.0) AS cx, sy / (a2 * 3.0) AS cy FROM rm WHERE a2 <> 0)""", body="""
-SELECT zone AS LocationID, round(sum(w * cx) / sum(w), 9) AS cx, round(sum(w * cy) / sum(w), 9) AS cy
+SELECT zone AS LocationID, round(sum(w * cx) / sum(w), 9) + 0.0 AS cx, round(sum(w * cy) / sum(w), 9) + 0.0 AS cy
 FROM wt GROUP BY zone"""))
 def q_zone_centroid(spark, sf_dir):
     c = spatial.zone_centroids(zones(spark, sf_dir))
-    return c.select("LocationID", F.round("cx", 9).alias("cx"), F.round("cy", 9).alias("cy"))
+    return c.select("LocationID", (F.round("cx", 9) + 0.0).alias("cx"), (F.round("cy", 9) + 0.0).alias("cy"))
 
 
 @register("largest_part", with_ctes(ZONE_VERTICES_SQL, RING_MOMENTS_SQL, """pa AS (
