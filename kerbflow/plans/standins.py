@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # trips_ev: events as trips (hourly work: 30 days x 24 hours x 25 zones)
 # --------------------------------------------------------------------------
 
+# Measures are scaled by irrational constants so that means never terminate
+# exactly at a rounding digit (rounded results stay comparable across engines).
+DIST_SCALE = 0.1414213562373095     # sqrt(2) / 10
+TOTAL_SCALE = 1.7320508075688772    # sqrt(3)
+TIP_SCALE = 0.4472135954999579      # sqrt(5) / 5
+
+
 def trips_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     v = F.col("value")
@@ -34,9 +41,9 @@ def trips_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         # a null pickup zone every 97th id exercises the null-key rules
         F.when(F.col("event_id") % 97 != 0, (F.col("user_id") % 25).cast("int")).alias("pulocationid"),
         (k % 25).cast("int").alias("dolocationid"),
-        (v / 10).alias("trip_distance"),
-        v.alias("total_amount"),
-        (v / 5).alias("tip_amount"),
+        (v * DIST_SCALE).alias("trip_distance"),
+        (v * TOTAL_SCALE).alias("total_amount"),
+        (v * TIP_SCALE).alias("tip_amount"),
     )
 
 
@@ -45,7 +52,8 @@ TRIPS_EV_SQL = """trips_ev AS (
          ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) AS dropoff_datetime,
          CASE WHEN event_id % 97 <> 0 THEN CAST(user_id % 25 AS INTEGER) END AS pulocationid,
          CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 25 AS INTEGER) AS dolocationid,
-         value / 10 AS trip_distance, value AS total_amount, value / 5 AS tip_amount
+         value * 0.1414213562373095 AS trip_distance, value * 1.7320508075688772 AS total_amount,
+         value * 0.4472135954999579 AS tip_amount
   FROM events)"""
 
 
