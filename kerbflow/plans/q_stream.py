@@ -75,7 +75,11 @@ def zone_boroughs(spark, sf_dir):
                                                             F.col("r_name").alias("borough"))
 
 
-FINAL_STATE_FILES_PER_TRIGGER = 10     # final state does not depend on the batch size
+# Final state and message keys do not depend on the batch size, so these
+# runs take larger micro-batches; the periodic report keeps 500 messages.
+FINAL_STATE_FILES_PER_TRIGGER = 40
+KEY_FILES_PER_TRIGGER = 40
+KMEANS_FILES_PER_TRIGGER = 4
 
 
 def run_stats(spark, sf_dir, files_per_trigger: int = FINAL_STATE_FILES_PER_TRIGGER):
@@ -213,11 +217,11 @@ def q_stream_report(spark, sf_dir):
     return top.unionByName(bottom).unionByName(bor)
 
 
-def _run_kmeans(spark, sf_dir):
+def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
     path = replayed(spark, sf_dir)
     out = scratch_path(spark, "kmeans-out")
     state = scratch_path(spark, "kmeans-state")
-    kmeans.run_stream_kmeans(replay.replay_source(spark, path, files_per_trigger=4), out, state,
+    kmeans.run_stream_kmeans(replay.replay_source(spark, path, files_per_trigger=files_per_trigger), out, state,
                              scratch_path(spark, "kmeans-cp"))
     return spark.read.parquet(out)
 
@@ -235,4 +239,4 @@ SELECT coalesce(CASE WHEN trip_id % 7 <> 0 THEN CAST(trip_id AS VARCHAR) END, '0
        'taxi_clustered' AS topic
 FROM seqd WHERE trip_id % 101 <> 0"""))
 def q_cluster_key(spark, sf_dir):
-    return _run_kmeans(spark, sf_dir).select("key", "topic")
+    return _run_kmeans(spark, sf_dir, KEY_FILES_PER_TRIGGER).select("key", "topic")

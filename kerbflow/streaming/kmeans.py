@@ -11,6 +11,8 @@ of the batch before it (exactly-once model updates).
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +56,11 @@ def message_key(key="key", partition="partition", offset="offset") -> Column:
 
 def _load_centres(spark: SparkSession, state_dir: str, batch_id: int, k: int, d: int):
     try:
-        df = spark.read.parquet(state_dir)
+        df = spark.read.json(state_dir)
     except Exception:  # noqa: BLE001 - no state yet
         return None
+    if "batch_id" not in df.columns:
+        return None
     prev = df.where(F.col("batch_id") < batch_id)
     last = prev.agg(F.max("batch_id")).first()[0]
     if last is None:
@@ -68,10 +72,18 @@ def _load_centres(spark: SparkSession, state_dir: str, batch_id: int, k: int, d:
 
 
 def _save_centres(spark: SparkSession, state_dir: str, batch_id: int, centres: np.ndarray):
-    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(centres)]
-    schema = "cluster_id int, " + ", ".join(f"c{j} double" for j in range(centres.shape[1]))
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite") \
-        .parquet(f"{state_dir}/batch_id={batch_id}")
+    """k small JSON lines written through the Hadoop FileSystem of the state
+    folder (no Spark job for k rows); overwrite keeps replays idempotent."""
+    lines = "\n".join(json.dumps({"cluster_id": i, **{f"c{j}": float(v) for j, v in enumerate(c)}})
+                      for i, c in enumerate(centres)) + "\n"
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{state_dir}/batch_id={batch_id}/centres.json")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(lines.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoint: str, k: int = 4,
@@ -79,10 +91,16 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
     features = list(features)
     d = len(features)
     parsed = good_messages(parse_messages(source))
+    # Centres of the last committed batch, kept between consecutive batches;
+    # the copy on disk is read only after a restart or a replayed batch.
+    last = {"batch_id": None, "centres": None}
 
     def step(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        centres = _load_centres(spark, state_dir, batch_id, k, d)
+        if last["batch_id"] is not None and last["batch_id"] == batch_id - 1:
+            centres = last["centres"]
+        else:
+            centres = _load_centres(spark, state_dir, batch_id, k, d)
         if centres is None:
             centres = initial_centres(k, d, seed)
         b = batch.persist()
@@ -99,6 +117,7 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
                                   F.lit(OUTPUT_TOPIC).alias("topic"), "cluster_id", *features)
             out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
             _save_centres(spark, state_dir, batch_id, centres)
+            last["batch_id"], last["centres"] = batch_id, centres
         finally:
             b.unpersist()
 
@@ -114,6 +133,6 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
 
 
 def final_centres(spark: SparkSession, state_dir: str) -> DataFrame:
-    df = spark.read.parquet(state_dir)
+    df = spark.read.json(state_dir)
     last = df.agg(F.max("batch_id").alias("_last"))
     return df.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).drop("_last")

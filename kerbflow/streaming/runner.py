@@ -23,8 +23,11 @@ def _latest(spark: SparkSession, path: str) -> DataFrame:
     return df.join(F.broadcast(last), F.col("batch_id") == F.col("_last"), "inner").drop("_last", "batch_id")
 
 
+STATE_PARTITIONS = 8      # state is one row per zone: a few partitions at any input size
+
+
 def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
-                      processing_time: str | None = None):
+                      processing_time: str | None = None, state_partitions: int = STATE_PARTITIONS):
     """Start the stream; with ``available_now`` it drains its input and stops.
 
     Each micro-batch writes the per-zone state snapshot to
@@ -41,7 +44,16 @@ def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, availabl
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    q = w.start()
+    # The stateful stage's partition count is fixed at the first start (kept
+    # in the checkpoint); map-side partial aggregation means only per-task
+    # per-zone partials are shuffled, so few partitions suffice.
+    spark = source.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), state_partitions)))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     if available_now:
         q.awaitTermination()
         if q.exception():
