@@ -132,10 +132,20 @@ def predict_block_sgd(df: DataFrame, model: dict, out: str = "prediction") -> Da
 
 # ------------------------------------------------------------------ driver
 
+def save_block_sgd(spark, model: dict, path: str) -> str:
+    """Coefficients and scaling of the SGD model as a one-row Parquet table."""
+    spark.createDataFrame([(model["features"], [float(v) for v in model["mean"]], [float(v) for v in model["std"]],
+                            [float(v) for v in model["coef"]])],
+                          "features array<string>, mean array<double>, std array<double>, coef array<double>") \
+        .coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
 def forecast_metrics(feats: DataFrame, gbt_iterations: int = 100, gbt_depth: int = 6, block_rows: int = 100_000,
-                     label: str = "trip_count") -> DataFrame:
+                     label: str = "trip_count", save_dir: str | None = None) -> DataFrame:
     """Train on the train split, score validation and test; one metrics row per
-    (model, split) with seconds spent fitting + scoring."""
+    (model, split) with seconds spent fitting + scoring. With ``save_dir`` the
+    three fitted models are written there (ML writers / Parquet)."""
     spark = feats.sparkSession
     data = assemble(feats).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.where(F.col("split") == "train")
@@ -165,6 +175,10 @@ def forecast_metrics(feats: DataFrame, gbt_iterations: int = 100, gbt_depth: int
             t1 = time.time()
             m = error_metrics(predict_block_sgd(data.where(F.col("split") == split), sgd), label)
             rows.append(("block_sgd", split, m["mse"], m["mae"], m["n"], fit_s + time.time() - t1))
+        if save_dir:
+            lr.write().overwrite().save(f"{save_dir}/linear")
+            gbt.write().overwrite().save(f"{save_dir}/gbt")
+            save_block_sgd(spark, sgd, f"{save_dir}/block_sgd")
     finally:
         data.unpersist()
     return spark.createDataFrame(rows, "model string, split string, mse double, mae double, n bigint, seconds double")

@@ -109,7 +109,10 @@ SELECT b.service, b.total_trips, CAST(b.years AS INTEGER) AS years, CAST(b.hours
        (SELECT max(n) FROM od WHERE od.service = b.service) AS top_od_trips, b.mean_distance
 FROM base b"""))
 def q_service_summary(spark, sf_dir):
-    s = eda.service_summary(trips_ev(spark, sf_dir))
+    """The per-service JSON summary document, written and read back."""
+    doc = eda.service_summary(trips_ev(spark, sf_dir))
+    path = files.write_summary_json(doc, scratch_path(spark, "summary-json"))
+    s = spark.read.schema(doc.schema).json(path)
     return s.select("service", "total_trips", F.size("trips_per_year").alias("years"),
                     F.size("trips_per_hour").alias("hours"), F.size("trips_per_month").alias("months"),
                     F.size("top10_od_pairs").alias("od_pairs"),

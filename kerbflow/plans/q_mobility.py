@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from kerbflow.operators import forecast, mobility, spatial
 from kerbflow.plans.q_geo import RING_MOMENTS_SQL, zones
 from kerbflow.plans.registry import register
+from kerbflow.session import scratch_path
+from kerbflow.sources import files
 from kerbflow.plans.standins import (TRIPS_EV_SQL, ZONE_VERTICES_SQL, table, trips_ev, trips_li,
                                      trips_li_sql, with_ctes)
 
@@ -49,7 +51,12 @@ def q_hourly_movement(spark, sf_dir):
 @register("hour_slice_avg", with_ctes(TRIPS_EV_SQL, *COUNTS_SQL, _slice_sql("pu", "pu_slice"), body="""
 SELECT location_id, total_count, num_days, round(avg_per_day, 9) AS avg_per_day FROM pu_slice"""))
 def q_hour_slice_avg(spark, sf_dir):
-    s = mobility.hour_slice_avg(mobility.hourly_counts(trips_ev(spark, sf_dir), "pickup"), TARGET_HOUR)
+    """The gather step writes the hourly table as CSV; the map step reads it
+    back with a declared schema (bad rows -> null -> dropped) and slices it."""
+    path = files.write_csv(mobility.hourly_counts(trips_ev(spark, sf_dir), "pickup"), scratch_path(spark, "pickups-csv"))
+    counts = files.read_csv(spark, path, "hour timestamp_ntz, location_id int, count bigint") \
+        .dropna(subset=["hour"])
+    s = mobility.hour_slice_avg(counts, TARGET_HOUR)
     return s.select("location_id", "total_count", "num_days", F.round("avg_per_day", 9).alias("avg_per_day"))
 
 
@@ -142,4 +149,5 @@ def q_demand_split(spark, sf_dir):
 
 @register("forecast_metrics")
 def q_forecast_metrics(spark, sf_dir):
-    return forecast.forecast_metrics(_split_frame(spark, sf_dir, with_centroids=True))
+    return forecast.forecast_metrics(_split_frame(spark, sf_dir, with_centroids=True),
+                                     save_dir=scratch_path(spark, "models"))

@@ -183,20 +183,28 @@ def q_zone_visits_both(spark, sf_dir):
     return stats.visits(runner.final_state(spark, run_stats(spark, sf_dir)), "both")
 
 
-@register("zone_topk", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZSTATS_SQL, *VIS_SQL, body=f"""
-SELECT CAST(row_number() OVER (ORDER BY v.visits DESC, v.zone) AS INTEGER) AS rank, v.zone, v.visits, {STAT_NAMES}
-FROM vis v LEFT JOIN zs ON v.zone = zs.zone ORDER BY rank LIMIT 10"""))
+ZB_SQL = """zb AS (
+  SELECT n.n_nationkey AS zone, r.r_name AS borough FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+@register("zone_topk", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZSTATS_SQL, ZB_SQL, *VIS_SQL, body=f"""
+SELECT CAST(row_number() OVER (ORDER BY v.visits DESC, v.zone) AS INTEGER) AS rank, v.zone,
+       coalesce(zb.borough, 'Unknown') AS borough, v.visits, {STAT_NAMES}
+FROM vis v LEFT JOIN zs ON v.zone = zs.zone LEFT JOIN zb ON v.zone = zb.zone ORDER BY rank LIMIT 10"""))
 def q_zone_topk(spark, sf_dir):
-    t = runner.report(runner.final_state(spark, run_stats(spark, sf_dir)), "top", k=10, mode="pickup")
-    return _round_stats(t, ["rank", "zone", "visits"])
+    t = runner.report(runner.final_state(spark, run_stats(spark, sf_dir)), "top", zone_boroughs(spark, sf_dir),
+                      k=10, mode="pickup")
+    return _round_stats(t, ["rank", "zone", "borough", "visits"])
 
 
-@register("zone_bottomk", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZSTATS_SQL, *VIS_SQL, body=f"""
-SELECT CAST(row_number() OVER (ORDER BY v.visits ASC, v.zone) AS INTEGER) AS rank, v.zone, v.visits, {STAT_NAMES}
-FROM vis_both v LEFT JOIN zs ON v.zone = zs.zone ORDER BY rank LIMIT 10"""))
+@register("zone_bottomk", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZSTATS_SQL, ZB_SQL, *VIS_SQL, body=f"""
+SELECT CAST(row_number() OVER (ORDER BY v.visits ASC, v.zone) AS INTEGER) AS rank, v.zone,
+       coalesce(zb.borough, 'Unknown') AS borough, v.visits, {STAT_NAMES}
+FROM vis_both v LEFT JOIN zs ON v.zone = zs.zone LEFT JOIN zb ON v.zone = zb.zone ORDER BY rank LIMIT 10"""))
 def q_zone_bottomk(spark, sf_dir):
-    t = runner.report(runner.final_state(spark, run_stats(spark, sf_dir)), "bottom", k=10, mode="both")
-    return _round_stats(t, ["rank", "zone", "visits"])
+    t = runner.report(runner.final_state(spark, run_stats(spark, sf_dir)), "bottom", zone_boroughs(spark, sf_dir),
+                      k=10, mode="both")
+    return _round_stats(t, ["rank", "zone", "borough", "visits"])
 
 
 @register("stream_report")
@@ -205,13 +213,14 @@ def q_stream_report(spark, sf_dir):
     pickups and all boroughs, with the snapshot's batch id."""
     hist = runner.state_history(spark, run_stats(spark, sf_dir, files_per_trigger=1))
     by = ["batch_id"]
-    top = runner.report(hist, "top", by=by).select(
+    zb = zone_boroughs(spark, sf_dir)
+    top = runner.report(hist, "top", zb, by=by).select(
         F.lit("top").alias("section"), "batch_id", "rank", F.col("zone").cast("string").alias("name"), "visits",
         "total_amount_mean")
-    bottom = runner.report(hist, "bottom", by=by).select(
+    bottom = runner.report(hist, "bottom", zb, by=by).select(
         F.lit("bottom").alias("section"), "batch_id", "rank", F.col("zone").cast("string").alias("name"), "visits",
         "total_amount_mean")
-    bor = runner.report(hist, "borough", zone_boroughs(spark, sf_dir), by=by).select(
+    bor = runner.report(hist, "borough", zb, by=by).select(
         F.lit("borough").alias("section"), "batch_id", F.lit(None).cast("int").alias("rank"),
         F.col("borough").alias("name"), F.col("total_amount_count").alias("visits"), "total_amount_mean")
     return top.unionByName(bottom).unionByName(bor)

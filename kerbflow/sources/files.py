@@ -110,8 +110,13 @@ def write_year_partitioned(df: DataFrame, path: str, mode: str = "overwrite") ->
 def write_rebalanced(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Flat overwrite with ~100 MB output files (AQE rebalance, no full sort)."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(OUTPUT_PARTITION_BYTES))
-    df.hint("rebalance").write.mode("overwrite").format(fmt).save(path)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OUTPUT_PARTITION_BYTES))
+    try:
+        df.hint("rebalance").write.mode("overwrite").format(fmt).save(path)
+    finally:
+        spark.conf.set(key, before)
     return path
 
 

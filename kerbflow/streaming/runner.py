@@ -74,10 +74,9 @@ def report(state: DataFrame, section: str, zone_boroughs: DataFrame | None = Non
            mode: str = "pickup", by=()) -> DataFrame:
     """One report section from state rows: ``top``, ``bottom`` or ``borough``.
     Pass ``by=["batch_id"]`` over :func:`state_history` for every periodic report."""
-    if section == "top":
-        return stats.ranked_zones(state, k, mode, top=True, by=by)
-    if section == "bottom":
-        return stats.ranked_zones(state, k, mode, top=False, by=by)
+    if section in ("top", "bottom"):
+        ranked = stats.ranked_zones(state, k, mode, top=section == "top", by=by)
+        return stats.with_borough(ranked, zone_boroughs) if zone_boroughs is not None else ranked
     if section == "borough":
         return stats.borough_stats(state, zone_boroughs, by=by)
     raise ValueError(section)

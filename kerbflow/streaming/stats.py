@@ -79,3 +79,10 @@ def ranked_zones(state: DataFrame, k: int = 10, mode: str = "pickup", top: bool
     w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
     ranked = v.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.join(zone_summary(state), [*by, "zone"], "left").drop("pickups", "dropoffs")
+
+
+def with_borough(zones: DataFrame, zone_boroughs: DataFrame) -> DataFrame:
+    """Borough name of each zone; an id missing from the lookup reads "Unknown"."""
+    zb = F.broadcast(zone_boroughs.select(F.col("zone").alias("_bz"), F.col("borough").alias("_b")))
+    return (zones.join(zb, F.col("zone") == F.col("_bz"), "left")
+                 .withColumn("borough", F.coalesce("_b", F.lit("Unknown"))).drop("_bz", "_b"))
