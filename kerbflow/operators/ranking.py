@@ -49,7 +49,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     by = list(by)
     v = F.col(value)
     x = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = with_position(x, ["_v"], by, name="_r")
+    # A seeded random tie-breaker lets range partitioning split a value shared
+    # by a large share of the rows; the order of equal values does not matter.
+    ranked = with_position(x.withColumn("_tb", F.rand(17)), ["_v", "_tb"], by, name="_r").drop("_tb")
     sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt")) if by else \
         x.agg(F.count(F.lit(1)).alias("_cnt"))
     want = []

@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbflow.operators.joins import broadcast_if_small
+
+ZONE_ROWS = 100_000
+
 MEASURES = ("trip_distance", "tip_amount", "total_amount")
 STATS = ("count", "mean", "std", "min", "max")
 
@@ -43,7 +47,7 @@ def borough_stats(state: DataFrame, zone_boroughs: DataFrame, by=()) -> DataFram
     """Per borough of the pickup zone; zones without a borough are skipped.
     Merges zone moments (n, mean, population variance) by pooling sums."""
     by = list(by)
-    zb = F.broadcast(zone_boroughs.select(F.col("zone").alias("_z"), "borough"))
+    zb = broadcast_if_small(zone_boroughs.select(F.col("zone").alias("_z"), "borough"), ZONE_ROWS)
     j = state.join(zb, F.col("zone") == F.col("_z"), "inner").where(F.col("pickups") > 0)
     aggs = []
     for m in MEASURES:
@@ -83,6 +87,7 @@ def ranked_zones(state: DataFrame, k: int = 10, mode: str = "pickup", top: bool
 
 def with_borough(zones: DataFrame, zone_boroughs: DataFrame) -> DataFrame:
     """Borough name of each zone; an id missing from the lookup reads "Unknown"."""
-    zb = F.broadcast(zone_boroughs.select(F.col("zone").alias("_bz"), F.col("borough").alias("_b")))
+    zb = broadcast_if_small(zone_boroughs.select(F.col("zone").alias("_bz"), F.col("borough").alias("_b")),
+                            ZONE_ROWS)
     return (zones.join(zb, F.col("zone") == F.col("_bz"), "left")
                  .withColumn("borough", F.coalesce("_b", F.lit("Unknown"))).drop("_bz", "_b"))
