@@ -157,3 +157,14 @@ GROUP BY 1, 2"""))
 def q_profile_corr(spark, sf_dir):
     c = eda.profile_corr(eda.hourly_profile(trips_ev(spark, sf_dir)))
     return c.select("service_a", "service_b", _r("corr"))
+
+
+PROFILE_SERVICES = ("click", "error", "purchase", "signup", "view")
+
+
+@register("profile_matrix", with_ctes(TRIPS_EV_SQL, HOURLY_PROFILE_CTE, body="SELECT hour, " + ", ".join(
+    f"round(coalesce(max(CASE WHEN service = '{s}' THEN share END), 0.0), 9) AS {s}" for s in PROFILE_SERVICES)
+    + " FROM prof_share GROUP BY hour"))
+def q_profile_matrix(spark, sf_dir):
+    m = eda.profile_matrix(eda.hourly_profile(trips_ev(spark, sf_dir)))
+    return m.select("hour", *[_r(c, 9) for c in m.columns if c != "hour"])

@@ -15,7 +15,7 @@ from kerbflow.plans.registry import register
 from kerbflow.plans.standins import TRIPS_EV_SQL, table, trips_ev, with_ctes
 from kerbflow.session import scratch_path
 from kerbflow.streaming import kmeans, replay, runner, stats
-from kerbflow.streaming.messages import good_messages, json_number, json_object, parse_messages
+from kerbflow.streaming.messages import dead_letters, good_messages, json_number, json_object, parse_messages
 
 YELLOW_SERVICES = ("click", "view", "purchase")
 TOPICS = {"yellow": "yellow_taxi_stream", "fhvhv": "fhvhv_taxi_stream"}
@@ -249,3 +249,12 @@ SELECT coalesce(CASE WHEN trip_id % 7 <> 0 THEN CAST(trip_id AS VARCHAR) END, '0
 FROM seqd WHERE trip_id % 101 <> 0"""))
 def q_cluster_key(spark, sf_dir):
     return _run_kmeans(spark, sf_dir, KEY_FILES_PER_TRIGGER).select("key", "topic")
+
+
+@register("dead_letters", with_ctes(TRIPS_EV_SQL, body="""
+SELECT CASE WHEN trip_id % 7 <> 0 THEN CAST(trip_id AS VARCHAR) END AS key,
+       CASE WHEN service IN ('click', 'view', 'purchase') THEN 'yellow_taxi_stream' ELSE 'fhvhv_taxi_stream' END AS topic
+FROM trips_ev WHERE trip_id % 101 = 0 AND pickup_datetime IS NOT NULL"""))
+def q_dead_letters(spark, sf_dir):
+    """Messages whose value is not a JSON object, kept aside instead of dropped."""
+    return dead_letters(parse_messages(records(spark, sf_dir))).select("key", "topic")
