@@ -15,7 +15,7 @@ from kerbflow.plans.registry import register
 from kerbflow.plans.q_batch import QUALITY_FLAGS_CTE
 from kerbflow.plans.standins import TRIPS_EV_SQL, TRIPS_LI_SQL, table, trips_ev, trips_li, with_ctes
 from kerbflow.schema import Service
-from kerbflow.session import local_path, scratch_path
+from kerbflow.session import local_path, produced_once, scratch_path
 from kerbflow.sources import files, formats
 
 # Test catalogue: the stand-in trips span 2007-2013, so the year windows are
@@ -57,7 +57,7 @@ WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1""")
 SELECT t.service, t.trip_id FROM trips_li t JOIN {SERVICE_YEARS_SQL} ON t.service = sy.service
 WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1"""))
 def q_scan_year_filter(spark, sf_dir):
-    raw = write_raw(spark, sf_dir)
+    raw = raw_files(spark, sf_dir)
     out = None
     for svc in TEST_SERVICES:
         df = files.scan_service(spark, raw, svc)
@@ -66,16 +66,25 @@ def q_scan_year_filter(spark, sf_dir):
     return out
 
 
+def raw_files(spark, sf_dir) -> str:
+    return produced_once(spark, "raw", sf_dir, lambda: write_raw(spark, sf_dir))
+
+
 def ingested(spark, sf_dir) -> str:
-    raw = write_raw(spark, sf_dir)
-    out = scratch_path(spark, "ingest")
-    files.ingest_all(spark, raw, out, TEST_SERVICES)
-    return out
+    """The ingested year-partitioned tables: produced once per application and
+    read by the scans that follow ingest (partition scan, formats)."""
+    def build():
+        out = scratch_path(spark, "ingest")
+        files.ingest_all(spark, raw_files(spark, sf_dir), out, TEST_SERVICES)
+        return out
+    return produced_once(spark, "ingest", sf_dir, build)
 
 
 @register("ingest_trips", INGEST_SQL)
 def q_ingest_trips(spark, sf_dir):
-    base = ingested(spark, sf_dir)
+    """Ingest runs inside this query (fresh output), then reads every service back."""
+    base = scratch_path(spark, "ingest-run")
+    files.ingest_all(spark, raw_files(spark, sf_dir), base, TEST_SERVICES)
     df = files.read_services(spark, base)
     return df.select("service", "trip_id", "pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid",
                      "year")

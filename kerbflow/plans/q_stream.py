@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions.timefn import iso_text
 from kerbflow.plans.registry import register
 from kerbflow.plans.standins import TRIPS_EV_SQL, table, trips_ev, with_ctes
-from kerbflow.session import scratch_path
+from kerbflow.session import produced_once, scratch_path
 from kerbflow.streaming import kmeans, replay, runner, stats
 from kerbflow.streaming.messages import dead_letters, good_messages, json_number, json_object, parse_messages
 
@@ -65,7 +65,9 @@ def records(spark, sf_dir):
 
 
 def replayed(spark, sf_dir) -> str:
-    return replay.write_replay(records(spark, sf_dir), scratch_path(spark, "replay"), ROWS_PER_FILE)
+    """The replayed topic: produced once per application, read by every consumer."""
+    return produced_once(spark, "replay", sf_dir, lambda: replay.write_replay(
+        records(spark, sf_dir), scratch_path(spark, "replay"), ROWS_PER_FILE))
 
 
 def zone_boroughs(spark, sf_dir):

@@ -82,3 +82,25 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return path if os.path.isabs(path) else os.path.abspath(path)
+
+
+_PRODUCED: dict = {}
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+
+
+def produced_once(spark: SparkSession, name: str, key: str, build) -> str:
+    """Path of a dataset produced once per application and shared by its
+    consumers (a replayed topic, an ingested table), like a producer writing a
+    topic that several consumers read. ``build()`` writes it and returns the
+    path; it runs again if the files are gone."""
+    k = (spark.sparkContext.applicationId, name, key)
+    path = _PRODUCED.get(k)
+    if path is None or not path_exists(spark, path):
+        path = build()
+        _PRODUCED[k] = path
+    return path
