@@ -45,21 +45,24 @@ def distance_summary(df: DataFrame, col: str = "trip_distance", by=(), exact: bo
     uses a range-partitioned sort and picks ranks, never one task per group.
     """
     by = list(by)
+    grouped = bool(by)
+    if not grouped:                      # one constant group instead of joining two one-row frames
+        df, by = df.withColumn("_all", F.lit(0)), ["_all"]
     v = F.col(col).cast("double")
     x = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     moments = [F.count("_v").alias("count"), F.avg("_v").alias("mean"),
                F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"), F.max("_v").alias("max")]
     if exact:
-        base = x.groupBy(*by).agg(*moments) if by else x.agg(*moments)
+        base = x.groupBy(*by).agg(*moments)
         q = exact_quantiles(x, "_v", [0.25, 0.5, 0.75], by)
-        out = base.join(q, by, "left") if by else base.crossJoin(q)
+        out = base.join(q, by, "left")
     else:
         qs = F.percentile_approx("_v", [0.25, 0.5, 0.75], accuracy)
-        aggs = moments + [qs.alias("_q")]
-        out = (x.groupBy(*by).agg(*aggs) if by else x.agg(*aggs)).select(
+        out = x.groupBy(*by).agg(*moments, qs.alias("_q")).select(
             *by, "count", "mean", "std", "min", "max",
             F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"))
-    return out.select(*by, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    keep = by if grouped else []
+    return out.select(*keep, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def top_od(df: DataFrame, k: int = 10, by=()) -> DataFrame:

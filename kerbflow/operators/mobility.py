@@ -39,9 +39,9 @@ def hour_slice_avg(counts: DataFrame, target_hour: str = "10:00:00") -> DataFram
     """Per location: total at the target hour of day, days seen (over all
     locations) and the average per day (0 when no day was seen)."""
     f = counts.where(F.date_format("hour", "HH:mm:ss") == target_hour)
-    days = f.agg(F.count_distinct(F.to_date("hour")).alias("num_days"))     # exactly one row
+    days = f.agg(F.count_distinct(F.to_date("hour"))).scalar()             # scalar subquery, run once
     tot = f.groupBy("location_id").agg(F.sum("count").alias("total_count"))
-    out = tot.join(F.broadcast(days), how="cross")
+    out = tot.withColumn("num_days", days)
     return out.withColumn("avg_per_day", F.when(F.col("num_days") > 0,
                                                 F.col("total_count") / F.col("num_days")).otherwise(F.lit(0.0)))
 
@@ -62,8 +62,7 @@ def net_movement(zones: DataFrame, pickups_avg: DataFrame, dropoffs_avg: DataFra
               .drop("_i_id", "_o_id")
               .fillna(0.0, subset=["incoming", "outgoing"])
               .withColumn("net", F.col("incoming") - F.col("outgoing")))
-    mx = stats.agg(F.max(F.abs("net")).alias("_max_abs"))              # exactly one row
-    stats = stats.join(F.broadcast(mx), how="cross")
+    stats = stats.withColumn("_max_abs", stats.agg(F.max(F.abs("net"))).scalar())   # scalar subquery
     norm = F.when(F.col("_max_abs") != 0, F.col("net") / F.col("_max_abs")).otherwise(F.lit(0.0))
     return (stats.withColumn("net_movement_norm", norm)
                  .withColumn("fill_color", colour_triple("net_movement_norm"))

@@ -134,5 +134,4 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
 
 def final_centres(spark: SparkSession, state_dir: str) -> DataFrame:
     df = spark.read.json(state_dir)
-    last = df.agg(F.max("batch_id").alias("_last"))
-    return df.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).drop("_last")
+    return df.where(F.col("batch_id") == df.agg(F.max("batch_id")).scalar())

@@ -19,8 +19,7 @@ from kerbflow.streaming.messages import good_messages, parse_messages
 
 def _latest(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    last = df.agg(F.max("batch_id").alias("_last"))          # exactly one row
-    return df.join(F.broadcast(last), F.col("batch_id") == F.col("_last"), "inner").drop("_last", "batch_id")
+    return df.where(F.col("batch_id") == df.agg(F.max("batch_id")).scalar()).drop("batch_id")
 
 
 STATE_PARTITIONS = 8      # state is one row per zone: a few partitions at any input size

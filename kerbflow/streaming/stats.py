@@ -80,8 +80,11 @@ def ranked_zones(state: DataFrame, k: int = 10, mode: str = "pickup", top: bool
     by = list(by)
     v = visits(state, mode, by)
     order = [F.col("visits").desc() if top else F.col("visits").asc(), F.col("zone").asc()]
-    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    ranked = v.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if by:
+        w = Window.partitionBy(*by).orderBy(*order)
+        ranked = v.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    else:                                # top-k first, then number the k rows
+        ranked = v.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     return ranked.join(zone_summary(state), [*by, "zone"], "left").drop("pickups", "dropoffs")
 
 

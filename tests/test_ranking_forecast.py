@@ -39,3 +39,14 @@ def test_block_sgd_recovers_coefficients(spark):
     # back to the original scale
     coef = m["coef"][1:] / m["std"]
     assert coef == pytest.approx([2.0, -1.0], abs=0.05)
+
+
+def test_distance_summary_ungrouped(spark):
+    from kerbflow.operators import eda
+    vals = [float(v) for v in range(1, 101)] + [None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "trip_distance double")
+    ex = eda.distance_summary(df, exact=True).first()
+    assert ex["count"] == 100 and ex["min"] == 1.0 and ex["max"] == 100.0
+    assert (ex["q25"], ex["q50"], ex["q75"]) == (25.75, 50.5, 75.25)
+    ap = eda.distance_summary(df).first()
+    assert ap["count"] == 100 and 24 <= ap["q25"] <= 27 and ap["std"] == pytest.approx(np.std(range(1, 101), ddof=1))
