@@ -139,16 +139,17 @@ def q_format_compare(spark, sf_dir):
 
 @register("file_health")
 def q_file_health(spark, sf_dir):
-    """Healthy parts of a written table, a tiny file and a truncated copy."""
+    """Healthy parts of a written table, a tiny file and a truncated copy of
+    the tiny file (a bounded number of bytes, whatever the scale)."""
     path = scratch_path(spark, "health")
     trips_li(spark, sf_dir).repartition(4).write.parquet(f"{path}/trips")
     table(spark, sf_dir, "region").coalesce(1).write.parquet(f"{path}/tiny")
     lp = local_path(path)
     if lp is not None:
-        src = sorted(f for f in os.listdir(f"{lp}/trips") if f.endswith(".parquet"))[0]
-        with open(f"{lp}/trips/{src}", "rb") as fh:
-            data = fh.read()
-        with open(f"{lp}/trips/truncated-copy.parquet", "wb") as fh:
+        src = sorted(f for f in os.listdir(f"{lp}/tiny") if f.endswith(".parquet"))[0]
+        with open(f"{lp}/tiny/{src}", "rb") as fh:
+            data = fh.read(formats.TINY_FILE_BYTES)
+        with open(f"{lp}/tiny/truncated-copy.parquet", "wb") as fh:
             fh.write(data[: len(data) // 2])
     h = formats.file_health(spark, path)
     return h.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file"), "length", "is_tiny", "is_bad")
