@@ -105,20 +105,25 @@ def fit_block_sgd(train: DataFrame, features=FEATURES, label: str = "trip_count"
     blocks = z.groupBy("_block").agg(*aggs).orderBy("_block").collect()    # n_blocks small rows
     d = len(feats) + 1
     w = np.zeros(d)
-    t = 0
+    seen = 0
     for b in blocks:
         g = np.zeros((d, d))
         for (i, j) in idx:
             g[i, j] = g[j, i] = b[f"g_{i}_{j}"]
         h = np.array([b[f"h_{i}"] for i in range(d)])
         nb = b["n"]
+        # Per-row SGD over this block would move by about eta_t * n_b in total
+        # (inverse-scaling schedule, t = rows seen); spread that over a few
+        # full-gradient steps, each capped at the stability bound 1 / L.
+        lipschitz = float(np.linalg.eigvalsh(g / nb).max()) + alpha
+        eta_t = eta0 / ((seen + 1) ** power_t)
+        lr = min(eta_t * nb / steps_per_block, 1.0 / lipschitz)
         for _ in range(steps_per_block):
-            t += 1
-            eta = eta0 / (t ** power_t)
             grad = (g @ w - h) / nb
             reg = alpha * w
             reg[0] = 0.0
-            w = w - eta * (grad + reg)
+            w = w - lr * (grad + reg)
+        seen += nb
     return {"mean": mean, "std": std, "coef": w, "features": feats}
 
 

@@ -50,3 +50,26 @@ def test_distance_summary_ungrouped(spark):
     assert (ex["q25"], ex["q50"], ex["q75"]) == (25.75, 50.5, 75.25)
     ap = eda.distance_summary(df).first()
     assert ap["count"] == 100 and 24 <= ap["q25"] <= 27 and ap["std"] == pytest.approx(np.std(range(1, 101), ddof=1))
+
+
+def test_forecast_metrics_beats_mean(spark, tmp_dir):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(3000):
+        year = [2019, 2020, 2021, 2022, 2023, 2024][i % 6]
+        hour, dow, month = int(rng.integers(0, 24)), int(rng.integers(0, 7)), int(rng.integers(1, 13))
+        lat, lon = float(rng.normal()), float(rng.normal())
+        y = 20 + 3 * hour - 2 * dow + 5 * lat + rng.normal(scale=2.0)
+        rows.append((year, hour, dow, month, lat, lon, float(y)))
+    df = spark.createDataFrame(rows, "year int, hour int, dow int, month int, lat double, lon double, trip_count double")
+    feats = forecast.split_by_year(df)
+    m = {(r["model"], r["split"]): r for r in
+         forecast.forecast_metrics(feats, gbt_iterations=5, gbt_depth=3, block_rows=500, save_dir=f"{tmp_dir}/m").collect()}
+    assert set(m) == {(a, b) for a in ("linear", "gbt", "block_sgd") for b in ("validation", "test")}
+    val = feats.where("split = 'validation'")
+    mean_only = val.agg(F.variance("trip_count")).first()[0]
+    assert m[("linear", "validation")]["mse"] < 0.1 * mean_only
+    assert m[("block_sgd", "validation")]["mse"] < 0.5 * mean_only
+    assert m[("gbt", "validation")]["mse"] < mean_only
+    import os
+    assert os.path.isdir(f"{tmp_dir}/m/linear") and os.path.isdir(f"{tmp_dir}/m/gbt")
