@@ -77,19 +77,23 @@ def zone_boroughs(spark, sf_dir):
                                                             F.col("r_name").alias("borough"))
 
 
-# Final state and message keys do not depend on the batch size, so these
-# runs take larger micro-batches; the periodic report keeps 500 messages.
+# The final state does not depend on the batch size, so that run takes larger
+# micro-batches; the periodic report keeps one per 500 messages, and k-means
+# updates once per 2,000 messages.
 FINAL_STATE_FILES_PER_TRIGGER = 40
-KEY_FILES_PER_TRIGGER = 40
 KMEANS_FILES_PER_TRIGGER = 4
 
 
 def run_stats(spark, sf_dir, files_per_trigger: int = FINAL_STATE_FILES_PER_TRIGGER):
-    path = replayed(spark, sf_dir)
-    out = scratch_path(spark, "rolling")
-    runner.run_rolling_stats(replay.replay_source(spark, path, files_per_trigger), out,
-                             scratch_path(spark, "rolling-cp"))
-    return out
+    """Output folder of the rolling-statistics consumer: it runs once per
+    application and trigger size; the stats, visit and top/bottom queries all
+    read its state snapshots."""
+    def build():
+        out = scratch_path(spark, "rolling")
+        runner.run_rolling_stats(replay.replay_source(spark, replayed(spark, sf_dir), files_per_trigger), out,
+                                 scratch_path(spark, "rolling-cp"))
+        return out
+    return produced_once(spark, f"rolling-{files_per_trigger}", sf_dir, build)
 
 
 def _round_stats(df, prefix_cols):
@@ -229,12 +233,14 @@ def q_stream_report(spark, sf_dir):
 
 
 def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
-    path = replayed(spark, sf_dir)
-    out = scratch_path(spark, "kmeans-out")
-    state = scratch_path(spark, "kmeans-state")
-    kmeans.run_stream_kmeans(replay.replay_source(spark, path, files_per_trigger=files_per_trigger), out, state,
-                             scratch_path(spark, "kmeans-cp"))
-    return spark.read.parquet(out)
+    """The clusterer's output topic: produced once per application, read by
+    the labelled-records and message-key queries."""
+    def build():
+        out = scratch_path(spark, "kmeans-out")
+        kmeans.run_stream_kmeans(replay.replay_source(spark, replayed(spark, sf_dir), files_per_trigger), out,
+                                 scratch_path(spark, "kmeans-state"), scratch_path(spark, "kmeans-cp"))
+        return out
+    return spark.read.parquet(produced_once(spark, f"kmeans-{files_per_trigger}", sf_dir, build))
 
 
 @register("stream_kmeans")
@@ -250,7 +256,7 @@ SELECT coalesce(CASE WHEN trip_id % 7 <> 0 THEN CAST(trip_id AS VARCHAR) END, '0
        'taxi_clustered' AS topic
 FROM seqd WHERE trip_id % 101 <> 0"""))
 def q_cluster_key(spark, sf_dir):
-    return _run_kmeans(spark, sf_dir, KEY_FILES_PER_TRIGGER).select("key", "topic")
+    return _run_kmeans(spark, sf_dir).select("key", "topic")
 
 
 @register("dead_letters", with_ctes(TRIPS_EV_SQL, body="""
