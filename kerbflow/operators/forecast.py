@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 from kerbflow.functions.timefn import floor_hour, weekday_mon0
 from kerbflow.operators.joins import broadcast_if_small
 
+# Model features and the year split.
 FEATURES = ("hour", "dow", "month", "lat", "lon")
 TRAIN_YEARS = (2019, 2020, 2021, 2022)
 VALIDATION_YEAR = 2023

@@ -14,6 +14,7 @@ from kerbflow.functions.numeric import clean_double
 from kerbflow.functions.timefn import hours_between
 from kerbflow.schema import MONEY_COLUMNS, resolve
 
+# The distance rule's speed bound and the valid pickup years.
 MAX_SPEED_MPH = 75.0
 VALID_YEARS = (2011, 2025)
 

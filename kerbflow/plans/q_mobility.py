@@ -12,6 +12,7 @@ from kerbflow.sources import files
 from kerbflow.plans.standins import (TRIPS_EV_SQL, ZONE_VERTICES_SQL, table, trips_ev, trips_li,
                                      trips_li_sql, with_ctes)
 
+# The hour of day the movement map aggregates.
 TARGET_HOUR = "10:00:00"
 
 COUNTS_SQL = """pu AS (

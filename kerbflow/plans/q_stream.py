@@ -18,8 +18,9 @@ from kerbflow.streaming import kmeans, replay, runner, stats
 from kerbflow.streaming.messages import dead_letters, good_messages, json_number, json_object, parse_messages
 
 YELLOW_SERVICES = ("click", "view", "purchase")
+# Topic names per source and the report interval (messages).
 TOPICS = {"yellow": "yellow_taxi_stream", "fhvhv": "fhvhv_taxi_stream"}
-ROWS_PER_FILE = 500          # one report per 500 messages
+ROWS_PER_FILE = 500
 
 
 def _sources(spark, sf_dir):

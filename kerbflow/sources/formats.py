@@ -17,6 +17,7 @@ FORMATS = {
     "parquet_zstd": ("parquet", {"compression": "zstd"}, "parquet"),
 }
 
+# Files below this size are reported as tiny.
 TINY_FILE_BYTES = 10_000
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.streaming.messages import good_messages, parse_messages
 
+# Output topic of the clusterer (features are a parameter).
 FEATURES = ("trip_distance", "total_amount")
 OUTPUT_TOPIC = "taxi_clustered"
 

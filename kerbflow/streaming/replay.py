@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from kerbflow.operators.ranking import with_position
 from kerbflow.streaming.messages import KAFKA_SCHEMA
 
+# Kafka producer tuning for throughput.
 PRODUCER_OPTIONS = {
-    # Kafka producer tuning for throughput (values from the reference producer).
     "kafka.compression.type": "lz4",
     "kafka.linger.ms": "20",
     "kafka.batch.size": str(10_000 * 200),
