@@ -35,10 +35,19 @@ def with_position(df: DataFrame, order_cols, by=(), name: str = "pos",
                   .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
     counts = (local.groupBy("_pid", *by)
                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first")))
-    w = Window.partitionBy(*by).orderBy("_pid") if by else Window.orderBy("_pid")
-    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    joined = local.join(broadcast_if_small(offsets, 1_000_000), ["_pid", *by], "inner") \
-        if by else local.join(broadcast_if_small(offsets, 1_000_000), ["_pid"], "inner")
+    if by:
+        w = Window.partitionBy(*by).orderBy("_pid")
+        offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
+    else:
+        # One row per range partition (a plan-sized table, not data-sized):
+        # running sums are taken on the driver.
+        rows = sorted((r["_pid"], r["_n"], r["_first"]) for r in counts.collect())
+        acc, out = 0, []
+        for pid, n, first in rows:
+            out.append((pid, first, acc))
+            acc += n
+        offsets = spark.createDataFrame(out, "_pid int, _first long, _off long")
+    joined = local.join(broadcast_if_small(offsets, 1_000_000), ["_pid", *by], "inner")
     return (joined.withColumn(name, F.col("_off") + F.col("_local") - F.col("_first"))
                   .drop("_pid", "_local", "_off", "_first"))
 

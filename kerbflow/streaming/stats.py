@@ -83,8 +83,12 @@ def ranked_zones(state: DataFrame, k: int = 10, mode: str = "pickup", top: bool
     if by:
         w = Window.partitionBy(*by).orderBy(*order)
         ranked = v.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    else:                                # top-k first, then number the k rows
-        ranked = v.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    else:                                # top-k first, then number the k kept rows
+        key = -F.col("visits") if top else F.col("visits")
+        kept = v.orderBy(*order).limit(k).agg(F.sort_array(F.collect_list(
+            F.struct(key.alias("_k"), F.col("zone").alias("zone"), F.col("visits").alias("visits")))).alias("_a"))
+        ranked = kept.select(F.posexplode("_a").alias("_pos", "_r")).select(
+            (F.col("_pos") + 1).cast("int").alias("rank"), "_r.zone", "_r.visits")
     return ranked.join(zone_summary(state), [*by, "zone"], "left").drop("pickups", "dropoffs")
 
 
