@@ -81,7 +81,7 @@ def zone_boroughs(spark, sf_dir):
 # The final state does not depend on the batch size, so that run takes larger
 # micro-batches; the periodic report keeps one per 500 messages, and k-means
 # updates once per 2,000 messages.
-FINAL_STATE_FILES_PER_TRIGGER = 40
+FINAL_STATE_FILES_PER_TRIGGER = 10
 KMEANS_FILES_PER_TRIGGER = 4
 
 
@@ -267,3 +267,9 @@ FROM trips_ev WHERE trip_id % 101 = 0 AND pickup_datetime IS NOT NULL"""))
 def q_dead_letters(spark, sf_dir):
     """Messages whose value is not a JSON object, kept aside instead of dropped."""
     return dead_letters(parse_messages(records(spark, sf_dir))).select("key", "topic")
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """Throughput of the rolling-statistics consumer, one row per micro-batch."""
+    return runner.progress(spark, run_stats(spark, sf_dir))

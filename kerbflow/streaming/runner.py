@@ -57,9 +57,29 @@ def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, availabl
         q.awaitTermination()
         if q.exception():
             raise RuntimeError(str(q.exception()))
+        write_progress(spark, q, f"{out_dir}/progress")
     return q
 
 
+PROGRESS_SCHEMA = ("batch_id long, input_rows long, input_rows_per_s double, processed_rows_per_s double, "
+                   "trigger_ms long, add_batch_ms long")
+
+
+def write_progress(spark: SparkSession, query, path: str) -> str:
+    """Per micro-batch throughput of a finished run (one row per batch)."""
+    rows = []
+    for p in query.recentProgress or []:
+        d = p.get("durationMs") or {}
+        rows.append((p.get("batchId"), p.get("numInputRows"), float(p.get("inputRowsPerSecond") or 0.0),
+                     float(p.get("processedRowsPerSecond") or 0.0), d.get("triggerExecution"), d.get("addBatch")))
+    spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def progress(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{out_dir}/progress")
+
+
 def final_state(spark: SparkSession, out_dir: str) -> DataFrame:
     return _latest(spark, f"{out_dir}/zone_state")
 
