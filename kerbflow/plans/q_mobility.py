@@ -152,3 +152,41 @@ def q_demand_split(spark, sf_dir):
 def q_forecast_metrics(spark, sf_dir):
     return forecast.forecast_metrics(_split_frame(spark, sf_dir, with_centroids=True),
                                      save_dir=scratch_path(spark, "models"))
+
+
+@register("net_movement_map", with_ctes(TRIPS_EV_SQL, *COUNTS_SQL, _slice_sql("pu", "pu_slice"),
+                                        _slice_sql("dro", "do_slice"), ZONE_VERTICES_SQL, RING_MOMENTS_SQL, """pa AS (
+  SELECT zone, part, sum(CASE WHEN ring = 0 THEN 1.0 ELSE -1.0 END * abs(a2) / 2) AS area FROM rm GROUP BY 1, 2)""",
+    """best AS (SELECT zone, part, row_number() OVER (PARTITION BY zone ORDER BY area DESC, part) AS rk FROM pa)""",
+    """nv AS (SELECT v.zone, count(*) AS n_vertices FROM zone_vertices v
+            JOIN best b ON v.zone = b.zone AND v.part = b.part AND b.rk = 1 WHERE v.ring = 0 GROUP BY v.zone)""",
+    """st AS (
+  SELECT n.n_nationkey AS LocationID, n.n_name AS zone_name,
+         coalesce(d.avg_per_day, 0.0) - coalesce(p.avg_per_day, 0.0) AS net
+  FROM nation n LEFT JOIN do_slice d ON n.n_nationkey = d.location_id
+                LEFT JOIN pu_slice p ON n.n_nationkey = p.location_id)""", """nm AS (
+  SELECT *, CASE WHEN max(abs(net)) OVER () <> 0 THEN net / max(abs(net)) OVER () ELSE 0.0 END AS norm FROM st)""",
+    body="""
+SELECT nm.LocationID, nm.zone_name, round_even(nm.net, 1) AS net_movement,
+       CAST(trunc(255.0 * greatest(0.0, -nm.norm)) AS INTEGER) AS red,
+       CAST(trunc(255.0 * (1.0 - abs(nm.norm))) AS INTEGER) AS green,
+       CAST(trunc(255.0 * greatest(0.0, nm.norm)) AS INTEGER) AS blue,
+       CAST(nv.n_vertices AS INTEGER) AS n_vertices
+FROM nm JOIN nv ON nm.LocationID = nv.zone"""))
+def q_net_movement_map(spark, sf_dir):
+    """Net movement per zone with the outer ring of the zone's largest part,
+    written as GeoJSON-like rows (JSON) and read back."""
+    counts = mobility.movement_counts(trips_ev(spark, sf_dir))
+    pu = mobility.hour_slice_avg(counts.where(F.col("kind") == "pickup"), TARGET_HOUR)
+    do = mobility.hour_slice_avg(counts.where(F.col("kind") == "dropoff"), TARGET_HOUR)
+    z = zones(spark, sf_dir)
+    rings = spatial.zone_largest_part(z).select("LocationID", "ring")
+    base = z.select("LocationID", "zone_name").join(rings, "LocationID", "left")
+    nm = mobility.net_movement(base, pu, do)
+    rows = nm.select("LocationID", "zone_name", "net_movement", "fill_color",
+                     F.transform("ring", lambda p: F.array(p["x"], p["y"])).alias("coordinates"))
+    path = files.write_summary_json(rows, scratch_path(spark, "net-movement-map"))
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select("LocationID", "zone_name", "net_movement", F.col("fill_color")[0].alias("red"),
+                       F.col("fill_color")[1].alias("green"), F.col("fill_color")[2].alias("blue"),
+                       F.size("coordinates").alias("n_vertices"))
