@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import quality_rules
+from kerbflow.llm import decontaminate, quality_rules, token_files, warc
 from kerbflow.llm.common import table
 
 
+def op3_warc(spark, sf_dir):
+    return warc.warc_query(spark, table(spark, sf_dir, "pages"))
+
+
+def op4_token_files(spark, sf_dir):
+    return token_files.token_files_query(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.decontaminate_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op9_quality_rules": op9_quality_rules,
-}
+QUERIES = {f.__name__: f for f in (op3_warc, op4_token_files, op7_decontaminate, op9_quality_rules)}
 
 ORACLE = {
+    "op3_warc": warc.ORACLE_SQL,
+    "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }

@@ -4,6 +4,7 @@ in the shared folder, word splitting and the cached word tokenizer."""
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,18 @@ def text_bytes(text):
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+class Shared:
+    """A broadcast value with an id that is the same in every Python worker."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.id = uuid.uuid4().hex
+        self.broadcast = spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+
 class WordIds:
     """Token ids of whole texts by a ``tokenizers`` file, through a cache of words.
 
@@ -52,7 +65,8 @@ class WordIds:
     emptied when full, which changes speed only.
     """
 
-    _ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
+    _ODD = re.compile("[" + "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                              0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
 
     def __init__(self, path: str, keeps_space: bool, limit: int = 600_000):
@@ -71,7 +85,7 @@ class WordIds:
         plain, stems = [], {}
         for w in words:
             stem = w[:-1]
-            if w[-1] in ".," and stem.isalpha():     # letters, then one mark: two pieces by either pattern
+            if w[-1] in ".," and stem.lstrip(" \n").isalpha():     # letters, then one mark: two pieces by either pattern
                 stems[w] = stem
                 if stem not in cache:
                     plain.append(stem)
