@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import decontaminate, quality_rules, token_files, warc
+from kerbflow.llm import decontaminate, packing, quality_rules, suffix_tree, token_files, warc
 from kerbflow.llm.common import table
 
 
@@ -14,15 +14,24 @@ def op4_token_files(spark, sf_dir):
     return token_files.token_files_query(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.packing_query(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_tree(spark, sf_dir):
+    return suffix_tree.suffix_tree_query(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_warc, op4_token_files, op7_decontaminate, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op3_warc, op4_token_files, op5_best_fit_packing, op7_decontaminate, op8_suffix_tree,
+                                  op9_quality_rules)}
 
 ORACLE = {
     "op3_warc": warc.ORACLE_SQL,
