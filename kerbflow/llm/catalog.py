@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import decontaminate, packing, quality_rules, suffix_tree, token_files, warc
+from kerbflow.llm import decontaminate, packing, pii, quality_rules, suffix_tree, token_files, toxicity, warc
 from kerbflow.llm.common import table
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark, sf_dir):
     return warc.warc_query(spark, table(spark, sf_dir, "pages"))
 
@@ -18,6 +22,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.packing_query(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.pii_query(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,7 +38,7 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_warc, op4_token_files, op5_best_fit_packing, op7_decontaminate, op8_suffix_tree,
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_warc, op4_token_files, op5_best_fit_packing, op6_pii, op7_decontaminate, op8_suffix_tree,
                                   op9_quality_rules)}
 
 ORACLE = {
