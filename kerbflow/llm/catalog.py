@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import decontaminate, packing, pii, quality_rules, suffix_tree, token_files, toxicity, warc
+from kerbflow.llm import (decontaminate, ngram_join, packing, pii, quality_rules, substring_dedup, suffix_tree, token_files,
+                          toxicity, warc)
 from kerbflow.llm.common import table
 
 
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_join_query(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,8 +43,12 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_warc, op4_token_files, op5_best_fit_packing, op6_pii, op7_decontaminate, op8_suffix_tree,
-                                  op9_quality_rules)}
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_dedup_query(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_warc, op4_token_files, op5_best_fit_packing, op6_pii,
+                                  op7_decontaminate, op8_suffix_tree, op9_quality_rules, op10_substring_dedup)}
 
 ORACLE = {
     "op3_warc": warc.ORACLE_SQL,

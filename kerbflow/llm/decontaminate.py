@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from kerbflow.llm.common import Shared, text_bytes
 
@@ -223,6 +224,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_s
     return docs.select("doc_id", text_bytes(F.col("text")).alias("t")).mapInArrow(scan, RESULT)
 
 
+def flag(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_share: float = 0.05,
+         shard_words: int = 2_000_000) -> DataFrame:
+    """``docs``, row by row, with the column ``contaminated`` added."""
+    shared = Shared(docs.sparkSession, item_shards(benchmark, shard_words))
+    per_million = round(min_share * 1_000_000)
+    at = docs.columns.index("text")
+    names = [*docs.columns, "contaminated"]
+
+    def scan(batches):
+        automata = _automata(shared, window)
+        for b in batches:
+            out = []
+            for t in b.column(at).to_pylist():
+                words = words_of((t or "").encode())
+                n_hit = sum(e - s for s, e in match(words, automata)[0])
+                out.append(n_hit > 0 and 1_000_000 * n_hit >= per_million * len(words))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.bool_())], names=names)
+
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("contaminated", BooleanType())]))
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5, **options) -> DataFrame:
     """Documents without the words of their hit spans; those beyond ``max_share`` are dropped.
 
