@@ -134,23 +134,25 @@ def _phone(m, perm):
 
 
 def _date(m, perm):
-    text = m[0]
-    nums = [int(x) for x in re.findall(r"\d+", text)]
+    """Year first, day first, or month first: with slashes, where the second number can't be a month.
+    Month-first dates are permuted among those that can only be read so."""
+    a, b, c = (int(x) for x in re.findall(r"\d+", m[0]))
+    month_first = a <= 31 and b > 12 and "/" in m[0]
     try:
-        iso = len(re.match(r"\d+", text)[0]) == 4
-        day_first = not iso and (text[m[0].find(str(nums[0])) + len(re.match(r"\d+", text)[0])] != "/" or nums[0] > 12)
-        y, mo, d = nums if iso else (nums[2], nums[1], nums[0]) if day_first else (nums[2], nums[0], nums[1])
-        day = datetime.date(y, mo, d).toordinal() - _DAY0
+        day = datetime.date(*((a, b, c) if a > 31 else (c, a, b) if month_first else (c, b, a))).toordinal() - _DAY0
     except ValueError:
         return None
     if not 0 <= day < _DAYS:
         return None
-    new = datetime.date.fromordinal(perm(day, _DAYS, "date") + _DAY0)
-    seps = re.findall(r"[^\d]", text)
-    order = (new.year, new.month, new.day) if iso else (new.day, new.month, new.year) if day_first else (new.month, new.day, new.year)
-    # A slash date that read month first must not come to read otherwise, nor a day first one the reverse:
-    # both halves are printed in the same order, with two digits wherever the value had them.
-    return seps[0].join(f"{x:04d}" if x > 31 else f"{x:02d}" for x in order)
+    day = perm(day, _DAYS, "date")
+    while month_first and datetime.date.fromordinal(day + _DAY0).day <= 12:
+        day = perm(day, _DAYS, "date")
+    new = datetime.date.fromordinal(day + _DAY0)
+    sep = re.search(r"\D", m[0])[0]
+    if a > 31:
+        return f"{new.year:04d}{sep}{new.month:02d}{sep}{new.day:02d}"
+    x, y = (new.month, new.day) if month_first else (new.day, new.month)
+    return f"{x:02d}{sep}{y:02d}{sep}{new.year:04d}"
 
 
 def _email(m, perm):
@@ -185,7 +187,7 @@ KINDS = (
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), _ip),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), _ssn),
     ("card", re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"), _card),
-    ("phone", re.compile(r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|"
+    ("phone", re.compile(r"(?<![\w+.-])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,6}|"
                          r"\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"), _phone),
 )
 NAMES = tuple(k for k, _, _ in KINDS)
