@@ -28,36 +28,44 @@ def point(x, y) -> Column:
 
 # ---------------------------------------------------------------- WKT parsing
 
+def _number(parts: Column, i: int) -> Column:
+    return F.get(parts, F.lit(i)).try_cast("double")
+
+
 def _parse_coords(text: Column) -> Column:
-    """'x y, x y, ...' -> array<struct<x,y>>."""
+    """'x y, x y, ...' -> array<struct<x,y>>; further values of a place (z, m) are left out."""
     pts = F.split(F.trim(text), r"\s*,\s*")
-    return F.transform(pts, lambda p: F.struct(
-        F.split(F.trim(p), r"\s+").getItem(0).try_cast("double").alias("x"),
-        F.split(F.trim(p), r"\s+").getItem(1).try_cast("double").alias("y")))
+    return F.transform(pts, lambda p: F.struct(_number(F.split(F.trim(p), r"\s+"), 0).alias("x"),
+                                               _number(F.split(F.trim(p), r"\s+"), 1).alias("y")))
+
+
+# A WKT tag: the kind, an optional z/m mark, and what follows.
+_TAG = r"^\s*{}\s*(?:ZM|Z|M)?\s*(\(.*\))\s*$"
+_NUM = r"([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
 
 
 def parse_wkt_point(c) -> Column:
-    """'POINT (x y)' -> struct<x,y>; anything else -> null."""
-    t = _col(c)
-    rx = r"^\s*POINT\s*\(\s*([-+0-9.eE]+)\s+([-+0-9.eE]+)\s*\)\s*$"
-    ok = F.upper(t).rlike(rx)
-    return F.when(ok, F.struct(
-        F.regexp_extract(F.upper(t), rx, 1).try_cast("double").alias("x"),
-        F.regexp_extract(F.upper(t), rx, 2).try_cast("double").alias("y")))
+    """'POINT (x y)', also with z and m values -> struct<x,y>; anything else (EMPTY too) -> null."""
+    rx = rf"(?i)^\s*POINT\s*(?:ZM|Z|M)?\s*\(\s*{_NUM}\s+{_NUM}(?:\s+{_NUM}){{0,2}}\s*\)\s*$"
+    x, y = (F.regexp_extract(_col(c), rx, i).try_cast("double") for i in (1, 2))
+    return F.when(x.isNotNull() & y.isNotNull(), point(x, y))
 
 
 def parse_wkt_multipolygon(c) -> Column:
-    """POLYGON or MULTIPOLYGON WKT -> parts/rings/points; other text -> null."""
+    """POLYGON or MULTIPOLYGON WKT, also with z and m values -> parts/rings/points.
+
+    Null for other kinds, for EMPTY, and for text with any place that isn't two
+    numbers: a geometry with missing vertices would have a wrong area.
+    """
     t = F.trim(F.upper(_col(c)))
-    is_multi = t.startswith("MULTIPOLYGON")
-    is_poly = t.startswith("POLYGON")
-    body = F.regexp_replace(t, r"^(MULTIPOLYGON|POLYGON)\s*", "")
-    body = F.when(is_poly, F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
+    multi = F.regexp_extract(t, _TAG.format("MULTIPOLYGON"), 1)
+    single = F.regexp_extract(t, _TAG.format("POLYGON"), 1)
+    body = F.when(multi != "", multi).otherwise(F.concat(F.lit("("), single, F.lit(")")))
     inner = F.regexp_replace(body, r"^\(\s*\(\s*\(|\)\s*\)\s*\)$", "")
-    parts = F.split(inner, r"\)\s*\)\s*,\s*\(\s*\(")
-    geom = F.transform(parts, lambda part: F.transform(
-        F.split(part, r"\)\s*,\s*\("), _parse_coords))
-    return F.when(is_multi | is_poly, geom)
+    geom = F.transform(F.split(inner, r"\)\s*\)\s*,\s*\(\s*\("),
+                       lambda part: F.transform(F.split(part, r"\)\s*,\s*\("), _parse_coords))
+    whole = F.forall(F.flatten(F.flatten(geom)), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    return F.when(((multi != "") | (single != "")) & whole, geom)
 
 
 # ------------------------------------------------------------ ring arithmetic

@@ -9,22 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, NumericType
+
+
+# What a number may look like as text; Java's own suffixes ('12d') and hex forms are not numbers.
+_DECIMAL = r"(?i)^\s*[-+]?(\d+\.?\d*([e][-+]?\d+)?|\.\d+([e][-+]?\d+)?|inf|infinity|nan)\s*$"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def text_to_double(c) -> Column:
+    """DOUBLE from text that is a plain decimal, inf or nan; null for the rest."""
+    t = _col(c).cast("string")
+    return F.when(t.rlike(_DECIMAL), t.try_cast("double"))
+
+
 def clean_double(c, dtype: DataType | None = None) -> Column:
     """Coerce to DOUBLE; text that does not parse and NaN become null."""
     c = _col(c)
     if dtype is not None and isinstance(dtype, NumericType):
         x = c.cast("double")
-    elif dtype is not None and not isinstance(dtype, StringType):
-        x = c.cast("string").try_cast("double")
     else:
-        x = c.try_cast("double")
+        x = text_to_double(c)
     return F.when(~F.isnan(x), x)
 
 
@@ -35,16 +43,15 @@ def finite_or_null(c) -> Column:
 
 
 def _text_to_finite(c) -> Column:
-    return finite_or_null(_col(c).cast("string").try_cast("double"))
+    return finite_or_null(text_to_double(c))
 
 
 def pick_float(*candidates, default: float | None = 0.0,
                min_value: float | None = None,
                max_value: float | None = None) -> Column:
-    """First candidate that parses to a finite double within the bounds.
+    """The first usable candidate of a row: finite, and within the bounds if any.
 
-    A defaulted value is a real value (it is counted by later aggregates);
-    0.0 is never treated as missing.
+    Rows without one get ``default``, which later aggregates count like any value.
     """
     picks = []
     for c in candidates:

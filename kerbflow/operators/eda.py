@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbflow.functions.timefn import floor_hour
-from kerbflow.operators.ranking import exact_quantiles
+from kerbflow.operators.ranking import _join_by, exact_quantiles
 
 
 def with_time_parts(df: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:
@@ -55,7 +55,7 @@ def distance_summary(df: DataFrame, col: str = "trip_distance", by=(), exact: bo
     if exact:
         base = x.groupBy(*by).agg(*moments)
         q = exact_quantiles(x, "_v", [0.25, 0.5, 0.75], by)
-        out = base.join(q, by, "left")
+        out = _join_by(base, q, by, "left")
     else:
         qs = F.percentile_approx("_v", [0.25, 0.5, 0.75], accuracy)
         out = x.groupBy(*by).agg(*moments, qs.alias("_q")).select(
@@ -109,13 +109,17 @@ def profile_corr(profile: DataFrame, by: str = "service") -> DataFrame:
 def service_summary(df: DataFrame, by: str = "service", k: int = 10) -> DataFrame:
     """One row per service: totals plus nested per-year/hour/month and top-OD
     arrays (the JSON summary document, written with ``write.json``)."""
-    parts = with_time_parts(df)
-    total = parts.groupBy(by).agg(F.count(F.lit(1)).alias("total_trips"))
+    # One pass counts by (group, year, month, hour); totals and the three tables are sums of that small table.
+    fine = (with_time_parts(df).groupBy(by, "year", "month", "hour").agg(F.count(F.lit(1)).alias("num_trips")))
 
     def nested(keys, name):
-        c = counts_by(parts, [by, *keys])
+        known = F.lit(True)
+        for key in (by, *keys):
+            known = known & F.col(key).isNotNull()
+        c = fine.where(known).groupBy(by, *keys).agg(F.sum("num_trips").alias("num_trips"))
         return c.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*keys, "num_trips"))).alias(name))
 
+    total = fine.groupBy(by).agg(F.sum("num_trips").alias("total_trips"))
     od = top_od(df, k, by=[by]).groupBy(by).agg(
         F.sort_array(F.collect_list(F.struct(F.col("num_trips") * -1, "pulocationid", "dolocationid",
                                              "num_trips"))).alias("_od"))

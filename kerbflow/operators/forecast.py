@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kerbflow.functions.timefn import floor_hour, weekday_mon0
-from kerbflow.operators.joins import broadcast_if_small
 
 # Model features and the year split.
 FEATURES = ("hour", "dow", "month", "lat", "lon")
@@ -36,7 +35,7 @@ def hourly_demand(trips: DataFrame, centroids: DataFrame | None = None, time_col
               .where(F.col("pickup_hour").isNotNull() & F.col("pickup_zone").isNotNull())
               .groupBy("pickup_hour", "pickup_zone").agg(F.count(F.lit(1)).alias("trip_count")))
     if centroids is not None:
-        c = broadcast_if_small(centroids.select(F.col("zone").alias("_cz"), "lat", "lon"), 1_000_000)
+        c = centroids.select(F.col("zone").alias("_cz"), "lat", "lon")
         d = d.join(c, F.col("pickup_zone") == F.col("_cz"), "left").drop("_cz")
     return d
 

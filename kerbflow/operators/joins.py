@@ -1,20 +1,13 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers.
+
+No join here carries a broadcast hint: the planner broadcasts a side whose size
+in bytes is below ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution
+does so once the true size is known, or splits skewed partitions of a shuffle join.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def row_bound(df: DataFrame, limit: int) -> int:
-    """Rows in ``df`` up to ``limit + 1`` (cheap: stops early)."""
-    return df.limit(limit + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint when ``df`` has at most ``max_rows`` rows; otherwise the
-    plain frame, so the planner falls back to a shuffle (sort-merge) join."""
-    return F.broadcast(df) if row_bound(df, max_rows) <= max_rows else df
 
 
 def require_unique(df: DataFrame, keys, what: str) -> DataFrame:

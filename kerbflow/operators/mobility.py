@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from kerbflow.functions.numeric import colour_triple
 from kerbflow.functions.timefn import floor_hour
-from kerbflow.operators.joins import broadcast_if_small
-
-ZONE_ROWS = 100_000
 
 
 def movement_counts(trips: DataFrame, pickup_time: str = "pickup_datetime", dropoff_time: str = "dropoff_datetime",
@@ -53,10 +50,8 @@ def net_movement(zones: DataFrame, pickups_avg: DataFrame, dropoffs_avg: DataFra
 
     ``zones`` is the zone dimension (id, name, optional geometry columns)."""
     z = zones
-    out_ = broadcast_if_small(pickups_avg.select(F.col("location_id").alias("_o_id"),
-                                                 F.col(value_col).alias("outgoing")), ZONE_ROWS)
-    in_ = broadcast_if_small(dropoffs_avg.select(F.col("location_id").alias("_i_id"),
-                                                 F.col(value_col).alias("incoming")), ZONE_ROWS)
+    out_ = pickups_avg.select(F.col("location_id").alias("_o_id"), F.col(value_col).alias("outgoing"))
+    in_ = dropoffs_avg.select(F.col("location_id").alias("_i_id"), F.col(value_col).alias("incoming"))
     stats = (z.join(in_, F.col(id_col) == F.col("_i_id"), "left")
               .join(out_, F.col(id_col) == F.col("_o_id"), "left")
               .drop("_i_id", "_o_id")

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from kerbflow.functions.numeric import clean_double
 from kerbflow.functions.timefn import hours_between
-from kerbflow.schema import MONEY_COLUMNS, resolve
+from kerbflow.schema import FIELD_ALIASES, MONEY_COLUMNS, resolve
 
 # The distance rule's speed bound and the valid pickup years.
 MAX_SPEED_MPH = 75.0
 VALID_YEARS = (2011, 2025)
 
+# Every column that a rule can read: the money columns, the distance, and their service aliases.
+RULE_COLUMNS = (*MONEY_COLUMNS, "trip_distance", *(a for names in FIELD_ALIASES.values() for a in names))
+
 
 def coerce_numeric(df: DataFrame, cols=MONEY_COLUMNS) -> DataFrame:
     """Money columns to DOUBLE; unparsable text and NaN become null."""
@@ -73,7 +76,7 @@ def price_rule(df: DataFrame) -> Column:
 
 def quality_flags(df: DataFrame, valid_years=VALID_YEARS, max_speed: float = MAX_SPEED_MPH) -> DataFrame:
     """Adds time_valid, distance_valid, price_valid, clean (all non-null booleans)."""
-    df = coerce_numeric(df)
+    df = coerce_numeric(df, RULE_COLUMNS)
     return df.withColumns({
         "time_valid": time_rule(valid_years),
         "distance_valid": distance_rule(df, max_speed),

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.operators.joins import broadcast_if_small
 from kerbflow.session import checkpoint_root
 
 _LOCAL_MASK = (1 << 33) - 1
@@ -47,11 +46,24 @@ def with_position(df: DataFrame, order_cols, by=(), name: str = "pos",
             out.append((pid, first, acc))
             acc += n
         offsets = spark.createDataFrame(out, "_pid int, _first long, _off long")
-    joined = local.join(broadcast_if_small(offsets, 1_000_000), ["_pid", *by], "inner")
+    o = offsets.select(F.col("_pid").alias("_opid"), *[F.col(b).alias(f"_o_{b}") for b in by], "_first", "_off")
+    same = F.col("_pid") == F.col("_opid")
+    for b in by:                                # a null group is a group
+        same = same & F.col(b).eqNullSafe(F.col(f"_o_{b}"))
+    joined = local.join(o, same, "inner").drop("_opid", *[f"_o_{b}" for b in by])
     return (joined.withColumn(name, F.col("_off") + F.col("_local") - F.col("_first"))
                   .drop("_pid", "_local", "_off", "_first"))
 
 
+def _join_by(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null equal to null; the keys appear once."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` definition),
     one row per group with columns ``q<pct>``; NaN and null values ignored."""
@@ -72,10 +84,10 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
                              (pos - lo).alias("frac")))
     targets = sizes.select(*by, F.explode(F.array(*want)).alias("t")).select(*by, "t.*")
     ranks = targets.select(*by, F.col("lo").alias("_r")).union(targets.select(*by, F.col("hi").alias("_r"))).distinct()
-    picked = ranked.join(broadcast_if_small(ranks, 1_000_000), [*by, "_r"], "inner")
+    picked = _join_by(ranked, ranks, [*by, "_r"])
     lo_v = picked.select(*by, F.col("_r").alias("lo"), F.col("_v").alias("v_lo"))
     hi_v = picked.select(*by, F.col("_r").alias("hi"), F.col("_v").alias("v_hi"))
-    q = (targets.join(lo_v, [*by, "lo"]).join(hi_v, [*by, "hi"])
-                .select(*by, "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
+    q = (_join_by(_join_by(targets, lo_v, [*by, "lo"]), hi_v, [*by, "hi"])
+         .select(*by, "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
     cols = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(f"q{int(round(p * 100))}") for p in probs]
     return q.groupBy(*by).agg(*cols) if by else q.agg(*cols)

@@ -13,11 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions import geometry as G
-from kerbflow.operators.joins import broadcast_if_small
 from kerbflow.session import checkpoint_root
 
-ZONE_CELL_ROWS = 2_000_000
-
 
 def zones_from_wkt(df: DataFrame, id_col: str = "LocationID", wkt_col: str = "wkt",
                    materialize: bool = True) -> DataFrame:
@@ -53,7 +50,7 @@ def point_in_zone_join(points: DataFrame, zones: DataFrame, x_col: str = "x", y_
                        id_col: str = "LocationID", cell: float | None = None) -> DataFrame:
     """points LEFT JOIN zones ON within(point, zone); adds ``id_col``."""
     cell = cell or default_cell_size(zones)
-    cells = broadcast_if_small(zone_cells(zones, cell, id_col), ZONE_CELL_ROWS)
+    cells = zone_cells(zones, cell, id_col)
     c = F.lit(float(cell))
     px, py = F.col(x_col), F.col(y_col)
     pts = points.withColumn("_pcx", F.floor(px / c)).withColumn("_pcy", F.floor(py / c))

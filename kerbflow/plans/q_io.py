@@ -4,8 +4,6 @@ checkpoint directory and are read back."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from kerbflow.functions import numeric as N
@@ -15,7 +13,7 @@ from kerbflow.plans.registry import register
 from kerbflow.plans.q_batch import QUALITY_FLAGS_CTE
 from kerbflow.plans.standins import TRIPS_EV_SQL, TRIPS_LI_SQL, table, trips_ev, trips_li, with_ctes
 from kerbflow.schema import Service
-from kerbflow.session import local_path, produced_once, scratch_path
+from kerbflow.session import produced_once, scratch_path
 from kerbflow.sources import files, formats
 
 # Test catalogue: the stand-in trips span 2007-2013, so the year windows are
@@ -137,22 +135,41 @@ def q_format_compare(spark, sf_dir):
     return formats.format_compare(year, scratch_path(spark, "formats"))
 
 
-@register("file_health")
+def truncated_copy(spark, folder: str, name: str, most: int) -> None:
+    """Half of the folder's first data file under a new name, through the folder's own file system."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    first = min((st.getPath().getName(), st.getLen()) for st in fs.listStatus(root) if st.getPath().getName().endswith(".parquet"))
+    half = min(first[1], most) // 2
+    read = fs.open(sc._jvm.org.apache.hadoop.fs.Path(root, first[0]))
+    try:
+        data = bytes(sc._jvm.org.apache.commons.io.IOUtils.toByteArray(read, half))
+    finally:
+        read.close()
+    out = fs.create(sc._jvm.org.apache.hadoop.fs.Path(root, name), True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+@register("file_health", """
+SELECT folder, n AS files, tiny AS tiny_files, bad AS bad_files
+FROM (VALUES ('tiny', 2::BIGINT, 2::BIGINT, 1::BIGINT)) AS v(folder, n, tiny, bad)
+UNION ALL SELECT 'trips', 4::BIGINT, NULL, 0::BIGINT FROM region WHERE r_regionkey = 0""")
 def q_file_health(spark, sf_dir):
     """Healthy parts of a written table, a tiny file and a truncated copy of
     the tiny file (a bounded number of bytes, whatever the scale)."""
     path = scratch_path(spark, "health")
     trips_li(spark, sf_dir).repartition(4).write.parquet(f"{path}/trips")
     table(spark, sf_dir, "region").coalesce(1).write.parquet(f"{path}/tiny")
-    lp = local_path(path)
-    if lp is not None:
-        src = sorted(f for f in os.listdir(f"{lp}/tiny") if f.endswith(".parquet"))[0]
-        with open(f"{lp}/tiny/{src}", "rb") as fh:
-            data = fh.read(formats.TINY_FILE_BYTES)
-        with open(f"{lp}/tiny/truncated-copy.parquet", "wb") as fh:
-            fh.write(data[: len(data) // 2])
+    truncated_copy(spark, f"{path}/tiny", "truncated-copy.parquet", formats.TINY_FILE_BYTES)
     h = formats.file_health(spark, path)
-    return h.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file"), "length", "is_tiny", "is_bad")
+    folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    return h.groupBy(folder.alias("folder")).agg(
+        F.count("*").alias("files"), F.when(folder == "tiny", F.count_if("is_tiny")).alias("tiny_files"),
+        F.count_if("is_bad").alias("bad_files"))
 
 
 # ------------------------------------------------------------------- scalars

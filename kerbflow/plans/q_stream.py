@@ -20,6 +20,7 @@ from kerbflow.streaming.messages import dead_letters, good_messages, json_number
 YELLOW_SERVICES = ("click", "view", "purchase")
 # Topic names per source and the report interval (messages).
 TOPICS = {"yellow": "yellow_taxi_stream", "fhvhv": "fhvhv_taxi_stream"}
+REPORT_INTERVAL = 500
 ROWS_PER_FILE = 500
 
 
@@ -214,23 +215,31 @@ def q_zone_bottomk(spark, sf_dir):
     return _round_stats(t, ["rank", "zone", "borough", "visits"])
 
 
-@register("stream_report")
+REPORT_SQL = """seqd AS (
+  SELECT *, row_number() OVER (ORDER BY pickup_datetime, source, trip_id) - 1 AS n FROM msg WHERE pickup_datetime IS NOT NULL
+), rep AS (
+  SELECT unnest(range(0, (SELECT count(*) // 500 FROM seqd))) AS report
+), st AS (
+  SELECT report, pulocationid AS zone, count(*) AS visits, avg(total_amount) AS mean
+  FROM rep JOIN seqd ON n < (report + 1) * 500 WHERE pulocationid IS NOT NULL GROUP BY 1, 2
+), rk AS (
+  SELECT *, row_number() OVER (PARTITION BY report ORDER BY visits DESC, zone) AS t,
+         row_number() OVER (PARTITION BY report ORDER BY visits, zone) AS b FROM st)""", """
+SELECT 'top' AS section, report, t::INTEGER AS rank, zone::VARCHAR AS name, visits, round(mean, 6) AS total_amount_mean
+FROM rk WHERE t <= 10
+UNION ALL SELECT 'bottom', report, b::INTEGER, zone::VARCHAR, visits, round(mean, 6) FROM rk WHERE b <= 10
+UNION ALL SELECT 'borough', report, NULL, borough, sum(visits)::BIGINT, round(sum(visits * mean) / sum(visits), 6)
+FROM st JOIN zb USING (zone) GROUP BY report, borough"""
+
+
+@register("stream_report", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZB_SQL, REPORT_SQL[0], body=REPORT_SQL[1]))
 def q_stream_report(spark, sf_dir):
-    """Every periodic report (one per 500 messages): top and bottom zones by
-    pickups and all boroughs, with the snapshot's batch id."""
-    hist = runner.state_history(spark, run_stats(spark, sf_dir, files_per_trigger=1))
-    by = ["batch_id"]
-    zb = zone_boroughs(spark, sf_dir)
-    top = runner.report(hist, "top", zb, by=by).select(
-        F.lit("top").alias("section"), "batch_id", "rank", F.col("zone").cast("string").alias("name"), "visits",
-        "total_amount_mean")
-    bottom = runner.report(hist, "bottom", zb, by=by).select(
-        F.lit("bottom").alias("section"), "batch_id", "rank", F.col("zone").cast("string").alias("name"), "visits",
-        "total_amount_mean")
-    bor = runner.report(hist, "borough", zb, by=by).select(
-        F.lit("borough").alias("section"), "batch_id", F.lit(None).cast("int").alias("rank"),
-        F.col("borough").alias("name"), F.col("total_amount_count").alias("visits"), "total_amount_mean")
-    return top.unionByName(bottom).unionByName(bor)
+    """Every periodic report, one per 500 good messages: top and bottom zones by
+    pickups, and all boroughs, as they stood at that message."""
+    good = good_messages(parse_messages(records(spark, sf_dir)))
+    states = stats.periodic_states(good, ["offset"], REPORT_INTERVAL)
+    return stats.periodic_reports(states, zone_boroughs(spark, sf_dir)).withColumn(
+        "total_amount_mean", F.round("total_amount_mean", 6))
 
 
 def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
@@ -244,9 +253,18 @@ def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
     return spark.read.parquet(produced_once(spark, f"kmeans-{files_per_trigger}", sf_dir, build))
 
 
-@register("stream_kmeans")
+@register("stream_kmeans", with_ctes(TRIPS_EV_SQL, MSG_SQL, """seqd AS (
+  SELECT trip_id, row_number() OVER (ORDER BY pickup_datetime,
+      CASE WHEN service IN ('click', 'view', 'purchase') THEN 'yellow' ELSE 'fhvhv' END, trip_id) - 1 AS seq
+  FROM trips_ev WHERE pickup_datetime IS NOT NULL)""", body="""
+SELECT coalesce(m.key, '0_' || CAST(s.seq AS VARCHAR)) AS key, m.source, m.pickup_datetime, m.trip_distance
+FROM msg m JOIN seqd s USING (trip_id)"""))
 def q_stream_kmeans(spark, sf_dir):
-    return _run_kmeans(spark, sf_dir).select("key", "cluster_id", "trip_distance", "total_amount", "batch_id")
+    """The clusterer's records, parsed back: each is its source record with the label added."""
+    out = _run_kmeans(spark, sf_dir)
+    label = F.get_json_object("value", "$.cluster_id").cast("int")
+    back = parse_messages(out.where(label == F.col("cluster_id")))
+    return back.where(F.col("_corrupt").isNull()).select("key", "source", "pickup_datetime", "trip_distance")
 
 
 @register("cluster_key", with_ctes(TRIPS_EV_SQL, """seqd AS (
@@ -269,7 +287,10 @@ def q_dead_letters(spark, sf_dir):
     return dead_letters(parse_messages(records(spark, sf_dir))).select("key", "topic")
 
 
-@register("stream_progress")
+@register("stream_progress", with_ctes(TRIPS_EV_SQL, body="""
+SELECT count(*) AS input_rows, true AS every_batch FROM trips_ev WHERE pickup_datetime IS NOT NULL"""))
 def q_stream_progress(spark, sf_dir):
-    """Throughput of the rolling-statistics consumer, one row per micro-batch."""
-    return runner.progress(spark, run_stats(spark, sf_dir))
+    """What the rolling-statistics consumer's progress table accounts for: all input, no batch missing."""
+    p = runner.progress(spark, run_stats(spark, sf_dir))
+    return p.agg(F.sum("input_rows").alias("input_rows"),
+                 (F.count_distinct("batch_id") == F.max("batch_id") + 1).alias("every_batch"))

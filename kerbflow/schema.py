@@ -62,14 +62,9 @@ def has_columns(df: DataFrame, cols) -> bool:
 
 
 def standardize_columns(df: DataFrame, pickup_col: str, dropoff_col: str) -> DataFrame:
-    """Lower-case every name; the service's time columns become
-    ``pickup_datetime`` / ``dropoff_datetime``."""
-    pk, dk = pickup_col.lower(), dropoff_col.lower()
-    names = []
-    for c in df.columns:
-        low = c.lower()
-        names.append("pickup_datetime" if low == pk else "dropoff_datetime" if low == dk else low)
-    return df.toDF(*names)
+    """All names in lower case, the service's two time columns under their common names."""
+    common = {pickup_col.lower(): "pickup_datetime", dropoff_col.lower(): "dropoff_datetime"}
+    return df.withColumnsRenamed({c: common.get(c.lower(), c.lower()) for c in df.columns})
 
 
 def annotate_year(df: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:

@@ -8,10 +8,12 @@ filters on ``_metadata.file_path`` prune files before any byte is read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbflow.schema import SERVICES, Service, conform, has_columns
+from kerbflow.functions.numeric import clean_double
+from kerbflow.schema import MONEY_COLUMNS, SERVICES, Service, conform
 
 ROW_GROUP_BYTES = 256 * 1024 * 1024    # ~2M trip rows per row group
 OUTPUT_PARTITION_BYTES = 100 * 1024 * 1024
@@ -19,8 +21,7 @@ OUTPUT_PARTITION_BYTES = 100 * 1024 * 1024
 
 def read_trips(spark: SparkSession, path: str, columns=None, merge_schema: bool = False) -> DataFrame:
     """Parquet scan with partition discovery (``year=...`` folders)."""
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower())
-               .option("ignoreCorruptFiles", "true").parquet(path))
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -35,31 +36,104 @@ def select_service_files(df: DataFrame, prefix: str, years) -> DataFrame:
     return df.where(name.rlike(f"{prefix}_tripdata_[^/]*{year_pattern(years)}"))
 
 
-def scan_service(spark: SparkSession, raw_dir: str, svc: Service) -> DataFrame | None:
-    """All raw files of one service, or None when it has none / lacks its
-    pickup and dropoff columns (the service is skipped, as a file would be)."""
+FILE_COLUMNS = "path string, reason string, columns string"
+# Types that ingest gives the columns it knows, whatever a file has; others keep the type that all files agree on, or become text.
+DECLARED = {**{c: "double" for c in MONEY_COLUMNS}, "trip_distance": "double"}
+
+
+def _read_footers(batches):
+    """(path, reason it can't be read, its columns as 'name:type' lines), a row per file."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+    for b in batches:
+        rows = []
+        for p in b.column("path").to_pylist():
+            try:
+                filesystem, inner = pafs.FileSystem.from_uri(p)
+                with filesystem.open_input_file(inner) as f:
+                    schema = pq.ParquetFile(f).schema_arrow
+                rows.append((p, None, "\n".join(f"{x.name}:{x.type}" for x in schema)))
+            except Exception as e:  # noqa: BLE001 - an unreadable file is a finding, listed with its reason
+                rows.append((p, f"unreadable: {e}", None))
+        cols = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["path", "reason", "columns"])
+
+
+def inspect_files(spark: SparkSession, raw_dir: str, svc: Service) -> DataFrame:
+    """(path, reason, columns) of every raw file of a service within its years; ``reason`` is null for good files.
+
+    Only names and footers are read, a file by itself, so one bad file costs no other.
+    """
     try:
-        df = (spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
-                   .option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.parquet")
-                   .parquet(f"{raw_dir.rstrip('/')}/{svc.name}_tripdata_*"))
-    except Exception as e:  # noqa: BLE001 - no file matched
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    if not has_columns(df, [svc.pickup_col, svc.dropoff_col]):
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+                   .load(f"{raw_dir.rstrip('/')}/{svc.name}_tripdata_*").select("path"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILE_COLUMNS)
+    wanted = listing.where(F.col("path").rlike(f"{svc.name}_tripdata_[^/]*{year_pattern(svc.years)}"))
+    found = wanted.repartition(F.col("path")).mapInArrow(_read_footers, FILE_COLUMNS)
+    names = F.transform(F.split("columns", "\n"), lambda x: F.lower(F.regexp_extract(x, r"^(.*):", 1)))
+    missing = F.array_except(F.array(F.lit(svc.pickup_col.lower()), F.lit(svc.dropoff_col.lower())), names)
+    return found.withColumn("reason", F.coalesce("reason", F.when(F.size(missing) > 0, F.concat(
+        F.lit("without "), F.array_join(missing, ", ")))))
+
+
+def scan_service(spark: SparkSession, raw_dir: str, svc: Service, files: DataFrame | None = None) -> DataFrame | None:
+    """All good raw files of one service, or None when it has none.
+
+    Files are read in groups of one schema each, so a type that changed between
+    years is no obstacle: known columns are cast to their declared type, others to
+    the type that all groups share, or to text.
+    """
+    files = inspect_files(spark, raw_dir, svc) if files is None else files
+    groups: dict[str, list[str]] = {}
+    for r in files.where("reason IS NULL").select("columns", "path").toLocalIterator():     # file names: metadata
+        groups.setdefault(r["columns"], []).append(r["path"])
+    frames = [spark.read.parquet(*sorted(paths)) for _, paths in sorted(groups.items())]
+    frames = [f.toDF(*[c.lower() for c in f.columns]) for f in frames]
+    if not frames:
         return None
-    return select_service_files(df, svc.name, svc.years)
+    types: dict[str, set] = {}
+    for f in frames:
+        for x in f.schema:
+            types.setdefault(x.name, set()).add(x.dataType.simpleString())
+
+    def column(f, name):
+        if name not in f.columns:
+            return F.lit(None).cast(target(name)).alias(name)
+        kind = f.schema[name].dataType
+        if target(name) == "double":
+            return clean_double(F.col(name), kind).alias(name)
+        return F.col(name).cast(target(name)).alias(name)
+
+    def target(name):
+        return DECLARED.get(name) or (next(iter(types[name])) if len(types[name]) == 1 else "string")
+
+    out = None
+    for f in frames:
+        part = f.select(*[column(f, n) for n in types])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def ingest_service(spark: SparkSession, raw_dir: str, svc: Service, out_dir: str) -> str | None:
-    """Raw files -> lower-case names, common time columns, ``year`` -> append
-    to ``<out>/<service>_partitioned`` partitioned by year."""
-    df = scan_service(spark, raw_dir, svc)
+    """Raw files -> lower-case names, common time columns, ``year`` -> append to
+    ``<out>/<service>_partitioned`` partitioned by year. Files that are left out
+    are listed with the reason in ``<out>/_rejects/<service>``."""
+    base = out_dir.rstrip("/")
+    files = inspect_files(spark, raw_dir, svc).persist()
+    try:
+        (files.where("reason IS NOT NULL").select(F.lit(svc.name).alias("service"), "path", "reason")
+            .write.mode("append").parquet(f"{base}/_rejects/{svc.name}"))
+        df = scan_service(spark, raw_dir, svc, files)
+    finally:
+        files.unpersist()
     if df is None:
         return None
-    target = f"{out_dir.rstrip('/')}/{svc.name}_partitioned"
-    (conform(df, svc).write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES)
+    target = f"{base}/{svc.name}_partitioned"
+    (conform(df, svc).hint("rebalance", "year").write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES)
         .partitionBy("year").parquet(target))
     return target
 
@@ -69,6 +143,12 @@ def ingest_all(spark: SparkSession, raw_dir: str, out_dir: str, catalogue=SERVIC
     return {s.name: ingest_service(spark, raw_dir, s, out_dir) for s in catalogue}
 
 
+def ingest_rejects(spark: SparkSession, out_dir: str, catalogue=SERVICES) -> DataFrame:
+    """(service, path, reason) of the files that ingest left out."""
+    return spark.read.schema("service string, path string, reason string").parquet(
+        *[f"{out_dir.rstrip('/')}/_rejects/{s.name}" for s in catalogue])
+
+
 def read_partition(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year of a partitioned table (partition pruning on ``year``)."""
     return read_trips(spark, path).where(F.col("year") == int(year))
@@ -102,7 +182,7 @@ def read_services(spark: SparkSession, base: str, suffix: str = "_partitioned")
 def write_year_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Year-partitioned Parquet; ``overwrite`` replaces only the years present
     (dynamic partition overwrite)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", "year").write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("year").parquet(path))
     return path
 

@@ -68,7 +68,7 @@ def _footer_check(batches):
                 err.append(None)
             except Exception as e:  # noqa: BLE001 - a broken footer is the finding
                 bad.append(True)
-                err.append(str(e)[:300])
+                err.append(str(e))
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "is_bad": bad, "error": err})
 
 

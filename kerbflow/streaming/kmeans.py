@@ -17,10 +17,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbflow.session import path_exists
 from kerbflow.streaming.messages import good_messages, parse_messages
 
-# Output topic of the clusterer (features are a parameter).
-FEATURES = ("trip_distance", "total_amount")
+# Features and output topic of the clusterer.
+FEATURES = ("trip_distance", "passenger_count")
 OUTPUT_TOPIC = "taxi_clustered"
 
 
@@ -55,20 +56,26 @@ def message_key(key="key", partition="partition", offset="offset") -> Column:
     return F.coalesce(F.col(key), F.concat_ws("_", F.col(partition).cast("string"), F.col(offset).cast("string")))
 
 
+def with_label(record, label: str) -> Column:
+    """The JSON object ``record`` as it came, with the field ``label`` added at its end."""
+    body = F.rtrim(F.regexp_replace(F.rtrim(F.col(record)), r"\}$", ""))
+    comma = F.when(F.rtrim(body).endswith("{"), F.lit("")).otherwise(F.lit(","))
+    return F.concat(body, comma, F.lit(f'"{label}":'), F.col(label).cast("string"), F.lit("}"))
+
+
 def _load_centres(spark: SparkSession, state_dir: str, batch_id: int, k: int, d: int):
-    try:
-        df = spark.read.json(state_dir)
-    except Exception:  # noqa: BLE001 - no state yet
-        return None
-    if "batch_id" not in df.columns:
+    """Centres of the last batch before ``batch_id``; None only if no state was ever written.
+    Any other trouble raises: starting again from seeds would lose the model in silence."""
+    if not path_exists(spark, state_dir):
         return None
-    prev = df.where(F.col("batch_id") < batch_id)
+    prev = spark.read.schema("cluster_id int, batch_id long, " + ", ".join(f"c{j} double" for j in range(d))) \
+        .option("mode", "FAILFAST").json(state_dir).where(F.col("batch_id") < batch_id)
     last = prev.agg(F.max("batch_id")).first()[0]
     if last is None:
         return None
     rows = prev.where(F.col("batch_id") == last).orderBy("cluster_id").collect()   # k rows
     if len(rows) != k:
-        return None
+        raise RuntimeError(f"{state_dir}: batch {last} has {len(rows)} centres, expected {k}")
     return np.array([[r[f"c{j}"] for j in range(d)] for r in rows])
 
 
@@ -88,10 +95,13 @@ def _save_centres(spark: SparkSession, state_dir: str, batch_id: int, centres: n
 
 
 def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoint: str, k: int = 4,
-                      halflife: float = 0.1, features=FEATURES, seed: int = 42, available_now: bool = True):
+                      halflife: float = 0.1, features=FEATURES, seed: int = 42, available_now: bool = True,
+                      publish=None):
     features = list(features)
     d = len(features)
-    parsed = good_messages(parse_messages(source))
+    # The source record stays beside its parsed fields: it is published whole, with the label added.
+    parsed = good_messages(parse_messages(source.withColumn("record", F.col("value").cast("string")),
+                                          keep=("key", "topic", "partition", "offset", "record")))
     # Centres of the last committed batch, kept between consecutive batches;
     # the copy on disk is read only after a restart or a replayed batch.
     last = {"batch_id": None, "centres": None}
@@ -112,11 +122,11 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
                           .collect())                                     # at most k rows
             centres = update_centres(centres, cs, halflife)
             labelled = b.withColumn("cluster_id", nearest(centres, features))
-            payload = [c for c in labelled.columns if c not in ("key", "topic", "partition", "offset")]
-            out = labelled.select(message_key().alias("key"),
-                                  F.to_json(F.struct(*payload)).alias("value"),
+            out = labelled.select(message_key().alias("key"), with_label("record", "cluster_id").alias("value"),
                                   F.lit(OUTPUT_TOPIC).alias("topic"), "cluster_id", *features)
             out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            if publish is not None:                       # e.g. a batch write to a broker's topic
+                publish(out.select("key", "value", "topic"))
             _save_centres(spark, state_dir, batch_id, centres)
             last["batch_id"], last["centres"] = batch_id, centres
         finally:
@@ -131,8 +141,3 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
         if q.exception():
             raise RuntimeError(str(q.exception()))
     return q
-
-
-def final_centres(spark: SparkSession, state_dir: str) -> DataFrame:
-    df = spark.read.json(state_dir)
-    return df.where(F.col("batch_id") == df.agg(F.max("batch_id")).scalar())

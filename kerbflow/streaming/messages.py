@@ -83,15 +83,3 @@ def good_messages(parsed: DataFrame) -> DataFrame:
 def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_corrupt").isNotNull()).select(
         *[c for c in ("key", "topic", "partition", "offset") if c in parsed.columns], "_corrupt")
-
-
-def encode_trip(df: DataFrame, source: str, fields) -> Column:
-    """Message value for one source: ISO pickup time, its fields, source label."""
-    pairs = [("pickup_datetime", F.concat(F.lit('"'), iso_text("pickup_datetime"), F.lit('"')))]
-    for name in fields:
-        if name in df.columns:
-            dt = dict(df.dtypes)[name]
-            pairs.append((name, json_number(F.col(name).cast("double")) if dt != "string"
-                          else F.concat(F.lit('"'), F.col(name), F.lit('"'))))
-    pairs.append(("source", F.lit(f'"{source}"')))
-    return json_object(pairs)

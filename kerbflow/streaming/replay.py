@@ -10,6 +10,7 @@ number of messages per micro-batch (the throttle).
 
 from __future__ import annotations
 
+import re
 import time
 
 from pyspark.sql import DataFrame
@@ -68,20 +69,25 @@ def write_replay(records: DataFrame, path: str, rows_per_file: int = 500) -> str
     return path
 
 
+def file_order(name: str) -> tuple[int, int]:
+    """(part, file counter) of a data file as numbers; as text, part 100000 and file 1000 sort wrongly."""
+    m = re.match(r"part-(\d+)-.*?-c(\d+)\b", name)
+    if not m:
+        raise ValueError(f"not a replay data file: {name}")
+    return int(m[1]), int(m[2])
+
+
 def stamp_in_name_order(spark, path: str, suffix: str = ".parquet") -> int:
-    """Set modification times of the data files to increase in file-name
-    order (part index, then file counter). Skipped where the file system does
-    not support it (object stores); returns the number of files stamped."""
+    """Set modification times of the data files to increase by part, then file
+    counter; returns the number of files. A file system that can't do so (object
+    stores) raises: without the times the replay would run in any order."""
     sc = spark.sparkContext
     root = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().endswith(suffix))
+    names = sorted((n for st in fs.listStatus(root) if (n := st.getPath().getName()).endswith(suffix)), key=file_order)
     base = int(time.time() * 1000) - len(names) * 1000
-    try:
-        for i, n in enumerate(names):
-            fs.setTimes(sc._jvm.org.apache.hadoop.fs.Path(root, n), base + i * 1000, -1)
-    except Exception:  # noqa: BLE001 - unsupported on this file system
-        return 0
+    for i, n in enumerate(names):
+        fs.setTimes(sc._jvm.org.apache.hadoop.fs.Path(root, n), base + i * 1000, -1)
     return len(names)
 
 
@@ -103,10 +109,21 @@ def kafka_source(spark, servers: str, topics, starting_offsets: str = "earliest"
                            "topic", "partition", "offset")
 
 
-def kafka_sink(records: DataFrame, servers: str, checkpoint: str, options: dict | None = None):
-    """Write (key, value, topic) records to Kafka; topic chosen per row."""
-    w = (records.select("key", "value", "topic").writeStream.format("kafka")
-                .option("kafka.bootstrap.servers", servers).option("checkpointLocation", checkpoint))
+def _kafka_options(writer, servers: str, options: dict | None):
+    writer = writer.format("kafka").option("kafka.bootstrap.servers", servers)
     for k, v in {**PRODUCER_OPTIONS, **(options or {})}.items():
-        w = w.option(k, v)
-    return w.start()
+        writer = writer.option(k, v)
+    return writer
+
+
+def kafka_batch(records: DataFrame, servers: str, options: dict | None = None):
+    """A batch writer of (key, value, topic) records, topic chosen per row; ``.save()`` publishes them."""
+    return _kafka_options(records.select("key", "value", "topic").write, servers, options)
+
+
+def kafka_sink(records: DataFrame, servers: str, checkpoint: str, options: dict | None = None):
+    """Publish records to Kafka: a stream is started, a batch (as a merged replay is) is written at once."""
+    if not records.isStreaming:
+        return kafka_batch(records, servers, options).save()
+    w = _kafka_options(records.select("key", "value", "topic").writeStream, servers, options)
+    return w.option("checkpointLocation", checkpoint).start()

@@ -22,11 +22,13 @@ def _latest(spark: SparkSession, path: str) -> DataFrame:
     return df.where(F.col("batch_id") == df.agg(F.max("batch_id")).scalar()).drop("batch_id")
 
 
-STATE_PARTITIONS = 8      # state is one row per zone: a few partitions at any input size
+STATE_PARTITIONS = 8      # state is one row per zone: a few partitions at any input size; a parameter for more zones
+PROGRESS_UPDATES = 1_000_000      # micro-batches whose progress a draining run keeps; a row each, beyond it the run fails
 
 
 def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
-                      processing_time: str | None = None, state_partitions: int = STATE_PARTITIONS):
+                      processing_time: str | None = None, state_partitions: int = STATE_PARTITIONS,
+                      progress_updates: int = PROGRESS_UPDATES):
     """Start the stream; with ``available_now`` it drains its input and stops.
 
     Each micro-batch writes the per-zone state snapshot to
@@ -48,11 +50,15 @@ def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, availabl
     # per-zone partials are shuffled, so few partitions suffice.
     spark = source.sparkSession
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), state_partitions)))
+    keep = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(keep, "100")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    spark.conf.set(keep, str(progress_updates))
     try:
         q = w.start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(keep, kept)
     if available_now:
         q.awaitTermination()
         if q.exception():
@@ -68,7 +74,10 @@ PROGRESS_SCHEMA = ("batch_id long, input_rows long, input_rows_per_s double, pro
 def write_progress(spark: SparkSession, query, path: str) -> str:
     """Per micro-batch throughput of a finished run (one row per batch)."""
     rows = []
-    for p in query.recentProgress or []:
+    found = query.recentProgress or []
+    if found and found[0]["batchId"] != 0 and len(found) >= PROGRESS_UPDATES:
+        raise RuntimeError(f"more than {len(found)} micro-batches: progress of the first ones is lost")
+    for p in found:
         d = p.get("durationMs") or {}
         rows.append((p.get("batchId"), p.get("numInputRows"), float(p.get("inputRowsPerSecond") or 0.0),
                      float(p.get("processedRowsPerSecond") or 0.0), d.get("triggerExecution"), d.get("addBatch")))
@@ -99,10 +108,3 @@ def report(state: DataFrame, section: str, zone_boroughs: DataFrame | None = Non
     if section == "borough":
         return stats.borough_stats(state, zone_boroughs, by=by)
     raise ValueError(section)
-
-
-def progress_summary(query) -> list[dict]:
-    """Per micro-batch input rows and rates (the replay/consume throughput)."""
-    return [{"batch_id": p.get("batchId"), "rows": p.get("numInputRows"),
-             "input_rows_per_s": p.get("inputRowsPerSecond"),
-             "processed_rows_per_s": p.get("processedRowsPerSecond")} for p in (query.recentProgress or [])]

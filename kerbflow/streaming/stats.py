@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.operators.joins import broadcast_if_small
-
-ZONE_ROWS = 100_000
+from kerbflow.operators.ranking import with_position
 
 MEASURES = ("trip_distance", "tip_amount", "total_amount")
 STATS = ("count", "mean", "std", "min", "max")
@@ -45,26 +43,35 @@ def zone_summary(state: DataFrame) -> DataFrame:
 
 def borough_stats(state: DataFrame, zone_boroughs: DataFrame, by=()) -> DataFrame:
     """Per borough of the pickup zone; zones without a borough are skipped.
-    Merges zone moments (n, mean, population variance) by pooling sums."""
+    Merges zone moments (n, mean, population variance) in two steps."""
     by = list(by)
-    zb = broadcast_if_small(zone_boroughs.select(F.col("zone").alias("_z"), "borough"), ZONE_ROWS)
+    zb = zone_boroughs.select(F.col("zone").alias("_z"), "borough")
     j = state.join(zb, F.col("zone") == F.col("_z"), "inner").where(F.col("pickups") > 0)
+    keys = [*by, "borough"]
+    sums = []
+    for m in MEASURES:
+        n = F.col(f"{m}_count")
+        sums += [F.sum(n).alias(f"_{m}_n"), (F.sum(n * F.col(f"{m}_mean")) / F.sum(n)).alias(f"_{m}_mean")]
+    # Second step: squares are taken about the pooled mean, which loses no digits however large the mean is.
+    means = j.groupBy(*keys).agg(*sums)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"j.{k}").eqNullSafe(F.col(f"p.{k}"))
+    both = j.alias("j").join(means.alias("p"), same).select("j.*", *[F.col(f"p._{m}_{x}") for m in MEASURES for x in ("n", "mean")])
     aggs = []
     for m in MEASURES:
-        n, mu, sd = F.col(f"{m}_count"), F.col(f"{m}_mean"), F.col(f"{m}_std")
-        aggs += [F.sum(n).alias(f"{m}_count"), F.sum(n * mu).alias(f"_{m}_s1"),
-                 F.sum(n * (sd * sd + mu * mu)).alias(f"_{m}_s2"),
+        n, mu, sd, mean = (F.col(c) for c in (f"{m}_count", f"{m}_mean", f"{m}_std", f"_{m}_mean"))
+        aggs += [F.sum(n).alias(f"{m}_count"), F.first(mean).alias(f"{m}_mean"),
+                 F.sum(n * sd * sd + n * (mu - mean) * (mu - mean)).alias(f"_{m}_m2"),
                  F.min(f"{m}_min").alias(f"{m}_min"), F.max(f"{m}_max").alias(f"{m}_max")]
-    g = j.groupBy(*by, "borough").agg(*aggs)
+    g = both.groupBy(*keys).agg(*aggs)
     out = []
     for m in MEASURES:
         n = F.col(f"{m}_count")
-        mean = F.col(f"_{m}_s1") / n
-        var = F.greatest(F.col(f"_{m}_s2") / n - mean * mean, F.lit(0.0))
-        out += [n.alias(f"{m}_count"), mean.alias(f"{m}_mean"),
-                F.when(n > 1, F.sqrt(var)).otherwise(F.lit(0.0)).alias(f"{m}_std"),
+        out += [n, F.col(f"{m}_mean"),
+                F.when(n > 1, F.sqrt(F.col(f"_{m}_m2") / n)).otherwise(F.lit(0.0)).alias(f"{m}_std"),
                 F.col(f"{m}_min"), F.col(f"{m}_max")]
-    return g.select(*by, "borough", *out)
+    return g.select(*keys, *out)
 
 
 def visits(state: DataFrame, mode: str = "pickup", by=()) -> DataFrame:
@@ -94,7 +101,49 @@ def ranked_zones(state: DataFrame, k: int = 10, mode: str = "pickup", top: bool
 
 def with_borough(zones: DataFrame, zone_boroughs: DataFrame) -> DataFrame:
     """Borough name of each zone; an id missing from the lookup reads "Unknown"."""
-    zb = broadcast_if_small(zone_boroughs.select(F.col("zone").alias("_bz"), F.col("borough").alias("_b")),
-                            ZONE_ROWS)
+    zb = zone_boroughs.select(F.col("zone").alias("_bz"), F.col("borough").alias("_b"))
     return (zones.join(zb, F.col("zone") == F.col("_bz"), "left")
                  .withColumn("borough", F.coalesce("_b", F.lit("Unknown"))).drop("_bz", "_b"))
+
+
+def periodic_states(parsed: DataFrame, order_cols, interval: int = 500) -> DataFrame:
+    """(report, zone, pickups, total_amount_count, total_amount_mean) after every ``interval`` good messages.
+
+    A report's number comes from a message's place among the good messages, so
+    the result depends on the messages alone, not on files, partitions or
+    micro-batches. Sums are taken per (report, zone) and merged by a running
+    window within each zone; a zone without messages in a report keeps its state.
+    Messages after the last full interval are in no report.
+    """
+    placed = with_position(parsed, order_cols, name="_n").select(
+        F.floor(F.col("_n") / interval).cast("long").alias("report"), F.col("pulocationid").alias("zone"), "total_amount")
+    per = (placed.groupBy("report", "zone")
+           .agg(F.count(F.lit(1)).alias("m"), F.count("total_amount").alias("c"), F.sum("total_amount").alias("s")))
+    full = F.floor(per.agg(F.sum("m")).scalar() / interval)
+    order = Window.partitionBy("zone").orderBy("report")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.lead("report").over(order), full) - 1
+    state = (per.where(F.col("zone").isNotNull())
+             .select("report", "zone", F.sum("m").over(running).alias("pickups"),
+                     F.sum("c").over(running).alias("total_amount_count"), F.sum("s").over(running).alias("_s"),
+                     F.least(last, full - 1).alias("_last"))
+             .where(F.col("_last") >= F.col("report")))
+    return state.select(F.explode(F.sequence("report", "_last")).alias("report"), "zone", "pickups", "total_amount_count",
+                        (F.col("_s") / F.col("total_amount_count")).alias("total_amount_mean"))
+
+
+def periodic_reports(states: DataFrame, zone_boroughs: DataFrame, k: int = 10) -> DataFrame:
+    """(section, report, rank, name, visits, total_amount_mean): top and bottom zones, and all boroughs."""
+    out = None
+    for section, order in (("top", F.col("pickups").desc()), ("bottom", F.col("pickups").asc())):
+        w = Window.partitionBy("report").orderBy(order, "zone")        # a row per zone: hundreds
+        part = states.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+            F.lit(section).alias("section"), "report", "rank", F.col("zone").cast("string").alias("name"),
+            F.col("pickups").alias("visits"), "total_amount_mean")
+        out = part if out is None else out.unionByName(part)
+    zb = zone_boroughs.select(F.col("zone").alias("_z"), "borough")
+    n = F.col("total_amount_count")
+    boroughs = (states.join(zb, F.col("zone") == F.col("_z")).groupBy("report", "borough")
+                .agg(F.sum(n).alias("visits"), (F.sum(n * F.col("total_amount_mean")) / F.sum(n)).alias("total_amount_mean")))
+    return out.unionByName(boroughs.select(F.lit("borough").alias("section"), "report", F.lit(None).cast("int").alias("rank"),
+                                           F.col("borough").alias("name"), "visits", "total_amount_mean"))

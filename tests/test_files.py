@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kerbflow.sources import files, formats
@@ -41,6 +42,35 @@ def test_ingest_skips_and_renames(spark, tmp_dir):
     assert "pickup_datetime" in back[0].asDict()
 
 
+def test_ingest_reads_each_file_by_itself(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    base = "select 1L id, timestamp_ntz'{y}-03-01 10:00:00' pickup_datetime, timestamp_ntz'{y}-03-01 10:20:00' Dropoff_Datetime, {f} airport_fee"
+    for y, fee in ((2019, "2"), (2020, "2.5D"), (2021, "'3.5'"), (2022, "'x'")):
+        spark.sql(base.format(y=y, f=fee)).coalesce(1).write.parquet(f"{raw}/fhv_tripdata_{y}-01.parquet")
+    spark.sql("select 1L id").coalesce(1).write.parquet(f"{raw}/fhv_tripdata_2023-01.parquet")
+    os.makedirs(f"{raw}/fhv_tripdata_2024-01.parquet")
+    with open(f"{raw}/fhv_tripdata_2024-01.parquet/cut.parquet", "wb") as f:
+        f.write(b"PAR1 not a parquet file")
+    cat = (Service("fhv", 2016, 2025, "pickup_datetime", "dropoff_datetime"), Service("green", 2016, 2025, "a", "b"))
+    res = files.ingest_all(spark, raw, f"{tmp_dir}/out", cat)
+    back = {r.year: r.airport_fee for r in files.read_trips(spark, res["fhv"]).collect()}
+    assert back == {2019: 2.0, 2020: 2.5, 2021: 3.5, 2022: None} and res["green"] is None
+    left = {r.path.split("/")[-2][:16]: r.reason for r in files.ingest_rejects(spark, f"{tmp_dir}/out", cat).collect()}
+    assert set(left) == {"fhv_tripdata_202"} and len(files.ingest_rejects(spark, f"{tmp_dir}/out", cat).collect()) == 2
+    reasons = sorted(r.reason for r in files.ingest_rejects(spark, f"{tmp_dir}/out", cat).collect())
+    assert reasons[0].startswith("unreadable") and reasons[1] == "without pickup_datetime, dropoff_datetime"
+
+
+def test_reading_back_a_damaged_table_fails(spark, tmp_dir):
+    spark.range(1000).repartition(4).write.parquet(f"{tmp_dir}/t")
+    part = sorted(f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet"))[0]
+    os.remove(f"{tmp_dir}/t/.{part}.crc")
+    data = open(f"{tmp_dir}/t/{part}", "rb").read()
+    open(f"{tmp_dir}/t/{part}", "wb").write(data[: len(data) // 2])
+    with pytest.raises(Exception):
+        files.read_trips(spark, f"{tmp_dir}/t").count()
+
+
 def test_format_compare(spark, tmp_dir):
     df = spark.range(0, 2000).withColumn("x", F.col("id") * 1.5)
     out = {r["format"]: r for r in formats.format_compare(df, tmp_dir, ["csv", "csv_gzip", "parquet_zstd"]).collect()}

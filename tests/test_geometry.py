@@ -78,3 +78,17 @@ def test_projection_round_trip(spark):
     # on the central meridian the easting is the false easting
     assert back[0]["p"]["x"] == pytest.approx(984250.0, abs=1e-6)
     assert math.isfinite(back[1]["p"]["y"])
+
+
+def test_wkt_with_z_empty_and_garbage(spark):
+    from kerbflow.functions import geometry as G
+    texts = {"POLYGON Z ((0 0 5, 2 0 5, 2 2 5, 0 2 5, 0 0 5))": 4.0, "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))": 4.0,
+             "MULTIPOLYGON ZM (((0 0 1 2, 1 0 1 2, 1 1 1 2, 0 0 1 2)), ((5 5 1 1, 6 5 1 1, 6 6 1 1, 5 5 1 1)))": 0.5,
+             "POLYGON EMPTY": None, "MULTIPOLYGON EMPTY": None, "POLYGON ((0 0, 1 x, 1 1, 0 0))": None, "POLYGON ((0 0, 1, 1 1, 0 0))": None,
+             "POLYGON": None, "POLYGON (": None, "LINESTRING (0 0, 1 1)": None, "": None, "nonsense": None}
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").withColumn("g", G.parse_wkt_multipolygon("t")).cache()
+    got = {r.t: r.a for r in df.select("t", G.polygon_area(F.col("g")[0]).alias("a")).where("t is not null and g is not null").collect()}
+    assert got == {t: a for t, a in texts.items() if a is not None}
+    pts = {"POINT (1 2)": (1.0, 2.0), "point z (1 2 3)": (1.0, 2.0), "POINT EMPTY": None, "POINT (1)": None, "POINT (a b)": None, "POINT (1e1 -.5)": (10.0, -0.5)}
+    rows = spark.createDataFrame([(t,) for t in pts], "t string").select("t", G.parse_wkt_point("t").alias("p")).collect()
+    assert {r.t: tuple(r.p) if r.p else None for r in rows} == pts

@@ -35,8 +35,8 @@ def con():
 
 def test_every_query_registered_with_oracle_or_listed():
     rows_only = set(E.queries()) - set(SQL)
-    assert rows_only == {"forecast_metrics", "stream_report", "stream_kmeans", "format_compare", "file_health",
-                         "stream_progress"}
+    rows_only = {n for n in rows_only if n != "pipeline" and not n.startswith("op")}     # tested on their own
+    assert rows_only == set()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

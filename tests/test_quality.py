@@ -72,3 +72,15 @@ def test_stats_partition_total(spark):
     clean = quality.clean_trips(df).count()
     assert clean == st[0]["valid_trip_count"]
     assert clean + df.count() - clean == 20
+
+
+def test_aliases_and_odd_numbers_are_coerced(spark):
+    import datetime as dt
+
+    from kerbflow.operators import quality
+    p = dt.datetime(2024, 1, 1, 10)
+    rows = [("10", "2.0"), ("NaN", "2.0"), ("12d", "2.0"), ("0x1p3", "2.0"), ("abc", "2.0"), ("10", "x"), (" 1e1 ", "2"), (None, "2")]
+    df = spark.createDataFrame([(p, p + dt.timedelta(hours=1), a, b) for a, b in rows],
+                               "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, driver_pay string, trip_miles string")
+    got = [(r.price_valid, r.distance_valid) for r in quality.quality_flags(df).collect()]
+    assert got == [(True, True), (False, True), (False, True), (False, True), (False, True), (True, False), (True, True), (False, True)]

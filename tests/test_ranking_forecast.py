@@ -73,3 +73,13 @@ def test_forecast_metrics_beats_mean(spark, tmp_dir):
     assert m[("gbt", "validation")]["mse"] < mean_only
     import os
     assert os.path.isdir(f"{tmp_dir}/m/linear") and os.path.isdir(f"{tmp_dir}/m/gbt")
+
+
+def test_null_group_keeps_its_rows_and_quantiles(spark):
+    from kerbflow.operators import eda
+    from kerbflow.operators.ranking import with_position
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", 7.0)], "g string, trip_distance double")
+    assert sorted((str(r.g), r.pos) for r in with_position(df, ["trip_distance"], ["g"]).collect()) == [
+        ("None", 0), ("None", 1), ("a", 0), ("a", 1)]
+    got = {r.g: (r["count"], r.q50) for r in eda.distance_summary(df, by=["g"], exact=True).collect()}
+    assert got == {None: (2, 2.0), "a": (2, 6.0)}

@@ -49,3 +49,15 @@ def test_replay_consumed_in_offset_order(spark, tmp_dir):
     assert sum(s[3] for s in seen) == 3000
     for prev, cur in zip(seen, seen[1:]):
         assert prev[2] < cur[1]                    # every batch continues after the previous one
+
+
+def test_many_files_of_one_task_replay_in_order(spark, tmp_dir):
+    recs = spark.range(0, 1200, 1, 1).select(F.lit(None).cast("string").alias("key"), F.col("id").cast("string").alias("value"),
+                                             F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    path = replay.write_replay(recs, f"{tmp_dir}/replay", rows_per_file=1)
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(root)
+    data = sorted((f.getModificationTime(), f.getPath().getName()) for f in found if f.getPath().getName().endswith(".parquet"))
+    assert [replay.file_order(n)[1] for _, n in data] == list(range(1200))
+    assert replay.file_order("part-100000-x-c010.snappy.parquet") > replay.file_order("part-99999-x-c1000.snappy.parquet")

@@ -95,7 +95,8 @@ def test_kmeans_separates_clusters(spark, tmp_dir):
                      "t", 0, i))
     spark.createDataFrame(recs, KAFKA_SCHEMA).repartitionByRange(8, "offset").write.parquet(f"{tmp_dir}/src")
     out, state = f"{tmp_dir}/out", f"{tmp_dir}/state"
-    kmeans.run_stream_kmeans(replay.replay_source(spark, f"{tmp_dir}/src"), out, state, f"{tmp_dir}/cp", k=4)
+    kmeans.run_stream_kmeans(replay.replay_source(spark, f"{tmp_dir}/src"), out, state, f"{tmp_dir}/cp", k=4,
+                             features=("trip_distance", "total_amount"))
     res = spark.read.parquet(out)
     last = res.agg(F.max("batch_id")).first()[0]
     lab = res.where(F.col("batch_id") == last).groupBy("cluster_id").agg(
@@ -104,3 +105,59 @@ def test_kmeans_separates_clusters(spark, tmp_dir):
         assert r["hi"] < 40 or r["lo"] > 40
     assert res.where(F.col("key").isNull()).count() == 0
     assert res.select("key").first()["key"].startswith("0_")
+
+
+def test_clusterer_keeps_the_record_and_its_state(spark, tmp_dir):
+    text = '{"driver_pay": 12.5, "trip_miles": 3, "pickup_datetime": "2024-01-01T10:00:00", "extra_field": "x"} '
+    msgs(spark, [text, "{}", '{"a": {"b": 1}}']).coalesce(1).write.parquet(f"{tmp_dir}/src")
+    out, state = f"{tmp_dir}/out", f"{tmp_dir}/state"
+    sent = []
+    kmeans.run_stream_kmeans(replay.replay_source(spark, f"{tmp_dir}/src"), out, state, f"{tmp_dir}/cp",
+                             publish=lambda df: sent.extend(df.collect()))
+    assert len(sent) == 3
+    rows = spark.read.parquet(out).orderBy("key").collect()
+    for r, t in zip(rows, [text, "{}", '{"a": {"b": 1}}']):
+        v = json.loads(r["value"])
+        assert v.pop("cluster_id") == r["cluster_id"] and v == json.loads(t)
+    os.remove(f"{state}/batch_id=0/centres.json")
+    os.remove(f"{state}/batch_id=0/.centres.json.crc")
+    with open(f"{state}/batch_id=0/centres.json", "w") as f:
+        f.write('{"cluster_id": 0, "c0": 1.0, "c1": 2.0}\n')
+    with pytest.raises(RuntimeError, match="1 centres"):
+        kmeans._load_centres(spark, state, 1, 4, 2)
+    assert kmeans._load_centres(spark, f"{tmp_dir}/never", 1, 4, 2) is None
+
+
+def test_borough_std_at_large_means(spark):
+    rows = [(z, 9, 1e9 + z * 5.0 + k, 0.0, 1.0) for z in (1, 2) for k in (0.0, 1.0, 2.0)]
+    zb = spark.createDataFrame([(1, "B"), (2, "B")], "zone int, borough string")
+    got = stats.borough_stats(state_of(spark, rows), zb).first()
+    values = [r[2] for r in rows]
+    mean = sum(values) / 6
+    assert abs(got["trip_distance_std"] - (sum((v - mean) ** 2 for v in values) / 6) ** 0.5) < 1e-6
+
+
+@pytest.mark.parametrize("partitions", ["2", "16"])
+def test_reports_do_not_depend_on_partitions(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame([(i, i % 5 if i % 7 else None, float(i % 11)) for i in range(1030)],
+                                   "offset long, pulocationid int, total_amount double")
+        got = {(r.report, r.zone): (r.pickups, round(r.total_amount_mean, 9))
+               for r in stats.periodic_states(df, ["offset"], 100).collect()}
+        want = {}
+        for rep in range(10):
+            for z in range(5):
+                v = [float(i % 11) for i in range((rep + 1) * 100) if i % 7 and i % 5 == z]
+                want[rep, z] = (len(v), round(sum(v) / len(v), 9))
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_kafka_writers_build_for_batches(spark):
+    df = spark.createDataFrame([("k", "v", "t")], "key string, value string, topic string")
+    assert replay.kafka_batch(df, "host:1") is not None
+    with pytest.raises(Exception, match="(?i)kafka"):         # no connector in the test session
+        replay.kafka_sink(df, "host:1", "/unused")
