@@ -47,7 +47,7 @@ def q_project_points(spark, sf_dir):
     return p.select("vec_id", F.round(xy["x"], 3).alias("x_ft"), F.round(xy["y"], 3).alias("y_ft"))
 
 
-PIP_SQL = with_ctes(POINTS_SQL, ZONE_VERTICES_SQL, """cand AS (
+PIP_CTES = ("""cand AS (
   SELECT p.vec_id, s.zone, s.part,
     sum(CASE WHEN ((s.y1 > p.y) <> (s.y2 > p.y))
               AND p.x < (s.x2 - s.x1) * (p.y - s.y1) / (s.y2 - s.y1) + s.x1 THEN 1 ELSE 0 END) AS crossings,
@@ -56,7 +56,9 @@ PIP_SQL = with_ctes(POINTS_SQL, ZONE_VERTICES_SQL, """cand AS (
               AND p.y BETWEEN least(s.y1, s.y2) AND greatest(s.y1, s.y2) THEN 1 ELSE 0 END) AS touches
   FROM pts p, zone_segments s GROUP BY 1, 2, 3)""", """inside AS (
   SELECT vec_id, zone FROM cand GROUP BY vec_id, zone
-  HAVING max(crossings % 2) = 1 AND max(touches) = 0)""", body="""
+  HAVING max(crossings % 2) = 1 AND max(touches) = 0)""")
+
+PIP_SQL = with_ctes(POINTS_SQL, ZONE_VERTICES_SQL, *PIP_CTES, body="""
 SELECT p.vec_id, p.x, p.y, i.zone AS LocationID FROM pts p LEFT JOIN inside i ON p.vec_id = i.vec_id""")
 
 

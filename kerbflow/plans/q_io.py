@@ -21,9 +21,10 @@ from kerbflow.sources import files, formats
 TEST_SERVICES = (
     Service("yellow", 2008, 2013, "tpep_pickup_datetime", "tpep_dropoff_datetime"),
     Service("green", 2010, 2013, "lpep_pickup_datetime", "lpep_dropoff_datetime"),
+    Service("fhv", 2009, 2013, "pickup_datetime", "dropOff_datetime"),
     Service("fhvhv", 2011, 2013, "pickup_datetime", "dropoff_datetime"),
 )
-SERVICE_YEARS_SQL = "(VALUES ('yellow', 2008, 2013), ('green', 2010, 2013), ('fhvhv', 2011, 2013)) AS sy(service, y0, y1)"
+SERVICE_YEARS_SQL = "(VALUES ('yellow', 2008, 2013), ('green', 2010, 2013), ('fhv', 2009, 2013), ('fhvhv', 2011, 2013)) AS sy(service, y0, y1)"
 
 
 def write_raw(spark, sf_dir) -> str:
@@ -38,15 +39,21 @@ def write_raw(spark, sf_dir) -> str:
                        .withColumnRenamed("dropoff_datetime", svc.dropoff_col)
                        .withColumnRenamed("pulocationid", "PULocationID")
                        .withColumnRenamed("dolocationid", "DOLocationID"))
-        tag = F.concat(F.lit(f"{svc.name}_tripdata_"), F.year(F.col(renamed.columns[1])).cast("string"))
-        (renamed.withColumn("file", tag).write.mode("overwrite").partitionBy("file")
-                .parquet(f"{raw}/{svc.name}_tripdata_all"))
+        year = F.year(F.col(renamed.columns[1]))
+        tag = F.concat(F.lit(f"{svc.name}_tripdata_"), year.cast("string"))
+        # The fee's type changes from year to year, as it does in real files.
+        for k, kind in enumerate(("int", "double", "string")):
+            (renamed.where(year % 3 == k).withColumn("airport_fee", F.col("airport_fee").cast(kind))
+                .withColumn("file", tag).write.mode("append").partitionBy("file").parquet(f"{raw}/{svc.name}_tripdata_all"))
+        (part.limit(3).select("trip_id").coalesce(1).write                              # without the time columns
+            .parquet(f"{raw}/{svc.name}_tripdata_bad/file={svc.name}_tripdata_2012"))
+    truncated_copy(spark, f"{raw}/green_tripdata_bad/file=green_tripdata_2012", "cut.parquet", formats.TINY_FILE_BYTES)
     return raw
 
 
 INGEST_SQL = with_ctes(TRIPS_LI_SQL, body=f"""
 SELECT t.service, t.trip_id, t.pickup_datetime, t.dropoff_datetime, t.pulocationid, t.dolocationid,
-       year(t.pickup_datetime)::INTEGER AS year
+       t.airport_fee, year(t.pickup_datetime)::INTEGER AS year
 FROM trips_li t JOIN {SERVICE_YEARS_SQL} ON t.service = sy.service
 WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1""")
 
@@ -85,7 +92,16 @@ def q_ingest_trips(spark, sf_dir):
     files.ingest_all(spark, raw_files(spark, sf_dir), base, TEST_SERVICES)
     df = files.read_services(spark, base)
     return df.select("service", "trip_id", "pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid",
-                     "year")
+                     "airport_fee", "year")
+
+
+@register("ingest_rejects", """
+SELECT s AS service, kind, 1::BIGINT AS files
+FROM (VALUES ('yellow', 'without'), ('green', 'without'), ('green', 'unreadable'), ('fhv', 'without'), ('fhvhv', 'without')) AS v(s, kind)""")
+def q_ingest_rejects(spark, sf_dir):
+    """Raw files that the ingest of the shared tables left out, with the kind of reason."""
+    r = files.ingest_rejects(spark, ingested(spark, sf_dir), TEST_SERVICES)
+    return r.groupBy("service", F.regexp_extract("reason", r"^(\w+)", 1).alias("kind")).agg(F.count("*").alias("files"))
 
 
 @register("scan_partition", with_ctes(TRIPS_LI_SQL, body="""
@@ -127,12 +143,24 @@ def q_service_summary(spark, sf_dir):
                     F.round("trip_distance_summary.mean", 6).alias("mean_distance"))
 
 
-@register("format_compare")
+@register("format_compare", with_ctes(TRIPS_LI_SQL, body="""
+SELECT format, n_rows, sum_trip_id, sum_total FROM (
+  SELECT count(*) AS n_rows, sum(trip_id)::BIGINT AS sum_trip_id, round(sum(total_amount), 2) AS sum_total
+  FROM trips_li WHERE service = 'yellow' AND year(pickup_datetime) = 2012),
+  (SELECT unnest(['csv', 'csv_gzip', 'json', 'orc', 'parquet_snappy', 'parquet_zstd']) AS format)"""))
 def q_format_compare(spark, sf_dir):
-    """One year of the ingested yellow table in six formats."""
-    base = ingested(spark, sf_dir)
+    """One year of the ingested yellow table in six formats: what each gives back. (Sizes and read
+    times are in the table that ``formats.format_compare`` returns; each format must have a size.)"""
+    base, out = ingested(spark, sf_dir), scratch_path(spark, "formats")
     year = files.read_partition(spark, f"{base}/yellow_partitioned", 2012)
-    return formats.format_compare(year, scratch_path(spark, "formats"))
+    measured = formats.format_compare(year, out)
+    rows = None
+    for name in formats.FORMATS:
+        r = formats.read_back(spark, out, name, year.schema).agg(
+            F.lit(name).alias("format"), F.count("*").alias("n_rows"), F.sum("trip_id").alias("sum_trip_id"),
+            F.round(F.sum("total_amount"), 2).alias("sum_total"))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows.join(measured.where("size_mb > 0").select("format"), "format")
 
 
 def truncated_copy(spark, folder: str, name: str, most: int) -> None:

@@ -61,6 +61,13 @@ def q_hour_slice_avg(spark, sf_dir):
     return s.select("location_id", "total_count", "num_days", F.round("avg_per_day", 9).alias("avg_per_day"))
 
 
+def movement(spark, sf_dir):
+    """The hourly movement table, written once: both slices and the scale read it, the trips are read once."""
+    path = scratch_path(spark, "movement")
+    mobility.movement_counts(trips_ev(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("net_movement", with_ctes(TRIPS_EV_SQL, *COUNTS_SQL, _slice_sql("pu", "pu_slice"),
                                     _slice_sql("dro", "do_slice"), """st AS (
   SELECT n.n_nationkey AS LocationID, n.n_name AS zone_name,
@@ -77,8 +84,7 @@ SELECT LocationID, zone_name, round(incoming, 9) AS incoming, round(outgoing, 9)
        CAST(trunc(255.0 * greatest(0.0, norm)) AS INTEGER) AS blue, 180 AS alpha
 FROM nm"""))
 def q_net_movement(spark, sf_dir):
-    t = trips_ev(spark, sf_dir)
-    counts = mobility.movement_counts(t)
+    counts = movement(spark, sf_dir)
     pu = mobility.hour_slice_avg(counts.where(F.col("kind") == "pickup"), TARGET_HOUR)
     do = mobility.hour_slice_avg(counts.where(F.col("kind") == "dropoff"), TARGET_HOUR)
     z = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("LocationID"),
@@ -176,7 +182,7 @@ FROM nm JOIN nv ON nm.LocationID = nv.zone"""))
 def q_net_movement_map(spark, sf_dir):
     """Net movement per zone with the outer ring of the zone's largest part,
     written as GeoJSON-like rows (JSON) and read back."""
-    counts = mobility.movement_counts(trips_ev(spark, sf_dir))
+    counts = movement(spark, sf_dir)
     pu = mobility.hour_slice_avg(counts.where(F.col("kind") == "pickup"), TARGET_HOUR)
     do = mobility.hour_slice_avg(counts.where(F.col("kind") == "dropoff"), TARGET_HOUR)
     z = zones(spark, sf_dir)

@@ -72,7 +72,8 @@ def trips_li(spark: SparkSession, sf_dir: str, shift_years: int = LI_SHIFT_YEARS
     return j.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trip_id"),
         F.when(F.col("l_returnflag") == "A", "yellow")
-         .when(F.col("l_returnflag") == "N", "green").otherwise("fhvhv").alias("service"),
+         .when(F.col("l_returnflag") == "N", "green")
+         .when(F.col("l_linenumber") % 2 == 0, "fhv").otherwise("fhvhv").alias("service"),
         (F.col("o_orderdate") + shift).alias("pickup_datetime"),
         (F.col("l_shipdate") + shift).alias("dropoff_datetime"),
         (F.col("o_custkey") % 25).cast("int").alias("pulocationid"),
@@ -94,7 +95,8 @@ def trips_li(spark: SparkSession, sf_dir: str, shift_years: int = LI_SHIFT_YEARS
 def trips_li_sql(shift_years: int = LI_SHIFT_YEARS) -> str:
     return f"""trips_li AS (
   SELECT l_orderkey * 8 + l_linenumber AS trip_id,
-         CASE WHEN l_returnflag = 'A' THEN 'yellow' WHEN l_returnflag = 'N' THEN 'green' ELSE 'fhvhv' END AS service,
+         CASE WHEN l_returnflag = 'A' THEN 'yellow' WHEN l_returnflag = 'N' THEN 'green'
+              WHEN l_linenumber % 2 = 0 THEN 'fhv' ELSE 'fhvhv' END AS service,
          o_orderdate + INTERVAL {int(shift_years)} YEAR AS pickup_datetime,
          l_shipdate + INTERVAL {int(shift_years)} YEAR AS dropoff_datetime,
          CAST(o_custkey % 25 AS INTEGER) AS pulocationid,

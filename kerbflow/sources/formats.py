@@ -33,7 +33,7 @@ def format_compare(df: DataFrame, base: str, formats=None) -> DataFrame:
     spark = df.sparkSession
     rows = []
     for name in (formats or list(FORMATS)):
-        fmt, opts, reader = FORMATS[name]
+        fmt, opts, _ = FORMATS[name]
         path = f"{base.rstrip('/')}/{name}"
         w = df.write.mode("overwrite").format(fmt)
         for k, v in opts.items():
@@ -41,15 +41,21 @@ def format_compare(df: DataFrame, base: str, formats=None) -> DataFrame:
         w.save(path)
         size = files_listing(spark, path).where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*)$")) \
             .agg(F.sum("length")).first()[0] or 0
-        r = spark.read.format(reader).schema(df.schema)
-        if reader == "csv":
-            r = r.option("header", "true")
         t0 = time.time()
-        r.load(path).write.format("noop").mode("overwrite").save()
+        read_back(spark, base, name, df.schema).write.format("noop").mode("overwrite").save()
         rows.append((name, round(size / (1024 * 1024), 3), round(time.time() - t0, 3)))
     return spark.createDataFrame(rows, "format string, size_mb double, read_seconds double")
 
 
+def read_back(spark: SparkSession, base: str, name: str, schema) -> DataFrame:
+    """What :func:`format_compare` wrote below ``base`` in one format."""
+    reader = FORMATS[name][2]
+    r = spark.read.format(reader).schema(schema)
+    if reader == "csv":
+        r = r.option("header", "true")
+    return r.load(f"{base.rstrip('/')}/{name}")
+
+
 def _footer_check(batches):
     import pandas as pd
     import pyarrow.parquet as pq
