@@ -93,12 +93,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
+def input_state(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and modification times of the files below ``path``: a changed input has another state."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return ()
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def produced_once(spark: SparkSession, name: str, key: str, build) -> str:
-    """Path of a dataset produced once per application and shared by its
-    consumers (a replayed topic, an ingested table), like a producer writing a
-    topic that several consumers read. ``build()`` writes it and returns the
-    path; it runs again if the files are gone."""
-    k = (spark.sparkContext.applicationId, name, key)
+    """Path of a dataset produced once per application and state of its input
+    folder ``key``, and shared by its consumers (a replayed topic, an ingested
+    table), like a producer writing a topic that several consumers read.
+    ``build()`` writes it and returns the path; it runs again if the files are
+    gone or the input has changed."""
+    k = (spark.sparkContext.applicationId, name, key, input_state(spark, key))
     path = _PRODUCED.get(k)
     if path is None or not path_exists(spark, path):
         path = build()
