@@ -110,7 +110,7 @@ def with_rank(pieces: DataFrame, buckets: int) -> tuple[DataFrame, dict[int, int
     sizes = p.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).toLocalIterator()}
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}    # a row per length
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = p.withColumn("k", F.row_number().over(inside)).join(first, ["length", "bucket"])
     return ranked.withColumn("rank", F.col("first") + F.col("k") - 1).drop("bucket", "k", "first"), counts

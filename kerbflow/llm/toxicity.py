@@ -39,8 +39,9 @@ ADDRESS = frozenset("you your youre tu toi vous votre du dich dir ihr sie tú us
 FEATURES = ("exact", "fuzzy", "density", "strongest", "quoted")
 
 
-def edits_of(term: str) -> int:
-    return 0 if len(term) < 4 else 1 if len(term) < 8 else 2
+def edits_of(entry: str, is_stem: bool = False) -> int:
+    """Edits within which a word is a misspelling; stems, which match any ending, must stand as they are."""
+    return 0 if is_stem or len(entry) < 4 else 1 if len(entry) < 8 else 2
 
 
 class LexiconTrie:
@@ -48,39 +49,62 @@ class LexiconTrie:
 
     A state of the automaton is (place in the word, edits so far); a node of the
     trie is left as soon as its state set is empty. A stem matches every word that
-    begins like it, a term only whole words.
+    begins like it, a term only whole words. A word within k edits of an entry has
+    one of the entry's k + 1 parts unchanged, at most k places off: only entries
+    with such a part (and a fitting length) are looked at.
     """
 
     def __init__(self, terms, stems):
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]                  # edits allowed where a term ends here
         self.stem_ends: list[int] = [-1]
-        for kind, entries in ((self.ends, terms), (self.stem_ends, stems)):
-            for e in entries:
-                node = 0
-                for ch in e:
-                    if ch not in self.children[node]:
-                        self.children[node][ch] = len(self.children)
-                        self.children.append({})
-                        self.ends.append(-1)
-                        self.stem_ends.append(-1)
-                    node = self.children[node][ch]
-                kind[node] = edits_of(e)
-        self.most = max((x for x in (*self.ends, *self.stem_ends)), default=-1)
-        # A word within k edits of an entry holds one of the entry's k + 1 parts unchanged.
-        parts = {e[i * len(e) // (k + 1):(i + 1) * len(e) // (k + 1)] for e in (*terms, *stems)
-                 for k in [edits_of(e)] for i in range(k + 1)}
-        parts = sorted(parts - {""}, key=lambda p: (len(p), p))
-        self.part = re.compile("|".join(map(re.escape, parts))).search if parts else (lambda w: None)
+        self.under: list[int] = [0]                  # entries (bits) below the node
+        self.parts: dict[tuple[int, int, int], dict[str, int]] = {}      # (edits, place, length) -> part -> entries
+        entries = [(t, False) for t in terms] + [(s, True) for s in stems]
+        for bit, (entry, is_stem) in enumerate(entries):
+            k, node = edits_of(entry, is_stem), 0
+            self.under[0] |= 1 << bit
+            for ch in entry:
+                if ch not in self.children[node]:
+                    self.children[node][ch] = len(self.children)
+                    self.children.append({})
+                    self.ends.append(-1)
+                    self.stem_ends.append(-1)
+                    self.under.append(0)
+                node = self.children[node][ch]
+                self.under[node] |= 1 << bit
+            (self.stem_ends if is_stem else self.ends)[node] = k
+            for i in range(k + 1):
+                x, y = i * len(entry) // (k + 1), (i + 1) * len(entry) // (k + 1)
+                found = self.parts.setdefault((k, x, y - x), {})
+                found[entry[x:y]] = found.get(entry[x:y], 0) | 1 << bit
+        self.most = max((edits_of(*e) for e in entries), default=-1)
+        self.entries = entries
+        self.fits: dict[int, int] = {}
+
+    def _fitting(self, n: int) -> int:
+        """Entries that a word of ``n`` letters can match by length."""
+        if n not in self.fits:
+            self.fits[n] = sum(1 << i for i, (e, is_stem) in enumerate(self.entries)
+                               if n >= len(e) - edits_of(e, is_stem) and (is_stem or n <= len(e) + edits_of(e)))
+        return self.fits[n]
+
+    def candidates(self, word: str) -> int:
+        n, mask = len(word), 0
+        for (k, x, size), found in self.parts.items():
+            for p in range(max(0, x - k), min(x + k, n - size) + 1):
+                mask |= found.get(word[p:p + size], 0)
+        return mask & self._fitting(n) if mask else 0
 
     def match(self, word: str) -> int | None:
         """Least edits to any entry, or None."""
-        if self.most < 0 or not self.part(word):
+        mask = self.candidates(word)
+        if not mask:
             return None
         best, n, most = None, len(word), self.most
 
         def spread(states: dict[int, int]) -> dict[int, int]:
-            for i in sorted(states):                              # deletions from the entry's side: skip letters of the word
+            for i in sorted(states):                              # letters of the word that the entry lacks
                 e, j = states[i], i
                 while j < n and e < most and states.get(j + 1, 99) > e + 1:
                     e, j = e + 1, j + 1
@@ -97,14 +121,15 @@ class LexiconTrie:
             if low <= self.stem_ends[node] and (best is None or low < best):
                 best = low
             for ch, child in self.children[node].items():
+                if not self.under[child] & mask:
+                    continue
                 after: dict[int, int] = {}
                 for i, e in states.items():
                     if i < n and word[i] == ch:
                         if after.get(i + 1, 99) > e:
                             after[i + 1] = e
-                    elif e < most:
-                        if i < n and after.get(i + 1, 99) > e + 1:
-                            after[i + 1] = e + 1                  # substitution
+                    elif e < most and i < n and after.get(i + 1, 99) > e + 1:
+                        after[i + 1] = e + 1                      # another letter
                     if e < most and after.get(i, 99) > e + 1:
                         after[i] = e + 1                          # the entry has a letter more
                 if after:
@@ -211,7 +236,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
     unusual = lambda df: (df.withColumn("g", _surprise(n_pos, n_neg))                     # noqa: E731
                           .where((F.col("g") >= min_surprise) & (F.col("pos") >= min_share * (F.col("pos") + F.col("neg"))))
                           .orderBy(F.desc("g"), "entry").limit(max_candidates))
-    stems = {r.entry: r.pos for r in unusual(starts.where(F.col("kinds") >= stem_words)).toLocalIterator()}
+    stems = {r.entry: r.pos for r in unusual(starts.where(F.col("kinds") >= stem_words)).collect()}
     # The longest beginning that holds (nearly) all of a shorter one's occurrences stands for it.
     kept: list[str] = []
     for s in sorted(stems, key=lambda x: (len(x), x)):
@@ -222,7 +247,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
                     break
                 s = longer[0]
             kept.append(s)
-    terms = [r.entry for r in unusual(whole).toLocalIterator() if not any(r.entry.startswith(k) for k in kept)]
+    terms = [r.entry for r in unusual(whole).collect() if not any(r.entry.startswith(k) for k in kept)]
     shared = Shared(spark, (frozenset(terms), tuple(kept)))
 
     def contexts(batches):
@@ -244,7 +269,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
 
     seen = (train.select("text", "toxic").mapInArrow(contexts, "entry string, c long").distinct().groupBy("entry").count()
             .where(F.col("count") >= min_contexts).orderBy(F.desc("count"), "entry").limit(max_entries))
-    strong = {r.entry for r in seen.toLocalIterator()}
+    strong = {r.entry for r in seen.collect()}
     terms, stem_list = [t for t in terms if t in strong], [s for s in kept if s in strong]
     lexicon = Shared(spark, (terms, stem_list))
 
@@ -255,7 +280,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.string())], names=["word"])
 
     benign = words.where("neg > 0").select("word").mapInArrow(near, "word string")
-    return terms, stem_list, [r.word for r in benign.toLocalIterator()]
+    return terms, stem_list, [r.word for r in benign.collect()]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 40) -> np.ndarray:

@@ -40,7 +40,7 @@ def corpus(seed=6):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"shard_words": 50, "shard_segments": 5}])
+@pytest.mark.parametrize("limits", [{}, {"shard_bytes": 300}, {"hot_segments": 1}])
 def test_matches_brute_force(spark, limits):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, 1, "c") for d, t in rows], "doc_id long, text string, key int, anchor string")
@@ -52,7 +52,7 @@ def test_hot_passage_and_kept_text(spark):
     p = " ".join(f"p{k}" for k in range(40))
     rows = [(i, f"a{i} b{i} {p} c{i}") for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = S.repeats(docs, with_text=True, shard_segments=10).collect()
+    got = S.repeats(docs, with_text=True, hot_segments=10).collect()
     assert all(r.n_removed == 40 and r.kept_text == f"a{r.doc_id} b{r.doc_id} c{r.doc_id}" for r in got) and len(got) == 120
     assert S.repeats(docs.limit(0)).count() == 0
 

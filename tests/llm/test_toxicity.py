@@ -35,7 +35,7 @@ def test_automaton_over_trie_matches_edit_distance():
         words.append("".join(w))
     for w in words:
         best = [distance(w, t) for t in terms if distance(w, t) <= X.edits_of(t)]
-        best += [e for s in stems for e in [min(distance(w[:k], s) for k in range(len(w) + 1))] if e <= X.edits_of(s)]
+        best += [0 for s in stems if w.startswith(s)]
         assert trie.match(w) == (min(best) if best else None), w
 
 
