@@ -7,16 +7,17 @@ window whose word sequence starts anywhere else, too. Steps:
    Equal windows have equal anchors, and neighbouring windows mostly share one, so
    anchors are a small part of all windows. Anchors seen once can't lie in a
    recurring window; the other ones give segments (all windows of one anchor).
-2. Windows of the distinct segments are counted exactly over all documents; runs
-   of recurring windows are the confirmed phrases.
-3. Phrases are compiled to Aho-Corasick automata, sharded by anchor so that each
-   has a bounded number of words, and all segments of all documents stream through
-   their anchor's automaton, which gives every occurrence. Shards with many
-   segments are salted by document.
-4. Occurrences are joined to their documents and their words removed.
-
-No group is gathered beyond a shard's bounds: counts are sums by key, hot anchors
-are joined like any skewed key.
+2. Distinct segments are dealt in shards of whole anchors, bounded in bytes. A
+   shard counts its windows, word by word, with the segments' counts from all
+   documents; runs of recurring windows are the confirmed phrases.
+3. The shard's phrases are compiled to an Aho-Corasick automaton, and its segments
+   stream through it; equal segments of all documents have equal hits, so each
+   text goes through once, and its hits are joined to every occurrence.
+4. The places are joined to their documents and their words removed.
+
+An anchor with more segments than fit a shard (a phrase in very many contexts) is
+counted by key over all tasks instead, and streams in salted parts. No step
+gathers a group that grows with the corpus.
 
 Defined cases: texts with fewer words than a window keep all; null texts have no
 words; null or repeated doc_ids are told apart by their text, and repeated rows
@@ -39,23 +40,34 @@ from kerbflow.llm.ngram_join import _mix, word_hashes
 GRAM = 8
 
 
-def anchors(words: list[bytes], window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+def anchors(text: bytes, window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(8-gram hashes, the anchor's place for each window start)."""
-    h = word_hashes(words)
+    h = word_hashes(text)
     n = len(h) - gram + 1
     g = np.zeros(n, np.uint64)
     for i in range(gram):
         g = (g + h[i:n + i]) * np.uint64(0x9E3779B97F4A7C15 + 2 * i)
         g ^= g >> np.uint64(29)
     g = _mix(g)
-    span = window - gram + 1
-    at = np.empty(len(h) - window + 1, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(g, span)
-    for i in range(0, len(at), 16_384):
-        at[i:i + 16_384] = view[i:i + 16_384].argmin(axis=1) + np.arange(i, min(i + 16_384, len(at)))
+    span, starts = window - gram + 1, len(h) - window + 1
+    at = np.empty(starts, np.int64)
+    for i in range(0, starts, _CHUNK):
+        # The place in the low bits: the least value is then the leftmost least hash, and tells where it is.
+        part = g[i:i + _CHUNK + span - 1]
+        low = (part & ~_PLACE) | np.arange(len(part), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:                       # least of 1, 2, 4, ... neighbours
+            low, width = np.minimum(low[:-width], low[width:]), 2 * width
+        if width < span:
+            low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
+        at[i:i + len(low)] = (low & _PLACE).astype(np.int64) + i
     return g.view(np.int64), at
 
 
+_CHUNK = 1 << 19
+_PLACE = np.uint64((1 << 20) - 1)
+
+
 def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -71,10 +83,11 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
             for b in batches:
                 out: list[list] = [[] for _ in range(4)]
                 for t in b.column(1):
-                    words = t.as_buffer().to_pybytes().split()
+                    raw = t.as_buffer().to_pybytes()
+                    words = raw.split()
                     u = n = np.zeros(0, np.int64)
                     if len(words) >= window:
-                        g, at = anchors(words, window)
+                        g, at = anchors(raw, window)
                         u, n = np.unique(g[np.unique(at)], return_counts=True)
                     for c, x in zip(out, (len(words), _digest(words), u, np.minimum(n, 2).astype(np.int8))):
                         c.append(x)
@@ -87,31 +100,100 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
         scan, "doc_id long, key long, n_words long, digest string, anchors array<long>, times array<tinyint>")
 
 
-def _segments(candidates: DataFrame, window: int) -> DataFrame:
-    """(doc_id, key, start, anchor, segment): the words of all windows of one recurring anchor's occurrence."""
+def _segments(candidates: DataFrame, window: int, flush: int = 100_000) -> DataFrame:
+    """Two kinds of rows: each occurrence (doc_id, key, start, id) of a recurring anchor's segment, the words of
+    all its windows; and each distinct segment (id, anchor, segment, n), once a task and flush, with its count."""
     def cut(batches):
+        from xxhash import xxh3_128_digest
+        seen: dict[bytes, list] = {}
+
+        def distinct():
+            cols = list(zip(*((i, *v) for i, v in seen.items()))) or [(), (), (), ()]
+            none = [None] * len(seen)
+            return _rows(none, none, none, *cols)
+
         with np.errstate(over="ignore"):
             for b in batches:
-                rows: list[list] = [[] for _ in range(5)]
+                rows: list[list] = [[] for _ in range(4)]
                 for d, k, t, again in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-                    words = t.as_buffer().to_pybytes().split()
+                    raw = t.as_buffer().to_pybytes()
+                    words = raw.split()
                     if len(words) < window:
                         continue
-                    g, at = anchors(words, window)
+                    g, at = anchors(raw, window)
                     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                     last = np.append(first[1:], len(at)) - 1
                     code = g[at[first]]
                     wanted = np.isin(code, np.array(again.as_py(), np.int64))
                     for s, e, a in zip(first[wanted].tolist(), last[wanted].tolist(), code[wanted].tolist()):
-                        for c, x in zip(rows, (d, k, s, a, b" ".join(words[s:e + window]))):
+                        text = b" ".join(words[s:e + window])
+                        i = xxh3_128_digest(text)
+                        if i in seen:
+                            seen[i][2] += 1
+                        else:
+                            seen[i] = [a, text, 1]
+                        for c, x in zip(rows, (d, k, s, i)):
                             c.append(x)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()),
-                     pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.binary())],
-                    names=["doc_id", "key", "start", "anchor", "segment"])
+                none = [None] * len(rows[0])
+                yield _rows(*rows, none, none, none)
+                if len(seen) >= flush:
+                    yield distinct()
+                    seen.clear()
+        yield distinct()
 
     return candidates.select("doc_id", "key", "t", "again").mapInArrow(
-        cut, "doc_id long, key long, start int, anchor long, segment binary")
+        cut, "doc_id long, key long, start int, id binary, anchor long, segment binary, n long")
+
+
+def _rows(*cols) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                      names=["doc_id", "key", "start", "id", "anchor", "segment", "n"])
+
+
+def _runs(places, window: int) -> list[tuple[int, int]]:
+    """(first word, end) of each run of neighbouring windows."""
+    p = np.sort(np.array(places))
+    return [(int(r[0]), int(r[-1]) + window) for r in np.split(p, np.flatnonzero(np.diff(p) > 1) + 1)]
+
+
+def _found(ids: list, spans: list) -> pa.Table:
+    return pa.table([pa.array(ids, pa.binary()),
+                     pa.array([[{"s": s, "e": e} for s, e in x] for x in spans],
+                              pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))], names=["id", "spans"])
+
+
+def _confirm_and_locate(window: int):
+    """For a shard of distinct segments with all segments of its anchors: count its windows, compile an
+    automaton of the confirmed phrases, stream the segments through it."""
+    def run(group):
+        texts: dict[bytes, list] = {}
+        for i, t, n in zip(*(group.column(c).to_pylist() for c in ("id", "segment", "n"))):
+            if i in texts:
+                texts[i][1] += n
+            else:
+                texts[i] = [t, n]
+        count: dict[bytes, int] = {}
+        cuts = []
+        for t, n in texts.values():
+            ends = [-1] + [k for k, c in enumerate(t) if c == 32] + [len(t)]
+            mine = [t[ends[k] + 1:ends[k + window]] for k in range(len(ends) - window)]
+            cuts.append(mine)
+            for w in mine:
+                count[w] = count.get(w, 0) + n
+        phrases = set()
+        for (t, _), mine in zip(texts.values(), cuts):
+            places = [k for k, w in enumerate(mine) if count[w] > 1]
+            if places:
+                words = t.split(b" ")
+                phrases |= {b" ".join(words[s:e]) for s, e in _runs(places, window)}
+        del cuts, count
+        if not phrases:
+            return _found([], [])
+        automaton, numbers = automaton_of(sorted(phrases))
+        hits = [(i, x) for i, (t, _) in texts.items() if (x := occurrences(automaton, numbers, t.split(b" ")))]
+        return _found([i for i, _ in hits], [x for _, x in hits])
+    return run
 
 
 def _windows(distinct: DataFrame, window: int) -> DataFrame:
@@ -143,10 +225,10 @@ def _phrases(confirmed: DataFrame, window: int) -> DataFrame:
         for b in batches:
             rows: list[list] = [[], []]
             for a, s, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                words, p = s.split(), np.sort(np.array(places))
-                for run in np.split(p, np.flatnonzero(np.diff(p) > 1) + 1):
+                words = s.split(b" ")
+                for x, y in _runs(places, window):
                     rows[0].append(a)
-                    rows[1].append(b" ".join(words[run[0]:run[-1] + window]))
+                    rows[1].append(b" ".join(words[x:y]))
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary())],
                                              names=["anchor", "phrase"])
 
@@ -176,7 +258,37 @@ def occurrences(automaton, numbers: dict[bytes, int], words: list[bytes]) -> lis
     return spans
 
 
-def covered(docs: DataFrame, window: int = 35, shard_words: int = 400_000, shard_segments: int = 40_000):
+def _hot_spans(segs: DataFrame, window: int, hot_segments: int) -> DataFrame:
+    """(id, spans) for anchors with too many distinct segments for one task: windows are counted by key over
+    all tasks, and the segments of an anchor stream in salted parts through the automaton of its phrases."""
+    spark = segs.sparkSession
+    distinct = written(spark, segs.groupBy("id").agg(F.first("anchor").alias("anchor"), F.first("segment").alias("segment"),
+                                                     F.sum("n").alias("n")), "repeat-hot")
+    windows = _windows(distinct, window)
+    recurring = windows.groupBy("code").agg(F.sum("n").alias("n")).where("n > 1").select("code")
+    places = windows.join(recurring, "code").groupBy("id").agg(F.collect_list("at").alias("places"))
+    phrases = _phrases(distinct.join(places, "id"), window)
+    salts = distinct.groupBy("anchor").agg(F.ceil(F.count("*") / hot_segments).cast("int").alias("salts"))
+    own = distinct.join(salts, "anchor").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int"))
+    spread = (phrases.join(salts, "anchor").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
+
+    def locate(left, right):
+        if not left.num_rows:
+            return _found([], [])
+        automaton, numbers = automaton_of(left.column("phrase").to_pylist())
+        hits = [(i, x) for i, t in zip(right.column("id").to_pylist(), right.column("segment").to_pylist())
+                if (x := occurrences(automaton, numbers, t.split(b" ")))]
+        return _found([i for i, _ in hits], [x for _, x in hits])
+
+    return (spread.select("anchor", "salt", "phrase").groupBy("anchor", "salt")
+            .cogroup(own.select("anchor", "salt", "id", "segment").groupBy("anchor", "salt"))
+            .applyInArrow(locate, SPANS))
+
+
+SPANS = "id binary, spans array<struct<s:int,e:int>>"
+
+
+def covered(docs: DataFrame, window: int = 35, shard_bytes: int = 6 << 20, hot_segments: int = 20_000):
     """(scan, candidates, spans): every document's scan row; those with a recurring anchor, with text;
     and the places of recurring windows as (doc_id, key, spans)."""
     spark = docs.sparkSession
@@ -185,43 +297,28 @@ def covered(docs: DataFrame, window: int = 35, shard_words: int = 400_000, shard
     each = scanned.where(F.size("anchors") > 0).select("doc_id", "key", one).select(
         "doc_id", "key", F.col("x.anchors").alias("anchor"), F.col("x.times").alias("times"))
     often = each.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
-    again = (each.join(often, "anchor").groupBy("key", "doc_id").agg(F.collect_set("anchor").alias("again")))
+    again = written(spark, each.join(often, "anchor").groupBy("key", "doc_id").agg(F.collect_set("anchor").alias("again")),
+                    "repeat-anchors")
     d, a = _identified(docs).alias("d"), again.alias("a")
     candidates = written(spark, d.join(a, (F.col("d.key") == F.col("a.key")) & F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")))
                          .select("d.doc_id", "d.key", "d.t", "a.again"), "repeat-candidates")
-    segments = written(spark, _segments(candidates, window).withColumn("id", F.unhex(F.md5("segment"))), "repeat-segments")
-    distinct = written(spark, segments.groupBy("id").agg(F.first("anchor").alias("anchor"), F.first("segment").alias("segment"),
-                                                         F.count("*").alias("n")), "repeat-distinct")
-    windows = written(spark, _windows(distinct, window), "repeat-windows")
-    recurring = windows.groupBy("code").agg(F.sum("n").alias("n")).where("n > 1").select("code")
-    places = windows.join(recurring, "code").groupBy("id").agg(F.collect_list("at").alias("places"))
-    phrases = written(spark, _phrases(distinct.join(places, "id"), window), "repeat-phrases")
-    # Shards hold about shard_words words of phrases each, salts about shard_segments segments.
-    size = phrases.agg(F.sum(F.octet_length("phrase")).alias("b")).first()["b"] or 0
-    shards = int(size // (6 * shard_words)) + 1
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")
-    own = segments.withColumn("shard", shard)
-    salts = own.groupBy("shard").agg(F.ceil(F.count("*") / shard_segments).cast("int").alias("salts"))
-    own = own.join(F.broadcast(salts) if shards <= 100_000 else salts, "shard").withColumn("salt", F.pmod("key", "salts").cast("int"))
-    spread = (phrases.withColumn("shard", shard).join(salts, "shard")
-              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
-
-    def locate(left, right):
-        automaton, numbers = automaton_of(left.column("phrase").to_pylist())
-        rows: list[list] = [[] for _ in range(4)]
-        if left.num_rows:
-            for d, k, s, t in zip(*(right.column(c).to_pylist() for c in ("doc_id", "key", "start", "segment"))):
-                for x, y in occurrences(automaton, numbers, t.split(b" ")):
-                    for c, v in zip(rows, (d, k, s + x, s + y)):
-                        c.append(v)
-        return pa.table([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()),
-                         pa.array(rows[3], pa.int32())], names=["doc_id", "key", "start", "end"])
-
-    found = (spread.select("shard", "salt", "phrase").groupBy("shard", "salt")
-             .cogroup(own.select("shard", "salt", "doc_id", "key", "start", "segment").groupBy("shard", "salt"))
-             .applyInArrow(locate, "doc_id long, key long, start int, end int").distinct())
-    spans = found.groupBy("key", "doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return scanned, candidates, spans
+    segments = written(spark, _segments(candidates, window), "repeat-segments")
+    segs = segments.where("n IS NOT NULL").select("id", "anchor", "segment", "n")
+    size = segs.agg(F.sum(F.octet_length("segment")).alias("b")).first()["b"] or 0
+    # Whole anchors share a shard; an anchor beyond hot_segments would be too much for one, and goes the other way.
+    hot = written(spark, segs.groupBy("anchor").agg(F.count("*").alias("rows")).where(F.col("rows") > hot_segments).select("anchor"),
+                  "repeat-hot-anchors")
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(int(size // shard_bytes) + 1)).alias("shard")
+    locate = _confirm_and_locate(window)
+    spans = (segs.join(hot, "anchor", "left_anti").select(shard, "id", "segment", "n")
+             .groupBy("shard").applyInArrow(lambda group: locate(group), SPANS))
+    if not hot.isEmpty():
+        spans = spans.unionByName(_hot_spans(segs.join(hot, "anchor", "left_semi"), window, hot_segments))
+    spans = written(spark, spans, "repeat-spans")
+    found = (segments.where("n IS NULL").select("doc_id", "key", "start", "id").join(spans, "id")
+             .select("doc_id", "key", F.transform("spans", lambda x: F.struct(
+                 (x["s"] + F.col("start")).alias("start"), (x["e"] + F.col("start")).alias("end"))).alias("spans")))
+    return scanned, candidates, found.groupBy("key", "doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeats(docs: DataFrame, window: int = 35, with_text: bool = False, **options) -> DataFrame:
