@@ -18,6 +18,8 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +29,6 @@ from kerbflow.llm.common import text_bytes, written
 from kerbflow.llm.components import components
 
 N_WORDS, THRESHOLD = 5, (4, 5)       # similarity of 0.8 as a fraction, so that it is compared exactly
-_WORDS: dict[bytes, int] = {}
 
 
 def bands_for(similarity: float, recall: float, rows: int = 5) -> int:
@@ -41,22 +42,48 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, remembered by the worker."""
-    from xxhash import xxh3_64_intdigest
-    if len(_WORDS) > 500_000:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = xxh3_64_intdigest(w)
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+_SEPARATOR = re.compile(rb"[\x09-\x0d\x20]")
+_IN_WORD = np.array([not (9 <= c <= 13 or c == 32) for c in range(256)])
+_BYTE = np.random.default_rng(20240301).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS = [np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> np.ndarray:
+    if len(_POWERS[0]) < n:
+        with np.errstate(over="ignore"):
+            _POWERS[0] = np.cumprod(np.full(max(n, 256), 0x9E3779B97F4A7C15, np.uint64))
+    return _POWERS[0]
+
+
+def word_hashes(text: bytes, chunk: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of each word (bytes between white space), in order: a polynomial over
+    the word's bytes with random coefficients, for all words of a chunk at once."""
+    out, at = [], 0
+    while at < len(text):
+        cut = _SEPARATOR.search(text, at + chunk)
+        end = cut.start() if cut else len(text)
+        raw = np.frombuffer(text, np.uint8, end - at, at)
+        inside = _IN_WORD[raw].view(np.int8)
+        edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0), append=np.int8(0)))
+        at = end + 1
+        if not len(edges):
+            continue
+        starts = edges[::2]
+        starts, sizes = starts - starts[0], edges[1::2] - starts
+        body = raw[edges[0]:]
+        place = np.arange(len(body)) - np.repeat(starts, np.diff(np.append(starts, len(body))))
+        place[~_IN_WORD[body]] = 0
+        values = _BYTE[body] * _powers(int(sizes.max()))[place]
+        values[~_IN_WORD[body]] = 0
+        out.append(_mix(np.add.reduceat(values, starts) + sizes.astype(np.uint64)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def ngrams(text: bytes, n: int = N_WORDS) -> np.ndarray:
     """Sorted distinct hashes of the text's n-grams."""
-    words = text.decode().lower().encode().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words)
+    h = word_hashes(text.decode().lower().encode())
+    if not len(h):
+        return h
     k = min(n, len(h))
     g = np.zeros(len(h) - k + 1, np.uint64)
     for i in range(k):
