@@ -81,6 +81,10 @@ class LexiconTrie:
         self.most = max((edits_of(*e) for e in entries), default=-1)
         self.entries = entries
         self.fits: dict[int, int] = {}
+        # All parts with their places as one pattern: most words end here.
+        ways = [f".{{{max(0, x - k)},{x + k}}}(?:{'|'.join(map(re.escape, sorted(found)))})"
+                for (k, x, _), found in sorted(self.parts.items())]
+        self.maybe = re.compile("|".join(ways), re.S).match if ways else (lambda w: None)
 
     def _fitting(self, n: int) -> int:
         """Entries that a word of ``n`` letters can match by length."""
@@ -91,6 +95,8 @@ class LexiconTrie:
 
     def candidates(self, word: str) -> int:
         n, mask = len(word), 0
+        if not self.maybe(word):
+            return 0
         for (k, x, size), found in self.parts.items():
             for p in range(max(0, x - k), min(x + k, n - size) + 1):
                 mask |= found.get(word[p:p + size], 0)
