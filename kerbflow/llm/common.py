@@ -4,9 +4,10 @@ in the shared folder, word splitting and the cached word tokenizer."""
 from __future__ import annotations
 
 import re
+import sys
 import uuid
+from array import array
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    # Shuffle files of finished stages go when the driver collects its garbage; on disk they would add up till then.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,6 +57,14 @@ class Shared:
         return self.broadcast.value
 
 
+def _ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class WordIds:
     """Token ids of whole texts by a ``tokenizers`` file, through a cache of words.
 
@@ -61,65 +72,82 @@ class WordIds:
     it stands (the byte-level one together with the space before it), so a text's
     ids are those of its words in order. Cuts are made only at a space or newline
     that follows a non-space character; texts with any other white space go
-    through the tokenizer whole. The cache holds ``limit`` words at most and is
-    emptied when full, which changes speed only.
+    through the tokenizer whole. A word of Latin-1 letters and ASCII marks after
+    them is one piece and another of either pattern: its pieces go to the BPE model
+    directly. The cache holds two generations of ``limit`` words, which changes
+    speed only.
     """
 
     _ODD = re.compile("[" + "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
+    _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 600_000):
+    def __init__(self, path: str, keeps_space: bool, limit: int = 500_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.model = self.tok.model
+        self.keeps_space = keeps_space
         self.split = self._KEEP_SPACE.findall if keeps_space else (lambda t: t.replace("\n", " ").split(" "))
         self.limit = limit
         self.cache: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> None:
-        cache = self.cache
-        if len(cache) > self.limit:
-            cache.clear()
-            cache[""] = b""
-        plain, stems = [], {}
+        self.old: dict[str, bytes] = {}
+        # Byte-level BPE writes each byte as a character: printable ones as themselves, the others from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in set(shown)]
+        self.letters = {**{x: x for x in shown}, **{x: 256 + i for i, x in enumerate(hidden)}}
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of one piece of the pattern, by the BPE model alone."""
+        known = self.cache.get(text)
+        if known is None:
+            known = self.old.get(text)
+            if known is None:
+                shown = text.encode().decode("latin-1").translate(self.letters)
+                known = _ids([t.id for t in self.model.tokenize(shown)])
+            self.cache[text] = known
+        return known
+
+    def _learn(self, words: set[str]) -> None:
+        cache, old, plain, rest = self.cache, self.old, self._PLAIN.fullmatch, []
         for w in words:
-            stem = w[:-1]
-            if w[-1] in ".," and stem.lstrip(" \n").isalpha():     # letters, then one mark: two pieces by either pattern
-                stems[w] = stem
-                if stem not in cache:
-                    plain.append(stem)
-            else:
-                plain.append(w)
-        for mark in (".", ","):
-            if mark not in cache:
-                plain.append(mark)
-        plain = list(dict.fromkeys(plain))
-        for i in range(0, len(plain), 20_000):
-            part = plain[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        for w, stem in stems.items():
-            cache[w] = cache[stem] + cache[w[-1]]
+            known = old.get(w)
+            if known is None:
+                m = plain(w)
+                if m and (m[2].isascii() or m[2].isalpha() and max(m[2]) <= "\xff"):
+                    lead, body, marks = m.groups()
+                    body = lead.strip("\n") + body if self.keeps_space else body.lower()
+                    known = self._piece(body)
+                    if lead == "\n" and self.keeps_space:
+                        known = self._piece("\n") + known
+                    if marks:
+                        known += self._piece(marks)
+                else:
+                    rest.append(w)
+                    continue
+            cache[w] = known
+        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
+            cache[w] = _ids(e.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.cache) > self.limit:
+            self.old, self.cache = self.cache, {"": b""}
         odd = self._ODD.search
         parts = [None if odd(t) else self.split(t) for t in texts]
         seen: set[str] = set()
         for p in parts:
             if p is not None:
                 seen.update(p)
-        new = [w for w in seen if w not in self.cache]
+        new = seen.difference(self.cache)
         if new:
             self._learn(new)
-            if len(new) < len(seen) and any(w not in self.cache for w in seen):   # the cache was emptied
-                self._learn([w for w in seen if w not in self.cache])
         get = self.cache.__getitem__
         out = []
         for t, p in zip(texts, parts):
             if p is None:
-                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                out.append(_ids(self.tok.encode(t, add_special_tokens=False).ids))
             else:
                 out.append(b"".join(map(get, p)))
         return out
