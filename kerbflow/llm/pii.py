@@ -5,7 +5,10 @@ check digits, dates by the calendar, addresses by their octets), then permuted b
 a keyed Feistel network within their format: separators, length, letter case and
 check digits stay valid. The permutation depends on the key, the kind and the
 size of the domain alone, so equal values get equal pseudonyms in all documents
-and different values different ones.
+and different values different ones. Secrets are replaced whole, whatever their
+length, in chunks of at most 200 letters and digits. Dates are those of the years
+1 to 9999, also before a time of day (``T10:00``); those of 1900 to 2099 are
+permuted among themselves, and all others among themselves.
 
 Defined cases: null and empty texts stay as they are; null ids pass through;
 repeated rows are treated alike; an empty table gives an empty result; all other
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
+_OTHER_DAYS = datetime.date.max.toordinal() - _DAYS
+_CHUNK = 200
 _CODE = {c: i for i, c in enumerate("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")}
 
 
@@ -133,23 +138,30 @@ def _phone(m, perm):
     return _refill(m[0], digits[:keep] + _permuted(digits[keep:], perm, "phone"))
 
 
+def _other_day(day: int, perm: Permutation) -> int:
+    """The pseudonym of a day within 1900 to 2099, or of one outside."""
+    if 0 <= day - _DAY0 < _DAYS:
+        return _DAY0 + perm(day - _DAY0, _DAYS, "date")
+    x = perm(day - 1 if day < _DAY0 else day - 1 - _DAYS, _OTHER_DAYS, "date")
+    return x + 1 if x + 1 < _DAY0 else x + 1 + _DAYS
+
+
 def _date(m, perm):
     """Year first, day first, or month first: with slashes, where the second number can't be a month.
     Month-first dates are permuted among those that can only be read so."""
     a, b, c = (int(x) for x in re.findall(r"\d+", m[0]))
-    month_first = a <= 31 and b > 12 and "/" in m[0]
+    year_first = m[0][:4].isdigit()
+    month_first = not year_first and b > 12 and "/" in m[0]
     try:
-        day = datetime.date(*((a, b, c) if a > 31 else (c, a, b) if month_first else (c, b, a))).toordinal() - _DAY0
+        day = datetime.date(*((a, b, c) if year_first else (c, a, b) if month_first else (c, b, a))).toordinal()
     except ValueError:
         return None
-    if not 0 <= day < _DAYS:
-        return None
-    day = perm(day, _DAYS, "date")
-    while month_first and datetime.date.fromordinal(day + _DAY0).day <= 12:
-        day = perm(day, _DAYS, "date")
-    new = datetime.date.fromordinal(day + _DAY0)
+    day = _other_day(day, perm)
+    while month_first and datetime.date.fromordinal(day).day <= 12:
+        day = _other_day(day, perm)
+    new = datetime.date.fromordinal(day)
     sep = re.search(r"\D", m[0])[0]
-    if a > 31:
+    if year_first:
         return f"{new.year:04d}{sep}{new.month:02d}{sep}{new.day:02d}"
     x, y = (new.month, new.day) if month_first else (new.day, new.month)
     return f"{x:02d}{sep}{y:02d}{sep}{new.year:04d}"
@@ -172,7 +184,13 @@ def _assigned(m, perm):
     if len(slots) < 6:
         return None
     hexadecimal = re.fullmatch(r"[0-9a-f]+", slots) is not None
-    return m[1] + _refill(value, _permuted(slots, perm, "secret", hexadecimal), lambda c: c.isascii() and c.isalnum())
+    # A chunk's permutation depends on its place and the chunk before.
+    new, tweak = [], "secret"
+    for at in range(0, len(slots), _CHUNK):
+        chunk = slots[at:at + _CHUNK]
+        new.append(_permuted(chunk, perm, tweak, hexadecimal))
+        tweak = f"secret/{at + _CHUNK}/{chunk}"
+    return m[1] + _refill(value, "".join(new), lambda c: c.isascii() and c.isalnum())
 
 
 # In this order: what an earlier kind replaced is not looked at again.
@@ -180,10 +198,10 @@ KINDS = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64})@([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+)"), _email),
     ("key", re.compile(r"(?<![A-Za-z0-9])(AKIA|ASIA)([A-Z0-9]{16})(?![A-Za-z0-9])"), _aws),
     ("secret", re.compile(r"(?i)((?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
-                          r"([^\s\"']{6,200})"), _assigned),
+                          r"([^\s\"']{6,})"), _assigned),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban),
     ("date", re.compile(r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|"
-                        r"\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)"), _date),
+                        r"\d{1,2}-\d{1,2}-\d{4})(?:(?![\w/-]|\.\d)|(?=[Tt](?:[01]\d|2[0-4])(?::?[0-5]\d|[Zz]?(?!\w))))"), _date),
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), _ip),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), _ssn),
     ("card", re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"), _card),

@@ -1,5 +1,6 @@
 import datetime
 import itertools
+import random
 import re
 
 import pytest
@@ -97,3 +98,34 @@ def test_kinds_are_disjoint_in_order():
     text = " ".join(itertools.chain.from_iterable(CASES.values()))
     new, counts = one(text)
     assert counts == {k: len(v) for k, v in CASES.items()}
+
+
+@pytest.mark.parametrize("size", [200, 201, 406, 5000])
+def test_long_secrets_are_replaced_whole(size):
+    rng = random.Random(size)
+    value = "".join(rng.choices("abcXYZ0123456789", k=size))
+    new, counts = one(f"token={value} end")
+    got = new.removeprefix("token=").removesuffix(" end")
+    assert counts == {"secret": 1} and len(got) == size
+    assert all(got[i:i + 20] != value[i:i + 20] for i in range(0, size - 20))
+    other = value[:-1] + ("1" if value[-1] == "0" else "0") if value[-1].isdigit() else value[:-1] + ("b" if value[-1] == "a" else "a")
+    assert one(f"token={other} end")[0] != new == one(f"token={value} end")[0]
+
+
+def test_dates_before_a_time_of_day_are_linked():
+    day = one("1980-03-05")[0]
+    for time in ("T10:00:00Z", "T10:00", "t235959Z", "T10Z", "T10:00:00.123+02:00"):
+        assert one(f"at 1980-03-05{time}, done") == (f"at {day}{time}, done", {"date": 1})
+    assert one("1980-03-05Total") == ("1980-03-05Total", {})
+
+
+def test_dates_of_all_years():
+    days = ["0001-01-01", "0025-03-05", "1582-10-15", "1899-12-31", "2100-01-01", "9999-12-31", "1900-01-01", "2099-12-31"]
+    news = [one(d) for d in days]
+    assert all(n == {"date": 1} and datetime.date.fromisoformat(x) and x != d for d, (x, n) in zip(days, news))
+    assert len({x for x, _ in news}) == len(days)
+    assert one("05.03.0025")[0] == ".".join(reversed(one("0025-03-05")[0].split("-")))
+    first, second, _ = one("03/14/1787")[0].split("/")
+    assert int(first) <= 12 < int(second)
+    around = [datetime.date.fromordinal(k).isoformat() for mid in (P._DAY0, P._DAY0 + P._DAYS) for k in range(mid - 300, mid + 300)]
+    assert len({one(d)[0] for d in around}) == len(around)
