@@ -19,14 +19,13 @@ PSEUDONYM_KEY = "corpus-pipeline"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5."""
-    scores = toxicity.score(docs, table(spark, sf_dir, "labels"))
-    toxic = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    """Documents whose toxicity score is below 0.5; each row by its own score, whatever its id."""
+    scores = toxicity.score(docs, table(spark, sf_dir, "labels"), with_rows=True)
+    return scores.where("predicted = 0").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near duplicates."""
+    """One row of each group of near duplicates: that with the least id, null ids last."""
     return ngram_join.one_of_each(docs)
 
 

@@ -125,7 +125,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = N_WORDS) -> Data
                                                   pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
 
     return docs.select("doc_id", text_bytes(F.col("text")).alias("t")).mapInArrow(
-        scan, "doc_id long, node binary, bands array<long>")
+        scan, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, bands array<long>")
 
 
 def node_of(g: np.ndarray) -> bytes:
@@ -195,9 +195,10 @@ def block_links(left: list[tuple], right: list[tuple] | None, threshold=THRESHOL
 
 
 def ngram_join(docs: DataFrame, n: int = N_WORDS, threshold=THRESHOLD, recall: float = 0.9999, rows: int = 5,
-               block: int = 512) -> DataFrame:
+               block: int = 512, distinct_texts: bool = False) -> DataFrame:
     """doc_id, copy_of (least id with the same n-grams), class_id (least id that links lead to),
-    n_links (documents at the threshold or above, copies included)."""
+    n_links (documents at the threshold or above, copies included).
+    Ids can be of any type with an order; with ``distinct_texts`` rows that repeat id and text are verified once."""
     spark = docs.sparkSession
     bands = bands_for(threshold[0] / threshold[1], recall, rows)
     sig = written(spark, signatures(docs, bands, rows, n), "ngram-bands")
@@ -217,6 +218,8 @@ def ngram_join(docs: DataFrame, n: int = N_WORDS, threshold=THRESHOLD, recall: f
               .select("node", "copies", F.col("copy_of").alias("doc_id"), "root", "mine",
                       F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
     with_text = placed.join(docs.select("doc_id", text_bytes(F.col("text")).alias("t")), "doc_id").drop("doc_id")
+    if distinct_texts:
+        with_text = with_text.dropDuplicates()
 
     def verify(key, group):
         with np.errstate(over="ignore"):
@@ -250,10 +253,29 @@ def ngram_join(docs: DataFrame, n: int = N_WORDS, threshold=THRESHOLD, recall: f
     return found.unionByName(alone)
 
 
+def row_key(doc_id, text):
+    """Text that sorts like the id, nulls last, then by a hash of the text; equal for rows with equal id and text only."""
+    order = F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    body = F.md5(F.coalesce(F.concat(F.lit("="), text), F.lit("")).cast("binary"))
+    return F.concat(F.coalesce(F.concat(F.lit("0"), order), F.lit("1")), body)
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but the least doc_id of each class; ids are taken to be unique or null."""
-    gone = ngram_join(docs, **options).where("doc_id <> class_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of each class: that with the least doc_id, nulls last. Rows are told apart by id and
+    text; of rows equal in both one is left. Rows without words stay."""
+    spark = docs.sparkSession
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
+    found = ngram_join(keyed.select(F.col(name).alias("doc_id"), "text"), distinct_texts=True, **options)
+    # Rows with words that are equal have links to each other; rows with equal keys are in one class.
+    rows = written(spark, found.where("n_links > 0").groupBy("doc_id")
+                   .agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")), "ngram-rows")
+    pick = lambda which, to: written(spark, rows.where(which).select(F.col("doc_id").alias(name)), to)      # noqa: E731
+    gone, again = pick("doc_id <> class_id OR n > 1", "ngram-gone"), pick("doc_id = class_id AND n > 1", "ngram-again")
+    once = keyed.join(again, name, "left_semi").dropDuplicates([name])
+    return keyed.join(gone, name, "left_anti").unionByName(once).select(docs.columns)
 
 
 def ngram_join_query(docs: DataFrame) -> DataFrame:

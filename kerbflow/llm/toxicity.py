@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kerbflow.llm.common import Shared, remainder, written
 
@@ -317,8 +318,10 @@ def _matcher(shared) -> Matcher:
     return _MATCHERS["m"]
 
 
-def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 200_000, with_hits: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted (and the features; and hits with their places and weights)."""
+def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 200_000, with_hits: bool = False,
+          with_rows: bool = False) -> DataFrame:
+    """doc_id, held_out, score, predicted (and the features; and hits with their places and weights; and
+    ``row``, the scored row of ``docs`` with all its columns)."""
     spark = docs.sparkSession
     # At most max_labels rows of 12 bytes: the proven bound of this broadcast.
     sample = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(remainder(F.col("doc_id"), fold) != 0)
@@ -332,19 +335,24 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 2
     n_pos = sum(sizes.values()) - n_neg
     lexicon = learn_lexicon(train, n_pos, n_neg) if n_pos and n_neg else ([], [], [])
     shared = Shared(spark, lexicon)
+    source = docs if with_rows else docs.select("doc_id", "text")
+    id_at, text_at = source.columns.index("doc_id"), source.columns.index("text")
 
     def scan(batches):
         matcher = _matcher(shared)
         for b in batches:
-            rows = [features(t, matcher) for t in b.column(1).to_pylist()]
+            rows = [features(t, matcher) for t in b.column(text_at).to_pylist()]
+            whole = [pa.StructArray.from_arrays(b.columns, names=b.schema.names)] if with_rows else []
             hits = [[{"start": s, "end": e, "weight": w} for s, e, w in h] for _, h in rows] if with_hits else [[] for _ in rows]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array([r[0][k] for r in rows], pa.float64()) for k in range(len(FEATURES))),
-                 pa.array(hits, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("weight", pa.float64())])))],
-                names=["doc_id", *FEATURES, "hits"])
+                [b.column(id_at), *(pa.array([r[0][k] for r in rows], pa.float64()) for k in range(len(FEATURES))),
+                 pa.array(hits, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("weight", pa.float64())]))), *whole],
+                names=["doc_id", *FEATURES, "hits", *(["row"] if with_rows else [])])
 
     schema = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES) + ", hits array<struct<start:int,end:int,weight:double>>"
-    found = written(spark, docs.select("doc_id", "text").mapInArrow(scan, schema), "toxic-features")
+    if with_rows:
+        schema = StructType.fromDDL(schema).add("row", source.schema, False)
+    found = written(spark, source.mapInArrow(scan, schema), "toxic-features")
     fit = found.join(F.broadcast(sample), "doc_id").select(*FEATURES, "toxic").toArrow()
     x = np.column_stack([fit.column(f).to_numpy() for f in FEATURES])
     w = fit_logistic(x, (fit.column("toxic").to_numpy() > 0).astype(float))
@@ -353,7 +361,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 2
         line = line + F.col(f) * float(v)
     s = (1 / (1 + F.exp(-line))).alias("score")
     out = found.select("doc_id", (remainder(F.col("doc_id"), fold) == 0).alias("held_out"), s, *FEATURES,
-                       *(["hits"] if with_hits else []))
+                       *(["hits"] if with_hits else []), *(["row"] if with_rows else []))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

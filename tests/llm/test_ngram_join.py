@@ -71,3 +71,19 @@ def test_empty_table_and_bands(spark):
     assert J.ngram_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     b = J.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** 5) ** b >= 0.9999 > 1 - (1 - 0.8 ** 5) ** (b - 1)
+
+
+def test_one_row_of_each_class_whatever_the_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))       # noqa: E731
+    rows = [(5, text("a"), 1), (5, text("a"), 2), (5, text("a"), 3),                        # a source loaded again
+            (7, text("b"), 4), (9, text("b"), 5), (9, text("c"), 6),                        # 9 is a copy's id and another text's
+            (None, text("d"), 7), (None, text("d"), 8), (None, text("d") + " x", 9),        # copies without ids
+            (None, text("e"), 10), (-3, text("e"), 11), (4, text("e"), 12), (30, text("e") + " x", 13),
+            (None, None, 14), (None, "", 15), (8, None, 16), (8, None, 17), (None, text("f"), 18)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key int")
+    got = J.one_of_each(docs)
+    assert got.columns == docs.columns
+    got = {r.row_key: (r.doc_id, r.text) for r in got.collect()}
+    assert all(got[k] == (d, t) for d, t, k in rows if k in got)
+    assert len({1, 2, 3} & got.keys()) == len({7, 8, 9} & got.keys()) == 1
+    assert got.keys() - {1, 2, 3, 7, 8, 9} == {4, 6, 11, 14, 15, 16, 17, 18}

@@ -49,3 +49,15 @@ def test_each_stage_does_its_part(spark, sf_dir):
     assert last[1104].n_chars == len(last[1104].text)
     placed = P.run(spark, folder).collect()
     assert {r.doc_id for r in placed} == kept[3]
+
+
+def test_toxic_rows_go_by_row_not_by_id(spark, tmp_path):
+    docs, labels = corpus(500)
+    toxic, clean = docs[9][1], "baran dotel kivos luwim mezun baran"
+    rows = [(i, t, "s") for i, t, _ in docs] + [(None, toxic, "n"), (9, clean, "c"), (None, clean, "c"), (None, None, "c")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, `a source` string")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").where("doc_id <> 9").write.parquet(f"{tmp_path}/labels.parquet")
+    left = P.drop_toxic(spark, d, str(tmp_path))
+    assert left.columns == d.columns
+    got = collections.Counter(tuple(r) for r in left.collect())
+    assert got == collections.Counter(r for r in rows if r[2] != "n" and not (r[2] == "s" and r[0] % 9 == 0))
