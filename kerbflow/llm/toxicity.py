@@ -5,8 +5,9 @@ The lexicon is learned from labelled rows (at most ``max_labels``, the documente
 bound of the sample; chosen by a hash of the id, all of them below the bound):
 words that stand in toxic documents far more often than chance allows, in
 several different contexts, so that copies of one document prove nothing. Many
-such words with one beginning become a stem. Each word of a text is matched
-against the trie of the lexicon within one edit (two from eight letters on);
+such words with one beginning become a stem. Each word of a text (for a stem, its
+beginning) is matched against the trie of the lexicon within one edit (two from
+eight letters of the entry on);
 misspellings that clean training documents use as well are not hits. A hit counts
 less in a quotation or a report of speech and more in an address.
 
@@ -40,9 +41,9 @@ ADDRESS = frozenset("you your youre tu toi vous votre du dich dir ihr sie tú us
 FEATURES = ("exact", "fuzzy", "density", "strongest", "quoted")
 
 
-def edits_of(entry: str, is_stem: bool = False) -> int:
-    """Edits within which a word is a misspelling; stems, which match any ending, must stand as they are."""
-    return 0 if is_stem or len(entry) < 4 else 1 if len(entry) < 8 else 2
+def edits_of(entry: str, fixed: bool = False) -> int:
+    """Edits within which a word (for a stem, its beginning) is a misspelling; a fixed entry must stand as it is."""
+    return 0 if fixed or len(entry) < 4 else 1 if len(entry) < 8 else 2
 
 
 class LexiconTrie:
@@ -50,20 +51,21 @@ class LexiconTrie:
 
     A state of the automaton is (place in the word, edits so far); a node of the
     trie is left as soon as its state set is empty. A stem matches every word that
-    begins like it, a term only whole words. A word within k edits of an entry has
+    begins like it (with ``stem_edits``, also with a misspelt beginning), a term only
+    whole words. A word (its beginning) within k edits of an entry has
     one of the entry's k + 1 parts unchanged, at most k places off: only entries
     with such a part (and a fitting length) are looked at.
     """
 
-    def __init__(self, terms, stems):
+    def __init__(self, terms, stems, stem_edits: bool = False):
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]                  # edits allowed where a term ends here
         self.stem_ends: list[int] = [-1]
         self.under: list[int] = [0]                  # entries (bits) below the node
         self.parts: dict[tuple[int, int, int], dict[str, int]] = {}      # (edits, place, length) -> part -> entries
-        entries = [(t, False) for t in terms] + [(s, True) for s in stems]
-        for bit, (entry, is_stem) in enumerate(entries):
-            k, node = edits_of(entry, is_stem), 0
+        entries = [(t, False, edits_of(t)) for t in terms] + [(s, True, edits_of(s, not stem_edits)) for s in stems]
+        for bit, (entry, is_stem, k) in enumerate(entries):
+            node = 0
             self.under[0] |= 1 << bit
             for ch in entry:
                 if ch not in self.children[node]:
@@ -79,7 +81,7 @@ class LexiconTrie:
                 x, y = i * len(entry) // (k + 1), (i + 1) * len(entry) // (k + 1)
                 found = self.parts.setdefault((k, x, y - x), {})
                 found[entry[x:y]] = found.get(entry[x:y], 0) | 1 << bit
-        self.most = max((edits_of(*e) for e in entries), default=-1)
+        self.most = max((k for _, _, k in entries), default=-1)
         self.entries = entries
         self.fits: dict[int, int] = {}
         # All parts with their places as one pattern: most words end here.
@@ -90,8 +92,8 @@ class LexiconTrie:
     def _fitting(self, n: int) -> int:
         """Entries that a word of ``n`` letters can match by length."""
         if n not in self.fits:
-            self.fits[n] = sum(1 << i for i, (e, is_stem) in enumerate(self.entries)
-                               if n >= len(e) - edits_of(e, is_stem) and (is_stem or n <= len(e) + edits_of(e)))
+            self.fits[n] = sum(1 << i for i, (e, is_stem, k) in enumerate(self.entries)
+                               if n >= len(e) - k and (is_stem or n <= len(e) + k))
         return self.fits[n]
 
     def candidates(self, word: str) -> int:
@@ -148,7 +150,7 @@ class Matcher:
     """Words to hits, remembered: 0 none, 1 a term as it stands, 2 a misspelling."""
 
     def __init__(self, terms, stems, benign, limit: int = 500_000):
-        self.trie, self.benign, self.limit = LexiconTrie(terms, stems), benign, limit
+        self.trie, self.benign, self.limit = LexiconTrie(terms, stems, stem_edits=True), benign, limit
         self.seen: set[str] = set()
         self.hits: dict[str, int] = {}
 
@@ -254,7 +256,9 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
                     break
                 s = longer[0]
             kept.append(s)
-    terms = [r.entry for r in unusual(whole).collect() if not any(r.entry.startswith(k) for k in kept)]
+    # A stem also finds what is within its edits of a word that begins like it; a word that allows more stays a term.
+    terms = [r.entry for r in unusual(whole).collect()
+             if not any(r.entry.startswith(k) and edits_of(r.entry) <= edits_of(k) for k in kept)]
     shared = Shared(spark, (frozenset(terms), tuple(kept)))
 
     def contexts(batches):
@@ -268,9 +272,12 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
                     ws = ["", *_WORD.findall(t.lower()), ""]
                     for i in range(1, len(ws) - 1):
                         w = ws[i]
-                        e = w if w in words_ else (m[0] if (m := begins(w)) else None)
-                        if e is not None:
-                            rows.add((e, crc32(f"{ws[i - 1]} {w} {ws[i + 1]}".encode())))
+                        entries = [w] if w in words_ else []
+                        if m := begins(w):
+                            entries.append(m[0])
+                        if entries:
+                            c = crc32(f"{ws[i - 1]} {w} {ws[i + 1]}".encode())
+                            rows.update((e, c) for e in entries)
             cols = list(zip(*rows)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64())], names=["entry", "c"])
 
@@ -281,7 +288,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
     lexicon = Shared(spark, (terms, stem_list))
 
     def near(batches):
-        trie = LexiconTrie(*lexicon.value)
+        trie = LexiconTrie(*lexicon.value, stem_edits=True)
         for b in batches:
             hit = [w for w in b.column(0).to_pylist() if (trie.match(w) or 0) > 0]
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.string())], names=["word"])

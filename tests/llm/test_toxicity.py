@@ -90,3 +90,32 @@ def test_without_labels_or_rows(spark):
 def test_logistic_with_one_class(y):
     w = X.fit_logistic(np.zeros((len(y), 2)), np.array(y, float))
     assert np.isfinite(w).all()
+
+
+def test_misspelt_beginnings_match_stems():
+    rng = random.Random(7)
+    terms, stems = ["idiot", "scum", "vequantorio"], ["lowei", "vequ", "snarflebu", "ido"]
+    trie, words = X.LexiconTrie(terms, stems, stem_edits=True), ["lowaiheit", "1oweiheit", "lwei", "vqeu", "", "xdo", "idox"]
+    for _ in range(4000):
+        w = list(rng.choice(terms + stems) + "".join(rng.choices("abeiou", k=rng.choice([0, 0, 1, 4, 9]))))
+        for _ in range(rng.randrange(4)):
+            p = rng.randrange(len(w))
+            w[p:p + rng.randrange(2)] = rng.choice(["", "a", "e", "q"])
+            w = w or ["x"]
+        words.append("".join(w))
+    for w in words:
+        best = [distance(w, t) for t in terms if distance(w, t) <= X.edits_of(t)]
+        best += [e for s in stems for e in [min(distance(w[:k], s) for k in range(len(w) + 1))] if e <= X.edits_of(s)]
+        assert trie.match(w) == (min(best) if best else None), w
+    m = X.Matcher([], ["lowei"], frozenset({"lowenbrau"}))
+    assert m.found(["lowaiheit", "loweiheit", "lowenbrau"]) == {"lowaiheit", "loweiheit"}
+    assert m.hits == {"lowaiheit": 2, "loweiheit": 1}
+
+
+def test_learned_stem_finds_misspelt_beginnings(spark):
+    docs, labels = corpus()
+    terms, stems, benign = X.learn_lexicon(
+        spark.createDataFrame([(t, int(i % 9 == 0)) for i, t, _ in docs], "text string, toxic int"), 100, 800)
+    assert any("grubbex".startswith(s) or s.startswith("grubbex") for s in stems)
+    m = X.Matcher(terms, stems, frozenset(benign))
+    assert m.found(["grxbbexa", "grubexc", "vos"]) == {"grxbbexa", "grubexc"}
