@@ -35,6 +35,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, columns) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column yet (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(doc_id, modulus: int):
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
@@ -72,10 +80,11 @@ class WordIds:
     it stands (the byte-level one together with the space before it), so a text's
     ids are those of its words in order. Cuts are made only at a space or newline
     that follows a non-space character; texts with any other white space go
-    through the tokenizer whole. A word of Latin-1 letters and ASCII marks after
-    them is one piece and another of either pattern: its pieces go to the BPE model
-    directly. The cache holds two generations of ``limit`` words, which changes
-    speed only.
+    through the tokenizer whole, as do texts that hold the content of an added token
+    (in any case of letters, since a normaliser may change it). A word of Latin-1
+    letters and ASCII marks after them is one piece and another of either pattern:
+    its pieces go to the BPE model directly. The cache holds two generations of
+    ``limit`` bytes of words and ids, which changes speed only.
     """
 
     _ODD = re.compile("[" + "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -83,14 +92,15 @@ class WordIds:
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
     _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 500_000):
+    def __init__(self, path: str, keeps_space: bool, limit: int = 48_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added), re.I).search if added else (lambda t: None)
         self.model = self.tok.model
         self.keeps_space = keeps_space
         self.split = self._KEEP_SPACE.findall if keeps_space else (lambda t: t.replace("\n", " ").split(" "))
-        self.limit = limit
+        self.limit, self.size = limit, 0
         self.cache: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         # Byte-level BPE writes each byte as a character: printable ones as themselves, the others from 256 on.
@@ -106,11 +116,15 @@ class WordIds:
             if known is None:
                 shown = text.encode().decode("latin-1").translate(self.letters)
                 known = _ids([t.id for t in self.model.tokenize(shown)])
-            self.cache[text] = known
+            self._keep(text, known)
         return known
 
+    def _keep(self, text: str, ids: bytes) -> None:
+        self.cache[text] = ids
+        self.size += 180 + len(text) + len(ids)         # two objects and their place in the table
+
     def _learn(self, words: set[str]) -> None:
-        cache, old, plain, rest = self.cache, self.old, self._PLAIN.fullmatch, []
+        old, plain, rest = self.old, self._PLAIN.fullmatch, []
         for w in words:
             known = old.get(w)
             if known is None:
@@ -126,16 +140,16 @@ class WordIds:
                 else:
                     rest.append(w)
                     continue
-            cache[w] = known
+            self._keep(w, known)
         for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            cache[w] = _ids(e.ids)
+            self._keep(w, _ids(e.ids))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > self.limit:
-            self.old, self.cache = self.cache, {"": b""}
-        odd = self._ODD.search
-        parts = [None if odd(t) else self.split(t) for t in texts]
+        if self.size > self.limit:
+            self.old, self.cache, self.size = self.cache, {"": b""}, 0
+        odd, added = self._ODD.search, self.added
+        parts = [None if odd(t) or added(t) else self.split(t) for t in texts]
         seen: set[str] = set()
         for p in parts:
             if p is not None:
@@ -153,14 +167,23 @@ class WordIds:
         return out
 
 
-_LOADED: dict = {}
+_HELD: dict = {}
+
+
+def worker_held(key, build):
+    """``build()``, kept in this Python worker until another operator asks for its own.
+
+    Workers are used again by later tasks: what one operator remembers (a cache of
+    words, an automaton) must not stay beside what the next one builds.
+    """
+    if _HELD.get("key") != key:
+        _HELD.clear()
+        _HELD.update(key=key, value=build())
+    return _HELD["value"]
 
 
 def word_ids(path: str, keeps_space: bool) -> WordIds:
     """One tokenizer and cache per Python worker and file."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    key = (path, keeps_space)
-    if key not in _LOADED:
-        _LOADED[key] = WordIds(path, keeps_space)
-    return _LOADED[key]
+    return worker_held(("tokens", path, keeps_space), lambda: WordIds(path, keeps_space))

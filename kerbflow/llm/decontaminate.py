@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from kerbflow.llm.common import Shared, text_bytes
+from kerbflow.llm.common import Shared, free_name, text_bytes, worker_held
 
 #: Lower-cases A-Z, keeps 0-9, a-z and every non-ASCII byte, and makes all else a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -184,13 +184,10 @@ def item_shards(benchmark: DataFrame, shard_words: int) -> list[list[tuple[str,
 
 #: Bound of the test items that tasks receive; more than all public test sets together need.
 MAX_BENCHMARK_BYTES = 256 << 20
-_BUILT: dict = {}
 
 
 def _automata(shared, window: int) -> list[SuffixAutomaton]:
-    if _BUILT.get("of") != (shared.id, window):
-        _BUILT["of"], _BUILT["automata"] = (shared.id, window), [SuffixAutomaton(s, window) for s in shared.value]
-    return _BUILT["automata"]
+    return worker_held((shared.id, window), lambda: [SuffixAutomaton(s, window) for s in shared.value])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_share: float = 0.05,
@@ -226,11 +223,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_s
 
 def flag(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_share: float = 0.05,
          shard_words: int = 2_000_000) -> DataFrame:
-    """``docs``, row by row, with the column ``contaminated`` added."""
+    """``docs``, row by row, with the column ``contaminated`` added last (``contaminated_`` beside one of that name)."""
     shared = Shared(docs.sparkSession, item_shards(benchmark, shard_words))
     per_million = round(min_share * 1_000_000)
     at = docs.columns.index("text")
-    names = [*docs.columns, "contaminated"]
+    names = [*docs.columns, free_name("contaminated", docs.columns)]
 
     def scan(batches):
         automata = _automata(shared, window)
@@ -242,7 +239,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_share: flo
                 out.append(n_hit > 0 and 1_000_000 * n_hit >= per_million * len(words))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.bool_())], names=names)
 
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("contaminated", BooleanType())]))
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField(names[-1], BooleanType())]))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5, **options) -> DataFrame:

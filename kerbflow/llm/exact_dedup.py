@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import SPACE_CLASS, written
+from kerbflow.llm.common import SPACE_CLASS, free_name, written
 
 TRACKED = 10_000        # counters of a summary (held in 16,384 slots)
 CANDIDATES = 4_096      # counters that can be at 1/SHARE of all rows less the error: below 3,500
@@ -87,9 +87,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    spark, row = docs.sparkSession, "row"
-    while row.lower() in {c.lower() for c in docs.columns}:
-        row += "_"
+    spark, row = docs.sparkSession, free_name("row", docs.columns)
     rows = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "dedup-rows")
     keys = written(spark, digest_rows(rows, id_col, text_col, row), "dedup-digests")
     stay = _mark(keys, share).where("kept").select(F.col("row").alias(row))

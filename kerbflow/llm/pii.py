@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbflow.llm.common import free_name
+
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
 _OTHER_DAYS = datetime.date.max.toordinal() - _DAYS
@@ -238,9 +240,9 @@ def pseudonymise(text: str, perm: Permutation) -> tuple[str, dict[str, int]]:
 
 
 def pseudonymise_docs(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with the texts replaced and a column ``pii`` (map of kind to count) added."""
+    """``docs`` with the texts replaced and a column ``pii`` (map of kind to count) added last (``pii_`` beside one of that name)."""
     at = docs.columns.index(text)
-    names = [*docs.columns, "pii"]
+    names = [*docs.columns, free_name("pii", docs.columns)]
     secret = hashlib.sha256(key.encode()).digest()
 
     def scan(batches):
@@ -255,7 +257,7 @@ def pseudonymise_docs(docs: DataFrame, key: str, text: str = "text") -> DataFram
             yield pa.RecordBatch.from_arrays([*cols, pa.array(found, pa.map_(pa.string(), pa.int32()))], names=names)
 
     from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField("pii", MapType(StringType(), IntegerType()))]))
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField(names[-1], MapType(StringType(), IntegerType()))]))
 
 
 def pii_query(docs: DataFrame, key: str = "op6-pseudonyms") -> DataFrame:

@@ -1,20 +1,35 @@
 """Operator 8, LM scoring by a probabilistic suffix tree.
 
-The tree's symbols are words: each of the ``max_head`` most frequent words for
-itself, all others by their last two bytes, and the end of a text. A context is
-the end of the text before a symbol, one to three bytes (a space counts, so short
-words are whole). A context is kept if its next-symbol distribution diverges
-enough from that of its suffix (count times Kullback-Leibler divergence); the
-suffixes of a kept context are kept. Distributions are smoothed down the suffix
-chain (Witten-Bell), and a symbol is scored in the longest kept suffix state. The
-root is the distribution of the training words (count plus 0.1), which also
-divides a class among its words:
-
-    P(word | text) = P(symbol | state) * P(word | root) / P(symbol | root)
-
-All training words and pairs are counted, over all documents. What goes to every
-task is bounded: ``max_contexts`` contexts (the strongest), ``max_head`` symbols
-and ``max_counts`` frequent words' counts; other words' counts come by a join.
+Symbols are words (A-Z lower-cased) and the end of a text. A context is a suffix of
+the text before a symbol: the last three bytes of the last word (order 1), that
+word (2), the last two words (3), and so on up to ``depth`` words; the start of a
+text is a word, too. A context's own suffix is that of the order below. Words,
+contexts and grams are told apart by 63-bit hashes. All counts are Spark
+aggregates over all training documents:
+
+* A context is tested if it stands ``min_count`` times or more.
+* It stores a symbol seen ``cut`` times or more after it if the symbol's count there
+  gains more than ``penalty`` nats over the suffix's distribution. Stored symbols
+  have their counts less ``discount``; the rest of the mass is shared like the
+  suffix's among the others:
+
+      P(s | c) = (n(c s) - discount) / n(c) if s is stored, else e(c) P(s | suffix of c)
+
+  At order 1, below all words that can be counted there, symbols are classes (the
+  last two bytes of a word), and a class is divided by its words' shares: what a
+  text ends with tells much about words too rare to be counted after it.
+* Divergence test: a context is kept if the training tokens after it gain more
+  than ``penalty`` nats for each of its symbols over its suffix's distribution:
+  its count times the divergence, against the cost of what it stores, so more
+  text keeps more contexts. The suffixes of kept contexts are kept.
+* A token is scored in its longest kept context. Down the suffix chain its log
+  share is the root's, plus log e of each of its kept contexts, plus a term of its
+  own for each stored gram, so a text's score is a sum over what its keys find. An
+  order's kept table is sent to every task while the counted rows of all tables
+  sent are within ``SMALL``; the keys of other orders are joined with theirs.
+
+The root is the words' distribution with 0.1 added to each count, which is also
+the base score. Nothing is capped: more text gives more contexts and grams.
 
 Defined cases: a null or empty text is its end token alone; null doc_ids count
 as the id '' when the held-out part is chosen; repeated rows are scored and
@@ -25,246 +40,369 @@ uniform; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from array import array
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import Shared, remainder, text_bytes, written
 
-END = b"\n"      # never part of a word
-DEPTH = 3
+END = b"\n"                     # never part of a word
+ROOT = 0x243F6A8885A308D3       # the context of no words
+ENDINGS = 0x13198A2E03707344    # what the contexts of order 1 are mixed with
+SMALL = 6_000_000               # rows of 16 bytes that may be sent to every task
+CHUNK = 1_000_000               # tokens that a task counts before it passes counts on
+_MASK = np.int64(2 ** 63 - 1)
+
+
+def hash_of(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) >> 1
+
+
+START = hash_of(b"\n\n")
+START_TAIL = 0x0A0A0A
+
+
+def tail_of(word: bytes) -> int:
+    """The last three bytes, the last one lowest; spaces before shorter words."""
+    return int.from_bytes(word[-3:].rjust(3), "big")
+
+
+class WordTable(dict):
+    """Words to places in ``hashes`` and ``tails``; one per task, emptied between texts beyond a bound."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes, self.tails = array("q"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self.hashes)
+        self.hashes.append(hash_of(word))
+        self.tails.append(tail_of(word))
+        return i
+
+    def bound(self, most: int = 100_000) -> None:
+        if len(self) > most:
+            self.clear()
+            self.hashes, self.tails = array("q"), array("q")
+
+
+def mix(word, context):
+    """The hash of a context from its last word and the context before that; a gram's from its symbol and context."""
+    x = np.asarray(context).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(word).astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return (x ^ (x >> np.uint64(32))).astype(np.int64) & _MASK
+
+
+class Tokens:
+    """The tokens of some texts: hashes and tails with a START before each text, places of the tokens, tokens by text."""
+
+    def __init__(self, texts, table: WordTable):
+        table.bound()
+        words = [t.as_buffer().to_pybytes().lower().split() for t in texts]
+        self.sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
+        flat = np.zeros(int(self.sizes.sum()) + len(words), dtype=np.int64)
+        end = table[END]
+        for at, w in zip(self.starts.tolist(), words):
+            flat[at + 1:at + 1 + len(w)] = np.fromiter(map(table.__getitem__, w), np.int64, len(w))
+            flat[at + 1 + len(w)] = end
+        self.flat, self.tails = np.array(table.hashes)[flat], np.array(table.tails)[flat]
+        self.flat[self.starts], self.tails[self.starts] = START, START_TAIL
+        places = np.ones(len(flat), dtype=bool)
+        places[self.starts] = False
+        self.places = np.flatnonzero(places)
+        self.symbols, self.classes = self.flat[self.places], class_of(self.tails[self.places])
+
+    def contexts(self, orders: int) -> list[np.ndarray]:
+        """For orders 1 to ``orders`` the context of every token; -1 where the text has fewer words before it."""
+        before = self.places - np.repeat(self.starts, self.sizes)             # START and words before each token
+        out = [ending_context(self.tails)[self.places - 1]]
+        ending = mix(self.flat, ROOT)                                         # contexts that end at each place
+        for words in range(1, orders):
+            out.append(np.where(before >= words, ending[self.places - 1], -1))
+            if words < orders - 1:
+                ending = mix(self.flat, np.concatenate([[0], ending[:-1]]))
+        return out
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def class_of(tails):
+    return tails & 0xFFFF
 
 
-def count_words(train: DataFrame, flush: int = 500_000) -> DataFrame:
-    """(word, c) over all texts ``t``, with one END a text; counted in tasks first."""
-    def count(batches):
-        seen: Counter = Counter()
+def ending_context(tails) -> np.ndarray:
+    """Contexts of order 1."""
+    return mix(tails, ENDINGS)
 
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()),
-                                               pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-        for b in batches:
-            for t in b.column(0):
-                seen.update(words_of(t.as_buffer().to_pybytes()))
-            seen[END] += b.num_rows
-            if len(seen) >= flush:
-                yield rows()
-                seen.clear()
-        if seen:
-            yield rows()
-
-    return train.select("t").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def _flat(t: bytes):
-    """The text's words, and for each its last three bytes as a number."""
-    low = t.lower().translate(_SPACES)
-    words = low.split()
-    raw = np.frombuffer(b"   " + low + b" ", np.uint8).astype(np.int64)
-    ends = np.flatnonzero((raw[:-1] != 32) & (raw[1:] == 32))
-    last, mid = raw[ends], raw[ends - 1]
-    first = np.where(mid == 32, 32, raw[ends - 2])
-    return words, last | mid << 8 | first << 16
-
-
-_SPACES = bytes(32 if 9 <= c <= 13 else c for c in range(256))
-START = 0x0A0A0A                 # the context of a text's first symbol
-_SYM, _CTX = 24, 48              # bits below which a gram has its symbol, and its context
-_CLASS, _END = 1 << 20, 1 << 21
-
-
-def symbols(words: list[bytes], ends: np.ndarray, head: dict[bytes, int]) -> np.ndarray:
-    """The symbol of each word, and the end's."""
-    get = head.get
-    own = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-    return np.append(np.where(own >= 0, own, _CLASS | ends & 0xFFFF), _END)
-
-
-def gram_counts(train: DataFrame, head: Shared) -> DataFrame:
-    """(gram, n): the three-byte context, then the symbol, over all texts ``t``."""
-    def pairs(batches):
-        index = head.value
-        for b in batches:
-            codes = []
-            for t in b.column(0):
-                words, ends = _flat(t.as_buffer().to_pybytes())
-                codes.append(np.append([START], ends) << _SYM | symbols(words, ends, index))
-            u, n = np.unique(np.concatenate(codes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64))], names=["gram", "n"])
-
-    return train.select("t").mapInArrow(pairs, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def all_orders(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(k, context, symbol, n, total) for contexts of 0 to ``depth`` bytes."""
-    ctx, sym = F.shiftright("gram", _SYM), F.col("gram").bitwiseAND((1 << _SYM) - 1)
-    levels = F.array(*[F.struct(F.lit(k).alias("k"), ctx.bitwiseAND((1 << 8 * k) - 1).alias("context")) for k in range(depth + 1)])
-    g = (grams.select(F.explode(levels).alias("l"), sym.alias("symbol"), "n")
-         .groupBy("l.k", "l.context", "symbol").agg(F.sum("n").alias("n")))
-    total = g.groupBy("k", "context").agg(F.sum("n").alias("total"))
-    return g.join(total, ["k", "context"])
-
-
-def kept_contexts(orders: DataFrame, min_gain: float, max_contexts: int, depth: int = DEPTH) -> DataFrame:
-    """(k, context) of those that pass the divergence test, and of their suffixes."""
-    mask = F.when(F.col("k") == 1, 0).when(F.col("k") == 2, 0xFF).otherwise(0xFFFF)
-    child = orders.where("k > 0").withColumn("pk", F.col("k") - 1).withColumn("pc", F.col("context").bitwiseAND(mask))
-    parent = orders.select(F.col("k").alias("pk"), F.col("context").alias("pc"), "symbol", F.col("n").alias("pn"),
-                           F.col("total").alias("pt"))
-    gain = F.sum(F.col("n") * (F.log(F.col("n") / F.col("total")) - F.log(F.col("pn") / F.col("pt"))))
-    strong = (child.join(parent, ["pk", "pc", "symbol"]).groupBy("k", "context").agg(gain.alias("gain"))
-              .where(F.col("gain") >= min_gain).orderBy(F.desc("gain"), "k", "context").limit(max_contexts))
-    chain = F.transform(F.sequence(F.lit(1), F.col("k")), lambda j: F.struct(
-        j.alias("k"), F.when(j == 1, F.col("context").bitwiseAND(0xFF)).when(j == 2, F.col("context").bitwiseAND(0xFFFF))
-        .otherwise(F.col("context")).alias("context")))
-    return strong.select(F.explode(chain).alias("l")).select("l.*").distinct()
-
-
-class SuffixTree:
-    """Smoothed log10 probabilities by gram and escape weights by context, as sorted arrays."""
-
-    def __init__(self, k: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, depth: int = DEPTH):
-        self.depth = depth
-        state = k << _CTX | context << _SYM
-        gram = state | symbol
-        order = np.argsort(gram)
-        self.gram, state, n, k = gram[order], state[order], n[order], k[order]
-        self.state, where, kinds = np.unique(state, return_inverse=True, return_counts=True)
-        total = np.bincount(where, weights=n, minlength=len(self.state))
-        self.log = np.zeros(len(n))
-        prob = np.zeros(len(n))
-        root = k == 0
-        prob[root] = n[root] / max(1, n[root].sum())
-        for j in range(1, depth + 1):
-            i = np.flatnonzero(k == j)
-            shorter = (j - 1) << _CTX | self.gram[i] & (((1 << 8 * (j - 1)) - 1) << _SYM) | self.gram[i] & ((1 << _SYM) - 1)
-            up = prob[np.searchsorted(self.gram, shorter)]
-            t, m = kinds[where[i]], total[where[i]]
-            prob[i] = (n[i] + t * up) / (m + t)
-        self.log = np.log10(prob)
-        self.escape = np.log10(kinds / (total + kinds)) if len(total) else total
-
-    def _find(self, keys: np.ndarray, wanted: np.ndarray):
-        i = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-        return i, (keys[i] == wanted if len(keys) else np.zeros(len(wanted), bool))
-
-    def gains(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | longest kept suffix state) - log10 P(symbol | root); 0 for unseen symbols."""
-        out, done = np.zeros(len(symbol)), np.zeros(len(symbol), bool)
-        at_root, seen = self._find(self.gram, symbol)
-        todo = np.flatnonzero(seen)
-        root = self.log[at_root[todo]] if len(self.log) else np.zeros(0)
-        out[todo] -= root
-        for j in range(self.depth, 0, -1):
-            key = j << _CTX | (context[todo] & ((1 << 8 * j) - 1)) << _SYM
-            i, has = self._find(self.state, key)
-            g, hit = self._find(self.gram, key | symbol[todo])
-            out[todo[hit]] += self.log[g[hit]]
-            miss = has & ~hit
-            out[todo[miss]] += self.escape[i[miss]]
-            todo, root = todo[~hit], root[~hit]
-        out[todo] += root
-        return out
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
 
-def tree_rows(orders: DataFrame, kept: DataFrame):
-    """The grams of the kept contexts and of the root, as arrays; bounded by contexts times symbols."""
-    rows = (orders.where("k > 0").join(kept, ["k", "context"], "left_semi").select("k", "context", "symbol", "n")
-            .unionByName(orders.where("k = 0").select("k", "context", "symbol", "n")))
-    t = rows.toArrow()
-    return [t.column(c).to_numpy().astype(np.int64) for c in ("k", "context", "symbol", "n")]
 
+def _slices(batch, rows: int = 512):
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
 
-def head_words(words: DataFrame, max_head: int) -> dict[bytes, int]:
-    """The most frequent words with their counts: all with at least 2**k, for the least k that fits the bound."""
-    sizes = dict(words.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect())
-    n, least = 0, None
-    for k in sorted(sizes, reverse=True):
-        if n + sizes[k] > max_head:
-            break
-        n, least = n + sizes[k], k
-    if least is None:
-        return {}
-    t = words.where(F.floor(F.log2("c")) >= least).select("word", "c").toArrow()
-    return dict(zip(t.column("word").to_pylist(), t.column("c").to_pylist()))
 
+def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
+    """Rows of ``take(Tokens)`` (equal arrays, named by ``columns``) and how often (n) each stands in the texts ``t``.
 
-_CACHE: dict = {}
+    Tasks count ``CHUNK`` of them at a time before Spark adds the counts.
+    """
+    names = columns.split()
+
+    def count(batches):
+        table, held, n = WordTable(), [], 0
+        for b in batches:
+            for part in _slices(b):
+                held.append(take(Tokens(part.column("t"), table)))
+                n += len(held[-1][0])
+                if n >= CHUNK:
+                    yield counted(held)
+                    held, n = [], 0
+        if held:
+            yield counted(held)
 
+    def counted(held):
+        cols = [np.concatenate(x) for x in zip(*held)]
+        _, first, n = np.unique(mix(cols[1], cols[0]) if len(cols) > 1 else cols[0], return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in cols), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
-def _worker_state(shared):
-    if _CACHE.get("id") != shared.id:
-        rows, head, counts, depth, norm = shared.value
-        _CACHE.clear()
-        _CACHE.update(id=shared.id, tree=SuffixTree(*rows, depth), head=head,
-                      logs={w: math.log10(c + 0.1) - norm for w, c in counts.items()})
-    return _CACHE["tree"], _CACHE["head"], _CACHE["logs"]
+    return (rows.select("t").mapInArrow(count, ", ".join(f"{c} long" for c in [*names, "n"]))
+            .groupBy(*names).agg(F.sum("n").alias("n")))
 
 
-def score(docs: DataFrame, fold: int = 10, depth: int = DEPTH, min_gain: float = 30.0, max_contexts: int = 1000,
-          max_head: int = 5000, max_counts: int = 200_000) -> DataFrame:
+def count_words(rows: DataFrame) -> DataFrame:
+    """(sym, tail, c): how often each word and the end stand in the texts."""
+    return _counted(rows, "sym tail", lambda x: (x.symbols, x.tails[x.places])).withColumnRenamed("n", "c")
+
+
+def count_grams(rows: DataFrame, order: int, candidates: Shared | None) -> DataFrame:
+    """(ctx, sym, n) of one order; ``candidates`` (if it is given) holds the contexts that can reach the least count."""
+    def take(x: Tokens):
+        ctx = x.contexts(order)[-1]
+        fine = ctx >= 0 if candidates is None else among(ctx, candidates.value)
+        return ctx[fine], (x.classes if order == 1 else x.symbols)[fine]
+    return _counted(rows, "ctx sym", take)
+
+
+def _mapped(df: DataFrame, columns: str, compute) -> DataFrame:
+    """Columns computed in numpy from those of ``df``."""
+    names = columns.split()
+
+    def apply(batches):
+        for b in batches:
+            cols = compute({c: b.column(c).to_numpy() for c in b.schema.names})
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+    return df.mapInArrow(apply, ", ".join(f"{c} {'double' if c == 'value' else 'long'}" for c in names))
+
+
+def _few(df: DataFrame, bound: int = SMALL) -> DataFrame:
+    """``df`` to be broadcast if it has been written and its counted rows are within the bound."""
+    return F.broadcast(df) if df.count() <= bound else df
+
+
+def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, min_count: int, cut: int, discount: float,
+          penalty: float):
+    """[(order, (key, value, state))] of the kept contexts (log10 e) and their stored grams (log10 of what they add), written."""
+    spark, texts, scale = rows.sparkSession, rows.count(), n_train + 0.1 * (v + 1)
+    heads = words.where(F.col("sym") != hash_of(END)).select("sym", "tail", "c").unionByName(
+        spark.createDataFrame([(START, START_TAIL, texts)], "sym long, tail long, c long"))
+    share = F.log((F.col("c") + 0.1) / scale)
+    classes = (words.groupBy(class_of_column(F.col("tail")).alias("sym"))
+               .agg(F.log(F.sum(F.col("c") + 0.1) / scale).alias("low")).withColumn("root", F.col("low")))
+    known = words.where(F.col("c") >= cut).select("sym", class_of_column(F.col("tail")).alias("class"), share.alias("root"))
+
+    tables = []
+    for order in range(1, depth + 2):
+        if order == 1:
+            level = _mapped(heads.groupBy("tail").agg(F.sum("c").alias("n")).where(F.col("n") >= min_count), "ctx suffix total",
+                            lambda x: (ending_context(x["tail"]), np.full(len(x["n"]), ROOT), x["n"]))
+        elif order == 2:
+            level = _mapped(heads.where(F.col("c") >= min_count), "ctx suffix total",
+                            lambda x: (mix(x["sym"], ROOT), ending_context(x["tail"]), x["c"]))
+        else:
+            # One word longer: what came after a context is its last word now, and the suffix grows by it as well.
+            longer = tables[-1][0].where((F.col("n") >= min_count) & (F.col("sym") != hash_of(END)))
+            level = _mapped(longer.select("ctx", "suffix", "sym", "n"), "ctx suffix total",
+                            lambda x, first=order == 3: (mix(x["sym"], x["ctx"]), mix(x["sym"], ROOT if first else x["suffix"]), x["n"]))
+        level = written(spark, level, f"lm-candidates-{order}")
+        n_level = level.count()
+        if not n_level:
+            break
+        able = Shared(spark, np.sort(level.select("ctx").toArrow().column(0).to_numpy())) if n_level <= SMALL else None
+        grams = count_grams(rows, order, able).where(F.col("n") >= cut)
+        if order == 1:
+            found = grams.join(_few(classes), "sym")
+        elif order == 2:
+            found = grams.join(known, "sym")
+        else:
+            found = grams
+        found = found.join(_few(level), "ctx")
+        if order == 2:
+            # The suffix's share of a word: its class's there, divided by the words' own shares.
+            below, below_mass, _ = tables[-1]
+            lift = below.select(F.col("ctx").alias("suffix"), F.col("sym").alias("class"), (F.col("high") - F.col("root")).alias("lift"))
+            out = below_mass.select(F.col("ctx").alias("suffix"), F.col("escape").alias("out"))
+            found = (found.join(_few(out), "suffix", "left").join(_few(lift), ["suffix", "class"], "left")
+                     .withColumn("low", F.col("root") + F.coalesce("lift", "out", F.lit(0.0))))
+        elif order > 2:
+            found = found.join(tables[-1][0].select(F.col("ctx").alias("suffix"), "sym", F.col("high").alias("low"), "root"), ["suffix", "sym"])
+        own = F.col("n") * (F.log(F.col("n") / F.col("total")) - F.col("low")) > penalty
+        found = written(spark, found.select("ctx", "suffix", "sym", "n", "total", "low", "root", own.alias("own")), f"lm-grams-{order}")
+        mass = (found.groupBy("ctx").agg(F.first("suffix").alias("suffix"), F.first("total").alias("total"),
+                                         F.coalesce(F.sum(F.when(F.col("own"), F.col("n"))), F.lit(0)).alias("held"),
+                                         F.count_if("own").alias("kinds"), F.coalesce(F.sum(F.when(F.col("own"), F.exp("low"))), F.lit(0.0)).alias("low"))
+                .withColumn("escape", F.log((F.col("total") - F.col("held") + discount * F.col("kinds")) / F.col("total"))
+                            - F.log(F.greatest(1 - F.col("low"), F.lit(1e-9)))))
+        mass = written(spark, mass, f"lm-mass-{order}")
+        rest = F.col("escape") + F.col("low")
+        high = F.when(F.col("own"), F.log((F.col("n") - discount) / F.col("total"))).otherwise(rest)
+        full = written(spark, found.join(_few(mass.select("ctx", "held", "kinds", "escape")), "ctx").withColumn("high", high),
+                       f"lm-order-{order}")
+        gain = (F.coalesce(F.sum(F.when(F.col("own"), F.col("n") * (F.col("high") - F.col("low")))), F.lit(0.0))
+                + F.first((F.col("total") - F.col("held")) * F.col("escape")))
+        kept = (full.groupBy("ctx").agg(gain.alias("gain"), F.first("kinds").alias("kinds"))
+                .where(F.col("gain") > penalty * (F.col("kinds") + 1)).select("ctx"))
+        tables.append((full, mass, kept))
+    out, longer = [], None
+    for order, (full, mass, kept) in reversed(list(enumerate(tables, 1))):          # a kept context's suffixes are kept
+        kept = _few(written(spark, (kept if longer is None else kept.unionByName(longer)).distinct(), "lm-kept"))
+        states = mass.join(kept, "ctx", "left_semi")
+        longer = states.select(F.col("suffix").alias("ctx"))
+        grams = full.where("own").join(kept, "ctx", "left_semi").withColumn("value", F.col("high") - F.col("low") - F.col("escape"))
+        grams = _mapped(grams.select("ctx", "sym", "value"), "key value", lambda x: (mix(x["sym"], x["ctx"]), x["value"]))
+        both = states.select(F.col("ctx").alias("key"), F.col("escape").alias("value"), F.lit(True).alias("state")).unionByName(
+            grams.withColumn("state", F.lit(False)))
+        out.append((order, written(spark, both.withColumn("value", F.col("value") / math.log(10)), f"lm-tree-{order}")))
+    return out[::-1]
+
+
+def class_of_column(tail):
+    return tail.bitwiseAND(F.lit(0xFFFF))
+
+
+class KeyTable:
+    """Values of 63-bit keys, as sorted arrays."""
+
+    def __init__(self, table: pa.Table):
+        keys = table.column("key").to_numpy()
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], table.column("value").to_numpy()[order]
+
+    def find(self, keys: np.ndarray):
+        """(which are here, the values of those)."""
+        here = among(keys, self.keys)
+        return here, self.values[np.searchsorted(self.keys, keys[here])]
+
+
+def sent_tables(tree) -> tuple[dict, list]:
+    """{order: (states, grams)} of the orders whose tables together are within ``SMALL`` rows, and the other orders' frames."""
+    sent, left, rows = {}, [], 0
+    for order, df in tree:
+        n = df.count()
+        if rows + n <= SMALL:
+            rows += n
+            t = df.toArrow()
+            sent[order] = tuple(KeyTable(t.filter(pc.equal(t.column("state"), x))) for x in (True, False))
+        else:
+            left.append((order, df.select("key", "value")))
+    return sent, left
+
+
+def head_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words by hash, with their counts: all with at least 2**k, for the least k that fits ``most``."""
+    sizes = dict(words.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect())
+    n, least = 0, 63
+    for k in sorted(sizes, reverse=True):
+        if n + sizes[k] > most:
+            break
+        n, least = n + sizes[k], k
+    t = words.where(F.floor(F.log2("c")) >= least).select("sym", "c").toArrow()
+    sym, c = t.column("sym").to_numpy(), t.column("c").to_numpy()
+    order = np.argsort(sym)
+    return sym[order], c[order]
+
+
+def tree_terms(x: Tokens, sent: dict, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What each token gains by the tables that are here, and the keys that must be looked up elsewhere by order."""
+    gain, keys = np.zeros(len(x.symbols)), []
+    todo = np.arange(len(x.symbols))                # tokens that may have a kept context of this order
+    for order, ctx in enumerate(x.contexts(depth + 1), 1):
+        symbols = x.classes if order == 1 else x.symbols
+        todo = todo[ctx[todo] >= 0]
+        if order in sent:
+            states, grams = sent[order]
+            here, value = states.find(ctx[todo])
+            todo = todo[here]                       # the suffixes of kept contexts are kept
+            gain[todo] += value
+            here, value = grams.find(mix(symbols[todo], ctx[todo]))
+            gain[todo[here]] += value
+        else:
+            keys.append((todo, ctx[todo], mix(symbols[todo], ctx[todo])))
+    return gain, keys
+
+
+def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_count: int = 30, cut: int = 2, discount: float = 0.75,
+          penalty: float = 2.0, max_counts: int = 200_000) -> DataFrame:
     """Train on documents outside the held-out fold; score all."""
     spark = docs.sparkSession
-    d = docs.select("doc_id", (remainder(F.col("doc_id"), fold) == 0).alias("held_out"), text_bytes(F.col("text")).alias("t"))
-    train = d.where("NOT held_out")
+    rows = docs.select("doc_id", (remainder(F.col("doc_id"), fold) == 0).alias("held_out"), text_bytes(F.col("text")).alias("t"))
+    train = rows.where("NOT held_out")
     words = written(spark, count_words(train), "lm-words")
-    size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_train, v = size["n"], size["v"]
+    n_train, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(n_train + 0.1 * (v + 1))
-    counts = head_words(words, max_counts)
-    own = sorted(counts, key=lambda w: (-counts[w], w))[:max_head]
-    head = {w: i for i, w in enumerate(own) if w != END}
-    orders = written(spark, all_orders(gram_counts(train, Shared(spark, head)), depth), "lm-grams")
-    rows = tree_rows(orders, kept_contexts(orders, min_gain, max_contexts, depth))
-    shared = Shared(spark, (rows, head, counts, depth, norm))
+    sent, left = sent_tables(learn(train, words, n_train, v, depth, min_count, cut, discount, penalty))
+    shared = Shared(spark, (sent, *head_words(words, max_counts)))
 
     def scan(batches):
         from pyspark import TaskContext
-        tree, index, logs = _worker_state(shared)
-        row = TaskContext.get().partitionId() << 40
-        get = logs.get
+        table, (tables, sym, c) = WordTable(), shared.value
+        logs, row = np.log10(c + 0.1) - norm, TaskContext.get().partitionId() << 40
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                texts = [_flat(t.as_buffer().to_pybytes()) for t in part.column(2)]
-                sizes = np.array([len(w) + 1 for w, _ in texts])
-                gains = tree.gains(np.concatenate([np.append([START], e) for _, e in texts]),
-                                   np.concatenate([symbols(w, e, index) for w, e in texts]))
-                gain = np.add.reduceat(gains, np.cumsum(sizes) - sizes)
-                known, base, rest = [], [], []
-                for words, _ in texts:
-                    words.append(END)
-                    found = [get(w) for w in words]
-                    rest.append([w for w, x in zip(words, found) if x is None])
-                    found = [x for x in found if x is not None]
-                    known.append(len(found))
-                    base.append(math.fsum(found))
+            for part in _slices(b):
+                x = Tokens(part.column("t"), table)
+                n, tokens, text = len(x.sizes), x.symbols, np.repeat(np.arange(len(x.sizes)), x.sizes)
+                here = among(tokens, sym)
+                known = np.bincount(text[here], minlength=n)
+                base = np.bincount(text[here], weights=logs[np.searchsorted(sym, tokens[here])], minlength=n)
+                gain, keys = tree_terms(x, tables, depth)
+                at = np.concatenate([np.repeat(k[0], 2) for k in keys]) if keys else np.zeros(0, np.int64)
+                asked = np.concatenate([np.column_stack(k[1:]).ravel() for k in keys]) if keys else at
+                order = np.argsort(text[at], kind="stable")
+                lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(t, minlength=n))]).astype(np.int32), values)
+                         for t, values in ((text[~here], tokens[~here]), (text[at], asked[order]))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(sizes))), part.column(0), part.column(1), pa.array(sizes),
-                     pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(gain),
-                     pa.array(rest, pa.list_(pa.binary()))],
-                    names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "gain", "rest"])
-                row += len(sizes)
+                    [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("held_out"), pa.array(x.sizes),
+                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(np.bincount(text, weights=gain, minlength=n)), *lists],
+                    names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "gain", "rest", "keys"])
+                row += n
 
     # Row numbers hold because the scan's result is written before it is read again.
-    scored = written(spark, d.mapInArrow(scan, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, "
-                                               "head_base double, gain double, rest array<binary>"), "lm-scores")
+    kind = dict(rows.dtypes)["doc_id"]
+    out = written(spark, rows.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, "
+                                               "gain double, rest array<long>, keys array<long>"), "lm-scores")
     c = F.coalesce("c", F.lit(0))
-    tail = (scored.select("row", F.explode("rest").alias("word")).join(words, "word", "left").groupBy("row")
+    tail = (out.select("row", F.explode("rest").alias("sym")).join(words, "sym", "left").groupBy("row")
             .agg(F.sum((c > 0).cast("long")).alias("tail_known"), F.sum(F.log10(c + 0.1) - norm).alias("tail_base")))
+    found, gain = out.drop("rest", "keys").join(tail, "row", "left"), F.col("gain")
+    if left:
+        elsewhere = reduce(DataFrame.unionByName, (df for _, df in left))
+        more = out.select("row", F.explode("keys").alias("key")).join(elsewhere, "key").groupBy("row").agg(F.sum("value").alias("more"))
+        found, gain = found.join(more, "row", "left"), gain + F.coalesce("more", F.lit(0.0))
     base = F.col("head_base") + F.coalesce("tail_base", F.lit(0.0))
-    return (scored.drop("rest").join(tail, "row", "left")
-            .select("doc_id", "held_out", "n_tokens",
-                    (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-                    F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"),
-                    (base + F.col("gain")).alias("score")))
+    return found.select("doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
+                        F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"))
 
 
 def suffix_tree_query(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kerbflow.llm.common import Shared, remainder, written
+from kerbflow.llm.common import Shared, remainder, worker_held, written
 
 _WORD = re.compile(r"[^\W_]+")
 _QUOTES = re.compile("[\"«»“”„]")
@@ -149,7 +149,7 @@ class LexiconTrie:
 class Matcher:
     """Words to hits, remembered: 0 none, 1 a term as it stands, 2 a misspelling."""
 
-    def __init__(self, terms, stems, benign, limit: int = 500_000):
+    def __init__(self, terms, stems, benign, limit: int = 200_000):
         self.trie, self.benign, self.limit = LexiconTrie(terms, stems, stem_edits=True), benign, limit
         self.seen: set[str] = set()
         self.hits: dict[str, int] = {}
@@ -314,15 +314,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int
     return w
 
 
-_MATCHERS: dict = {}
-
-
 def _matcher(shared) -> Matcher:
-    if _MATCHERS.get("id") != shared.id:
+    def build():
         terms, stems, benign = shared.value
-        _MATCHERS.clear()
-        _MATCHERS.update(id=shared.id, m=Matcher(terms, stems, frozenset(benign)))
-    return _MATCHERS["m"]
+        return Matcher(terms, stems, frozenset(benign))
+    return worker_held(shared.id, build)
 
 
 def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 200_000, with_hits: bool = False,
@@ -347,7 +343,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 2
 
     def scan(batches):
         matcher = _matcher(shared)
-        for b in batches:
+        for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             rows = [features(t, matcher) for t in b.column(text_at).to_pylist()]
             whole = [pa.StructArray.from_arrays(b.columns, names=b.schema.names)] if with_rows else []
             hits = [[{"start": s, "end": e, "weight": w} for s, e, w in h] for _, h in rows] if with_hits else [[] for _ in rows]
