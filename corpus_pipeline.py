@@ -18,6 +18,10 @@ from kerbflow.session import scratch_path
 PSEUDONYM_KEY = "corpus-pipeline"
 
 
+def _named(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; each row by its own score, whatever its id."""
     scores = toxicity.score(docs, table(spark, sf_dir, "labels"), with_rows=True)
@@ -32,16 +36,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark doesn't contaminate (a twentieth of their words, at most)."""
     marked = decontaminate.flag(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where("NOT contaminated").select(docs.columns)
+    return marked.where(~F.col(f"`{marked.columns[-1]}`")).select(*_named(docs))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data as pseudonyms; n_chars follows the new text."""
     out = pii.pseudonymise_docs(docs, PSEUDONYM_KEY)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        found = F.col(f"`{out.columns[-1]}`")
+        out = out.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    return out.select(*_named(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
