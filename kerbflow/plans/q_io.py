@@ -14,7 +14,7 @@ from kerbflow.plans.q_batch import QUALITY_FLAGS_CTE
 from kerbflow.plans.standins import TRIPS_EV_SQL, TRIPS_LI_SQL, table, trips_ev, trips_li, with_ctes
 from kerbflow.schema import Service
 from kerbflow.session import produced_once, scratch_path
-from kerbflow.sources import files, formats
+from kerbflow.sources import files, formats, ledger
 
 # Test catalogue: the stand-in trips span 2007-2013, so the year windows are
 # moved into that span; names and time columns are the real services'.
@@ -41,9 +41,10 @@ def write_raw(spark, sf_dir) -> str:
                        .withColumnRenamed("dolocationid", "DOLocationID"))
         year = F.year(F.col(renamed.columns[1]))
         tag = F.concat(F.lit(f"{svc.name}_tripdata_"), year.cast("string"))
-        # The fee's type changes from year to year, as it does in real files.
-        for k, kind in enumerate(("int", "double", "string")):
-            (renamed.where(year % 3 == k).withColumn("airport_fee", F.col("airport_fee").cast(kind))
+        # Types change from year to year, as they do in real files: the fee's, the zones' and the drop-off time's.
+        for k, (fee, zone, time) in enumerate((("int", "int", "timestamp_ntz"), ("double", "bigint", "timestamp"), ("string", "int", "timestamp_ntz"))):
+            (renamed.where(year % 3 == k).withColumn("airport_fee", F.col("airport_fee").cast(fee))
+                .withColumn("PULocationID", F.col("PULocationID").cast(zone)).withColumn(svc.dropoff_col, F.col(svc.dropoff_col).cast(time))
                 .withColumn("file", tag).write.mode("append").partitionBy("file").parquet(f"{raw}/{svc.name}_tripdata_all"))
         (part.limit(3).select("trip_id").coalesce(1).write                              # without the time columns
             .parquet(f"{raw}/{svc.name}_tripdata_bad/file={svc.name}_tripdata_2012"))
@@ -52,7 +53,7 @@ def write_raw(spark, sf_dir) -> str:
 
 
 INGEST_SQL = with_ctes(TRIPS_LI_SQL, body=f"""
-SELECT t.service, t.trip_id, t.pickup_datetime, t.dropoff_datetime, t.pulocationid, t.dolocationid,
+SELECT t.service, t.trip_id, t.pickup_datetime, t.dropoff_datetime, t.pulocationid::BIGINT AS pulocationid, t.dolocationid,
        t.airport_fee, year(t.pickup_datetime)::INTEGER AS year
 FROM trips_li t JOIN {SERVICE_YEARS_SQL} ON t.service = sy.service
 WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1""")
@@ -62,10 +63,10 @@ WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1""")
 SELECT t.service, t.trip_id FROM trips_li t JOIN {SERVICE_YEARS_SQL} ON t.service = sy.service
 WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1"""))
 def q_scan_year_filter(spark, sf_dir):
-    raw = raw_files(spark, sf_dir)
-    out = None
+    """The raw files that the ledger of the shared ingest names, read again; no footer is."""
+    base, out = ingested(spark, sf_dir), None
     for svc in TEST_SERVICES:
-        df = files.scan_service(spark, raw, svc)
+        df = files.scan_service(spark, svc, ledger.read_ledger(spark, base, svc.name))
         df = df.select(F.lit(svc.name).alias("service"), "trip_id")
         out = df if out is None else out.unionByName(df)
     return out
@@ -95,6 +96,32 @@ def q_ingest_trips(spark, sf_dir):
                      "airport_fee", "year")
 
 
+@register("ingest_ledger", with_ctes(TRIPS_LI_SQL, body=f"""
+SELECT t.service, year(t.pickup_datetime)::INTEGER AS year, count(*) AS trips, count(*) AS ledger_rows, sum(t.pulocationid)::BIGINT AS zone_sum,
+       'bigint timestamp_ntz double' AS types
+FROM trips_li t JOIN {SERVICE_YEARS_SQL} ON t.service = sy.service
+WHERE year(t.pickup_datetime) BETWEEN sy.y0 AND sy.y1 GROUP BY 1, 2"""))
+def q_ingest_ledger(spark, sf_dir):
+    """Three runs over growing raw folders: the files of even years first, all files next, and all files again.
+
+    Trips by service and year as the table has them, beside the rows that the ledger has of the year's files.
+    """
+    base, raw, out = scratch_path(spark, "ingest-ledger"), raw_files(spark, sf_dir), None
+    for run in (0, 1, 1):
+        for svc in TEST_SERVICES:
+            files.ingest_service(spark, raw, svc, base, [y for y in svc.years if run or y % 2 == 0])
+    for svc in TEST_SERVICES:
+        table_ = files.read_ingested(spark, base, svc.name)
+        types = " ".join(table_.schema[c].dataType.simpleString() for c in ("pulocationid", "dropoff_datetime", "airport_fee"))
+        trips = table_.groupBy("year").agg(F.count("*").alias("trips"), F.sum("pulocationid").alias("zone_sum"))
+        kept = (ledger.read_ledger(spark, base, svc.name).where("reason IS NULL")
+                .groupBy(F.regexp_extract("path", r"_tripdata_(\d+)[^/]*/[^/]*$", 1).cast("int").alias("year")).agg(F.sum("rows").alias("ledger_rows")))
+        rows = trips.join(kept, "year", "full").select(F.lit(svc.name).alias("service"), "year", "trips", "ledger_rows", "zone_sum",
+                                                       F.lit(types).alias("types"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("ingest_rejects", """
 SELECT s AS service, kind, 1::BIGINT AS files
 FROM (VALUES ('yellow', 'without'), ('green', 'without'), ('green', 'unreadable'), ('fhv', 'without'), ('fhvhv', 'without')) AS v(s, kind)""")
@@ -108,8 +135,7 @@ def q_ingest_rejects(spark, sf_dir):
 SELECT trip_id, pickup_datetime, year(pickup_datetime)::INTEGER AS year FROM trips_li
 WHERE service = 'yellow' AND year(pickup_datetime) = 2012"""))
 def q_scan_partition(spark, sf_dir):
-    base = ingested(spark, sf_dir)
-    return files.read_partition(spark, f"{base}/yellow_partitioned", 2012).select("trip_id", "pickup_datetime", "year")
+    return files.read_ingested_year(spark, ingested(spark, sf_dir), "yellow", 2012).select("trip_id", "pickup_datetime", "year")
 
 
 @register("clean_trips", with_ctes(TRIPS_LI_SQL, QUALITY_FLAGS_CTE, body="""
@@ -152,7 +178,7 @@ def q_format_compare(spark, sf_dir):
     """One year of the ingested yellow table in six formats: what each gives back. (Sizes and read
     times are in the table that ``formats.format_compare`` returns; each format must have a size.)"""
     base, out = ingested(spark, sf_dir), scratch_path(spark, "formats")
-    year = files.read_partition(spark, f"{base}/yellow_partitioned", 2012)
+    year = files.read_ingested_year(spark, base, "yellow", 2012)
     measured = formats.format_compare(year, out)
     rows = None
     for name in formats.FORMATS:

@@ -8,12 +8,12 @@ filters on ``_metadata.file_path`` prune files before any byte is read.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.functions.numeric import clean_double
 from kerbflow.schema import MONEY_COLUMNS, SERVICES, Service, conform
+from kerbflow.sources import ledger
 
 ROW_GROUP_BYTES = 256 * 1024 * 1024    # ~2M trip rows per row group
 OUTPUT_PARTITION_BYTES = 100 * 1024 * 1024
@@ -36,58 +36,34 @@ def select_service_files(df: DataFrame, prefix: str, years) -> DataFrame:
     return df.where(name.rlike(f"{prefix}_tripdata_[^/]*{year_pattern(years)}"))
 
 
-FILE_COLUMNS = "path string, reason string, columns string"
-# Types that ingest gives the columns it knows, whatever a file has; others keep the type that all files agree on, or become text.
+# Types that ingest gives the columns it knows, whatever a file has; others get the widest type of all files (ledger.wider).
 DECLARED = {**{c: "double" for c in MONEY_COLUMNS}, "trip_distance": "double"}
 
 
-def _read_footers(batches):
-    """(path, reason it can't be read, its columns as 'name:type' lines), a row per file."""
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
-    for b in batches:
-        rows = []
-        for p in b.column("path").to_pylist():
-            try:
-                filesystem, inner = pafs.FileSystem.from_uri(p)
-                with filesystem.open_input_file(inner) as f:
-                    schema = pq.ParquetFile(f).schema_arrow
-                rows.append((p, None, "\n".join(f"{x.name}:{x.type}" for x in schema)))
-            except Exception as e:  # noqa: BLE001 - an unreadable file is a finding, listed with its reason
-                rows.append((p, f"unreadable: {e}", None))
-        cols = list(zip(*rows)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["path", "reason", "columns"])
-
-
-def inspect_files(spark: SparkSession, raw_dir: str, svc: Service) -> DataFrame:
-    """(path, reason, columns) of every raw file of a service within its years; ``reason`` is null for good files.
-
-    Only names and footers are read, a file by itself, so one bad file costs no other.
-    """
-    try:
-        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-                   .load(f"{raw_dir.rstrip('/')}/{svc.name}_tripdata_*").select("path"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], FILE_COLUMNS)
-    wanted = listing.where(F.col("path").rlike(f"{svc.name}_tripdata_[^/]*{year_pattern(svc.years)}"))
-    found = wanted.repartition(F.col("path")).mapInArrow(_read_footers, FILE_COLUMNS)
-    names = F.transform(F.split("columns", "\n"), lambda x: F.lower(F.regexp_extract(x, r"^(.*):", 1)))
-    missing = F.array_except(F.array(F.lit(svc.pickup_col.lower()), F.lit(svc.dropoff_col.lower())), names)
-    return found.withColumn("reason", F.coalesce("reason", F.when(F.size(missing) > 0, F.concat(
-        F.lit("without "), F.array_join(missing, ", ")))))
-
-
-def scan_service(spark: SparkSession, raw_dir: str, svc: Service, files: DataFrame | None = None) -> DataFrame | None:
-    """All good raw files of one service, or None when it has none.
+def declared_type(svc: Service, name: str) -> str | None:
+    return "timestamp_ntz" if name in (svc.pickup_col.lower(), svc.dropoff_col.lower()) else DECLARED.get(name)
+
+
+def inspect_files(spark: SparkSession, raw_dir: str, svc: Service, done: DataFrame | None = None, years=None) -> DataFrame:
+    """Raw files of a service within its (or the given) years that the ledger ``done`` hasn't settled, with their footers'
+    columns and rows; ``reason`` is null for good files."""
+    listing = ledger.list_files(spark, f"{raw_dir.rstrip('/')}/{svc.name}_tripdata_*")
+    wanted = listing.where(F.col("path").rlike(f"{svc.name}_tripdata_[^/]*{year_pattern(svc.years if years is None else years)}"))
+    done = spark.createDataFrame([], ledger.LEDGER) if done is None else done
+    return ledger.inspect_new(wanted, done, [svc.pickup_col, svc.dropoff_col])
+
+
+def as_type(c, have, want: str):
+    return clean_double(c, have) if want == "double" else c.cast(want)
+
+
+def scan_service(spark: SparkSession, svc: Service, files: DataFrame, earlier=()) -> DataFrame | None:
+    """All good raw files of one service (rows of a ledger or of ``inspect_files``), or None when there is none.
 
     Files are read in groups of one schema each, so a type that changed between
-    years is no obstacle: known columns are cast to their declared type, others to
-    the type that all groups share, or to text.
+    years is no obstacle: columns get their declared type or the widest of those
+    in the files and in ``earlier`` tables of {column: type}.
     """
-    files = inspect_files(spark, raw_dir, svc) if files is None else files
     groups: dict[str, list[str]] = {}
     for r in files.where("reason IS NULL").select("columns", "path").toLocalIterator():     # file names: metadata
         groups.setdefault(r["columns"], []).append(r["path"])
@@ -95,47 +71,66 @@ def scan_service(spark: SparkSession, raw_dir: str, svc: Service, files: DataFra
     frames = [f.toDF(*[c.lower() for c in f.columns]) for f in frames]
     if not frames:
         return None
-    types: dict[str, set] = {}
-    for f in frames:
-        for x in f.schema:
-            types.setdefault(x.name, set()).add(x.dataType.simpleString())
-
-    def column(f, name):
-        if name not in f.columns:
-            return F.lit(None).cast(target(name)).alias(name)
-        kind = f.schema[name].dataType
-        if target(name) == "double":
-            return clean_double(F.col(name), kind).alias(name)
-        return F.col(name).cast(target(name)).alias(name)
-
-    def target(name):
-        return DECLARED.get(name) or (next(iter(types[name])) if len(types[name]) == 1 else "string")
-
+    here = [{x.name: x.dataType.simpleString() for x in f.schema} for f in frames]
+    types = {c: declared_type(svc, c) or t for c, t in ledger.common_types([*here, *earlier]).items()}
+    names = ledger.common_types(here)
     out = None
     for f in frames:
-        part = f.select(*[column(f, n) for n in types])
+        part = f.select(*[(as_type(F.col(f"`{n}`"), f.schema[n].dataType, types[n]) if n in f.columns else F.lit(None).cast(types[n])).alias(n)
+                          for n in names])
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def ingest_service(spark: SparkSession, raw_dir: str, svc: Service, out_dir: str) -> str | None:
-    """Raw files -> lower-case names, common time columns, ``year`` -> append to
-    ``<out>/<service>_partitioned`` partitioned by year. Files that are left out
-    are listed with the reason in ``<out>/_rejects/<service>``."""
+def raw_names(svc: Service, types: dict[str, str]) -> dict[str, str]:
+    """Types by the raw files' names of the time columns, from those of the ingested table."""
+    back = {"pickup_datetime": svc.pickup_col.lower(), "dropoff_datetime": svc.dropoff_col.lower()}
+    return {back.get(c, c): t for c, t in types.items()}
+
+
+def ingest_service(spark: SparkSession, raw_dir: str, svc: Service, out_dir: str, years=None) -> str | None:
+    """Raw files that no earlier run has settled -> lower-case names, common time columns -> a batch of
+    ``<out>/<service>_partitioned``, partitioned by year and batch, then the ledger.
+
+    Files that are left out are in the ledger with the reason. The target, or None before it holds any batch.
+    """
     base = out_dir.rstrip("/")
-    files = inspect_files(spark, raw_dir, svc).persist()
+    done = ledger.read_ledger(spark, base, svc.name)
+    found = inspect_files(spark, raw_dir, svc, done, years).persist()
+    target = f"{base}/{svc.name}_partitioned"
     try:
-        (files.where("reason IS NOT NULL").select(F.lit(svc.name).alias("service"), "path", "reason")
-            .write.mode("append").parquet(f"{base}/_rejects/{svc.name}"))
-        df = scan_service(spark, raw_dir, svc, files)
+        written = ledger.batches(done)
+        df = scan_service(spark, svc, found, [raw_names(svc, t) for t, _ in written])
+        batch, types = None, {}
+        if df is not None:
+            batch = ledger.batch_id(found.where("reason IS NULL"))
+            df = conform(df, svc)
+            types = {x.name: x.dataType.simpleString() for x in df.schema if x.name != "year"}
+            (df.withColumn("batch", F.lit(batch)).hint("rebalance", "year").write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").option("parquet.block.size", ROW_GROUP_BYTES)
+                .partitionBy("year", "batch").parquet(target))
+        if not found.isEmpty():
+            ledger.commit(found, base, svc.name, batch, types)
+        return target if written or df is not None else None
     finally:
-        files.unpersist()
-    if df is None:
-        return None
-    target = f"{base}/{svc.name}_partitioned"
-    (conform(df, svc).hint("rebalance", "year").write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES)
-        .partitionBy("year").parquet(target))
-    return target
+        found.unpersist()
+
+
+def read_ingested(spark: SparkSession, out_dir: str, service: str) -> DataFrame | None:
+    """The batches of a service that its ledger names, in the widest types of all; None without any.
+
+    Batches are read by the types they were written with, so no file is read as what it isn't; filters on
+    ``year`` and the list of batches prune partitions.
+    """
+    versions = ledger.batches(ledger.read_ledger(spark, out_dir, service))
+    types, out = ledger.common_types([t for t, _ in versions]), None
+    for have, names in versions:
+        schema = ", ".join(f"`{c}` {t}" for c, t in have.items()) + ", year int, batch string"
+        df = spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{service}_partitioned").where(F.col("batch").isin(names))
+        part = df.select(*[(as_type(F.col(f"`{c}`"), df.schema[c].dataType, t) if have.get(c, t) != t else
+                            F.col(f"`{c}`") if c in have else F.lit(None).cast(t)).alias(c) for c, t in types.items()], "year")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def ingest_all(spark: SparkSession, raw_dir: str, out_dir: str, catalogue=SERVICES) -> dict:
@@ -144,9 +139,14 @@ def ingest_all(spark: SparkSession, raw_dir: str, out_dir: str, catalogue=SERVIC
 
 
 def ingest_rejects(spark: SparkSession, out_dir: str, catalogue=SERVICES) -> DataFrame:
-    """(service, path, reason) of the files that ingest left out."""
-    return spark.read.schema("service string, path string, reason string").parquet(
-        *[f"{out_dir.rstrip('/')}/_rejects/{s.name}" for s in catalogue])
+    """(service, path, reason) of the files that ingest left out, each as its last run found it."""
+    out = None
+    for svc in catalogue:
+        rows = ledger.read_ledger(spark, out_dir, svc.name)
+        out = rows if out is None else out.unionByName(rows)
+    last = out.groupBy("service", "path").agg(F.max_by("reason", F.struct("modified", "length")).alias("reason"),
+                                              F.count_if(F.col("reason").isNull()).alias("taken"))
+    return last.where("reason IS NOT NULL AND (taken = 0 OR reason LIKE 'changed%')").select("service", "path", "reason")
 
 
 def read_partition(spark: SparkSession, path: str, year: int) -> DataFrame:
@@ -154,6 +154,11 @@ def read_partition(spark: SparkSession, path: str, year: int) -> DataFrame:
     return read_trips(spark, path).where(F.col("year") == int(year))
 
 
+def read_ingested_year(spark: SparkSession, out_dir: str, service: str, year: int) -> DataFrame:
+    """One year of an ingested table: its committed batches alone, other years' folders pruned."""
+    return read_ingested(spark, out_dir, service).where(F.col("year") == int(year))
+
+
 def list_dirs(spark: SparkSession, base: str, suffix: str = "") -> list[str]:
     """Names of the sub-folders of ``base`` ending in ``suffix`` (sorted);
     a metadata listing through the Hadoop FileSystem, no data read."""
@@ -167,15 +172,16 @@ def list_dirs(spark: SparkSession, base: str, suffix: str = "") -> list[str]:
 
 
 def read_services(spark: SparkSession, base: str, suffix: str = "_partitioned") -> DataFrame:
-    """Every ``*<suffix>`` table under ``base`` as one frame with ``service``;
-    each keeps its own ``year`` partition discovery (so year filters prune)."""
+    """Every ingested ``*<suffix>`` table under ``base`` as one frame with ``service``; year filters prune."""
     out = None
     for name in list_dirs(spark, base, suffix):
-        df = read_trips(spark, f"{base.rstrip('/')}/{name}", merge_schema=True) \
-            .withColumn("service", F.lit(name[: -len(suffix)] if suffix else name))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        svc = name[: -len(suffix)]
+        df = read_ingested(spark, base, svc)
+        if df is not None:
+            df = df.withColumn("service", F.lit(svc))
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no *{suffix} tables under {base}")
+        raise FileNotFoundError(f"no ingested *{suffix} tables under {base}")
     return out
 
 

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kerbflow.sources import files, formats
+from kerbflow.sources import files, formats, ledger
 from kerbflow.schema import Service
 
 
@@ -61,6 +61,110 @@ def test_ingest_reads_each_file_by_itself(spark, tmp_dir):
     assert reasons[0].startswith("unreadable") and reasons[1] == "without pickup_datetime, dropoff_datetime"
 
 
+def trips_file(spark, raw, year, zone="1", name="fhv", more=(), rows=5):
+    (spark.range(rows).selectExpr("id", f"timestamp_ntz'{year}-03-01 10:00:00' as pickup_datetime",
+                                  f"timestamp_ntz'{year}-03-01 10:20:00' as dropoff_datetime", f"{zone} as PUlocationID", *more)
+     .coalesce(1).write.mode("overwrite").parquet(f"{raw}/{name}_tripdata_{year}-01.parquet"))
+
+
+FHV = (Service("fhv", 2016, 2025, "pickup_datetime", "dropoff_datetime"),)
+
+
+def table(spark, out):
+    return sorted(tuple(r) for r in files.read_ingested(spark, out, "fhv").select("id", "pulocationid", "year").collect())
+
+
+def test_a_second_run_adds_only_what_is_new(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    assert files.ingest_all(spark, raw, out, FHV) == {"fhv": None}
+    assert files.read_ingested(spark, out, "fhv") is None
+    trips_file(spark, raw, 2019)
+    files.ingest_all(spark, raw, out, FHV)
+    once = table(spark, out)
+    assert len(once) == 5
+    for _ in range(2):
+        files.ingest_all(spark, raw, out, FHV)
+        assert table(spark, out) == once
+    trips_file(spark, raw, 2020, rows=2)
+    files.ingest_all(spark, raw, out, FHV)
+    assert len(table(spark, out)) == 7
+    assert sum(r.rows for r in ledger.read_ledger(spark, out, "fhv").collect()) == 7
+
+
+def test_a_run_cut_off_before_its_ledger_is_not_seen_and_is_written_over(spark, tmp_dir, monkeypatch):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    trips_file(spark, raw, 2019)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "commit", lost)
+        with pytest.raises(RuntimeError):
+            files.ingest_all(spark, raw, out, FHV)
+    assert len(spark.read.parquet(f"{out}/fhv_partitioned").collect()) == 5
+    assert files.read_ingested(spark, out, "fhv") is None
+    trips_file(spark, raw, 2020)                        # a later run has other files: the rows left over stay unseen
+    files.ingest_all(spark, raw, out, FHV)
+    assert len(table(spark, out)) == 10
+
+
+def test_types_widen_over_files_and_runs(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    trips_file(spark, raw, 2019, "cast(7 as int)", more=["cast(1 as smallint) n", "date'2020-01-01' d", "true b"])
+    trips_file(spark, raw, 2020, "cast(8 as bigint)", more=["1.5f n", "timestamp_ntz'2020-01-01 01:00:00' d", "'x' b"])
+    files.ingest_all(spark, raw, out, FHV)
+    df = files.read_ingested(spark, out, "fhv")
+    kind = {x.name: x.dataType.simpleString() for x in df.schema}
+    assert (kind["pulocationid"], kind["n"], kind["d"], kind["b"]) == ("bigint", "double", "timestamp_ntz", "string")
+    assert {r[1] for r in table(spark, out)} == {7, 8}
+    trips_file(spark, raw, 2021, "'9'")                 # text from now on; the batch before keeps its own files
+    files.ingest_all(spark, raw, out, FHV)
+    assert {r[1] for r in table(spark, out)} == {"7", "8", "9"}
+    trips_file(spark, raw, 2022, "10")                  # a narrower type later changes nothing
+    files.ingest_all(spark, raw, out, FHV)
+    assert {r[1] for r in table(spark, out)} == {"7", "8", "9", "10"}
+    assert files.read_ingested(spark, out, "fhv").where("n is not null").count() == 10
+
+
+def test_changed_files_are_told_and_rejects_looked_at_again(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    trips_file(spark, raw, 2019)
+    spark.range(3).coalesce(1).write.parquet(f"{raw}/fhv_tripdata_2020-01.parquet")
+    files.ingest_all(spark, raw, out, FHV)
+    assert [r.reason for r in files.ingest_rejects(spark, out, FHV).collect()] == ["without pickup_datetime, dropoff_datetime"]
+    part = next(f for f in os.listdir(f"{raw}/fhv_tripdata_2020-01.parquet") if f.endswith(".parquet"))
+    good = next(f for f in os.listdir(f"{raw}/fhv_tripdata_2019-01.parquet") if f.endswith(".parquet"))
+    trips_file(spark, raw, 2023)
+    new = next(f for f in os.listdir(f"{raw}/fhv_tripdata_2023-01.parquet") if f.endswith(".parquet"))
+    data = open(f"{raw}/fhv_tripdata_2023-01.parquet/{new}", "rb").read()
+    for folder, name in (("2020", part), ("2019", good)):
+        crc = f"{raw}/fhv_tripdata_{folder}-01.parquet/.{name}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+        open(f"{raw}/fhv_tripdata_{folder}-01.parquet/{name}", "wb").write(data)
+        os.utime(f"{raw}/fhv_tripdata_{folder}-01.parquet/{name}", (2e9, 2e9))
+    files.ingest_all(spark, raw, out, FHV)
+    assert len(table(spark, out)) == 15                 # 2019 as it was, the mended file, 2023
+    assert [r.reason for r in files.ingest_rejects(spark, out, FHV).collect()] == ["changed since it was ingested"]
+
+
+@pytest.mark.parametrize("a,b,want", [("int", "bigint", "bigint"), ("bigint", "double", "double"), ("int", "float", "double"),
+                                      ("float", "double", "double"), ("double", "string", "string"), ("timestamp_ntz", "timestamp", "timestamp"),
+                                      ("date", "timestamp_ntz", "timestamp_ntz"), ("int", "timestamp", "string"), ("boolean", "int", "string"),
+                                      ("void", "int", "int"), ("decimal(10,2)", "int", "double"), ("decimal(10,2)", "decimal(10,2)", "decimal(10,2)"),
+                                      ("tinyint", "smallint", "smallint"), ("array<int>", "array<bigint>", "string")])
+def test_the_order_of_types(a, b, want):
+    assert ledger.wider(a, b) == ledger.wider(b, a) == want
+
+
+def test_the_order_of_types_is_a_lattice():
+    kinds = ["void", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp_ntz", "timestamp", "boolean", "string", "decimal(5,1)"]
+    for a in kinds:
+        for b in kinds:
+            for c in kinds:
+                assert ledger.wider(ledger.wider(a, b), c) == ledger.wider(a, ledger.wider(b, c)), (a, b, c)
+
+
 def test_reading_back_a_damaged_table_fails(spark, tmp_dir):
     spark.range(1000).repartition(4).write.parquet(f"{tmp_dir}/t")
     part = sorted(f for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet"))[0]
