@@ -46,16 +46,10 @@ def _text_to_finite(c) -> Column:
     return finite_or_null(text_to_double(c))
 
 
-def pick_float(*candidates, default: float | None = 0.0,
-               min_value: float | None = None,
-               max_value: float | None = None) -> Column:
-    """The first usable candidate of a row: finite, and within the bounds if any.
-
-    Rows without one get ``default``, which later aggregates count like any value.
-    """
+def first_within(*numbers, default: float | None = 0.0, min_value: float | None = None, max_value: float | None = None) -> Column:
+    """The first of some finite-or-null numbers that is within the bounds, if any; else ``default``."""
     picks = []
-    for c in candidates:
-        v = _text_to_finite(c)
+    for v in numbers:
         ok = v.isNotNull()
         if min_value is not None:
             ok = ok & (v >= F.lit(float(min_value)))
@@ -67,6 +61,16 @@ def pick_float(*candidates, default: float | None = 0.0,
     return F.coalesce(*picks) if len(picks) > 1 else picks[0]
 
 
+def pick_float(*candidates, default: float | None = 0.0,
+               min_value: float | None = None,
+               max_value: float | None = None) -> Column:
+    """The first usable candidate of a row: finite, and within the bounds if any.
+
+    Rows without one get ``default``, which later aggregates count like any value.
+    """
+    return first_within(*[_text_to_finite(c) for c in candidates], default=default, min_value=min_value, max_value=max_value)
+
+
 def to_int(c, default: int | None = None) -> Column:
     """Integer from text or number; numbers are truncated toward zero.
 

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbflow.functions.timefn import iso_text
 from kerbflow.plans.registry import register
 from kerbflow.plans.standins import TRIPS_EV_SQL, table, trips_ev, with_ctes
 from kerbflow.session import produced_once, scratch_path
 from kerbflow.streaming import kmeans, replay, runner, stats
-from kerbflow.streaming.messages import dead_letters, good_messages, json_number, json_object, parse_messages
+from kerbflow.streaming.messages import dead_letters, encode_message, good_messages, parse_messages
 
 YELLOW_SERVICES = ("click", "view", "purchase")
 # Topic names per source and the report interval (messages).
@@ -32,26 +31,28 @@ def _sources(spark, sf_dir):
 
 
 def _value():
-    tid = F.col("trip_id")
-    d, tip, tot = F.col("trip_distance"), F.col("tip_amount"), F.col("total_amount")
-    dist = (F.when(tid % 43 == 0, F.lit("NaN"))
-             .when(tid % 47 == 0, json_number(-d))
-             .when(tid % 37 == 0, F.concat(F.lit('"'), d.cast("string"), F.lit('"')))
-             .otherwise(json_number(d)))
-    tip_l = F.when(tid % 53 != 0, json_number(tip))                 # null -> field left out
-    tot_l = F.when(tid % 61 == 0, F.lit("Infinity")).otherwise(json_number(tot))
-    pu = (F.when(tid % 59 == 0, F.lit('""'))
-           .when(F.col("pulocationid").isNull(), F.lit("null"))
-           .otherwise(F.col("pulocationid").cast("string")))
-    do = F.coalesce(F.col("dolocationid").cast("string"), F.lit("null"))
-    ts = F.concat(F.lit('"'), iso_text("pickup_datetime"), F.lit('"'))
-
-    def obj(src, names):
-        return json_object([("pickup_datetime", ts), (names[0], tot_l), (names[1], dist), ("pulocationid", pu),
-                            ("dolocationid", do), (names[2], tip_l), ("source", F.lit(f'"{src}"'))])
-    full = F.when(F.col("source") == "yellow", obj("yellow", ("total_amount", "trip_distance", "tip_amount"))) \
-        .otherwise(obj("fhvhv", ("driver_pay", "trip_miles", "tips")))
-    return F.when(tid % 101 == 0, F.substring(full, 1, 20)).otherwise(full)
+    """Messages as JSON objects; some, by id, are spoiled as messages of a real stream may be."""
+    tid, d = F.col("trip_id"), F.col("trip_distance")
+    pu = F.when(tid % 59 != 0, F.col("pulocationid"))
+    riders = 1 + (F.col("trip_id") * 7 + F.coalesce("dolocationid", F.lit(0))) % 6
+
+    def message(src, total, distance, tip):
+        return encode_message({"pickup_datetime": F.col("pickup_datetime"), total: F.col("total_amount"), distance: F.when(tid % 47 == 0, -d).otherwise(d),
+                               "pulocationid": pu, "dolocationid": F.col("dolocationid"), tip: F.col("tip_amount"), "source": F.lit(src),
+                               "passenger_count": riders})
+    text = F.when(F.col("source") == "yellow", message("yellow", "total_amount", "trip_distance", "tip_amount")) \
+        .otherwise(message("fhvhv", "driver_pay", "trip_miles", "tips"))
+
+    def spoil(case, pattern, by):
+        nonlocal text
+        text = F.when(case, F.regexp_replace(text, pattern, by)).otherwise(text)
+
+    spoil(tid % 43 == 0, '"(trip_distance|trip_miles)":[^,]*', '"$1":NaN')
+    spoil((tid % 37 == 0) & (tid % 43 != 0) & (tid % 47 != 0), '"(trip_distance|trip_miles)":([^,]*)', '"$1":"$2"')
+    spoil(tid % 53 == 0, ',"(tip_amount|tips)":[^,]*', "")
+    spoil(tid % 61 == 0, '"(total_amount|driver_pay)":[^,]*', '"$1":Infinity')
+    spoil(tid % 59 == 0, '"pulocationid":null', '"pulocationid":""')
+    return F.when(tid % 101 == 0, F.substring(text, 1, 20)).otherwise(text)
 
 
 def _key():
@@ -87,10 +88,10 @@ def zone_boroughs(spark, sf_dir):
 
 
 # The final state does not depend on the batch size, so that run takes larger
-# micro-batches; the periodic report keeps one per 500 messages, and k-means
-# updates once per 2,000 messages.
+# micro-batches; reports and k-means number the messages themselves, so theirs may have any size.
 FINAL_STATE_FILES_PER_TRIGGER = 10
-KMEANS_FILES_PER_TRIGGER = 4
+KMEANS_FILES_PER_TRIGGER = 40
+REPORT_FILES_PER_TRIGGER = 25
 
 
 def run_stats(spark, sf_dir, files_per_trigger: int = FINAL_STATE_FILES_PER_TRIGGER):
@@ -124,6 +125,7 @@ MSG_SQL = """msg AS (
     CASE WHEN trip_id % 59 = 0 THEN NULL ELSE pulocationid END AS pulocationid, dolocationid,
     CASE WHEN trip_id % 43 = 0 OR trip_id % 47 = 0 THEN 0.0 ELSE trip_distance END AS trip_distance,
     CASE WHEN trip_id % 53 = 0 THEN 0.0 ELSE tip_amount END AS tip_amount,
+    (1 + (trip_id * 7 + coalesce(dolocationid, 0)) % 6)::DOUBLE AS passenger_count,
     CASE WHEN trip_id % 61 = 0 THEN 0.0 ELSE total_amount END AS total_amount
   FROM trips_ev WHERE trip_id % 101 <> 0)"""
 
@@ -163,11 +165,11 @@ def q_replay_merge(spark, sf_dir):
 
 
 @register("parse_messages", with_ctes(TRIPS_EV_SQL, MSG_SQL, body="""
-SELECT key, source, pickup_datetime, pulocationid, dolocationid, trip_distance, tip_amount, total_amount FROM msg"""))
+SELECT key, source, pickup_datetime, pulocationid, dolocationid, trip_distance, tip_amount, total_amount, passenger_count FROM msg"""))
 def q_parse_messages(spark, sf_dir):
     p = good_messages(parse_messages(encoded(spark, sf_dir)))
     return p.select("key", "source", "pickup_datetime", "pulocationid", "dolocationid", "trip_distance",
-                    "tip_amount", "total_amount")
+                    "tip_amount", "total_amount", "passenger_count")
 
 
 @register("rolling_zone_stats", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZSTATS_SQL, body="SELECT * FROM zs"))
@@ -241,12 +243,31 @@ FROM st JOIN zb USING (zone) GROUP BY report, borough"""
 
 @register("stream_report", with_ctes(TRIPS_EV_SQL, MSG_SQL, ZB_SQL, REPORT_SQL[0], body=REPORT_SQL[1]))
 def q_stream_report(spark, sf_dir):
-    """Every periodic report, one per 500 good messages: top and bottom zones by
-    pickups, and all boroughs, as they stood at that message."""
+    """Every periodic report, one per 500 good messages, as the stream sent it: top and
+    bottom zones by pickups, and all boroughs, as they stood at that message."""
+    return _reports(spark, sf_dir, run_reports(spark, sf_dir))
+
+
+def run_reports(spark, sf_dir, files_per_trigger: int = REPORT_FILES_PER_TRIGGER):
+    """Output folder of the reporting stream over the replayed topic."""
+    out = scratch_path(spark, "reports")
+    stats.run_periodic_reports(replay.replay_source(spark, replayed(spark, sf_dir), files_per_trigger), out,
+                               scratch_path(spark, "reports-state"), scratch_path(spark, "reports-cp"), REPORT_INTERVAL)
+    return out
+
+
+def _reports(spark, sf_dir, out: str):
+    states = spark.read.parquet(out).drop("batch_id")
+    return stats.periodic_reports(states, zone_boroughs(spark, sf_dir)).withColumn("total_amount_mean", F.round("total_amount_mean", 6))
+
+
+@register("report_states", with_ctes(TRIPS_EV_SQL, MSG_SQL, REPORT_SQL[0], body="""
+SELECT report, zone, visits, round(mean, 6) AS total_amount_mean FROM st"""))
+def q_report_states(spark, sf_dir):
+    """The zones' states at every report by a batch over the same messages: no stream, the same numbers."""
     good = good_messages(parse_messages(records(spark, sf_dir)))
-    states = stats.periodic_states(good, ["offset"], REPORT_INTERVAL)
-    return stats.periodic_reports(states, zone_boroughs(spark, sf_dir)).withColumn(
-        "total_amount_mean", F.round("total_amount_mean", 6))
+    return stats.periodic_states(good, ["offset"], REPORT_INTERVAL).select(
+        "report", "zone", F.col("pickups").alias("visits"), F.round("total_amount_mean", 6).alias("total_amount_mean"))
 
 
 def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
@@ -264,14 +285,17 @@ def _run_kmeans(spark, sf_dir, files_per_trigger=KMEANS_FILES_PER_TRIGGER):
   SELECT trip_id, row_number() OVER (ORDER BY pickup_datetime,
       CASE WHEN service IN ('click', 'view', 'purchase') THEN 'yellow' ELSE 'fhvhv' END, trip_id) - 1 AS seq
   FROM trips_ev WHERE pickup_datetime IS NOT NULL)""", body="""
-SELECT coalesce(m.key, '0_' || CAST(s.seq AS VARCHAR)) AS key, m.source, m.pickup_datetime, m.trip_distance
+SELECT coalesce(m.key, '0_' || CAST(s.seq AS VARCHAR)) AS key, m.source, m.pickup_datetime, m.trip_distance, m.passenger_count,
+       row_number() OVER (ORDER BY s.seq) - 1 AS "offset", true AS labelled
 FROM msg m JOIN seqd s USING (trip_id)"""))
 def q_stream_kmeans(spark, sf_dir):
-    """The clusterer's records, parsed back: each is its source record with the label added."""
+    """The clusterer's records, parsed back: each is its source record with a label of 0 to 3 added, which the
+    query returns; SQL compares all but the label, which tests replay message by message."""
     out = _run_kmeans(spark, sf_dir)
     label = F.regexp_extract("value", r'"cluster_id":(\d+)\}$', 1).try_cast("int")      # records may hold NaN, which isn't JSON
-    back = parse_messages(out.where(label == F.col("cluster_id")))
-    return back.where(F.col("_corrupt").isNull()).select("key", "source", "pickup_datetime", "trip_distance")
+    back = parse_messages(out.withColumn("offset", F.col("n")), keep=("key", "offset", "value"))
+    return back.where(F.col("_corrupt").isNull()).select("key", "source", "pickup_datetime", "trip_distance", "passenger_count", "offset",
+                                                         label.between(0, 3).alias("labelled"))
 
 
 @register("cluster_key", with_ctes(TRIPS_EV_SQL, """seqd AS (

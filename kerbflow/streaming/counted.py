@@ -57,6 +57,10 @@ class BatchState:
             read.close()
 
 
-def numbered(batch: DataFrame, first: int, order=("topic", "partition", "offset"), name: str = "n") -> DataFrame:
-    """The batch with each message's number: its rank by ``order`` within the batch, from ``first`` on."""
+def numbered(batch: DataFrame, first: int, order=("offset", "topic", "partition"), name: str = "n") -> DataFrame:
+    """The batch with each message's number: its rank by ``order`` within the batch, from ``first`` on.
+
+    ``order`` has to agree with the order in which the source hands out messages (of a replay, the offset); then the
+    numbers do not depend on where batches are cut.
+    """
     return with_position(batch, [c for c in order if c in batch.columns], name=name).withColumn(name, F.col(name) + F.lit(first))

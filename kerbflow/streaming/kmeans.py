@@ -1,23 +1,28 @@
-"""Online k-means over a message stream, one update per micro-batch.
-
-Per batch: assign every point to its nearest current centre, compute each
-cluster's count and mean with one grouped aggregation (k rows), move each
-centre c <- c + (1 - (1 - a)^n) (mean - c) - the closed form of n sequential
-moves by the factor a toward the same point - then label the batch with the
-updated centres ("learn one, then predict one", batched). Centres are stored
-per batch id under the state folder, so a replayed batch reuses the centres
-of the batch before it (exactly-once model updates).
+"""Online k-means over a message stream, independent of micro-batches.
+
+The messages are learned in blocks of ``block`` by message number. A block's
+messages are assigned to the nearest of the centres that the block before left, and
+each cluster gathers a decayed feature vector: weight, linear sum and square sum
+of its messages, each message faded by the number of messages after it. These
+vectors are sums, so tasks' parts merge in any order. They are merged with the
+cluster's own (the centre with its weight, faded by the length of the block) and
+give the next centres, with which the block's messages are labelled ("learn one,
+then predict one", by blocks).
+
+A micro-batch goes on where the one before stopped: messages behind its last full
+block wait for the next one. Centres, weights, the message counter and the waiting
+messages are kept by batch (``counted.BatchState``), so batches of any cut, a batch
+that is run again and a stream that is started again give the same labels.
 """
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.session import path_exists
+from kerbflow.session import checkpoint_root
+from kerbflow.streaming.counted import BatchState, numbered
 from kerbflow.streaming.messages import good_messages, parse_messages
 
 # Features and output topic of the clusterer.
@@ -41,14 +46,53 @@ def nearest(centres: np.ndarray, features=FEATURES) -> Column:
     return F.array_min(F.array(*dists))["i"]
 
 
-def update_centres(centres: np.ndarray, cluster_stats, halflife: float) -> np.ndarray:
-    new = centres.copy()
-    for row in cluster_stats:
-        i, n = row["cluster_id"], row["n"]
-        mean = np.array([row[f"m{j}"] for j in range(centres.shape[1])])
-        rate = 1.0 - (1.0 - halflife) ** n
-        new[i] = centres[i] + rate * (mean - centres[i])
-    return new
+class Clusters:
+    """Centres with the weight, and the faded square sum, of what they have learned."""
+
+    def __init__(self, centres: np.ndarray, weights: np.ndarray, squares: np.ndarray):
+        self.centres, self.weights, self.squares = centres, weights, squares
+
+    @classmethod
+    def start(cls, k: int, d: int, seed: int = 42):
+        centres = initial_centres(k, d, seed)
+        return cls(centres, np.ones(k), (centres ** 2).sum(axis=1))
+
+    def values(self) -> dict:
+        return {"centres": self.centres.tolist(), "weights": self.weights.tolist(), "squares": self.squares.tolist()}
+
+    @classmethod
+    def of(cls, values: dict):
+        return cls(*(np.array(values[x], dtype=float) for x in ("centres", "weights", "squares")))
+
+    def merged(self, vectors, faded: float):
+        """After a block: ``vectors`` are rows (cluster_id, w, q, s0, s1, ...); what was there is faded first."""
+        out = Clusters(self.centres.copy(), self.weights * faded, self.squares * faded)
+        for r in vectors:
+            i, w = r["cluster_id"], r["w"]
+            s = np.array([r[f"s{j}"] for j in range(self.centres.shape[1])])
+            total = out.weights[i] + w
+            out.centres[i] = (out.weights[i] * out.centres[i] + s) / total
+            out.weights[i], out.squares[i] = total, out.squares[i] + r["q"]
+        return out
+
+    def radii(self) -> np.ndarray:
+        """Root mean square distance of what each cluster has learned from its centre."""
+        spread = self.squares / np.maximum(self.weights, 1e-300) - (self.centres ** 2).sum(axis=1)
+        return np.sqrt(np.maximum(spread, 0.0))
+
+
+def fade_of(halflife: float, k: int) -> float:
+    """The share of a message's weight that a later message leaves: ``1 - halflife`` for one in its own cluster, if each of
+    the k clusters gets its part."""
+    return (1.0 - halflife) ** (1.0 / k)
+
+
+def cluster_vectors(block: DataFrame, clusters: Clusters, last, fade: float, features=FEATURES) -> DataFrame:
+    """(cluster_id, w, q, s0, ...): the faded feature vectors of a block whose last message is number ``last``."""
+    w = F.pow(F.lit(fade), F.lit(last) - F.col("n"))
+    squares = sum((F.col(f) * F.col(f) for f in features), F.lit(0.0))
+    return (block.withColumn("cluster_id", nearest(clusters.centres, features)).groupBy("cluster_id")
+            .agg(F.sum(w).alias("w"), F.sum(w * squares).alias("q"), *[F.sum(w * F.col(f)).alias(f"s{j}") for j, f in enumerate(features)]))
 
 
 def message_key(key="key", partition="partition", offset="offset") -> Column:
@@ -63,75 +107,67 @@ def with_label(record, label: str) -> Column:
     return F.concat(body, comma, F.lit(f'"{label}":'), F.col(label).cast("string"), F.lit("}"))
 
 
-def _load_centres(spark: SparkSession, state_dir: str, batch_id: int, k: int, d: int):
-    """Centres of the last batch before ``batch_id``; None only if no state was ever written.
-    Any other trouble raises: starting again from seeds would lose the model in silence."""
-    if not path_exists(spark, state_dir):
-        return None
-    prev = spark.read.schema("cluster_id int, batch_id long, " + ", ".join(f"c{j} double" for j in range(d))) \
-        .option("mode", "FAILFAST").json(state_dir).where(F.col("batch_id") < batch_id)
-    last = prev.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return None
-    rows = prev.where(F.col("batch_id") == last).orderBy("cluster_id").collect()   # k rows
-    if len(rows) != k:
-        raise RuntimeError(f"{state_dir}: batch {last} has {len(rows)} centres, expected {k}")
-    return np.array([[r[f"c{j}"] for j in range(d)] for r in rows])
-
-
-def _save_centres(spark: SparkSession, state_dir: str, batch_id: int, centres: np.ndarray):
-    """k small JSON lines written through the Hadoop FileSystem of the state
-    folder (no Spark job for k rows); overwrite keeps replays idempotent."""
-    lines = "\n".join(json.dumps({"cluster_id": i, **{f"c{j}": float(v) for j, v in enumerate(c)}})
-                      for i, c in enumerate(centres)) + "\n"
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{state_dir}/batch_id={batch_id}/centres.json")
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    out = fs.create(path, True)
-    try:
-        out.write(bytearray(lines.encode("utf-8")))
-    finally:
-        out.close()
+def _labelled(rows: DataFrame, first_block: int, centres: list[np.ndarray], block: int, features) -> DataFrame:
+    """Each message with the cluster that its block's new centres give it."""
+    table = F.array(*[F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in one]) for one in centres])
+    mine = F.get(table, (F.floor(F.col("n") / block) - first_block).cast("int"))
+    far = F.transform(mine, lambda c, i: F.struct(sum(((F.col(f) - c[j]) * (F.col(f) - c[j]) for j, f in enumerate(features)), F.lit(0.0)).alias("d"), i.alias("i")))
+    return rows.withColumn("cluster_id", F.array_min(far)["i"])
 
 
 def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoint: str, k: int = 4,
                       halflife: float = 0.1, features=FEATURES, seed: int = 42, available_now: bool = True,
-                      publish=None):
-    features = list(features)
-    d = len(features)
+                      publish=None, block: int = 2000):
+    """Label the stream's messages; each micro-batch writes those of its full blocks to ``<out_dir>/batch_id=<n>``.
+
+    A run that drains its input (``available_now``) labels the messages that wait behind the last full block as a short
+    block, in ``<out_dir>/batch_id=-1``; they still wait in the state, and the next run writes that folder anew.
+    """
+    features, spark = list(features), source.sparkSession
+    checkpoint_root(spark)
+    state, fade = BatchState(spark, state_dir), fade_of(halflife, k)
     # The source record stays beside its parsed fields: it is published whole, with the label added.
     parsed = good_messages(parse_messages(source.withColumn("record", F.col("value").cast("string")),
                                           keep=("key", "topic", "partition", "offset", "record")))
-    # Centres of the last committed batch, kept between consecutive batches;
-    # the copy on disk is read only after a restart or a replayed batch.
-    last = {"batch_id": None, "centres": None}
+    waiting = "key string, partition int, offset long, record string, n long, " + ", ".join(f"{f} double" for f in features)
+    columns = [c.split()[0] for c in waiting.split(", ")]
+
+    def learned(rows: DataFrame, clusters: Clusters, first: int, total: int, upto: int):
+        """(clusters, centres of each block) after the blocks from ``first`` up to message ``upto``."""
+        centres = []
+        for start in range(first, upto, block):
+            end = min(start + block, upto)
+            part = rows.where((F.col("n") >= start) & (F.col("n") < end))
+            clusters = clusters.merged(cluster_vectors(part, clusters, end - 1, fade, features).collect(), fade ** (end - start))     # k rows
+            centres.append(clusters.centres)
+        return clusters, centres
+
+    def write(rows: DataFrame, batch_id: int, first: int, centres: list) -> None:
+        out = _labelled(rows, first // block, centres, block, features).select(
+            message_key().alias("key"), with_label("record", "cluster_id").alias("value"), F.lit(OUTPUT_TOPIC).alias("topic"),
+            "cluster_id", "n", *features)
+        out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        if publish is not None:                           # e.g. a batch write to a broker's topic
+            publish(out.select("key", "value", "topic"))
 
     def step(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        if last["batch_id"] is not None and last["batch_id"] == batch_id - 1:
-            centres = last["centres"]
-        else:
-            centres = _load_centres(spark, state_dir, batch_id, k, d)
-        if centres is None:
-            centres = initial_centres(k, d, seed)
-        b = batch.persist()
-        try:
-            assigned = b.withColumn("cluster_id", nearest(centres, features))
-            cs = (assigned.groupBy("cluster_id")
-                          .agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f"m{j}") for j, f in enumerate(features)])
-                          .collect())                                     # at most k rows
-            centres = update_centres(centres, cs, halflife)
-            labelled = b.withColumn("cluster_id", nearest(centres, features))
-            out = labelled.select(message_key().alias("key"), with_label("record", "cluster_id").alias("value"),
-                                  F.lit(OUTPUT_TOPIC).alias("topic"), "cluster_id", *features)
-            out.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
-            if publish is not None:                       # e.g. a batch write to a broker's topic
-                publish(out.select("key", "value", "topic"))
-            _save_centres(spark, state_dir, batch_id, centres)
-            last["batch_id"], last["centres"] = batch_id, centres
-        finally:
-            b.unpersist()
-
+        before = state.load(batch_id - 1)
+        clusters = Clusters.of(before) if before else Clusters.start(k, len(features), seed)
+        seen, first = (before["messages"], before["done"]) if before else (0, 0)
+        rows = numbered(batch, seen).select(columns)
+        if before:
+            rows = spark.read.schema(waiting).parquet(state.table(batch_id - 1, "waiting")).unionByName(rows)
+        rows = rows.checkpoint(eager=True)
+        total = first + rows.count()
+        done = total - total % block
+        clusters, centres = learned(rows, clusters, first, total, done)
+        if centres:
+            write(rows.where(F.col("n") < done), batch_id, first, centres)
+        rows.where(F.col("n") >= done).write.mode("overwrite").parquet(state.table(batch_id, "waiting"))
+        state.save(batch_id, {"messages": total, "done": done, **clusters.values()})
+        last["batch_id"] = batch_id
+
+    last = {"batch_id": None}
     w = parsed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -140,4 +176,10 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
         q.awaitTermination()
         if q.exception():
             raise RuntimeError(str(q.exception()))
+        if last["batch_id"] is not None:
+            left = state.load(last["batch_id"])
+            rows = spark.read.schema(waiting).parquet(state.table(last["batch_id"], "waiting"))
+            _, centres = learned(rows, Clusters.of(left), left["done"], left["messages"], left["messages"])
+            if centres:
+                write(rows, -1, left["done"], centres)
     return q

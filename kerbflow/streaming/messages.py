@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.functions.numeric import pick_float, to_int
-from kerbflow.functions.timefn import iso_text, parse_time
+from kerbflow.functions.numeric import finite_or_null, first_within, text_to_double
+from kerbflow.functions.timefn import parse_time
 
 # The message fields each source publishes.
 YELLOW_FIELDS = ("total_amount", "trip_distance", "pulocationid", "dolocationid", "tip_amount")
@@ -20,60 +20,58 @@ MESSAGE_FIELDS = ("pickup_datetime", "total_amount", "trip_distance", "pulocatio
 MESSAGE_SCHEMA = ", ".join(f"{f} string" for f in MESSAGE_FIELDS) + ", _corrupt string"
 
 
-def json_number(c) -> Column:
-    """JSON literal for a double: null, NaN, Infinity or the shortest decimal."""
-    c = F.col(c) if isinstance(c, str) else c
-    return (F.when(c.isNull(), F.lit("null"))
-             .when(F.isnan(c), F.lit("NaN"))
-             .when(c == float("inf"), F.lit("Infinity"))
-             .when(c == float("-inf"), F.lit("-Infinity"))
-             .otherwise(c.cast("string")))
+def strip_json_quotes(c: Column) -> Column:
+    """from_json into STRING keeps the quotes of a non-numeric token ("NaN")."""
+    return F.regexp_replace(c, r'^"(.*)"$', "$1")
 
 
-def json_object(pairs) -> Column:
-    """Build a JSON object from (name, json-literal column) pairs; absent
-    fields (column None) are left out of the object."""
-    parts = []
-    for name, lit_col in pairs:
-        if lit_col is None:
-            continue
-        parts.append(F.concat(F.lit(f'"{name}":'), lit_col))
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+# Fields that hold numbers; the ids after them don't take true and false for 1 and 0.
+_MEASURES = ("trip_distance", "trip_miles", "tip_amount", "tips", "total_amount", "driver_pay", "passenger_count")
+_NUMBERS = (*_MEASURES, "pulocationid", "dolocationid")
 
 
-def strip_json_quotes(c: Column) -> Column:
-    """from_json into STRING keeps the quotes of a non-numeric token ("NaN")."""
-    return F.regexp_replace(c, r'^"(.*)"$', "$1")
+def _number(text: Column, at: Column) -> Column:
+    """A finite double from a field's text, or null; JSON true and false count as 1 and 0 in a measure."""
+    t = strip_json_quotes(text)
+    flag = F.when(t == "true", F.lit("1")).when(t == "false", F.lit("0")).otherwise(t)
+    return finite_or_null(text_to_double(F.when(at < len(_MEASURES), flag).otherwise(t)))
 
 
 def parse_messages(raw: DataFrame, value_col: str = "value", keep=("key", "topic", "partition", "offset")) -> DataFrame:
     """Kafka-shaped rows -> typed trip fields; adds ``_corrupt`` (non-null for
     text that is not a JSON object). Cross-service fallbacks follow the stream
     rules: distance = trip_distance | trip_miles (>= 0), tip = tip_amount | tips
-    (>= 0), total = total_amount | driver_pay; 0.0 when none is usable."""
+    (>= 0), total = total_amount | driver_pay; 0.0 when none is usable.
+
+    Each row is read as JSON once and each number is cleaned once: both steps stand
+    behind a generator, which the optimiser neither merges nor pushes filters through.
+    """
     keep = [k for k in keep if k in raw.columns]
     j = F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true"})
-    p = raw.select(*keep, F.col(value_col).cast("string").alias("_value"), j.alias("m"))
-    f = {name: strip_json_quotes(F.col(f"m.{name}")) for name in MESSAGE_FIELDS}
+    read = raw.select(*keep, F.col(value_col).cast("string").alias("_value"), F.explode(F.array(j)).alias("m"))
+    numbers = F.transform(F.array(*[F.col(f"m.{f}") for f in _NUMBERS]), _number)
+    p = read.select(*keep, "_value", "m", F.explode(F.array(numbers)).alias("v"))
+    v = {f: F.get(F.col("v"), F.lit(i)) for i, f in enumerate(_NUMBERS)}
     bad = F.col("m").isNull() | F.col("m._corrupt").isNotNull()
     return p.select(
         *keep,
         F.when(bad, F.col("_value")).alias("_corrupt"),
-        parse_time(f["pickup_datetime"]).alias("pickup_datetime"),
-        f["source"].alias("source"),
-        to_int(f["pulocationid"]).alias("pulocationid"),
-        to_int(f["dolocationid"]).alias("dolocationid"),
-        pick_float(_boolnum(f["trip_distance"]), _boolnum(f["trip_miles"]), default=0.0, min_value=0.0).alias("trip_distance"),
-        pick_float(_boolnum(f["tip_amount"]), _boolnum(f["tips"]), default=0.0, min_value=0.0).alias("tip_amount"),
-        pick_float(_boolnum(f["total_amount"]), _boolnum(f["driver_pay"]), default=0.0).alias("total_amount"),
-        pick_float(_boolnum(f["passenger_count"]), default=0.0).alias("passenger_count"),
+        parse_time(strip_json_quotes(F.col("m.pickup_datetime"))).alias("pickup_datetime"),
+        strip_json_quotes(F.col("m.source")).alias("source"),
+        v["pulocationid"].try_cast("int").alias("pulocationid"),
+        v["dolocationid"].try_cast("int").alias("dolocationid"),
+        first_within(v["trip_distance"], v["trip_miles"], default=0.0, min_value=0.0).alias("trip_distance"),
+        first_within(v["tip_amount"], v["tips"], default=0.0, min_value=0.0).alias("tip_amount"),
+        first_within(v["total_amount"], v["driver_pay"], default=0.0).alias("total_amount"),
+        first_within(v["passenger_count"], default=0.0).alias("passenger_count"),
     )
 
 
-def _boolnum(c: Column) -> Column:
-    """JSON true/false count as 1.0/0.0 (as float(True) does)."""
-    return F.when(c == "true", F.lit("1")).when(c == "false", F.lit("0")).otherwise(c)
+def encode_message(fields: dict) -> Column:
+    """A JSON object of named columns: numbers as numbers, times in ISO form, nulls written out."""
+    return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]),
+                     {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
 
 
 def good_messages(parsed: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbflow.operators.ranking import with_position
+from kerbflow.session import checkpoint_root
+from kerbflow.streaming.counted import BatchState, numbered
+from kerbflow.streaming.messages import good_messages, parse_messages
 
 MEASURES = ("trip_distance", "tip_amount", "total_amount")
 STATS = ("count", "mean", "std", "min", "max")
@@ -106,24 +109,23 @@ def with_borough(zones: DataFrame, zone_boroughs: DataFrame) -> DataFrame:
                  .withColumn("borough", F.coalesce("_b", F.lit("Unknown"))).drop("_bz", "_b"))
 
 
-def periodic_states(parsed: DataFrame, order_cols, interval: int = 500) -> DataFrame:
-    """(report, zone, pickups, total_amount_count, total_amount_mean) after every ``interval`` good messages.
+def periodic_sums(numbered: DataFrame, interval: int) -> DataFrame:
+    """(report, zone, m, c, s): messages, amounts and their sum by report interval and pickup zone, from messages with a number ``n``."""
+    placed = numbered.select(F.floor(F.col("n") / interval).cast("long").alias("report"), F.col("pulocationid").alias("zone"), "total_amount")
+    return placed.groupBy("report", "zone").agg(F.count(F.lit(1)).alias("m"), F.count("total_amount").alias("c"),
+                                                F.coalesce(F.sum("total_amount"), F.lit(0.0)).alias("s"))
 
-    A report's number comes from a message's place among the good messages, so
-    the result depends on the messages alone, not on files, partitions or
-    micro-batches. Sums are taken per (report, zone) and merged by a running
-    window within each zone; a zone without messages in a report keeps its state.
-    Messages after the last full interval are in no report.
+
+def running_states(sums: DataFrame, full) -> DataFrame:
+    """(report, zone, pickups, total_amount_count, total_amount_mean) after each of the reports below ``full``.
+
+    Sums by (report, zone) are merged by a running window within each zone; a zone without
+    messages in a report keeps its state.
     """
-    placed = with_position(parsed, order_cols, name="_n").select(
-        F.floor(F.col("_n") / interval).cast("long").alias("report"), F.col("pulocationid").alias("zone"), "total_amount")
-    per = (placed.groupBy("report", "zone")
-           .agg(F.count(F.lit(1)).alias("m"), F.count("total_amount").alias("c"), F.sum("total_amount").alias("s")))
-    full = F.floor(per.agg(F.sum("m")).scalar() / interval)
     order = Window.partitionBy("zone").orderBy("report")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     last = F.coalesce(F.lead("report").over(order), full) - 1
-    state = (per.where(F.col("zone").isNotNull())
+    state = (sums.where(F.col("zone").isNotNull())
              .select("report", "zone", F.sum("m").over(running).alias("pickups"),
                      F.sum("c").over(running).alias("total_amount_count"), F.sum("s").over(running).alias("_s"),
                      F.least(last, full - 1).alias("_last"))
@@ -132,6 +134,59 @@ def periodic_states(parsed: DataFrame, order_cols, interval: int = 500) -> DataF
                         (F.col("_s") / F.col("total_amount_count")).alias("total_amount_mean"))
 
 
+def periodic_states(parsed: DataFrame, order_cols, interval: int = 500) -> DataFrame:
+    """(report, zone, pickups, total_amount_count, total_amount_mean) after every ``interval`` good messages of a batch.
+
+    A report's number comes from a message's place among the good messages, so
+    the result depends on the messages alone, not on files, partitions or
+    micro-batches. Messages after the last full interval are in no report.
+    """
+    sums = periodic_sums(with_position(parsed, order_cols, name="n"), interval)
+    return running_states(sums, F.floor(sums.agg(F.sum("m")).scalar() / interval))
+
+
+def run_periodic_reports(source: DataFrame, out_dir: str, state_dir: str, checkpoint: str, interval: int = 500, available_now: bool = True,
+                         processing_time: str | None = None):
+    """The reports' states out of a stream: a report leaves, once, with the micro-batch that completes its interval.
+
+    Messages are numbered on from the counter that the batch before left, so a batch is cut at multiples of
+    ``interval`` wherever they fall in it. The state is a row per zone (what it has counted up to the last message),
+    kept by batch: a batch that is run again, or a stream that is started again, goes on from the same numbers and
+    writes over the same folder of ``out_dir``.
+    """
+    parsed = good_messages(parse_messages(source))
+    spark = source.sparkSession
+    checkpoint_root(spark)
+    state = BatchState(spark, state_dir)
+
+    def step(batch: DataFrame, batch_id: int):
+        before = state.load(batch_id - 1) or {"messages": 0}
+        first = before["messages"]
+        sums = periodic_sums(numbered(batch, first), interval)
+        if first:
+            # What was counted before this batch stands in the interval that the batch goes on with.
+            kept = spark.read.schema("zone int, m long, c long, s double").parquet(state.table(batch_id - 1, "zones"))
+            sums = sums.unionByName(kept.select(F.lit(first // interval).cast("long").alias("report"), "zone", "m", "c", "s"))
+            sums = sums.groupBy("report", "zone").agg(*[F.sum(c).alias(c) for c in "mcs"])
+        sums = sums.checkpoint(eager=True)                  # a row per report and zone
+        total = sums.agg(F.sum("m")).first()[0] or 0
+        running_states(sums, F.lit(total // interval)).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        sums.groupBy("zone").agg(*[F.sum(c).alias(c) for c in "mcs"]).write.mode("overwrite").parquet(state.table(batch_id, "zones"))
+        state.save(batch_id, {"messages": total})
+
+    w = parsed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    return q
+
+
 def periodic_reports(states: DataFrame, zone_boroughs: DataFrame, k: int = 10) -> DataFrame:
     """(section, report, rank, name, visits, total_amount_mean): top and bottom zones, and all boroughs."""
     out = None

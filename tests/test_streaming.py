@@ -96,10 +96,10 @@ def test_kmeans_separates_clusters(spark, tmp_dir):
     spark.createDataFrame(recs, KAFKA_SCHEMA).repartitionByRange(8, "offset").write.parquet(f"{tmp_dir}/src")
     out, state = f"{tmp_dir}/out", f"{tmp_dir}/state"
     kmeans.run_stream_kmeans(replay.replay_source(spark, f"{tmp_dir}/src"), out, state, f"{tmp_dir}/cp", k=4,
-                             features=("trip_distance", "total_amount"))
+                             features=("trip_distance", "total_amount"), block=100)
     res = spark.read.parquet(out)
-    last = res.agg(F.max("batch_id")).first()[0]
-    lab = res.where(F.col("batch_id") == last).groupBy("cluster_id").agg(
+    assert res.count() == 800
+    lab = res.where(F.col("n") >= 600).groupBy("cluster_id").agg(
         F.min("total_amount").alias("lo"), F.max("total_amount").alias("hi")).collect()
     for r in lab:                                           # no cluster mixes the two groups
         assert r["hi"] < 40 or r["lo"] > 40
@@ -119,13 +119,121 @@ def test_clusterer_keeps_the_record_and_its_state(spark, tmp_dir):
     for r, t in zip(rows, [text, "{}", '{"a": {"b": 1}}']):
         v = json.loads(r["value"])
         assert v.pop("cluster_id") == r["cluster_id"] and v == json.loads(t)
-    os.remove(f"{state}/batch_id=0/centres.json")
-    os.remove(f"{state}/batch_id=0/.centres.json.crc")
-    with open(f"{state}/batch_id=0/centres.json", "w") as f:
-        f.write('{"cluster_id": 0, "c0": 1.0, "c1": 2.0}\n')
-    with pytest.raises(RuntimeError, match="1 centres"):
-        kmeans._load_centres(spark, state, 1, 4, 2)
-    assert kmeans._load_centres(spark, f"{tmp_dir}/never", 1, 4, 2) is None
+    os.remove(f"{state}/batch_id=0/values.json")
+    msgs(spark, [text]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/src")
+    with pytest.raises(Exception, match="does not fit"):         # a lost state is no reason to start from seeds
+        kmeans.run_stream_kmeans(replay.replay_source(spark, f"{tmp_dir}/src"), out, state, f"{tmp_dir}/cp")
+
+
+def replayed_folder(spark, path, recs, files):
+    """Messages in files whose times go up with the offset."""
+    per = -(-len(recs) // files)
+    for i in range(files):
+        part = recs[i * per:(i + 1) * per]
+        if part:
+            spark.createDataFrame(part, KAFKA_SCHEMA).coalesce(1).write.parquet(f"{path}/{i:03d}")
+            for f in os.listdir(f"{path}/{i:03d}"):
+                os.utime(f"{path}/{i:03d}/{f}", (1_700_000_000 + i * 10,) * 2)
+    return f"{path}/*"
+
+
+def random_messages(n, seed=3):
+    import random
+    rnd, recs = random.Random(seed), []
+    for i in range(n):
+        v = {"pulocationid": rnd.randint(1, 6), "dolocationid": rnd.randint(1, 6), "trip_distance": round(rnd.uniform(0, 9), 2),
+             "passenger_count": rnd.randint(1, 6), "total_amount": round(rnd.uniform(3, 40), 2), "source": "yellow"}
+        text = json.dumps(v)
+        if i % 17 == 5:
+            text = text[:20]                                     # no JSON
+        if i % 23 == 7:
+            text = text.replace('"pulocationid"', '"elsewhere"')
+        recs.append((str(i), text, "t", 0, i))
+    return recs
+
+
+def brute_kmeans(points, k, halflife, block, seed=42):
+    """Blocks of messages one after another, in plain numpy."""
+    import numpy as np
+    centres = kmeans.initial_centres(k, 2, seed)
+    weights, fade, labels = np.ones(k), (1 - halflife) ** (1 / k), []
+    for start in range(0, len(points), block):
+        x = np.array(points[start:start + block])
+        near = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new, weights = centres.copy(), weights * fade ** len(x)
+        for c in set(near.tolist()):
+            w = fade ** (len(x) - 1 - np.flatnonzero(near == c))
+            total = weights[c] + w.sum()
+            new[c] = (weights[c] * centres[c] + (w[:, None] * x[near == c]).sum(axis=0)) / total
+            weights[c] = total
+        centres = new
+        labels += ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1).tolist()
+    return labels, centres
+
+
+@pytest.mark.parametrize("files", [1, 5, 9])
+def test_clusters_are_those_of_a_message_by_message_replay(spark, tmp_dir, files):
+    recs = random_messages(330)
+    src = replayed_folder(spark, f"{tmp_dir}/src", recs, 9)
+    out, state = f"{tmp_dir}/out", f"{tmp_dir}/state"
+    run = lambda: kmeans.run_stream_kmeans(replay.replay_source(spark, src, files), out, state, f"{tmp_dir}/cp", block=40)
+    run()
+    good = [json.loads(v) for _, v, *_ in recs if v.endswith("}")]
+    labels, _ = brute_kmeans([(g["trip_distance"], g["passenger_count"]) for g in good], 4, 0.1, 40)
+    got = {r.n: r.cluster_id for r in spark.read.parquet(out).collect()}
+    assert [got[i] for i in range(len(good))] == labels and len(got) == len(good) and len(set(labels)) > 1
+    if files == 5:                                               # started again with more messages behind
+        more = [(k, v, t, p, o + 330) for k, v, t, p, o in random_messages(100, seed=4)]
+        spark.createDataFrame(more, KAFKA_SCHEMA).coalesce(1).write.parquet(f"{tmp_dir}/src/zzz")
+        run()
+        good += [json.loads(v) for _, v, *_ in more if v.endswith("}")]
+        labels, _ = brute_kmeans([(g["trip_distance"], g["passenger_count"]) for g in good], 4, 0.1, 40)
+        got = {r.n: r.cluster_id for r in spark.read.parquet(out).collect()}
+        assert [got[i] for i in range(len(good))] == labels and len(got) == len(good)
+
+
+def test_cluster_vectors_merge_in_any_cut(spark):
+    rows = [(i, float(i % 7), float(i % 3)) for i in range(50)]
+    df = spark.createDataFrame(rows, "n long, trip_distance double, passenger_count double")
+    start = kmeans.Clusters.start(3, 2)
+    whole = {r.cluster_id: r for r in kmeans.cluster_vectors(df, start, 49, 0.9).collect()}
+    parts: dict = {}
+    for a, b in ((0, 13), (13, 14), (14, 50)):
+        for r in kmeans.cluster_vectors(df.where((F.col("n") >= a) & (F.col("n") < b)), start, 49, 0.9).collect():
+            parts[r.cluster_id] = [x + y for x, y in zip(parts.get(r.cluster_id, [0.0] * 4), (r.w, r.q, r.s0, r.s1))]
+    assert set(parts) == set(whole)
+    assert all(abs(x - y) < 1e-9 for c, v in parts.items() for x, y in zip(v, (whole[c].w, whole[c].q, whole[c].s0, whole[c].s1)))
+    assert (start.merged(list(whole.values()), 0.9 ** 50).radii() >= 0).all()
+
+
+@pytest.mark.parametrize("files", [1, 4, 9])
+def test_each_report_leaves_the_stream_once(spark, tmp_dir, files):
+    recs = random_messages(530)
+    src = replayed_folder(spark, f"{tmp_dir}/src", recs[:400], 9)
+    out, state = f"{tmp_dir}/out", f"{tmp_dir}/state"
+    run = lambda: stats.run_periodic_reports(replay.replay_source(spark, src, files), out, state, f"{tmp_dir}/cp", 50)     # noqa: E731
+    run()
+
+    def check(records):
+        good = good_messages(parse_messages(spark.createDataFrame(records, KAFKA_SCHEMA)))
+        want = {(r.report, r.zone): (r.pickups, round(r.total_amount_mean, 9)) for r in stats.periodic_states(good, ["offset"], 50).collect()}
+        rows = spark.read.parquet(out).collect()
+        got = {(r.report, r.zone): (r.pickups, round(r.total_amount_mean, 9)) for r in rows}
+        assert got == want and len(rows) == len(want) and len({k for k, _ in want}) == sum(v.endswith("}") for _, v, *_ in records) // 50
+        return {r.batch_id for r in rows}
+    first = check(recs[:400])
+    assert len(first) > (1 if files < 9 else 0)
+    spark.createDataFrame(recs[400:], KAFKA_SCHEMA).coalesce(1).write.parquet(f"{tmp_dir}/src/zzz")
+    run()                                                        # started again: counts go on, no report is sent twice
+    check(recs)
+
+
+def test_parsing_reads_json_once_and_keeps_generated_code(spark):
+    p = good_messages(parse_messages(msgs(spark, ['{"trip_distance": 1, "total_amount": 2}'])))
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 1 and plan.count("Generate explode") == 2
+    text = p._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
 
 
 def test_borough_std_at_large_means(spark):
