@@ -7,7 +7,8 @@ text is a word, too. A context's own suffix is that of the order below. Words,
 contexts and grams are told apart by 63-bit hashes. All counts are Spark
 aggregates over all training documents:
 
-* A context is tested if it stands ``min_count`` times or more.
+* A context is tested if it stands ``min_count`` (at order 1 ``min_ending``) times or
+  more.
 * It stores a symbol seen ``cut`` times or more after it if the symbol's count there
   gains more than ``penalty`` nats over the suffix's distribution. Stored symbols
   have their counts less ``discount``; the rest of the mass is shared like the
@@ -40,82 +41,92 @@ uniform; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from array import array
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import Shared, remainder, text_bytes, written
 
-END = b"\n"                     # never part of a word
+END, START = 0x452821E638D01377, 0x3E4C89452821E638      # hashes of the end and the start of a text
 ROOT = 0x243F6A8885A308D3       # the context of no words
 ENDINGS = 0x13198A2E03707344    # what the contexts of order 1 are mixed with
-SMALL = 6_000_000               # rows of 16 bytes that may be sent to every task
-CHUNK = 1_000_000               # tokens that a task counts before it passes counts on
+SMALL = 4_000_000               # rows of 16 bytes that may be sent to every task
+CHUNK = 2_000_000               # tokens that a task counts before it passes counts on
 _MASK = np.int64(2 ** 63 - 1)
 
 
-def hash_of(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) >> 1
-
-
-START = hash_of(b"\n\n")
-START_TAIL = 0x0A0A0A
-
+def mix(word, context):
+    """The hash of a context from its last word and the context before that; a gram's from its symbol and context."""
+    x = np.asarray(context).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(word).astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return (x ^ (x >> np.uint64(32))).astype(np.int64) & _MASK
 
-def tail_of(word: bytes) -> int:
-    """The last three bytes, the last one lowest; spaces before shorter words."""
-    return int.from_bytes(word[-3:].rjust(3), "big")
 
+def _powers() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(256, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
-class WordTable(dict):
-    """Words to places in ``hashes`` and ``tails``; one per task, emptied between texts beyond a bound."""
 
-    def __init__(self):
-        super().__init__()
-        self.hashes, self.tails = array("q"), array("q")
+_LOWER = np.array([32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
+_POWERS = _powers()
+START_TAIL, END_TAIL = 0x0A0A0A, 0x0A200A           # no word holds a line's end
 
-    def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self.hashes)
-        self.hashes.append(hash_of(word))
-        self.tails.append(tail_of(word))
-        return i
 
-    def bound(self, most: int = 100_000) -> None:
-        if len(self) > most:
-            self.clear()
-            self.hashes, self.tails = array("q"), array("q")
+def _bounds(texts) -> np.ndarray:
+    """Where each text starts in the array's bytes, and where the last one ends."""
+    kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    return np.frombuffer(texts.buffers()[1], kind)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
 
 
-def mix(word, context):
-    """The hash of a context from its last word and the context before that; a gram's from its symbol and context."""
-    x = np.asarray(context).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(word).astype(np.uint64)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
-    return (x ^ (x >> np.uint64(32))).astype(np.int64) & _MASK
+def _pieces(batch, most: int = 1 << 21):
+    """Slices of a batch of about ``most`` bytes of text (a longer text is one by itself)."""
+    ends, at = _bounds(batch.column("t")), 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1 - at)
+        yield batch.slice(at, n)
+        at += n
 
 
 class Tokens:
-    """The tokens of some texts: hashes and tails with a START before each text, places of the tokens, tokens by text."""
+    """The tokens of some texts: hashes and tails with a START before each text, places of the tokens, tokens by text.
 
-    def __init__(self, texts, table: WordTable):
-        table.bound()
-        words = [t.as_buffer().to_pybytes().lower().split() for t in texts]
-        self.sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    A word is a run without white space; its hash is a polynomial of its bytes, all computed over the texts' bytes at once.
+    """
+
+    def __init__(self, texts):
+        bounds, data = _bounds(texts), texts.buffers()[2]
+        raw = _LOWER[np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        inside = raw != 32
+        edge = np.zeros(len(raw) + 1, dtype=bool)
+        edge[bounds] = True                                                   # words end where texts do
+        starts = np.flatnonzero(inside & (edge[:-1] | np.concatenate([[True], ~inside[:-1]])))
+        ends = np.flatnonzero(inside & (edge[1:] | np.concatenate([~inside[1:], [True]]))) + 1
+        if len(starts):
+            word = np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw))))])
+            letter = np.arange(len(raw)) - word
+            value = (raw.astype(np.uint64) + np.uint64(1)) + (letter >> 8).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            value *= _POWERS[letter & 255]
+            value[~inside] = 0
+            hashes = mix(np.add.reduceat(value, starts), ends - starts)
+        else:
+            hashes = np.zeros(0, np.int64)
+        back = lambda k: np.where(ends - starts >= k, raw[ends - k], 32).astype(np.int64)       # noqa: E731
+        tails = back(1) | back(2) << 8 | back(3) << 16 if len(starts) else hashes
+        words = np.diff(np.searchsorted(starts, bounds))
+        self.sizes = words + 1
         self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
-        flat = np.zeros(int(self.sizes.sum()) + len(words), dtype=np.int64)
-        end = table[END]
-        for at, w in zip(self.starts.tolist(), words):
-            flat[at + 1:at + 1 + len(w)] = np.fromiter(map(table.__getitem__, w), np.int64, len(w))
-            flat[at + 1 + len(w)] = end
-        self.flat, self.tails = np.array(table.hashes)[flat], np.array(table.tails)[flat]
+        total = int(self.sizes.sum()) + len(words)
+        self.flat, self.tails = np.full(total, END, dtype=np.int64), np.full(total, END_TAIL, dtype=np.int64)
+        at = np.arange(len(starts)) + 2 * np.repeat(np.arange(len(words)), words) + 1
+        self.flat[at], self.tails[at] = hashes, tails
         self.flat[self.starts], self.tails[self.starts] = START, START_TAIL
-        places = np.ones(len(flat), dtype=bool)
+        places = np.ones(total, dtype=bool)
         places[self.starts] = False
         self.places = np.flatnonzero(places)
         self.symbols, self.classes = self.flat[self.places], class_of(self.tails[self.places])
@@ -150,10 +161,6 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
-def _slices(batch, rows: int = 512):
-    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
-
-
 def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
     """Rows of ``take(Tokens)`` (equal arrays, named by ``columns``) and how often (n) each stands in the texts ``t``.
 
@@ -162,10 +169,10 @@ def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
     names = columns.split()
 
     def count(batches):
-        table, held, n = WordTable(), [], 0
+        held, n = [], 0
         for b in batches:
-            for part in _slices(b):
-                held.append(take(Tokens(part.column("t"), table)))
+            for part in _pieces(b):
+                held.append(take(Tokens(part.column("t"))))
                 n += len(held[-1][0])
                 if n >= CHUNK:
                     yield counted(held)
@@ -212,11 +219,11 @@ def _few(df: DataFrame, bound: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.count() <= bound else df
 
 
-def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, min_count: int, cut: int, discount: float,
-          penalty: float):
+def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, min_ending: int, min_count: int, cut: int,
+          discount: float, penalty: float):
     """[(order, (key, value, state))] of the kept contexts (log10 e) and their stored grams (log10 of what they add), written."""
     spark, texts, scale = rows.sparkSession, rows.count(), n_train + 0.1 * (v + 1)
-    heads = words.where(F.col("sym") != hash_of(END)).select("sym", "tail", "c").unionByName(
+    heads = words.where(F.col("sym") != END).select("sym", "tail", "c").unionByName(
         spark.createDataFrame([(START, START_TAIL, texts)], "sym long, tail long, c long"))
     share = F.log((F.col("c") + 0.1) / scale)
     classes = (words.groupBy(class_of_column(F.col("tail")).alias("sym"))
@@ -226,14 +233,14 @@ def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, m
     tables = []
     for order in range(1, depth + 2):
         if order == 1:
-            level = _mapped(heads.groupBy("tail").agg(F.sum("c").alias("n")).where(F.col("n") >= min_count), "ctx suffix total",
+            level = _mapped(heads.groupBy("tail").agg(F.sum("c").alias("n")).where(F.col("n") >= min_ending), "ctx suffix total",
                             lambda x: (ending_context(x["tail"]), np.full(len(x["n"]), ROOT), x["n"]))
         elif order == 2:
             level = _mapped(heads.where(F.col("c") >= min_count), "ctx suffix total",
                             lambda x: (mix(x["sym"], ROOT), ending_context(x["tail"]), x["c"]))
         else:
             # One word longer: what came after a context is its last word now, and the suffix grows by it as well.
-            longer = tables[-1][0].where((F.col("n") >= min_count) & (F.col("sym") != hash_of(END)))
+            longer = tables[-1][0].where((F.col("n") >= min_count) & (F.col("sym") != END))
             level = _mapped(longer.select("ctx", "suffix", "sym", "n"), "ctx suffix total",
                             lambda x, first=order == 3: (mix(x["sym"], x["ctx"]), mix(x["sym"], ROOT if first else x["suffix"]), x["n"]))
         level = written(spark, level, f"lm-candidates-{order}")
@@ -241,7 +248,7 @@ def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, m
         if not n_level:
             break
         able = Shared(spark, np.sort(level.select("ctx").toArrow().column(0).to_numpy())) if n_level <= SMALL else None
-        grams = count_grams(rows, order, able).where(F.col("n") >= cut)
+        grams = count_grams(rows, order, able).where(F.col("n") >= (min(cut, 2) if order == 1 else cut))
         if order == 1:
             found = grams.join(_few(classes), "sym")
         elif order == 2:
@@ -258,18 +265,18 @@ def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, m
                      .withColumn("low", F.col("root") + F.coalesce("lift", "out", F.lit(0.0))))
         elif order > 2:
             found = found.join(tables[-1][0].select(F.col("ctx").alias("suffix"), "sym", F.col("high").alias("low"), "root"), ["suffix", "sym"])
+        # The larger tables keep what can't be joined from smaller ones; shares are good to seven digits.
         own = F.col("n") * (F.log(F.col("n") / F.col("total")) - F.col("low")) > penalty
-        found = written(spark, found.select("ctx", "suffix", "sym", "n", "total", "low", "root", own.alias("own")), f"lm-grams-{order}")
-        mass = (found.groupBy("ctx").agg(F.first("suffix").alias("suffix"), F.first("total").alias("total"),
-                                         F.coalesce(F.sum(F.when(F.col("own"), F.col("n"))), F.lit(0)).alias("held"),
-                                         F.count_if("own").alias("kinds"), F.coalesce(F.sum(F.when(F.col("own"), F.exp("low"))), F.lit(0.0)).alias("low"))
-                .withColumn("escape", F.log((F.col("total") - F.col("held") + discount * F.col("kinds")) / F.col("total"))
-                            - F.log(F.greatest(1 - F.col("low"), F.lit(1e-9)))))
+        found = written(spark, found.select("ctx", "sym", "n", F.col("low").cast("float"), F.col("root").cast("float"), own.alias("own")),
+                        f"lm-grams-{order}")
+        mass = (found.groupBy("ctx").agg(F.coalesce(F.sum(F.when(F.col("own"), F.col("n"))), F.lit(0)).alias("held"), F.count_if("own").alias("kinds"),
+                                         F.coalesce(F.sum(F.when(F.col("own"), F.exp("low"))), F.lit(0.0)).alias("low"))
+                .join(_few(level), "ctx").select("ctx", "suffix", "total", "held", "kinds", (
+                    F.log((F.col("total") - F.col("held") + discount * F.col("kinds")) / F.col("total"))
+                    - F.log(F.greatest(1 - F.col("low"), F.lit(1e-9)))).alias("escape")))
         mass = written(spark, mass, f"lm-mass-{order}")
-        rest = F.col("escape") + F.col("low")
-        high = F.when(F.col("own"), F.log((F.col("n") - discount) / F.col("total"))).otherwise(rest)
-        full = written(spark, found.join(_few(mass.select("ctx", "held", "kinds", "escape")), "ctx").withColumn("high", high),
-                       f"lm-order-{order}")
+        high = F.when(F.col("own"), F.log((F.col("n") - discount) / F.col("total"))).otherwise(F.col("escape") + F.col("low"))
+        full = found.join(_few(mass), "ctx").withColumn("high", high)
         gain = (F.coalesce(F.sum(F.when(F.col("own"), F.col("n") * (F.col("high") - F.col("low")))), F.lit(0.0))
                 + F.first((F.col("total") - F.col("held")) * F.col("escape")))
         kept = (full.groupBy("ctx").agg(gain.alias("gain"), F.first("kinds").alias("kinds"))
@@ -353,8 +360,8 @@ def tree_terms(x: Tokens, sent: dict, depth: int) -> tuple[np.ndarray, list[np.n
     return gain, keys
 
 
-def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_count: int = 30, cut: int = 2, discount: float = 0.75,
-          penalty: float = 2.0, max_counts: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10, min_count: int = 50, cut: int = 3, discount: float = 0.75,
+          penalty: float = 3.0, max_counts: int = 200_000) -> DataFrame:
     """Train on documents outside the held-out fold; score all."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), fold) == 0).alias("held_out"), text_bytes(F.col("text")).alias("t"))
@@ -362,16 +369,16 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_count: int = 30,
     words = written(spark, count_words(train), "lm-words")
     n_train, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(n_train + 0.1 * (v + 1))
-    sent, left = sent_tables(learn(train, words, n_train, v, depth, min_count, cut, discount, penalty))
+    sent, left = sent_tables(learn(train, words, n_train, v, depth, min_ending, min_count, cut, discount, penalty))
     shared = Shared(spark, (sent, *head_words(words, max_counts)))
 
     def scan(batches):
         from pyspark import TaskContext
-        table, (tables, sym, c) = WordTable(), shared.value
+        tables, sym, c = shared.value
         logs, row = np.log10(c + 0.1) - norm, TaskContext.get().partitionId() << 40
         for b in batches:
-            for part in _slices(b):
-                x = Tokens(part.column("t"), table)
+            for part in _pieces(b):
+                x = Tokens(part.column("t"))
                 n, tokens, text = len(x.sizes), x.symbols, np.repeat(np.arange(len(x.sizes)), x.sizes)
                 here = among(tokens, sym)
                 known = np.bincount(text[here], minlength=n)
