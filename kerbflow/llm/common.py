@@ -92,7 +92,7 @@ class WordIds:
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
     _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 48_000_000):
+    def __init__(self, path: str, keeps_space: bool, limit: int = 100_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]

@@ -253,6 +253,9 @@ def ngram_join(docs: DataFrame, n: int = N_WORDS, threshold=THRESHOLD, recall: f
     return found.unionByName(alone)
 
 
+SMALL = 200_000         # row keys (20 MB) that may be broadcast
+
+
 def row_key(doc_id, text):
     """Text that sorts like the id, nulls last, then by a hash of the text; equal for rows with equal id and text only."""
     order = F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
@@ -274,8 +277,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
                    .agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")), "ngram-rows")
     pick = lambda which, to: written(spark, rows.where(which).select(F.col("doc_id").alias(name)), to)      # noqa: E731
     gone, again = pick("doc_id <> class_id OR n > 1", "ngram-gone"), pick("doc_id = class_id AND n > 1", "ngram-again")
-    once = keyed.join(again, name, "left_semi").dropDuplicates([name])
-    return keyed.join(gone, name, "left_anti").unionByName(once).select(docs.columns)
+    # Written, counted keys of 49 letters: few enough, they are broadcast, so that the texts aren't shuffled.
+    few = lambda df: F.broadcast(df) if df.count() <= SMALL else df        # noqa: E731
+    once = keyed.join(few(again), name, "left_semi").dropDuplicates([name])
+    return keyed.join(few(gone), name, "left_anti").unionByName(once).select(docs.columns)
 
 
 def ngram_join_query(docs: DataFrame) -> DataFrame:
