@@ -11,17 +11,16 @@ from kerbflow.llm.common import WordIds
 
 ODD = ["", " ", "\n", "a", "Hello, world.", "  two  spaces ", "tab\tand\x0bvt", "it's we'll don't 'quoted'", "x\n\ny\n z", " \n ",
        "é É ñandú ß İstanbul ΣΑΣ", "nb\xa0sp em", "12,345.67 a1b2", "wait...what?!", "end. ", "\n.", "a .b", "***bold*** foo*** $$$",
-       "<|endoftext|> a<|endoftext|>b", "emoji 😀 text", "é ́x", "µm ª º ² ½", "foo_bar _x_ __", "\x1cfs\x1d", "L’été «là»", "word " * 3000]
+       "<|endoftext|> a<|endoftext|>b", "end <|endoftext|> of it", "<|startoftext|>x <|STARTOFTEXT|>", "<|endoftext|><|endoftext|>\n", "<|endoftext", "emoji 😀 text", "é ́x", "µm ª º ² ½", "foo_bar _x_ __", "\x1cfs\x1d", "L’été «là»", "word " * 3000]
 
 
 @pytest.mark.parametrize("name,keeps", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_word_cache_equals_whole_texts(name, keeps):
     path = public_tokenizers.path(name)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rng = random.Random(7)
     texts = ODD + ["".join(rng.choice("ab é.,'\n *\t1X-ß") for _ in range(rng.randrange(60))) for _ in range(400)]
-    for limit in (500_000, 40):
+    for limit in (100_000_000, 4000):
         ids = WordIds(path, keeps, limit)
         for i in range(0, len(texts), 50):
             got = ids.encode(texts[i:i + 50])
@@ -38,11 +37,10 @@ def test_bit_packing_round_trip(bits):
 
 
 def test_token_files_round_trip_and_random_access(spark):
-    rows = [(9 - i % 10, t, "c") for i, t in enumerate(ODD[:24])] + [(None, "null id", "c"), (77, None, "c"), (5, "same", "c"), (5, "same", "c")]
+    rows = [(9 - i % 10, t, "c") for i, t in enumerate(ODD[:28])] + [(None, "null id", "c"), (77, None, "c"), (5, "same", "c"), (5, "same", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(3)
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     manifest = token_files.write_tokens(spark, docs, path, 2, ids_per_file=100, block=64)
     got = sorted(token_files.read_tokens(manifest).collect(), key=lambda r: r.start)
     want = [(d, tok.encode(t or "", add_special_tokens=False).ids + [2]) for d, t, _ in
@@ -99,7 +97,6 @@ def test_packing_places_every_piece_once(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, length string")
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     got = packing.pack(docs, path, capacity=512).collect()
     want, total = [], 0
     for d, t, _ in rows:
