@@ -49,11 +49,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import Shared, remainder, text_bytes, written
+from kerbflow.llm.common import Shared, remainder, text_bytes, worker_held, written
 
 END, START = 0x452821E638D01377, 0x3E4C89452821E638      # hashes of the end and the start of a text
 ROOT = 0x243F6A8885A308D3       # the context of no words
 ENDINGS = 0x13198A2E03707344    # what the contexts of order 1 are mixed with
+GRAMS = 0x24A4093822299F31      # what tells a gram's key from a context's
 SMALL = 4_000_000               # rows of 16 bytes that may be sent to every task
 CHUNK = 2_000_000               # tokens that a task counts before it passes counts on
 _MASK = np.int64(2 ** 63 - 1)
@@ -67,6 +68,11 @@ def mix(word, context):
     return (x ^ (x >> np.uint64(32))).astype(np.int64) & _MASK
 
 
+def gram_key(symbol, context):
+    """The hash under which a context's stored symbol is looked up; never that of the context one word longer."""
+    return mix(symbol, np.asarray(context) ^ np.int64(GRAMS))
+
+
 def _powers() -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.cumprod(np.full(256, 0x9E3779B97F4A7C15, dtype=np.uint64))
@@ -83,7 +89,7 @@ def _bounds(texts) -> np.ndarray:
     return np.frombuffer(texts.buffers()[1], kind)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
 
 
-def _pieces(batch, most: int = 1 << 21):
+def _pieces(batch, most: int = 1 << 19):
     """Slices of a batch of about ``most`` bytes of text (a longer text is one by itself)."""
     ends, at = _bounds(batch.column("t")), 0
     while at < batch.num_rows:
@@ -116,7 +122,7 @@ class Tokens:
             hashes = mix(np.add.reduceat(value, starts), ends - starts)
         else:
             hashes = np.zeros(0, np.int64)
-        back = lambda k: np.where(ends - starts >= k, raw[ends - k], 32).astype(np.int64)       # noqa: E731
+        back = lambda k: np.where(ends - starts >= k, raw[np.maximum(ends - k, 0)], 32).astype(np.int64)       # noqa: E731
         tails = back(1) | back(2) << 8 | back(3) << 16 if len(starts) else hashes
         words = np.diff(np.searchsorted(starts, bounds))
         self.sizes = words + 1
@@ -152,13 +158,35 @@ def ending_context(tails) -> np.ndarray:
     return mix(tails, ENDINGS)
 
 
-def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted array ``known``."""
-    if not len(known):
-        return np.zeros(len(values), dtype=bool)
-    at = np.searchsorted(known, values)
-    at[at == len(known)] = 0
-    return known[at] == values
+class KeyTable:
+    """63-bit hashes, sorted, with a value each; their first bits lead to the few keys that share them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray | None = None):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], None if values is None else values[order]
+        bits = max(1, len(keys).bit_length() + 1)
+        self.shift = np.int64(63 - bits)
+        self.start = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1)).astype(np.int32)
+
+    def places(self, asked: np.ndarray) -> np.ndarray:
+        """Where each asked key (0 or more) is; -1 if it is not here."""
+        out = np.full(len(asked), -1, dtype=np.int64)
+        first = asked >> self.shift
+        at, end = self.start[first], self.start[first + 1]
+        todo = np.flatnonzero(at < end)
+        at, end = at[todo], end[todo]
+        while len(todo):
+            hit = self.keys[at] == asked[todo]
+            out[todo[hit]] = at[hit]
+            more = ~hit & (at + 1 < end)
+            todo, at, end = todo[more], at[more] + 1, end[more]
+        return out
+
+    def find(self, asked: np.ndarray):
+        """(which are here, the values of those)."""
+        at = self.places(asked)
+        here = at >= 0
+        return here, self.values[at[here]]
 
 
 def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
@@ -182,7 +210,11 @@ def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
 
     def counted(held):
         cols = [np.concatenate(x) for x in zip(*held)]
-        _, first, n = np.unique(mix(cols[1], cols[0]) if len(cols) > 1 else cols[0], return_index=True, return_counts=True)
+        key = mix(cols[1], cols[0])
+        order = np.argsort(key)
+        key = key[order]
+        at = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1]]))
+        first, n = order[at], np.diff(np.append(at, len(key)))
         return pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in cols), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
     return (rows.select("t").mapInArrow(count, ", ".join(f"{c} long" for c in [*names, "n"]))
@@ -198,7 +230,9 @@ def count_grams(rows: DataFrame, order: int, candidates: Shared | None) -> DataF
     """(ctx, sym, n) of one order; ``candidates`` (if it is given) holds the contexts that can reach the least count."""
     def take(x: Tokens):
         ctx = x.contexts(order)[-1]
-        fine = ctx >= 0 if candidates is None else among(ctx, candidates.value)
+        fine = ctx >= 0
+        if candidates is not None:
+            fine[fine] = worker_held(candidates.id, lambda: KeyTable(candidates.value)).places(ctx[fine]) >= 0
         return ctx[fine], (x.classes if order == 1 else x.symbols)[fine]
     return _counted(rows, "ctx sym", take)
 
@@ -247,7 +281,7 @@ def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, m
         n_level = level.count()
         if not n_level:
             break
-        able = Shared(spark, np.sort(level.select("ctx").toArrow().column(0).to_numpy())) if n_level <= SMALL else None
+        able = Shared(spark, level.select("ctx").toArrow().column(0).to_numpy()) if n_level <= SMALL else None
         grams = count_grams(rows, order, able).where(F.col("n") >= (min(cut, 2) if order == 1 else cut))
         if order == 1:
             found = grams.join(_few(classes), "sym")
@@ -288,7 +322,7 @@ def learn(rows: DataFrame, words: DataFrame, n_train: int, v: int, depth: int, m
         states = mass.join(kept, "ctx", "left_semi")
         longer = states.select(F.col("suffix").alias("ctx"))
         grams = full.where("own").join(kept, "ctx", "left_semi").withColumn("value", F.col("high") - F.col("low") - F.col("escape"))
-        grams = _mapped(grams.select("ctx", "sym", "value"), "key value", lambda x: (mix(x["sym"], x["ctx"]), x["value"]))
+        grams = _mapped(grams.select("ctx", "sym", "value"), "key value", lambda x: (gram_key(x["sym"], x["ctx"]), x["value"]))
         both = states.select(F.col("ctx").alias("key"), F.col("escape").alias("value"), F.lit(True).alias("state")).unionByName(
             grams.withColumn("state", F.lit(False)))
         out.append((order, written(spark, both.withColumn("value", F.col("value") / math.log(10)), f"lm-tree-{order}")))
@@ -299,29 +333,16 @@ def class_of_column(tail):
     return tail.bitwiseAND(F.lit(0xFFFF))
 
 
-class KeyTable:
-    """Values of 63-bit keys, as sorted arrays."""
-
-    def __init__(self, table: pa.Table):
-        keys = table.column("key").to_numpy()
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], table.column("value").to_numpy()[order]
-
-    def find(self, keys: np.ndarray):
-        """(which are here, the values of those)."""
-        here = among(keys, self.keys)
-        return here, self.values[np.searchsorted(self.keys, keys[here])]
-
-
 def sent_tables(tree) -> tuple[dict, list]:
-    """{order: (states, grams)} of the orders whose tables together are within ``SMALL`` rows, and the other orders' frames."""
+    """{order: (states, grams)}, each as keys and values, of the orders whose tables together are within ``SMALL`` rows, and the other orders' frames."""
     sent, left, rows = {}, [], 0
     for order, df in tree:
         n = df.count()
         if rows + n <= SMALL:
             rows += n
             t = df.toArrow()
-            sent[order] = tuple(KeyTable(t.filter(pc.equal(t.column("state"), x))) for x in (True, False))
+            sent[order] = tuple((part.column("key").to_numpy(), part.column("value").to_numpy().astype(np.float32))
+                                for part in (t.filter(pc.equal(t.column("state"), x)) for x in (True, False)))
         else:
             left.append((order, df.select("key", "value")))
     return sent, left
@@ -336,9 +357,7 @@ def head_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
             break
         n, least = n + sizes[k], k
     t = words.where(F.floor(F.log2("c")) >= least).select("sym", "c").toArrow()
-    sym, c = t.column("sym").to_numpy(), t.column("c").to_numpy()
-    order = np.argsort(sym)
-    return sym[order], c[order]
+    return t.column("sym").to_numpy(), t.column("c").to_numpy()
 
 
 def tree_terms(x: Tokens, sent: dict, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -353,15 +372,15 @@ def tree_terms(x: Tokens, sent: dict, depth: int) -> tuple[np.ndarray, list[np.n
             here, value = states.find(ctx[todo])
             todo = todo[here]                       # the suffixes of kept contexts are kept
             gain[todo] += value
-            here, value = grams.find(mix(symbols[todo], ctx[todo]))
+            here, value = grams.find(gram_key(symbols[todo], ctx[todo]))
             gain[todo[here]] += value
         else:
-            keys.append((todo, ctx[todo], mix(symbols[todo], ctx[todo])))
+            keys.append((todo, ctx[todo], gram_key(symbols[todo], ctx[todo])))
     return gain, keys
 
 
 def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10, min_count: int = 50, cut: int = 3, discount: float = 0.75,
-          penalty: float = 3.0, max_counts: int = 200_000) -> DataFrame:
+          penalty: float = 5.0, max_counts: int = 200_000) -> DataFrame:
     """Train on documents outside the held-out fold; score all."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), fold) == 0).alias("held_out"), text_bytes(F.col("text")).alias("t"))
@@ -370,20 +389,23 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10,
     n_train, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(n_train + 0.1 * (v + 1))
     sent, left = sent_tables(learn(train, words, n_train, v, depth, min_ending, min_count, cut, discount, penalty))
-    shared = Shared(spark, (sent, *head_words(words, max_counts)))
+    shared = Shared(spark, (sent, head_words(words, max_counts)))
+
+    def tables():
+        found, (sym, c) = shared.value
+        return {k: tuple(KeyTable(*x) for x in v) for k, v in found.items()}, KeyTable(sym, np.log10(c + 0.1) - norm)
 
     def scan(batches):
         from pyspark import TaskContext
-        tables, sym, c = shared.value
-        logs, row = np.log10(c + 0.1) - norm, TaskContext.get().partitionId() << 40
+        (kept, head), row = worker_held(shared.id, tables), TaskContext.get().partitionId() << 40
         for b in batches:
             for part in _pieces(b):
                 x = Tokens(part.column("t"))
                 n, tokens, text = len(x.sizes), x.symbols, np.repeat(np.arange(len(x.sizes)), x.sizes)
-                here = among(tokens, sym)
+                here, logs = head.find(tokens)
                 known = np.bincount(text[here], minlength=n)
-                base = np.bincount(text[here], weights=logs[np.searchsorted(sym, tokens[here])], minlength=n)
-                gain, keys = tree_terms(x, tables, depth)
+                base = np.bincount(text[here], weights=logs, minlength=n)
+                gain, keys = tree_terms(x, kept, depth)
                 at = np.concatenate([np.repeat(k[0], 2) for k in keys]) if keys else np.zeros(0, np.int64)
                 asked = np.concatenate([np.column_stack(k[1:]).ravel() for k in keys]) if keys else at
                 order = np.argsort(text[at], kind="stable")

@@ -136,6 +136,7 @@ def test_scores_match_brute_force(spark, monkeypatch, small, max_counts, options
     monkeypatch.setattr(T, "SMALL", small)              # 0: every key is looked up by a join
     rows = odd_rows()
     docs = spark.createDataFrame([(d, t, "z") for d, t in rows], "doc_id long, text string, word string").repartition(5)
+    options = {"min_ending": 10, "min_count": 30, "cut": 2, "discount": 0.75, "penalty": 2.0} | options
     got = T.score(docs, max_counts=max_counts, **options).collect()
     tree = Brute(rows, **options)
     assert len({o for o, _ in tree.kept}) >= 3 and len(tree.kept) > 20
