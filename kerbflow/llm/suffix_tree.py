@@ -404,7 +404,7 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10,
                 n, tokens, text = len(x.sizes), x.symbols, np.repeat(np.arange(len(x.sizes)), x.sizes)
                 here, logs = head.find(tokens)
                 known = np.bincount(text[here], minlength=n)
-                base = np.bincount(text[here], weights=logs, minlength=n)
+                base = np.bincount(text[here], weights=logs, minlength=n).astype(float)        # of no tokens: integers
                 gain, keys = tree_terms(x, kept, depth)
                 at = np.concatenate([np.repeat(k[0], 2) for k in keys]) if keys else np.zeros(0, np.int64)
                 asked = np.concatenate([np.column_stack(k[1:]).ravel() for k in keys]) if keys else at
@@ -413,7 +413,7 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10,
                          for t, values in ((text[~here], tokens[~here]), (text[at], asked[order]))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("held_out"), pa.array(x.sizes),
-                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(np.bincount(text, weights=gain, minlength=n)), *lists],
+                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(np.bincount(text, weights=gain, minlength=n).astype(float)), *lists],
                     names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "gain", "rest", "keys"])
                 row += n
 
