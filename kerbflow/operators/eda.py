@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbflow.functions.timefn import floor_hour
 from kerbflow.operators.ranking import _join_by, exact_quantiles
+from kerbflow.session import checkpoint_root
 
 
 def with_time_parts(df: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:
@@ -94,23 +96,78 @@ def profile_matrix(profile: DataFrame, by: str = "service") -> DataFrame:
     return wide.fillna(0.0).orderBy("hour")
 
 
-def profile_corr(profile: DataFrame, by: str = "service") -> DataFrame:
-    """Pearson correlation of every pair of hourly profiles, long form."""
-    wide = profile_matrix(profile, by)
-    names = [c for c in wide.columns if c != "hour"]
-    aggs = []
-    for a in names:
-        for b in names:
-            aggs.append(F.struct(F.lit(a).alias(f"{by}_a"), F.lit(b).alias(f"{by}_b"),
-                                 F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias("corr")))
-    return wide.agg(F.array(*aggs).alias("_m")).select(F.explode("_m").alias("_c")).select("_c.*")
+CORR_BLOCK = 256        # series of a block
+
+
+def profile_corr(profile: DataFrame, by: str = "service", block: int = CORR_BLOCK) -> DataFrame:
+    """Pearson correlation of every pair of hourly profiles, long form; an hour that a series lacks counts as 0.
+
+    Each series becomes one row with its shares by hour, in blocks of ``block`` series; a task has two blocks and
+    multiplies them as matrices. A series without spread has no correlation (null), as ``corr`` says.
+    """
+    import pyarrow as pa
+    checkpoint_root(profile.sparkSession)
+    hours = sorted(r["hour"] for r in profile.select("hour").distinct().collect())       # at most 24
+    kind = dict(profile.dtypes)[by]
+    shares = F.array(*[F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("share"))), F.lit(0.0)) for h in hours])
+    rows = profile.where(F.col(by).isNotNull()).groupBy(F.col(by).alias("series")).agg(shares.alias("x")).checkpoint(eager=True)
+    blocks = max(1, -(-rows.count() // block))
+    mine = F.pmod(F.xxhash64("series"), F.lit(blocks)).cast("int")
+    # A pair of blocks is done once, the lower one first; a block meets each other block and itself.
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(
+        F.least(F.col("mine"), o).alias("a"), F.greatest(F.col("mine"), o).alias("b")))
+    dealt = rows.withColumn("mine", mine).select("series", "x", "mine", F.explode(pairs).alias("p")).select("series", "x", "mine", "p.a", "p.b")
+
+    def multiply(key, table):
+        a, b = key[0].as_py(), key[1].as_py()
+        where = table.column("mine").to_numpy()
+        x = np.array(table.column("x").to_pylist(), dtype=float).reshape(table.num_rows, -1)
+        x = x - x.mean(axis=1, keepdims=True)
+        size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        x = np.divide(x, size, out=np.full_like(x, np.nan), where=size > 0)
+        left, right = np.flatnonzero(where == a), np.flatnonzero(where == b)
+        c = np.clip(x[left] @ x[right].T, -1.0, 1.0)
+        i, j = (v.ravel() for v in np.meshgrid(left, right, indexing="ij"))
+        values = c.ravel()
+        if a != b:                                                              # the other half of the matrix
+            i, j, values = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([values, values])
+        names = table.column("series")
+        return pa.table([names.take(pa.array(i)), names.take(pa.array(j)), pa.array(values, mask=np.isnan(values))],
+                        names=[f"{by}_a", f"{by}_b", "corr"])
+
+    return dealt.groupBy("a", "b").applyInArrow(multiply, f"{by}_a {kind}, {by}_b {kind}, corr double")
+
+
+# ------------------------------------------------------------------ distance sketches that can be merged
+
+def distance_sketches(df: DataFrame, by=("service", "year", "month"), col: str = "trip_distance", k: int = 400) -> DataFrame:
+    """A row per group with what a summary of any union of groups needs: count, mean, variance, extremes, and a KLL
+    sketch of the distribution (rank error about 2.3 / ``k``, whatever the size)."""
+    v = F.col(col).cast("double")
+    x = with_time_parts(df).select(*by, v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return x.groupBy(*by).agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("var"),
+                              F.min("v").alias("min"), F.max("v").alias("max"), F.kll_sketch_agg_double("v", F.lit(k)).alias("sketch"))
+
+
+def merged_distance_summary(sketches: DataFrame, by=(), quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
+    """count, mean, std (sample), min, quartiles, max over any selection of sketched groups; no trip is read."""
+    by = list(by)
+    pooled = sketches.groupBy(*by).agg(
+        F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
+        F.sum(F.col("n") * F.col("var")).alias("_within"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("_m2"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("sketch").alias("_s"))
+    spread = F.greatest(F.col("_within") + F.col("_m2") - F.col("count") * F.col("mean") * F.col("mean"), F.lit(0.0))
+    return pooled.where(F.col("count") > 0).select(
+        *by, "count", "mean", F.when(F.col("count") > 1, F.sqrt(spread / (F.col("count") - 1))).alias("std"), "min",
+        *[F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(f"q{int(q * 100)}") for q in quantiles], "max")
 
 
 def service_summary(df: DataFrame, by: str = "service", k: int = 10) -> DataFrame:
     """One row per service: totals plus nested per-year/hour/month and top-OD
     arrays (the JSON summary document, written with ``write.json``)."""
-    # One pass counts by (group, year, month, hour); totals and the three tables are sums of that small table.
-    fine = (with_time_parts(df).groupBy(by, "year", "month", "hour").agg(F.count(F.lit(1)).alias("num_trips")))
+    # One pass counts by (group, year, month, hour); it is kept, and totals and the three tables are sums of that small table.
+    checkpoint_root(df.sparkSession)
+    fine = with_time_parts(df).groupBy(by, "year", "month", "hour").agg(F.count(F.lit(1)).alias("num_trips")).checkpoint(eager=True)
 
     def nested(keys, name):
         known = F.lit(True)

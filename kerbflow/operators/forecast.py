@@ -1,10 +1,8 @@
 """Hourly demand features and three regressors on pyspark.ml.
 
 Models: linear regression (normal equations, one pass), gradient-boosted
-trees (binned splits) and block-incremental SGD. The SGD pass is the one the
-reference runs over 100k-row chunks: each block's sufficient statistics
-(Gram matrix, X'y, n) come from ONE grouped aggregation, and the sequential
-updates then run on those tiny matrices, so the data is read once.
+trees (binned splits) and one pass of SGD over time-ordered blocks, row by row,
+whose chains run in tasks and are averaged.
 """
 
 from __future__ import annotations
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kerbflow.functions.timefn import floor_hour, weekday_mon0
+from kerbflow.session import checkpoint_root
 
 # Model features and the year split.
 FEATURES = ("hour", "dow", "month", "lat", "lon")
@@ -65,30 +64,44 @@ def error_metrics(pred: DataFrame, label: str = "trip_count", prediction: str =
     return {"mse": r["mse"], "mae": r["mae"], "n": r["n"]}
 
 
-# ---------------------------------------------------------------- block SGD
+# ------------------------------------------------------- one-pass SGD over ordered blocks
 
-def _gram_aggs(features):
-    z = [F.lit(1.0)] + [F.col(f"_z{i}") for i in range(len(features))]
-    aggs, idx = [], []
-    for i in range(len(z)):
-        for j in range(i, len(z)):
-            aggs.append(F.sum(z[i] * z[j]).alias(f"g_{i}_{j}"))
-            idx.append((i, j))
-    for i in range(len(z)):
-        aggs.append(F.sum(z[i] * F.col("_y")).alias(f"h_{i}"))
-    aggs.append(F.count(F.lit(1)).alias("n"))
-    return aggs, idx
+CHUNK = 64          # rows whose updates are solved at once
 
 
-def fit_block_sgd(train: DataFrame, features=FEATURES, label: str = "trip_count", block_rows: int = 100_000,
-                  eta0: float = 0.01, power_t: float = 0.25, alpha: float = 1e-4, steps_per_block: int = 10,
-                  seed: int = 7) -> dict:
-    """One pass of block-wise SGD on standardised features.
+def sgd_chain(w: np.ndarray, z: np.ndarray, y: np.ndarray, t: int, eta0: float, power_t: float, alpha: float) -> np.ndarray:
+    """Weights after one update per row of ``z`` (first column 1) in order; ``t`` rows came before.
 
-    Returns {"mean", "std", "coef"} (coef[0] is the intercept)."""
+    Row t moves ``w <- (1 - eta_t alpha) w - eta_t (w z_t - y_t) z_t`` with ``eta_t = eta0 / t^power_t``; the intercept is
+    not shrunk. The rows' residuals depend on each other through a unit lower triangular system, which is solved for a
+    chunk at a time: the same numbers as row by row.
+    """
+    for at in range(0, len(y), CHUNK):
+        x, target = z[at:at + CHUNK], y[at:at + CHUNK]
+        n = len(target)
+        eta = eta0 / np.arange(t + 1, t + n + 1, dtype=float) ** power_t
+        shrink = np.concatenate([[1.0], np.cumprod(1.0 - eta * alpha)])           # before each row, and after the last
+        scale = np.repeat(shrink[:, None], x.shape[1], axis=1)
+        scale[:, 0] = 1.0
+        before, after = x * scale[:-1], x / scale[1:]
+        r = np.linalg.solve(np.eye(n) + np.tril(before @ after.T, -1) * eta, before @ w - target)
+        w = scale[-1] * (w - (eta * r) @ after)
+        t += n
+    return w
+
+
+def fit_ordered_sgd(train: DataFrame, features=FEATURES, label: str = "trip_count", order=("pickup_hour", "pickup_zone"),
+                    block_rows: int = 100_000, eta0: float = 0.01, power_t: float = 0.25, alpha: float = 1e-4) -> dict:
+    """One pass of SGD over time-ordered blocks of about ``block_rows`` rows, on standardised features.
+
+    Rows are range-partitioned by time, a block a task; each block is a chain of updates, one a row, in time order from
+    zero. The chains' weights are averaged by their rows, a sum that tasks' parts add up to. One block gives the
+    sequential pass itself. Returns {"mean", "std", "coef", "features"} (coef[0] is the intercept).
+    """
     feats = list(features)
-    x = train.select(*[F.col(f).cast("double").alias(f) for f in feats], F.col(label).cast("double").alias("_y")) \
-        .dropna()
+    order = [c for c in order if c in train.columns and c not in feats]
+    x = train.select(*order, *[F.col(f).cast("double").alias(f) for f in feats], F.col(label).cast("double").alias("_y")) \
+        .dropna(subset=[*feats, "_y"])
     mom = x.agg(*[F.avg(f).alias(f"m_{f}") for f in feats], *[F.stddev_pop(f).alias(f"s_{f}") for f in feats],
                 F.count(F.lit(1)).alias("n")).first()
     n = mom["n"]
@@ -96,38 +109,26 @@ def fit_block_sgd(train: DataFrame, features=FEATURES, label: str = "trip_count"
         raise ValueError("no training rows")
     mean = np.array([mom[f"m_{f}"] for f in feats])
     std = np.array([mom[f"s_{f}"] or 1.0 for f in feats])
-    std[std == 0] = 1.0
-    n_blocks = max(1, math.ceil(n / block_rows))
-    z = x.select(*[((F.col(f) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f"_z{i}")
-                   for i, f in enumerate(feats)], "_y",
-                 F.pmod(F.xxhash64(*feats, "_y", F.lit(seed)), F.lit(n_blocks)).alias("_block"))
-    aggs, idx = _gram_aggs(feats)
-    blocks = z.groupBy("_block").agg(*aggs).orderBy("_block").collect()    # n_blocks small rows
-    d = len(feats) + 1
-    w = np.zeros(d)
-    seen = 0
-    for b in blocks:
-        g = np.zeros((d, d))
-        for (i, j) in idx:
-            g[i, j] = g[j, i] = b[f"g_{i}_{j}"]
-        h = np.array([b[f"h_{i}"] for i in range(d)])
-        nb = b["n"]
-        # Per-row SGD over this block would move by about eta_t * n_b in total
-        # (inverse-scaling schedule, t = rows seen); spread that over a few
-        # full-gradient steps, each capped at the stability bound 1 / L.
-        lipschitz = float(np.linalg.eigvalsh(g / nb).max()) + alpha
-        eta_t = eta0 / ((seen + 1) ** power_t)
-        lr = min(eta_t * nb / steps_per_block, 1.0 / lipschitz)
-        for _ in range(steps_per_block):
-            grad = (g @ w - h) / nb
-            reg = alpha * w
-            reg[0] = 0.0
-            w = w - lr * (grad + reg)
-        seen += nb
-    return {"mean": mean, "std": std, "coef": w, "features": feats}
-
-
-def predict_block_sgd(df: DataFrame, model: dict, out: str = "prediction") -> DataFrame:
+    blocks, keys = max(1, math.ceil(n / block_rows)), [*order, F.xxhash64(*feats, "_y")]       # rows of one hour and zone by a hash
+    # One block is one task; a range partition also needs a key to split by.
+    dealt = (x.repartitionByRange(blocks, *keys) if blocks > 1 else x.coalesce(1)).sortWithinPartitions(*keys)
+
+    def chain(batches):
+        import pyarrow as pa
+        w, t = np.zeros(len(feats) + 1), 0
+        for b in batches:
+            cols = [b.column(f).to_numpy() for f in feats]
+            z = np.column_stack([np.ones(b.num_rows), (np.column_stack(cols) - mean) / std])
+            w, t = sgd_chain(w, z, b.column("_y").to_numpy(), t, eta0, power_t, alpha), t + b.num_rows
+        if t:
+            yield pa.RecordBatch.from_pydict({"j": pa.array(range(len(w)), pa.int32()), "w": pa.array(w * t), "n": pa.array([t] * len(w), pa.int64())})
+
+    rows = dealt.select(*feats, "_y").mapInArrow(chain, "j int, w double, n long").groupBy("j").agg((F.sum("w") / F.sum("n")).alias("c")).collect()
+    coef = np.array([r["c"] for r in sorted(rows, key=lambda r: r["j"])])          # a number a feature
+    return {"mean": mean, "std": std, "coef": coef, "features": feats}
+
+
+def predict_sgd(df: DataFrame, model: dict, out: str = "prediction") -> DataFrame:
     expr = F.lit(float(model["coef"][0]))
     for i, f in enumerate(model["features"]):
         expr = expr + F.lit(float(model["coef"][i + 1])) * \
@@ -137,7 +138,7 @@ def predict_block_sgd(df: DataFrame, model: dict, out: str = "prediction") -> Da
 
 # ------------------------------------------------------------------ driver
 
-def save_block_sgd(spark, model: dict, path: str) -> str:
+def save_sgd(spark, model: dict, path: str) -> str:
     """Coefficients and scaling of the SGD model as a one-row Parquet table."""
     spark.createDataFrame([(model["features"], [float(v) for v in model["mean"]], [float(v) for v in model["std"]],
                             [float(v) for v in model["coef"]])],
@@ -152,10 +153,19 @@ def forecast_metrics(feats: DataFrame, gbt_iterations: int = 100, gbt_depth: int
     (model, split) with seconds spent fitting + scoring. With ``save_dir`` the
     three fitted models are written there (ML writers / Parquet)."""
     spark = feats.sparkSession
-    data = assemble(feats).persist(StorageLevel.MEMORY_AND_DISK)
+    # The hourly table is small beside the trips: boosting's many passes go over as few partitions as it fills.
+    checkpoint_root(spark)
+    data = assemble(feats).checkpoint(eager=True)
+    data = data.coalesce(max(1, math.ceil(data.count() / 250_000))).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.where(F.col("split") == "train")
     rows = []
     try:
+        mean = train.agg(F.avg(label)).first()[0]
+        for split in ("validation", "test"):
+            t1 = time.time()
+            m = error_metrics(data.where(F.col("split") == split).withColumn("prediction", F.lit(mean)), label)
+            rows.append(("mean", split, m["mse"], m["mae"], m["n"], time.time() - t1))
+
         t0 = time.time()
         lr = LinearRegression(featuresCol="features", labelCol=label, solver="normal").fit(train)
         fit_s = time.time() - t0
@@ -166,7 +176,7 @@ def forecast_metrics(feats: DataFrame, gbt_iterations: int = 100, gbt_depth: int
 
         t0 = time.time()
         gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=gbt_iterations, maxDepth=gbt_depth,
-                           stepSize=0.3, maxBins=256, seed=42).fit(train)
+                           stepSize=0.3, maxBins=256, seed=42, checkpointInterval=20).fit(train)
         fit_s = time.time() - t0
         for split in ("validation", "test"):
             t1 = time.time()
@@ -174,16 +184,16 @@ def forecast_metrics(feats: DataFrame, gbt_iterations: int = 100, gbt_depth: int
             rows.append(("gbt", split, m["mse"], m["mae"], m["n"], fit_s + time.time() - t1))
 
         t0 = time.time()
-        sgd = fit_block_sgd(train, block_rows=block_rows, label=label)
+        sgd = fit_ordered_sgd(train, block_rows=block_rows, label=label)
         fit_s = time.time() - t0
         for split in ("validation", "test"):
             t1 = time.time()
-            m = error_metrics(predict_block_sgd(data.where(F.col("split") == split), sgd), label)
-            rows.append(("block_sgd", split, m["mse"], m["mae"], m["n"], fit_s + time.time() - t1))
+            m = error_metrics(predict_sgd(data.where(F.col("split") == split), sgd), label)
+            rows.append(("ordered_sgd", split, m["mse"], m["mae"], m["n"], fit_s + time.time() - t1))
         if save_dir:
             lr.write().overwrite().save(f"{save_dir}/linear")
             gbt.write().overwrite().save(f"{save_dir}/gbt")
-            save_block_sgd(spark, sgd, f"{save_dir}/block_sgd")
+            save_sgd(spark, sgd, f"{save_dir}/ordered_sgd")
     finally:
         data.unpersist()
     return spark.createDataFrame(rows, "model string, split string, mse double, mae double, n bigint, seconds double")

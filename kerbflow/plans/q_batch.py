@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.operators import eda, quality
 from kerbflow.plans.registry import register
+from kerbflow.session import scratch_path
 from kerbflow.plans.standins import (TRIPS_EV_SQL, TRIPS_LI_SQL, trips_ev, trips_li,
                                      trips_li_text, with_ctes)
 
@@ -159,6 +160,40 @@ def q_profile_corr(spark, sf_dir):
     return c.select("service_a", "service_b", _r("corr"))
 
 
+@register("zone_profile_corr", with_ctes(TRIPS_EV_SQL, """prof AS (
+  SELECT pulocationid AS zone, hour(pickup_datetime) AS hour, count(*) AS n FROM trips_ev WHERE pulocationid IS NOT NULL GROUP BY 1, 2),
+sh AS (SELECT zone, hour, n / sum(n) OVER (PARTITION BY zone) AS share FROM prof),
+full_prof AS (
+  SELECT z.zone, h.hour, coalesce(share, 0.0) AS share FROM (SELECT DISTINCT zone FROM prof) z CROSS JOIN (SELECT DISTINCT hour FROM prof) h
+  LEFT JOIN sh ON sh.zone = z.zone AND sh.hour = h.hour)""", body="""
+SELECT a.zone AS zone_a, b.zone AS zone_b, round(corr(a.share, b.share), 6) AS corr
+FROM full_prof a JOIN full_prof b ON a.hour = b.hour GROUP BY 1, 2"""))
+def q_zone_profile_corr(spark, sf_dir):
+    """Correlations between the hourly profiles of all zones."""
+    t = trips_ev(spark, sf_dir).withColumn("zone", F.col("pulocationid"))
+    c = eda.profile_corr(eda.hourly_profile(t, by="zone"), by="zone")
+    return c.select("zone_a", "zone_b", _r("corr"))
+
+
+@register("distance_sketch", with_ctes(TRIPS_EV_SQL, body="""
+SELECT service, count(trip_distance) AS count, round(avg(trip_distance), 6) AS mean, round(stddev_samp(trip_distance), 6) AS std,
+       round(min(trip_distance), 6) AS min, round(max(trip_distance), 6) AS max, true AS quartiles_near
+FROM trips_ev GROUP BY service"""))
+def q_distance_sketch(spark, sf_dir):
+    """Summaries from stored sketches by (service, year, month), without reading a trip; then the share of the trips
+    below each quartile, which must be within 0.02 of it."""
+    trips = trips_ev(spark, sf_dir)
+    path = scratch_path(spark, "distance-sketches")
+    eda.distance_sketches(trips).write.parquet(path)
+    s = eda.merged_distance_summary(spark.read.parquet(path), ["service"])
+    q = s.select(F.col("service").alias("_s"), "q25", "q50", "q75")
+    below = trips.join(q, F.col("service") == F.col("_s")).groupBy("_s").agg(*[
+        F.avg((F.col("trip_distance") <= F.col(c)).cast("double")).alias(c) for c in ("q25", "q50", "q75")])
+    near = F.greatest(*[F.abs(F.col(c) - p) for c, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]) < 0.02
+    return s.drop("q25", "q50", "q75").join(below, F.col("service") == F.col("_s")).select(
+        "service", "count", *[_r(c) for c in ("mean", "std", "min", "max")], near.alias("quartiles_near"))
+
+
 PROFILE_SERVICES = ("click", "error", "purchase", "signup", "view")
 
 

@@ -10,8 +10,12 @@ from the checkpoint gives exactly-once results.
 
 from __future__ import annotations
 
+import json
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from kerbflow.streaming import stats
 from kerbflow.streaming.messages import good_messages, parse_messages
@@ -23,12 +27,11 @@ def _latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 STATE_PARTITIONS = 8      # state is one row per zone: a few partitions at any input size; a parameter for more zones
-PROGRESS_UPDATES = 1_000_000      # micro-batches whose progress a draining run keeps; a row each, beyond it the run fails
+LISTEN_SECONDS = 120      # within which the listener must have heard of a query's end
 
 
 def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
-                      processing_time: str | None = None, state_partitions: int = STATE_PARTITIONS,
-                      progress_updates: int = PROGRESS_UPDATES):
+                      processing_time: str | None = None, state_partitions: int = STATE_PARTITIONS):
     """Start the stream; with ``available_now`` it drains its input and stops.
 
     Each micro-batch writes the per-zone state snapshot to
@@ -50,20 +53,22 @@ def run_rolling_stats(source: DataFrame, out_dir: str, checkpoint: str, availabl
     # per-zone partials are shuffled, so few partitions suffice.
     spark = source.sparkSession
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    keep = "spark.sql.streaming.numRecentProgressUpdates"
-    kept = spark.conf.get(keep, "100")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    spark.conf.set(keep, str(progress_updates))
+    listener = ProgressTable(spark, f"{out_dir}/progress")
+    spark.streams.addListener(listener)
     try:
         q = w.start()
+        listener.follow(q)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.set(keep, kept)
     if available_now:
-        q.awaitTermination()
+        try:
+            q.awaitTermination()
+            listener.wait()
+        finally:
+            spark.streams.removeListener(listener)
         if q.exception():
             raise RuntimeError(str(q.exception()))
-        write_progress(spark, q, f"{out_dir}/progress")
     return q
 
 
@@ -71,22 +76,69 @@ PROGRESS_SCHEMA = ("batch_id long, input_rows long, input_rows_per_s double, pro
                    "trigger_ms long, add_batch_ms long")
 
 
-def write_progress(spark: SparkSession, query, path: str) -> str:
-    """Per micro-batch throughput of a finished run (one row per batch)."""
-    rows = []
-    found = query.recentProgress or []
-    if found and found[0]["batchId"] != 0 and len(found) >= PROGRESS_UPDATES:
-        raise RuntimeError(f"more than {len(found)} micro-batches: progress of the first ones is lost")
-    for p in found:
+class ProgressTable(StreamingQueryListener):
+    """Writes the progress of one query to a table as it comes: a line of JSON per micro-batch, one file each, so that
+    any number of batches leaves nothing on the driver and a batch that is run again is written over."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.ended, self.run, self.trouble = threading.Event(), None, None
+        self.early: list = []
+        self.lock = threading.Lock()
+
+    def follow(self, query) -> None:
+        with self.lock:
+            self.run = str(query.runId)
+            for event in self.early:
+                self._write(event)
+            self.early = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.lock:
+            if self.run is None:                # events can come before the query is known here
+                self.early.append(event)
+            else:
+                self._write(event)
+
+    def onQueryTerminated(self, event) -> None:
+        with self.lock:
+            if self.run is None or str(event.runId) == self.run:
+                self.ended.set()
+
+    def _write(self, event) -> None:
+        p = json.loads(event.progress.json)
+        if p["runId"] != self.run:
+            return
         d = p.get("durationMs") or {}
-        rows.append((p.get("batchId"), p.get("numInputRows"), float(p.get("inputRowsPerSecond") or 0.0),
-                     float(p.get("processedRowsPerSecond") or 0.0), d.get("triggerExecution"), d.get("addBatch")))
-    spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
-    return path
+        row = {"batch_id": p["batchId"], "input_rows": p.get("numInputRows"), "input_rows_per_s": p.get("inputRowsPerSecond"),
+               "processed_rows_per_s": p.get("processedRowsPerSecond"), "trigger_ms": d.get("triggerExecution"), "add_batch_ms": d.get("addBatch")}
+        try:
+            sc = self.spark.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch-{p['batchId']:012d}.json")
+            out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+            try:
+                out.write(bytearray((json.dumps(row) + "\n").encode("utf-8")))
+            finally:
+                out.close()
+        except Exception as e:  # noqa: BLE001 - raised in ``wait``: an error in a listener is only logged
+            self.trouble = e
+
+    def wait(self) -> None:
+        """Until the query's last event has been written."""
+        if not self.ended.wait(LISTEN_SECONDS):
+            raise RuntimeError("the progress listener did not hear of the query's end")
+        if self.trouble:
+            raise RuntimeError(f"progress could not be written: {self.trouble}")
 
 
 def progress(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/progress")
+    return spark.read.schema(PROGRESS_SCHEMA).json(f"{out_dir}/progress")
 
 
 def final_state(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ def zone_state(parsed: DataFrame) -> DataFrame:
     long = parsed.select(F.inline(rows)).where(F.col("zone").isNotNull())
     aggs = [F.count_if("is_pu").alias("pickups"), F.count_if(~F.col("is_pu")).alias("dropoffs")]
     for m in MEASURES:
-        v = F.when(F.col("is_pu"), F.col(m))
+        v = F.col(m)                # null in the dropoff rows
         aggs += [F.count(v).alias(f"{m}_count"), F.avg(v).alias(f"{m}_mean"),
                  F.stddev_pop(v).alias(f"{m}_std"), F.min(v).alias(f"{m}_min"), F.max(v).alias(f"{m}_max")]
     return long.groupBy("zone").agg(*aggs)

@@ -26,19 +26,45 @@ def test_exact_quantiles_match_numpy(spark):
             assert q[g][f"q{p}"] == pytest.approx(np.percentile(sub, p), rel=1e-12)
 
 
-def test_block_sgd_recovers_coefficients(spark):
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(4000, 2))
-    y = 3.0 + 2.0 * x[:, 0] - 1.0 * x[:, 1] + rng.normal(scale=0.05, size=4000)
-    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
-    m = forecast.fit_block_sgd(df, features=("a", "b"), label="y", block_rows=200, eta0=0.1, steps_per_block=20)
-    pred = forecast.predict_block_sgd(df, m)
-    err = forecast.error_metrics(pred, "y")
-    base = df.agg(F.variance("y")).first()[0]
-    assert err["mse"] < 0.01 * base
-    # back to the original scale
-    coef = m["coef"][1:] / m["std"]
-    assert coef == pytest.approx([2.0, -1.0], abs=0.05)
+def row_by_row(x, y, eta0, power_t, alpha):
+    """Plain sequential SGD with an inverse-scaling rate; the intercept is not shrunk."""
+    w = np.zeros(x.shape[1] + 1)
+    for t, (row, target) in enumerate(zip(x, y), 1):
+        z, eta = np.append(1.0, row), eta0 / t ** power_t
+        r = w @ z - target
+        w = w * np.append(1.0, np.full(len(row), 1 - eta * alpha)) - eta * r * z
+    return w
+
+
+def sgd_frame(spark, n, seed=1):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 2)) * [1.0, 30.0] + [5.0, -7.0], 6)
+    y = 3.0 + 2.0 * x[:, 0] - 0.1 * x[:, 1] + np.round(rng.normal(scale=0.3, size=n), 6)
+    rows = [(int(i), float(a), float(b), float(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "pickup_hour long, a double, b double, y double").repartition(5)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    return df, z, y
+
+
+def test_a_chain_of_updates_is_the_sequential_pass():
+    rng = np.random.default_rng(2)
+    for n in (1, 63, 64, 65, 500):
+        x, y = rng.normal(size=(n, 3)), rng.normal(size=n) * 10
+        got = forecast.sgd_chain(np.zeros(4), np.column_stack([np.ones(n), x]), y, 0, 0.05, 0.25, 1e-2)
+        assert got == pytest.approx(row_by_row(x, y, 0.05, 0.25, 1e-2), rel=1e-9, abs=1e-9)
+
+
+def test_one_block_is_the_sequential_pass_and_more_come_near(spark):
+    df, z, y = sgd_frame(spark, 20_000)
+    want = row_by_row(z, y, 0.01, 0.25, 1e-4)
+    one = forecast.fit_ordered_sgd(df, features=("a", "b"), label="y")
+    assert one["coef"] == pytest.approx(want, rel=1e-6)
+    many = forecast.fit_ordered_sgd(df, features=("a", "b"), label="y", block_rows=5000)
+    assert many["coef"] == pytest.approx(want, abs=0.05 * np.abs(want).max())             # the stated tolerance: 5 %
+    err, base = (forecast.error_metrics(p, "y")["mse"] for p in (forecast.predict_sgd(df, many), df.withColumn("prediction", F.lit(float(y.mean())))))
+    assert err < 0.1 * base
+    with pytest.raises(ValueError):
+        forecast.fit_ordered_sgd(df.limit(0), features=("a", "b"), label="y")
 
 
 def test_distance_summary_ungrouped(spark):
@@ -64,12 +90,12 @@ def test_forecast_metrics_beats_mean(spark, tmp_dir):
     df = spark.createDataFrame(rows, "year int, hour int, dow int, month int, lat double, lon double, trip_count double")
     feats = forecast.split_by_year(df)
     m = {(r["model"], r["split"]): r for r in
-         forecast.forecast_metrics(feats, gbt_iterations=5, gbt_depth=3, block_rows=500, save_dir=f"{tmp_dir}/m").collect()}
-    assert set(m) == {(a, b) for a in ("linear", "gbt", "block_sgd") for b in ("validation", "test")}
+         forecast.forecast_metrics(feats, gbt_iterations=5, gbt_depth=3, block_rows=5000, save_dir=f"{tmp_dir}/m").collect()}
+    assert set(m) == {(a, b) for a in ("mean", "linear", "gbt", "ordered_sgd") for b in ("validation", "test")}
     val = feats.where("split = 'validation'")
     mean_only = val.agg(F.variance("trip_count")).first()[0]
     assert m[("linear", "validation")]["mse"] < 0.1 * mean_only
-    assert m[("block_sgd", "validation")]["mse"] < 0.5 * mean_only
+    assert m[("ordered_sgd", "validation")]["mse"] < 0.5 * mean_only
     assert m[("gbt", "validation")]["mse"] < mean_only
     import os
     assert os.path.isdir(f"{tmp_dir}/m/linear") and os.path.isdir(f"{tmp_dir}/m/gbt")
