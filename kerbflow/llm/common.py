@@ -92,7 +92,7 @@ class WordIds:
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
     _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 100_000_000):
+    def __init__(self, path: str, keeps_space: bool, limit: int = 80_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
@@ -146,6 +146,18 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):              # a few million letters at a time: the split words take twenty times their room
+            end, letters = at, 0
+            while end < len(texts) and (end == at or letters + len(texts[end]) <= 2_000_000):
+                letters += len(texts[end])
+                end += 1
+            out += self._encode(texts[at:end])
+            at = end
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if self.size > self.limit:
             self.old, self.cache, self.size = self.cache, {"": b""}, 0
         odd, added = self._ODD.search, self.added

@@ -20,7 +20,7 @@ def test_word_cache_equals_whole_texts(name, keeps):
     tok = Tokenizer.from_file(path)
     rng = random.Random(7)
     texts = ODD + ["".join(rng.choice("ab é.,'\n *\t1X-ß") for _ in range(rng.randrange(60))) for _ in range(400)]
-    for limit in (100_000_000, 4000):
+    for limit in (80_000_000, 4000):
         ids = WordIds(path, keeps, limit)
         for i in range(0, len(texts), 50):
             got = ids.encode(texts[i:i + 50])
