@@ -61,3 +61,24 @@ def test_toxic_rows_go_by_row_not_by_id(spark, tmp_path):
     assert left.columns == d.columns
     got = collections.Counter(tuple(r) for r in left.collect())
     assert got == collections.Counter(r for r in rows if r[2] != "n" and not (r[2] == "s" and r[0] % 9 == 0))
+
+
+def test_columns_of_the_stages_own_names_stay(spark, tmp_path):
+    item = " ".join(f"word{i}" for i in range(20))
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "mail a.bc@mail.example.com now", "p", True, 30, 0.5), (2, item, "q", False, 5, None), (3, None, None, None, None, 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pii string, contaminated boolean, n_chars long, `a b` double")
+    left = P.drop_contaminated(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and sorted(tuple(r) for r in left.collect()) == [rows[0], rows[2]]
+    out = P.hide_personal_data(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1].text != rows[0][1] and got[1].n_chars == len(got[1].text) and got[1][2:4] == ("p", True)
+    assert tuple(got[2]) == rows[1] and tuple(got[3]) == rows[2]
+
+
+def test_empty_tables_pass_every_stage(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir[0]}/documents.parquet").limit(0)
+    for name, stage in P.STAGES:
+        docs = stage(spark, docs, sf_dir[0])
+        assert docs.count() == 0, name
