@@ -172,16 +172,22 @@ def list_dirs(spark: SparkSession, base: str, suffix: str = "") -> list[str]:
 
 
 def read_services(spark: SparkSession, base: str, suffix: str = "_partitioned") -> DataFrame:
-    """Every ingested ``*<suffix>`` table under ``base`` as one frame with ``service``; year filters prune."""
+    """Every ``*<suffix>`` table under ``base`` as one frame with ``service``; year filters prune.
+
+    Of an ingested table the committed batches are read; one that was written without ingest is read as it is.
+    """
     out = None
     for name in list_dirs(spark, base, suffix):
-        svc = name[: -len(suffix)]
+        svc = name[: -len(suffix)] if suffix else name
         df = read_ingested(spark, base, svc)
+        if df is None:
+            df = read_trips(spark, f"{base.rstrip('/')}/{name}", merge_schema=True)
+            df = None if "batch" in df.columns else df          # batches that no ledger names: a run that was cut off
         if df is not None:
             df = df.withColumn("service", F.lit(svc))
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no ingested *{suffix} tables under {base}")
+        raise FileNotFoundError(f"no *{suffix} tables under {base}")
     return out
 
 
