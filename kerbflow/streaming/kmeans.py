@@ -9,6 +9,12 @@ cluster's own (the centre with its weight, faded by the length of the block) and
 give the next centres, with which the block's messages are labelled ("learn one,
 then predict one", by blocks).
 
+Each block needs the centres of the one before, so the blocks are a chain. Blocks of
+up to ``CHAIN_BLOCK`` messages are learned one after another in one task of the
+micro-batch, to which the messages' numbers and features go and nothing else: a job
+per block would cost far more than the block. The size of micro-batches bounds what
+that task reads. Longer blocks are jobs of their own, spread over tasks.
+
 A micro-batch goes on where the one before stopped: messages behind its last full
 block wait for the next one. Centres, weights, the message counter and the waiting
 messages are kept by batch (``counted.BatchState``), so batches of any cut, a batch
@@ -20,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from kerbflow.session import checkpoint_root
 from kerbflow.streaming.counted import BatchState, numbered
@@ -28,6 +35,7 @@ from kerbflow.streaming.messages import good_messages, parse_messages
 # Features and output topic of the clusterer.
 FEATURES = ("trip_distance", "passenger_count")
 OUTPUT_TOPIC = "taxi_clustered"
+CHAIN_BLOCK = 200_000
 
 
 def initial_centres(k: int, d: int, seed: int = 42, mu: float = 0.0, sigma: float = 1.0) -> np.ndarray:
@@ -107,12 +115,57 @@ def with_label(record, label: str) -> Column:
     return F.concat(body, comma, F.lit(f'"{label}":'), F.col(label).cast("string"), F.lit("}"))
 
 
+CHAIN_SCHEMA = "block long, centres array<double>, weights array<double>, squares array<double>"
+
+
+def _chain(clusters: Clusters, block: int, upto: int, fade: float, features):
+    """For mapInArrow over (n, features) in the order of n, in one partition: the clusters after each block."""
+    def after(now: Clusters, at: int, n: np.ndarray, x: np.ndarray) -> Clusters:
+        end = min((at + 1) * block, upto)
+        near = sum((x[:, None, j] - now.centres[None, :, j]) ** 2 for j in range(x.shape[1])).argmin(axis=1)
+        w, vectors = fade ** (end - 1 - n).astype(float), []
+        for i in np.unique(near):
+            mine = near == i
+            sums = np.nansum(w[mine, None] * x[mine], axis=0)
+            vectors.append({"cluster_id": i, "w": w[mine].sum(), "q": np.nansum(w[mine] * (x[mine] ** 2).sum(axis=1)),
+                            **{f"s{j}": v for j, v in enumerate(sums)}})
+        return now.merged(vectors, fade ** (end - at * block))
+
+    def run(batches):
+        import pyarrow as pa
+        now, at, held = clusters, None, []
+
+        def close():
+            done = after(now, at, np.concatenate([n for n, _ in held]), np.concatenate([x for _, x in held]))
+            return done, pa.RecordBatch.from_pydict({
+                "block": pa.array([at], pa.int64()), "centres": pa.array([done.centres.ravel().tolist()]),
+                "weights": pa.array([done.weights.tolist()]), "squares": pa.array([done.squares.tolist()])})
+
+        for b in batches:
+            n = b.column("n").to_numpy(zero_copy_only=False)
+            x = np.column_stack([b.column(f).to_numpy(zero_copy_only=False) for f in features])
+            cuts = np.flatnonzero(np.diff(n // block)) + 1
+            for part_n, part_x in zip(np.split(n, cuts), np.split(x, cuts)):
+                if not len(part_n):
+                    continue
+                if held and part_n[0] // block != at:
+                    now, row = close()
+                    yield row
+                    held = []
+                at = int(part_n[0] // block)
+                held.append((part_n, part_x))
+        if held:
+            yield close()[1]
+    return run
+
+
 def _labelled(rows: DataFrame, first_block: int, centres: list[np.ndarray], block: int, features) -> DataFrame:
     """Each message with the cluster that its block's new centres give it."""
-    table = F.array(*[F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in one]) for one in centres])
-    mine = F.get(table, (F.floor(F.col("n") / block) - first_block).cast("int"))
-    far = F.transform(mine, lambda c, i: F.struct(sum(((F.col(f) - c[j]) * (F.col(f) - c[j]) for j, f in enumerate(features)), F.lit(0.0)).alias("d"), i.alias("i")))
-    return rows.withColumn("cluster_id", F.array_min(far)["i"])
+    table = rows.sparkSession.createDataFrame([(first_block + i, [[float(x) for x in c] for c in one]) for i, one in enumerate(centres)],
+                                              "_block long, _centres array<array<double>>")      # k rows of d numbers a block
+    mine = rows.join(F.broadcast(table), F.floor(F.col("n") / block) == F.col("_block"))
+    far = F.transform("_centres", lambda c, i: F.struct(sum(((F.col(f) - c[j]) * (F.col(f) - c[j]) for j, f in enumerate(features)), F.lit(0.0)).alias("d"), i.alias("i")))
+    return mine.withColumn("cluster_id", F.array_min(far)["i"]).drop("_block", "_centres")
 
 
 def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoint: str, k: int = 4,
@@ -133,8 +186,14 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
     columns = [c.split()[0] for c in waiting.split(", ")]
 
     def learned(rows: DataFrame, clusters: Clusters, first: int, total: int, upto: int):
-        """(clusters, centres of each block) after the blocks from ``first`` up to message ``upto``."""
+        """(clusters, centres of each block) after the blocks from ``first``, where one begins, up to message ``upto``."""
         centres = []
+        if block <= CHAIN_BLOCK and first < upto:
+            part = rows.where((F.col("n") >= first) & (F.col("n") < upto)).select("n", *features).repartition(1).sortWithinPartitions("n")
+            for r in part.mapInArrow(_chain(clusters, block, upto, fade, features), CHAIN_SCHEMA).collect():       # k rows a block
+                clusters = Clusters(np.array(r["centres"]).reshape(k, -1), np.array(r["weights"]), np.array(r["squares"]))
+                centres.append(clusters.centres)
+            return clusters, centres
         for start in range(first, upto, block):
             end = min(start + block, upto)
             part = rows.where((F.col("n") >= start) & (F.col("n") < end))
@@ -154,10 +213,12 @@ def run_stream_kmeans(source: DataFrame, out_dir: str, state_dir: str, checkpoin
         before = state.load(batch_id - 1)
         clusters = Clusters.of(before) if before else Clusters.start(k, len(features), seed)
         seen, first = (before["messages"], before["done"]) if before else (0, 0)
+        batch = batch.select([c for c in (*columns, "topic") if c in batch.columns]).persist(StorageLevel.MEMORY_AND_DISK)   # a range partition reads it twice
         rows = numbered(batch, seen).select(columns)
         if before:
             rows = spark.read.schema(waiting).parquet(state.table(batch_id - 1, "waiting")).unionByName(rows)
         rows = rows.checkpoint(eager=True)
+        batch.unpersist()
         total = first + rows.count()
         done = total - total % block
         clusters, centres = learned(rows, clusters, first, total, done)

@@ -269,3 +269,25 @@ def test_kafka_writers_build_for_batches(spark):
     assert replay.kafka_batch(df, "host:1") is not None
     with pytest.raises(Exception, match="(?i)kafka"):         # no connector in the test session
         replay.kafka_sink(df, "host:1", "/unused")
+
+
+@pytest.mark.parametrize("chain", [True, False])
+def test_kmeans_needs_no_job_per_block(spark, tmp_dir, monkeypatch, chain):
+    recs = random_messages(300, seed=8)
+    good = [json.loads(v) for _, v, _, _, _ in recs if v.endswith("}")]
+    labels, _ = brute_kmeans([(v["trip_distance"], float(v["passenger_count"])) for v in good], 4, 0.1, 10)
+    monkeypatch.setattr(kmeans, "CHAIN_BLOCK", 10 if chain else 9)
+    jobs, vectors = [], kmeans.cluster_vectors
+    monkeypatch.setattr(kmeans, "cluster_vectors", lambda *a, **b: jobs.append(1) or vectors(*a, **b))
+    src = replayed_folder(spark, f"{tmp_dir}/src", recs, 2)
+    kmeans.run_stream_kmeans(replay.replay_source(spark, src, 1), f"{tmp_dir}/out", f"{tmp_dir}/state", f"{tmp_dir}/cp", block=10)
+    got = [r.cluster_id for r in spark.read.parquet(f"{tmp_dir}/out").orderBy("n").collect()]
+    assert got == labels
+    assert len(jobs) == (0 if chain else -(-len(good) // 10))
+
+
+def test_longer_replays_have_larger_files_not_more():
+    from kerbflow.plans import q_stream
+    assert q_stream.rows_per_file(100_000) == q_stream.ROWS_PER_FILE == 500
+    for n in (6_000_000, 36_000_000):
+        assert -(-n // q_stream.rows_per_file(n)) <= q_stream.REPLAY_FILES
