@@ -180,3 +180,24 @@ def test_format_compare(spark, tmp_dir):
     out = {r["format"]: r for r in formats.format_compare(df, tmp_dir, ["csv", "csv_gzip", "parquet_zstd"]).collect()}
     assert set(out) == {"csv", "csv_gzip", "parquet_zstd"}
     assert out["csv_gzip"]["size_mb"] < out["csv"]["size_mb"]
+
+
+def test_raw_files_join_the_trips_once(spark, tmp_dir, monkeypatch):
+    import datetime as dt
+
+    from kerbflow.plans import q_io
+    day = lambda i: dt.datetime(1998, 1, 1) + dt.timedelta(days=200 * (i % 8))       # noqa: E731
+    orders = [(i, i, day(i)) for i in range(40)]
+    lines = [(i % 40, 1 + i // 40, i, "ANR"[i % 3], day(i) + dt.timedelta(days=3), 5.0, 10.0, 0.1, 0.2) for i in range(160)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_shipdate timestamp_ntz, l_quantity double, "
+                                 "l_extendedprice double, l_discount double, l_tax double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    seen, write = [], q_io.write_raw_service
+
+    def spy(t, svc, raw):
+        seen.append((svc.name, t.storageLevel.useDisk, "InMemoryTableScan" in t._jdf.queryExecution().executedPlan().toString()))
+        write(t, svc, raw)
+    monkeypatch.setattr(q_io, "write_raw_service", spy)
+    raw = q_io.write_raw(spark, tmp_dir)
+    assert seen == [(s.name, True, True) for s in q_io.TEST_SERVICES]
+    assert sum(spark.read.parquet(f"{raw}/{s.name}_tripdata_all").count() for s in q_io.TEST_SERVICES) == 160
