@@ -3,11 +3,13 @@ in the shared folder, word splitting and the cached word tokenizer."""
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import uuid
 from array import array
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python workers a few MB at a time (Spark's own bound is 64 MB a task on both sides)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared scratch folder and read back.
 
@@ -73,6 +80,18 @@ def _ids(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+class _Learned(dict):
+    """Words to their ids, learned when they are first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class WordIds:
     """Token ids of whole texts by a ``tokenizers`` file, through a cache of words.
 
@@ -83,14 +102,19 @@ class WordIds:
     through the tokenizer whole, as do texts that hold the content of an added token
     (in any case of letters, since a normaliser may change it). A word of Latin-1
     letters and ASCII marks after them is one piece and another of either pattern:
-    its pieces go to the BPE model directly. The cache holds two generations of
+    its letters go to the BPE model directly. The cache holds two generations of
     ``limit`` bytes of words and ids, which changes speed only.
+
+    If the space counts, a word of the cache stands for itself and a space before it;
+    one after a newline has that before it, and any other piece of text a "\r", which
+    no text that is split holds. Words between single spaces and newlines are cut by
+    ``str.split``; the rare text with a run of them is cut again by a pattern.
     """
 
     _ODD = re.compile("[" + "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
-    _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+    _PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str, keeps_space: bool, limit: int = 80_000_000):
         from tokenizers import Tokenizer
@@ -99,83 +123,65 @@ class WordIds:
         self.added = re.compile("|".join(added), re.I).search if added else (lambda t: None)
         self.model = self.tok.model
         self.keeps_space = keeps_space
-        self.split = self._KEEP_SPACE.findall if keeps_space else (lambda t: t.replace("\n", " ").split(" "))
         self.limit, self.size = limit, 0
-        self.cache: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        self.cache, self.old = _Learned(self._learn), {}
         # Byte-level BPE writes each byte as a character: printable ones as themselves, the others from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [x for x in range(256) if x not in set(shown)]
-        self.letters = {**{x: x for x in shown}, **{x: 256 + i for i, x in enumerate(hidden)}}
+        self.letters = {**{x: chr(x) for x in shown}, **{x: chr(256 + i) for i, x in enumerate(hidden)}}
+
+    def _learn(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._new(word)
+        self.size += 180 + len(word) + len(ids)         # two objects and their place in the table
+        return ids
+
+    def _new(self, word: str) -> bytes:
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            return self._piece(" " + word if self.keeps_space else word.lower())
+        lead, body = " " if self.keeps_space else "", word
+        if self.keeps_space:
+            if word in ("", "\n"):                      # a run of white space: not to be cut here
+                raise KeyError(word)
+            if word[0] in "\r\n":
+                lead, body = word[0].strip("\r"), word[1:]
+        m = self._PLAIN.fullmatch(body)
+        if m and (m[1].isascii() or m[1].isalpha() and max(m[1]) <= "\xff"):
+            letters, marks = m.groups()
+            if marks:
+                return self.cache[word[:-len(marks)]] + self.cache["\r" + marks if self.keeps_space else marks]
+            return self.cache["\r\n"] + self._piece(letters) if lead == "\n" else self._piece(lead + letters)
+        return _ids(self.tok.encode(lead + body, add_special_tokens=False).ids)
 
     def _piece(self, text: str) -> bytes:
         """Ids of one piece of the pattern, by the BPE model alone."""
-        known = self.cache.get(text)
-        if known is None:
-            known = self.old.get(text)
-            if known is None:
-                shown = text.encode().decode("latin-1").translate(self.letters)
-                known = _ids([t.id for t in self.model.tokenize(shown)])
-            self._keep(text, known)
-        return known
-
-    def _keep(self, text: str, ids: bytes) -> None:
-        self.cache[text] = ids
-        self.size += 180 + len(text) + len(ids)         # two objects and their place in the table
-
-    def _learn(self, words: set[str]) -> None:
-        old, plain, rest = self.old, self._PLAIN.fullmatch, []
-        for w in words:
-            known = old.get(w)
-            if known is None:
-                m = plain(w)
-                if m and (m[2].isascii() or m[2].isalpha() and max(m[2]) <= "\xff"):
-                    lead, body, marks = m.groups()
-                    body = lead.strip("\n") + body if self.keeps_space else body.lower()
-                    known = self._piece(body)
-                    if lead == "\n" and self.keeps_space:
-                        known = self._piece("\n") + known
-                    if marks:
-                        known += self._piece(marks)
-                else:
-                    rest.append(w)
-                    continue
-            self._keep(w, known)
-        for w, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            self._keep(w, _ids(e.ids))
+        if text.isascii():
+            shown = text.replace(" ", self.letters[32])
+        else:
+            shown = text.encode().decode("latin-1").translate(self.letters)
+        return _ids([t.id for t in self.model.tokenize(shown)])
+
+    def _split(self, text: str) -> bytes:
+        ids = self.cache.__getitem__
+        if not self.keeps_space:
+            return b"".join(map(ids, text.replace("\n", " ").split(" ")))
+        try:
+            return b"".join(map(ids, ("\r" + text).replace("\n", " \n").split(" ")))
+        except KeyError:
+            return b"".join([ids(p[1:] if p[0] == " " and p[1:2] not in ("", " ", "\n") else "\r" + p)
+                             for p in self._KEEP_SPACE.findall(text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        at = 0
-        while at < len(texts):              # a few million letters at a time: the split words take twenty times their room
-            end, letters = at, 0
-            while end < len(texts) and (end == at or letters + len(texts[end]) <= 2_000_000):
-                letters += len(texts[end])
-                end += 1
-            out += self._encode(texts[at:end])
-            at = end
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        if self.size > self.limit:
-            self.old, self.cache, self.size = self.cache, {"": b""}, 0
-        odd, added = self._ODD.search, self.added
-        parts = [None if odd(t) or added(t) else self.split(t) for t in texts]
-        seen: set[str] = set()
-        for p in parts:
-            if p is not None:
-                seen.update(p)
-        new = seen.difference(self.cache)
-        if new:
-            self._learn(new)
-        get = self.cache.__getitem__
-        out = []
-        for t, p in zip(texts, parts):
-            if p is None:
+        for t in texts:
+            if self._ODD.search(t) or self.added(t):
                 out.append(_ids(self.tok.encode(t, add_special_tokens=False).ids))
-            else:
-                out.append(b"".join(map(get, p)))
+                continue
+            if self.size > self.limit:
+                self.old, self.cache, self.size = self.cache, _Learned(self._learn), 0
+            out.append(self._split(t))
         return out
 
 
@@ -189,11 +195,26 @@ def worker_held(key, build):
     words, an automaton) must not stay beside what the next one builds.
     """
     if _HELD.get("key") != key:
-        _HELD.clear()
+        worker_freed()
         _HELD.update(key=key, value=build())
     return _HELD["value"]
 
 
+def worker_freed() -> None:
+    """Drops what an earlier operator left in this Python worker."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def slices(batches, rows: int = 500):
+    """Arrow batches as slices of at most ``rows`` rows: the Python texts that a task has at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def word_ids(path: str, keeps_space: bool) -> WordIds:
     """One tokenizer and cache per Python worker and file."""
     import os

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from kerbflow.llm.common import Shared, free_name, text_bytes, worker_held
+from kerbflow.llm.common import Shared, free_name, slices, text_bytes, worker_held
 
 #: Lower-cases A-Z, keeps 0-9, a-z and every non-ASCII byte, and makes all else a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -231,7 +231,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_share: flo
 
     def scan(batches):
         automata = _automata(shared, window)
-        for b in batches:
+        for b in slices(batches):
             out = []
             for t in b.column(at).to_pylist():
                 words = words_of((t or "").encode())

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import text_bytes, written
+from kerbflow.llm.common import slices, small_batches, text_bytes, worker_freed, written
 from kerbflow.llm.components import components
 
 N_WORDS, THRESHOLD = 5, (4, 5)       # similarity of 0.8 as a fraction, so that it is compared exactly
@@ -101,13 +101,15 @@ def minhash(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, bands: int, rows: int, n: int = N_WORDS) -> DataFrame:
     """doc_id, node (16 bytes that stand for the n-gram set, null without words), bands (a hash each)."""
+    small_batches(docs.sparkSession)
     rng = np.random.default_rng(20240229)
     a = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
 
     def scan(batches):
         with np.errstate(over="ignore"):
-            for batch in batches:
+            worker_freed()
+            for batch in slices(batches):
                 nodes, keys = [], []
                 for t in batch.column(1):
                     g = ngrams(t.as_buffer().to_pybytes(), n)

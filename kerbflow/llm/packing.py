@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import Shared, word_ids, written
+from kerbflow.llm.common import Shared, slices, small_batches, word_ids, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -28,26 +28,26 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps
               with_ids: bool = False) -> DataFrame:
     """The pieces of every document, with their ids (little-endian, 32 bits) if asked for."""
     end = np.array([end_id], "<u4").tobytes()
+    small_batches(docs.sparkSession)
 
     def cut(batches):
         encode = word_ids(tokenizer, keeps_space).encode
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part, rows = b.slice(i, 256), []
-                for d, x in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    x += end
-                    n = len(x) // 4
-                    first = (n - 1) % capacity + 1
-                    for k, s in enumerate([0, *range(first, n, capacity)]):
-                        raw = x[4 * s:4 * (first if k == 0 else s + capacity)]
-                        rows.append((d, k, s, len(raw) // 4, zlib.crc32(raw), raw if with_ids else None))
-                cols = list(zip(*rows))
-                arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    arrays.append(pa.array(cols[5], pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+        for part in slices(batches, 256):
+            rows = []
+            for d, x in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                x += end
+                n = len(x) // 4
+                first = (n - 1) % capacity + 1
+                for k, s in enumerate([0, *range(first, n, capacity)]):
+                    raw = x[4 * s:4 * (first if k == 0 else s + capacity)]
+                    rows.append((d, k, s, len(raw) // 4, zlib.crc32(raw), raw if with_ids else None))
+            cols = list(zip(*rows))
+            arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                arrays.append(pa.array(cols[5], pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .mapInArrow(cut, PIECES + (", ids binary" if with_ids else "")))

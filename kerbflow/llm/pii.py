@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import free_name
+from kerbflow.llm.common import free_name, slices, small_batches, worker_freed
 
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
@@ -245,9 +245,12 @@ def pseudonymise_docs(docs: DataFrame, key: str, text: str = "text") -> DataFram
     names = [*docs.columns, free_name("pii", docs.columns)]
     secret = hashlib.sha256(key.encode()).digest()
 
+    small_batches(docs.sparkSession)
+
     def scan(batches):
         perm = Permutation(secret)
-        for b in batches:
+        worker_freed()
+        for b in slices(batches):
             texts, found = [], []
             for t in b.column(at).to_pylist():
                 new, n = (t, {}) if t is None else pseudonymise(t, perm)

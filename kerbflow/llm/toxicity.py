@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kerbflow.llm.common import Shared, remainder, worker_held, written
+from kerbflow.llm.common import Shared, remainder, slices, small_batches, worker_freed, worker_held, written
 
 _WORD = re.compile(r"[^\W_]+")
 _QUOTES = re.compile("[\"«»“”„]")
@@ -149,7 +149,7 @@ class LexiconTrie:
 class Matcher:
     """Words to hits, remembered: 0 none, 1 a term as it stands, 2 a misspelling."""
 
-    def __init__(self, terms, stems, benign, limit: int = 500_000):
+    def __init__(self, terms, stems, benign, limit: int = 300_000):
         self.trie, self.benign, self.limit = LexiconTrie(terms, stems, stem_edits=True), benign, limit
         self.seen: set[str] = set()
         self.hits: dict[str, int] = {}
@@ -208,10 +208,11 @@ def _word_counts(train: DataFrame) -> DataFrame:
             words = list(pos.keys() | neg.keys())
             return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([pos[w] for w in words], pa.int64()),
                                                pa.array([neg[w] for w in words], pa.int64())], names=["word", "pos", "neg"])
-        for b in batches:
+        worker_freed()
+        for b in slices(batches):
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 (pos if y else neg).update(set(_WORD.findall(t.lower())))
-            if len(pos) + len(neg) > 500_000:
+            if len(pos) + len(neg) > 300_000:
                 yield rows()
                 pos.clear()
                 neg.clear()
@@ -265,7 +266,7 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, min_surprise: float
         from zlib import crc32
         words_, stems_ = shared.value
         begins = re.compile("|".join(map(re.escape, stems_))).match if stems_ else (lambda w: None)
-        for b in batches:
+        for b in slices(batches):
             rows = set()
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if y:
@@ -326,6 +327,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 2
     """doc_id, held_out, score, predicted (and the features; and hits with their places and weights; and
     ``row``, the scored row of ``docs`` with all its columns)."""
     spark = docs.sparkSession
+    small_batches(spark)
     # At most max_labels rows of 12 bytes: the proven bound of this broadcast.
     sample = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(remainder(F.col("doc_id"), fold) != 0)
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -343,7 +345,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5, max_labels: int = 2
 
     def scan(batches):
         matcher = _matcher(shared)
-        for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+        for b in slices(batches):
             rows = [features(t, matcher) for t in b.column(text_at).to_pylist()]
             whole = [pa.StructArray.from_arrays(b.columns, names=b.schema.names)] if with_rows else []
             hits = [[{"start": s, "end": e, "weight": w} for s, e, w in h] for _, h in rows] if with_hits else [[] for _ in rows]

@@ -28,6 +28,30 @@ def test_word_cache_equals_whole_texts(name, keeps):
                 assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name,keeps", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_word_cache_holds_words_and_no_runs_of_space(name, keeps):
+    path = public_tokenizers.path(name)
+    tok = Tokenizer.from_file(path)
+    ids = WordIds(path, keeps)
+    texts = ["one two\nthree two", "one  two\n\n three,  two ", "\nthree", "\n", " one", "two \n", "one\n\n\ntwo", "", " "]
+    for t, g in zip(texts, ids.encode(texts), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    assert {"one", "two"} <= ids.cache.keys() and (not keeps or not {"", "\n"} & ids.cache.keys())
+    size = ids.size
+    assert size and ids.encode(texts[:1]) == ids.encode(texts[:1]) and ids.size == size
+
+
+def test_worker_holds_one_operators_state_and_slices_are_small():
+    import pyarrow as pa
+    from kerbflow.llm import common
+    assert common.worker_held("a", lambda: [1]) == [1] == common.worker_held("a", lambda: [2])
+    common.worker_freed()
+    assert common.worker_held("a", lambda: [2]) == [2]
+    common.worker_freed()
+    parts = list(common.slices([pa.RecordBatch.from_pydict({"t": list(range(n))}) for n in (0, 7, 3)], 3))
+    assert [b.num_rows for b in parts] == [3, 3, 1, 3] and sum((b.column(0).to_pylist() for b in parts), []) == [*range(7), *range(3)]
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_bit_packing_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1003, dtype=np.uint64).astype("<u4")
