@@ -80,6 +80,7 @@ def _powers() -> np.ndarray:
 
 _LOWER = np.array([32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
 _POWERS = _powers()
+_VALUE = np.where(np.arange(256) == 32, 0, np.arange(1, 257)).astype(np.uint64)
 START_TAIL, END_TAIL = 0x0A0A0A, 0x0A200A           # no word holds a line's end
 
 
@@ -114,12 +115,15 @@ class Tokens:
         starts = np.flatnonzero(inside & (edge[:-1] | np.concatenate([[True], ~inside[:-1]])))
         ends = np.flatnonzero(inside & (edge[1:] | np.concatenate([~inside[1:], [True]]))) + 1
         if len(starts):
-            word = np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw))))])
-            letter = np.arange(len(raw)) - word
-            value = (raw.astype(np.uint64) + np.uint64(1)) + (letter >> 8).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            value *= _POWERS[letter & 255]
-            value[~inside] = 0
-            hashes = mix(np.add.reduceat(value, starts), ends - starts)
+            first, body = starts - starts[0], raw[starts[0]:]
+            lengths = np.diff(np.append(first, len(body)))                    # with the white space after a word
+            letter = np.arange(len(body)) - np.repeat(first, lengths)
+            value = _VALUE[body]
+            if lengths.max() > 256:
+                value += np.where(value > 0, (letter >> 8).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), np.uint64(0))
+                letter &= 255
+            value *= _POWERS[letter]
+            hashes = mix(np.add.reduceat(value, first), ends - starts)
         else:
             hashes = np.zeros(0, np.int64)
         back = lambda k: np.where(ends - starts >= k, raw[np.maximum(ends - k, 0)], 32).astype(np.int64)       # noqa: E731

@@ -200,3 +200,21 @@ def test_nothing_to_learn_from(spark):
     r = T.score(docs.selectExpr(f"cast({only_held} as long) as doc_id", "text")).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and r.score == r.base_score
     assert T.score(docs.limit(0)).count() == 0
+
+
+def test_a_words_hash_hangs_on_the_word_alone():
+    import numpy as np
+    import pyarrow as pa
+    from kerbflow.llm import suffix_tree
+
+    def hashes(*texts):
+        return suffix_tree.Tokens(pa.array([t.encode() for t in texts], pa.binary()))
+
+    long, gap = "ab" * 300, " " * 700
+    alone = {w: int(hashes(w).symbols[0]) for w in ("one", "Two", "é", long, long + "c", "x" * 256, "x" * 257)}
+    assert len(set(alone.values())) == 7 and int(hashes("two").symbols[0]) == alone["Two"]
+    words = [*alone]
+    for texts in ([" ".join(words)], [gap + gap.join(words) + gap], words, ["", *words, " "]):
+        x = hashes(*texts)
+        assert [int(h) for h in x.symbols if h != suffix_tree.END] == [*alone.values()]
+        assert (x.sizes == [len(t.split()) + 1 for t in texts]).all() and np.count_nonzero(x.symbols == suffix_tree.END) == len(texts)
