@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from kerbflow.sources import files, formats, ledger
 from kerbflow.schema import Service
 
@@ -23,6 +24,30 @@ def test_file_health(spark, tmp_dir):
     assert examples.where("kind = 'bad'").count() == 1
 
 
+def test_whole_files_join_the_parts_of_a_folder(spark, tmp_dir):
+    spark.range(0, 40000, 1, 3).withColumn("x", F.rand(1)).withColumn("file", F.expr("id % 2")).write.partitionBy("file").parquet(f"{tmp_dir}/t")
+    spark.range(0, 3).coalesce(1).write.parquet(f"{tmp_dir}/small")
+    parts = sorted(f for f in os.listdir(f"{tmp_dir}/t/file=1") if f.endswith(".parquet"))
+    data = open(f"{tmp_dir}/t/file=1/{parts[0]}", "rb").read()
+    open(f"{tmp_dir}/t/file=1/cut.parquet", "wb").write(data[: len(data) // 2])
+    parts_ = formats.file_health(spark, tmp_dir).collect()
+    got = {r["path"].split(tmp_dir)[1].split("/part-")[0]: r for r in formats.whole_files(formats.file_health(spark, tmp_dir)).collect()}
+    assert {k: (r["parts"], r["is_bad"], r["is_tiny"]) for k, r in got.items()} == {
+        "/t/file=0": (3, False, False), "/t/file=1": (4, True, False), "/small": (1, False, True)}
+    assert sum(r["length"] for r in got.values()) == sum(r["length"] for r in parts_) and got["/t/file=1"]["error"]
+
+
+def test_no_task_writes_a_quarter_of_the_table_whose_health_is_asked(spark, tmp_dir, monkeypatch):
+    from kerbflow.plans import q_io
+    trips = spark.range(0, 800, 1, 16).selectExpr("CAST(NULL AS long) AS trip_id", "id % 3 AS x")
+    monkeypatch.setattr(q_io, "trips_li", lambda *_: trips)
+    monkeypatch.setattr(q_io, "scratch_path", lambda *_: f"{tmp_dir}/h")
+    got = {r["folder"]: (r["files"], r["tiny_files"], r["bad_files"]) for r in q_io.q_file_health(spark, SF_SMALL).collect()}
+    assert got == {"trips": (4, None, 0), "tiny": (2, 2, 1)}
+    sizes = (spark.read.parquet(f"{tmp_dir}/h/trips").groupBy(F.input_file_name()).count()).collect()
+    assert sum(r["count"] for r in sizes) == 800 and max(r["count"] for r in sizes) <= 800 // 16
+
+
 def test_ingest_skips_and_renames(spark, tmp_dir):
     raw = f"{tmp_dir}/raw"
     df = spark.createDataFrame([(1, "2019-03-01 10:00:00", "2019-03-01 10:20:00", 5),
