@@ -109,3 +109,31 @@ def test_null_group_keeps_its_rows_and_quantiles(spark):
         ("None", 0), ("None", 1), ("a", 0), ("a", 1)]
     got = {r.g: (r["count"], r.q50) for r in eda.distance_summary(df, by=["g"], exact=True).collect()}
     assert got == {None: (2, 2.0), "a": (2, 6.0)}
+
+
+def test_boosting_passes_over_combinations_of_features_and_fits_all_rows(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    seen, scores = [], {}
+
+    class Counted(GBTRegressor):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(2400):                                   # 24 combinations, met by uneven numbers of rows
+        hour, dow = int(24 * rng.random() ** 2) // 3, int(rng.integers(0, 3))
+        rows.append(([2019, 2020, 2021, 2023, 2024][i % 5], hour, dow, 1 + dow, 40.5 + dow, -74.0, int(rng.poisson(5 + 4 * hour * (dow + 1)))))
+    feats = forecast.split_by_year(spark.createDataFrame(rows, "year int, hour int, dow int, month int, lat double, lon double, trip_count long")).cache()
+    data = forecast.assemble(feats)
+    train = data.where("split = 'train'")
+    direct = GBTRegressor(featuresCol="features", labelCol="trip_count", maxIter=6, maxDepth=3, stepSize=0.3, maxBins=256, seed=42).fit(train)
+    for split in ("validation", "test"):
+        scores[split] = forecast.error_metrics(direct.transform(data.where(F.col("split") == split)))
+    monkeypatch.setattr(forecast, "GBTRegressor", Counted)
+    got = {r["split"]: r for r in forecast.forecast_metrics(feats, gbt_iterations=6, gbt_depth=3).where("model = 'gbt'").collect()}
+    assert seen == [train.select("features").distinct().count()] and seen[0] <= 24
+    for split, want in scores.items():
+        assert got[split]["n"] == want["n"] and got[split]["mse"] == pytest.approx(want["mse"], rel=1e-9)
+        assert got[split]["mae"] == pytest.approx(want["mae"], rel=1e-9)
