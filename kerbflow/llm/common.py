@@ -108,13 +108,22 @@ class WordIds:
     If the space counts, a word of the cache stands for itself and a space before it;
     one after a newline has that before it, and any other piece of text a "\r", which
     no text that is split holds. Words between single spaces and newlines are cut by
-    ``str.split``; the rare text with a run of them is cut again by a pattern.
+    ``str.split``; the rare text with a run of them is cut again by a pattern. If the
+    space does not count, a text of Latin-1 is put in lower case and its commas and full
+    stops are cut off before, so that a word is learned once whatever it is followed by; a
+    text where another mark comes before one of them is cut into pieces by the pattern.
     """
 
     _ODD = re.compile("[" + "".join(map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
     _KEEP_SPACE = re.compile("[ \n]*[^ \n]+|[ \n]+")
     _PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+    _LOWER = bytes(range(256)).decode("latin-1").lower().replace("\n", " ").encode("latin-1")
+    # Latin-1 in lower case: a run of letters, one digit, what follows an apostrophe in English, a run of marks.
+    _PIECE = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:[stmd]|re|ve|ll)"
+                        "|[^ a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+    # Each byte as a comma or full stop, another mark, or none.
+    _KIND = bytes(ord("," if c in ",." else " " if c == " " or c.isalnum() else "#") for c in map(chr, range(256)))
 
     def __init__(self, path: str, keeps_space: bool, limit: int = 80_000_000):
         from tokenizers import Tokenizer
@@ -165,7 +174,14 @@ class WordIds:
     def _split(self, text: str) -> bytes:
         ids = self.cache.__getitem__
         if not self.keeps_space:
-            return b"".join(map(ids, text.replace("\n", " ").split(" ")))
+            try:
+                low = text.encode("latin-1").translate(self._LOWER)
+            except UnicodeEncodeError:
+                return b"".join(map(ids, text.replace("\n", " ").split(" ")))
+            kinds = low.translate(self._KIND)
+            if b"#," in kinds or b",," in kinds:
+                return b"".join(map(ids, self._PIECE.findall(low.decode("latin-1"))))
+            return b"".join(map(ids, low.replace(b",", b" ,").replace(b".", b" .").decode("latin-1").split(" ")))
         try:
             return b"".join(map(ids, ("\r" + text).replace("\n", " \n").split(" ")))
         except KeyError:

@@ -41,6 +41,22 @@ def test_word_cache_holds_words_and_no_runs_of_space(name, keeps):
     assert size and ids.encode(texts[:1]) == ids.encode(texts[:1]) and ids.size == size
 
 
+def test_word_is_learned_once_whatever_marks_and_case():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    ids = WordIds(path, False)
+    rng = random.Random(11)
+    latin = "".join(map(chr, range(256)))
+    texts = ["One, two. TWO three, one.", "É, é.\nÉ two, éa.", 'Three, "two", é.']
+    assert [np.frombuffer(g, "<u4").tolist() for g in ids.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(ids.cache) == {"one", ",", "two", ".", "three", "é", "éa", '"', '",'}
+    parts = ["'S", "'ll", "'", "s", "É", "²", "5", "-", " ", "\n", "ª", "×", "\x7f", "_", "’", "ﬁ"]
+    texts = [*latin, *("".join(rng.choices(latin + "  \n'sSÉé.,", k=rng.randrange(1, 40))) for _ in range(3000)),
+             *("".join(rng.choices(parts, k=12)) for _ in range(2000)), *("".join(rng.choices(parts[:-2], k=12)) for _ in range(2000))]
+    for t, g in zip(texts, ids.encode(texts), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_worker_holds_one_operators_state_and_slices_are_small():
     import pyarrow as pa
     from kerbflow.llm import common
