@@ -67,6 +67,29 @@ def test_one_block_is_the_sequential_pass_and_more_come_near(spark):
         forecast.fit_ordered_sgd(df.limit(0), features=("a", "b"), label="y")
 
 
+@pytest.mark.parametrize("block_rows", [7000, 1000, 150])
+def test_blocks_go_on_from_the_weights_of_the_block_before(spark, block_rows):
+    # What y hangs on turns over in the last quarter: the end of the pass counts, which a mean over the blocks loses.
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(8000, 2)) * [2.0, 0.5] + [1.0, 40.0], 6)
+    y = np.round(np.where(np.arange(8000) < 6000, 1.0, -1.0) * (5.0 + 3.0 * x[:, 0]) + x[:, 1], 6)
+    rows = [(int(i), float(a), float(b), float(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "pickup_hour long, a double, b double, y double").repartition(5)
+    got = forecast.fit_ordered_sgd(df, features=("a", "b"), label="y", block_rows=block_rows)
+    want = row_by_row((x - x.mean(axis=0)) / x.std(axis=0), y, 0.01, 0.25, 1e-4)
+    assert got["coef"] == pytest.approx(want, rel=1e-6)
+
+
+def test_a_step_takes_any_weights_where_the_chain_takes_them():
+    rng = np.random.default_rng(8)
+    z, y, w = np.column_stack([np.ones(300), rng.normal(size=(300, 3))]), rng.normal(size=300) * 10, rng.normal(size=4) * 100
+    step = np.eye(4, 5)
+    for at in (0, 130):                                     # batches of a block
+        end = at + 130 if at == 0 else 300
+        step = forecast.sgd_step(step, z[at:end], y[at:end], 1000 + at, 0.05, 0.25, 1e-2)
+    assert step[:, :-1] @ w + step[:, -1] == pytest.approx(forecast.sgd_chain(w, z, y, 1000, 0.05, 0.25, 1e-2), rel=1e-9)
+
+
 def test_distance_summary_ungrouped(spark):
     from kerbflow.operators import eda
     vals = [float(v) for v in range(1, 101)] + [None, float("nan")]
