@@ -27,7 +27,8 @@ aggregates over all training documents:
   share is the root's, plus log e of each of its kept contexts, plus a term of its
   own for each stored gram, so a text's score is a sum over what its keys find. An
   order's kept table is sent to every task while the counted rows of all tables
-  sent are within ``SMALL``; the keys of other orders are joined with theirs.
+  sent are within ``SMALL``; those of other orders are sorted into files, which each
+  Python worker maps from its own disk: no token's key is written or shuffled.
 
 The root is the words' distribution with 0.1 added to each count, which is also
 the base score. Nothing is capped: more text gives more contexts and grams.
@@ -41,7 +42,7 @@ uniform; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from functools import reduce
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbflow.llm import files
 from kerbflow.llm.common import Shared, remainder, text_bytes, worker_held, written
+from kerbflow.session import scratch_path
 
 END, START = 0x452821E638D01377, 0x3E4C89452821E638      # hashes of the end and the start of a text
 ROOT = 0x243F6A8885A308D3       # the context of no words
@@ -57,6 +60,7 @@ ENDINGS = 0x13198A2E03707344    # what the contexts of order 1 are mixed with
 GRAMS = 0x24A4093822299F31      # what tells a gram's key from a context's
 SMALL = 4_000_000               # rows of 16 bytes that may be sent to every task
 CHUNK = 2_000_000               # tokens that a task counts before it passes counts on
+BLOCK = 2_000_000               # rows of a larger table in a file
 _MASK = np.int64(2 ** 63 - 1)
 
 
@@ -193,6 +197,48 @@ class KeyTable:
         return here, self.values[at[here]]
 
 
+def sorted_files(df: DataFrame, name: str) -> list[tuple[int, str]]:
+    """(key, value) as files of ``BLOCK`` rows or so, all keys in order: (rows, URI) of each."""
+    folder = scratch_path(df.sparkSession, name)
+    parts = max(1, -(-df.count() // BLOCK))
+    dealt = df.select("key", F.col("value").cast("float")).repartitionByRange(parts, "key").sortWithinPartitions("key")
+
+    def put(batches):
+        cols = [[b.column(k).to_numpy() for k in (0, 1)] for b in batches if b.num_rows]
+        if cols:
+            keys, values = (np.concatenate(c) for c in zip(*cols))
+            yield pa.RecordBatch.from_pydict({"first": keys[:1], "n": [len(keys)], "uri": [files.new_file(folder, "keys", ".bin", [keys.tobytes(), values.tobytes()])]})
+
+    return [(r["n"], r["uri"]) for r in sorted(dealt.mapInArrow(put, "first long, n long, uri string").collect(), key=lambda r: r["first"])]
+
+
+class MappedTable(KeyTable):
+    """A table of ``sorted_files``, copied to a file of this worker that has no name and goes with it, and mapped: what is
+    asked for stays in memory while there is room, as pages of a file."""
+
+    def __init__(self, blocks: list[tuple[int, str]]):
+        n = sum(size for size, _ in blocks)
+        self.keys, self.values = self._room(n, np.int64), self._room(n, np.float32)
+        at = 0
+        for size, uri in blocks:
+            data = files.read_file(uri)
+            self.keys[at:at + size] = np.frombuffer(data, np.int64, size)
+            self.values[at:at + size] = np.frombuffer(data, np.float32, size, 8 * size)
+            at += size
+        bits = max(1, n.bit_length() - 1)
+        self.shift = np.int64(63 - bits)
+        self.start = self._room((1 << bits) + 1, np.int64 if n >= 1 << 31 else np.int32)
+        for first in range(0, 1 << bits, BLOCK):
+            prefixes = np.arange(first, min(first + BLOCK, 1 << bits))
+            self.start[prefixes] = np.searchsorted(self.keys, prefixes << self.shift)
+        self.start[1 << bits] = n
+
+    @staticmethod
+    def _room(n: int, kind) -> np.ndarray:
+        with tempfile.TemporaryFile() as f:
+            return np.asarray(np.memmap(f, kind, "w+", shape=(n,))) if n else np.zeros(0, kind)
+
+
 def _counted(rows: DataFrame, columns: str, take) -> DataFrame:
     """Rows of ``take(Tokens)`` (equal arrays, named by ``columns``) and how often (n) each stands in the texts ``t``.
 
@@ -337,9 +383,10 @@ def class_of_column(tail):
     return tail.bitwiseAND(F.lit(0xFFFF))
 
 
-def sent_tables(tree) -> tuple[dict, list]:
-    """{order: (states, grams)}, each as keys and values, of the orders whose tables together are within ``SMALL`` rows, and the other orders' frames."""
-    sent, left, rows = {}, [], 0
+def sent_tables(tree) -> tuple[dict, dict]:
+    """{order: (states, grams)}, each as keys and values, of the orders whose tables together are within ``SMALL`` rows, and the
+    other orders' as ``sorted_files``."""
+    sent, mapped, rows = {}, {}, 0
     for order, df in tree:
         n = df.count()
         if rows + n <= SMALL:
@@ -348,8 +395,8 @@ def sent_tables(tree) -> tuple[dict, list]:
             sent[order] = tuple((part.column("key").to_numpy(), part.column("value").to_numpy().astype(np.float32))
                                 for part in (t.filter(pc.equal(t.column("state"), x)) for x in (True, False)))
         else:
-            left.append((order, df.select("key", "value")))
-    return sent, left
+            mapped[order] = tuple(sorted_files(df.where(x), f"lm-sorted-{order}") for x in ("state", "NOT state"))
+    return sent, mapped
 
 
 def head_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -364,23 +411,19 @@ def head_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return t.column("sym").to_numpy(), t.column("c").to_numpy()
 
 
-def tree_terms(x: Tokens, sent: dict, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """What each token gains by the tables that are here, and the keys that must be looked up elsewhere by order."""
-    gain, keys = np.zeros(len(x.symbols)), []
+def tree_gains(x: Tokens, kept: dict) -> np.ndarray:
+    """What each token gains by the tables of all orders."""
+    gain = np.zeros(len(x.symbols))
     todo = np.arange(len(x.symbols))                # tokens that may have a kept context of this order
-    for order, ctx in enumerate(x.contexts(depth + 1), 1):
-        symbols = x.classes if order == 1 else x.symbols
+    for order, ctx in enumerate(x.contexts(max(kept, default=0)) if kept else [], 1):
+        symbols, (states, grams) = x.classes if order == 1 else x.symbols, kept[order]
         todo = todo[ctx[todo] >= 0]
-        if order in sent:
-            states, grams = sent[order]
-            here, value = states.find(ctx[todo])
-            todo = todo[here]                       # the suffixes of kept contexts are kept
-            gain[todo] += value
-            here, value = grams.find(gram_key(symbols[todo], ctx[todo]))
-            gain[todo[here]] += value
-        else:
-            keys.append((todo, ctx[todo], gram_key(symbols[todo], ctx[todo])))
-    return gain, keys
+        here, value = states.find(ctx[todo])
+        todo = todo[here]                           # the suffixes of kept contexts are kept
+        gain[todo] += value
+        here, value = grams.find(gram_key(symbols[todo], ctx[todo]))
+        gain[todo[here]] += value
+    return gain
 
 
 def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10, min_count: int = 50, cut: int = 3, discount: float = 0.75,
@@ -392,12 +435,13 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10,
     words = written(spark, count_words(train), "lm-words")
     n_train, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = math.log10(n_train + 0.1 * (v + 1))
-    sent, left = sent_tables(learn(train, words, n_train, v, depth, min_ending, min_count, cut, discount, penalty))
-    shared = Shared(spark, (sent, head_words(words, max_counts)))
+    sent, mapped = sent_tables(learn(train, words, n_train, v, depth, min_ending, min_count, cut, discount, penalty))
+    shared = Shared(spark, (sent, mapped, head_words(words, max_counts)))
 
     def tables():
-        found, (sym, c) = shared.value
-        return {k: tuple(KeyTable(*x) for x in v) for k, v in found.items()}, KeyTable(sym, np.log10(c + 0.1) - norm)
+        found, more, (sym, c) = shared.value
+        kept = {k: tuple(KeyTable(*x) for x in v) for k, v in found.items()} | {k: tuple(map(MappedTable, v)) for k, v in more.items()}
+        return kept, KeyTable(sym, np.log10(c + 0.1) - norm)
 
     def scan(batches):
         from pyspark import TaskContext
@@ -409,30 +453,22 @@ def score(docs: DataFrame, fold: int = 10, depth: int = 2, min_ending: int = 10,
                 here, logs = head.find(tokens)
                 known = np.bincount(text[here], minlength=n)
                 base = np.bincount(text[here], weights=logs, minlength=n).astype(float)        # of no tokens: integers
-                gain, keys = tree_terms(x, kept, depth)
-                at = np.concatenate([np.repeat(k[0], 2) for k in keys]) if keys else np.zeros(0, np.int64)
-                asked = np.concatenate([np.column_stack(k[1:]).ravel() for k in keys]) if keys else at
-                order = np.argsort(text[at], kind="stable")
-                lists = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(t, minlength=n))]).astype(np.int32), values)
-                         for t, values in ((text[~here], tokens[~here]), (text[at], asked[order]))]
+                gain = tree_gains(x, kept)
+                rest = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(text[~here], minlength=n))]).astype(np.int32), tokens[~here])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("held_out"), pa.array(x.sizes),
-                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(np.bincount(text, weights=gain, minlength=n).astype(float)), *lists],
-                    names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "gain", "rest", "keys"])
+                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(np.bincount(text, weights=gain, minlength=n).astype(float)), rest],
+                    names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "gain", "rest"])
                 row += n
 
     # Row numbers hold because the scan's result is written before it is read again.
     kind = dict(rows.dtypes)["doc_id"]
     out = written(spark, rows.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, "
-                                               "gain double, rest array<long>, keys array<long>"), "lm-scores")
+                                               "gain double, rest array<long>"), "lm-scores")
     c = F.coalesce("c", F.lit(0))
     tail = (out.select("row", F.explode("rest").alias("sym")).join(words, "sym", "left").groupBy("row")
             .agg(F.sum((c > 0).cast("long")).alias("tail_known"), F.sum(F.log10(c + 0.1) - norm).alias("tail_base")))
-    found, gain = out.drop("rest", "keys").join(tail, "row", "left"), F.col("gain")
-    if left:
-        elsewhere = reduce(DataFrame.unionByName, (df for _, df in left))
-        more = out.select("row", F.explode("keys").alias("key")).join(elsewhere, "key").groupBy("row").agg(F.sum("value").alias("more"))
-        found, gain = found.join(more, "row", "left"), gain + F.coalesce("more", F.lit(0.0))
+    found, gain = out.drop("rest").join(tail, "row", "left"), F.col("gain")
     base = F.col("head_base") + F.coalesce("tail_base", F.lit(0.0))
     return found.select("doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
                         F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"))

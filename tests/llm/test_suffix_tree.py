@@ -3,8 +3,10 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kerbflow.llm import suffix_tree as T
 
@@ -218,3 +220,34 @@ def test_a_words_hash_hangs_on_the_word_alone():
         x = hashes(*texts)
         assert [int(h) for h in x.symbols if h != suffix_tree.END] == [*alone.values()]
         assert (x.sizes == [len(t.split()) + 1 for t in texts]).all() and np.count_nonzero(x.symbols == suffix_tree.END) == len(texts)
+
+
+def test_mapped_tables_find_what_tables_in_memory_find(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK", 300)                # several files
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 2 ** 63 - 1, 2000)
+    keys[:6] = [0, 1, 2 ** 62, 2 ** 62 + 1, 2 ** 63 - 2, 5]
+    values = rng.normal(size=2000)
+    df = spark.createDataFrame(list(zip(keys.tolist(), values.tolist())), "key long, value double")
+    asked = np.concatenate([rng.permutation(keys)[:1500], rng.integers(0, 2 ** 63 - 1, 500), keys[:6] + 2])
+    for n in (2000, 1, 0):
+        blocks = T.sorted_files(df.limit(n) if n < 2000 else df, "test-sorted")
+        table = T.MappedTable(blocks)
+        assert len(table.keys) == n and (n < 2000 or len(blocks) > 3)
+        here, found = table.find(asked)
+        want_here, want = T.KeyTable(table.keys.copy(), table.values.copy()).find(asked)
+        assert (here == want_here).all() and (found == want).all()
+        if n == 2000:
+            known = dict(zip(keys.tolist(), values.astype(np.float32)))
+            assert here.tolist() == [k in known for k in asked.tolist()] and found.tolist() == [known[k] for k in asked[here].tolist()]
+
+
+def test_no_token_key_is_written_when_tables_are_large(spark, monkeypatch):
+    monkeypatch.setattr(T, "SMALL", 0)
+    kept, plain = {}, T.written
+    monkeypatch.setattr(T, "written", lambda s, df, name: kept.update({name: plain(s, df, name)}) or kept[name])
+    docs = spark.createDataFrame([(d, t) for d, t in odd_rows() if len(t or "") < 10_000], "doc_id long, text string")
+    out = T.score(docs, min_count=30, cut=2, penalty=2.0).agg(F.sum("score"), F.sum("base_score")).first()
+    assert out[0] > out[1] + 1
+    lists = [f.name for f in kept["lm-scores"].schema.fields if f.dataType.typeName() == "array"]
+    assert lists == ["rest"]                            # words of the tail alone
